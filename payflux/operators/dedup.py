@@ -35,4 +35,4 @@ def dedup_ttl(rows: DataFrame, key: str = "_txnID", ts: str = "timestamp",
     so copies do not refresh it. Batch form (event time); see
     ``payflux.streaming.ttl`` for the keyed-state streaming form."""
     flagged = ttl_first_seen(rows, key, ts, tie, ttl_ms, group_rows)
-    return flagged if with_flag else flagged.filter("kept").drop("kept")
+    return flagged if with_flag else flagged.filter("kept").drop("kept", "copies")

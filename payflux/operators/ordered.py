@@ -149,11 +149,18 @@ def ttl_first_seen(rows: DataFrame, key: str = "_txnID", ts: str = "timestamp",
     """Keep a row iff no row of its key was *kept* within the last ``ttl_ms``.
 
     A duplicate does not refresh the TTL (the cache put happens only for kept
-    rows). Returns all input columns plus ``kept``.
+    rows). Exact copies are first collapsed by a partial aggregate (a storm of
+    identical re-sends becomes one row per map task before the shuffle); the
+    order is ``(ts, tie, every other column)``, a total order on distinct rows.
+    Returns one row per distinct input row with ``kept`` and ``copies``; only
+    the first of the copies of a kept row is kept.
     """
     cols = rows.columns
-    pending = rows
-    cursor = None  # (key, _last) last kept time of hot keys carried between rounds
+    rest = [c for c in cols if c not in (key, ts, tie)]
+    distinct = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
+    pending = distinct.withColumn("_ord", F.struct(F.col(ts), F.col(tie), *[F.col(c) for c in rest]))
+    out_cols = cols + ["copies"]
+    cursor = None  # (key, _last): last kept time of hot keys carried between rounds
     decided: list[DataFrame] = []
     while True:
         tagged = _tag_group_size(pending, key)
@@ -164,10 +171,10 @@ def ttl_first_seen(rows: DataFrame, key: str = "_txnID", ts: str = "timestamp",
         tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
         small = tagged.filter(F.col("_grp_n") <= group_rows).drop("_grp_n")
         large = tagged.filter(F.col("_grp_n") > group_rows).drop("_grp_n")
-        decided.append(_fold_ttl(small, key, ts, tie, cols, ttl_ms))
+        decided.append(_fold_ttl(small, key, ts, out_cols, ttl_ms))
         if large.isEmpty():
             break
-        done, pending, cursor = _ttl_round(large, key, ts, tie, cols, ttl_ms)
+        done, pending, cursor = _ttl_round(large, key, ts, out_cols, ttl_ms)
         decided.append(done)
         pending, cursor = cut_lineage(pending), cut_lineage(cursor)
     out = decided[0]
@@ -176,16 +183,16 @@ def ttl_first_seen(rows: DataFrame, key: str = "_txnID", ts: str = "timestamp",
     return out
 
 
-def _fold_ttl(rows: DataFrame, key: str, ts: str, tie: str, cols: list[str], ttl_ms: int) -> DataFrame:
-    item = F.struct(F.col(ts).alias("_o1"), F.col(tie).alias("_o2"),
-                    F.struct(*[F.col(c) for c in cols]).alias("_row"))
+def _fold_ttl(rows: DataFrame, key: str, ts: str, cols: list[str], ttl_ms: int) -> DataFrame:
+    item = F.struct(F.col("_ord"), F.struct(*[F.col(c) for c in cols]).alias("_row"))
     g = rows.groupBy(key).agg(F.first("_last").alias("_last"),
                               F.array_sort(F.collect_list(item)).alias("_items"))
     init = F.struct(F.col("_last").alias("last"), F.array().cast("array<boolean>").alias("ok"))
 
     def step(acc, x):
-        keep = acc["last"].isNull() | (x["_o1"] >= acc["last"] + F.lit(ttl_ms))
-        return F.struct(F.when(keep, x["_o1"]).otherwise(acc["last"]).alias("last"),
+        t = x["_ord"][ts]
+        keep = acc["last"].isNull() | (t >= acc["last"] + F.lit(ttl_ms))
+        return F.struct(F.when(keep, t).otherwise(acc["last"]).alias("last"),
                         F.array_append(acc["ok"], keep).alias("ok"))
 
     g = g.withColumn("_ok", F.aggregate("_items", init, step)["ok"])
@@ -193,17 +200,16 @@ def _fold_ttl(rows: DataFrame, key: str, ts: str, tie: str, cols: list[str], ttl
     return z.select(*[F.col("_z._items._row")[c].alias(c) for c in cols], F.col("_z._ok").alias("kept"))
 
 
-def _ttl_round(large: DataFrame, key: str, ts: str, tie: str, cols: list[str], ttl_ms: int):
+def _ttl_round(large: DataFrame, key: str, ts: str, cols: list[str], ttl_ms: int):
     """One exact round for hot keys: the next kept row is the first one at or
     after ``last + ttl`` (a partial-aggregated min); rows before it are copies."""
     last = F.col("_last")
     eligible = last.isNull() | (F.col(ts) >= last + F.lit(ttl_ms))
-    nxt = large.filter(eligible).groupBy(key).agg(
-        F.min(F.struct(F.col(ts), F.col(tie))).alias("_k"))
+    nxt = large.filter(eligible).groupBy(key).agg(F.min("_ord").alias("_k"))
     j = large.join(nxt, key, "left")
-    kk = F.col("_k")
-    dup = j.filter(kk.isNull() | _before(ts, tie, kk)).select(*cols, F.lit(False).alias("kept"))
-    kept = j.filter(kk.isNotNull() & _same(ts, tie, kk)).select(*cols, F.lit(True).alias("kept"))
-    pending = j.filter(kk.isNotNull() & ~_before(ts, tie, kk) & ~_same(ts, tie, kk)).select(*cols)
+    kk, o = F.col("_k"), F.col("_ord")
+    dup = j.filter(kk.isNull() | (o < kk)).select(*cols, F.lit(False).alias("kept"))
+    kept = j.filter(kk.isNotNull() & (o == kk)).select(*cols, F.lit(True).alias("kept"))
+    pending = j.filter(kk.isNotNull() & (o > kk)).select(*cols, "_ord")
     cursor = nxt.select(key, kk[ts].alias("_last"))
     return dup.unionByName(kept), pending, cursor

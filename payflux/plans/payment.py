@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,7 +65,10 @@ def admit(checked: DataFrame, banks: DataFrame, cfg: FlowConfig = DEFAULT) -> Da
 def payment_worker(payments: DataFrame, banks: DataFrame, recorded: DataFrame,
                    presence: DataFrame, cfg: FlowConfig = DEFAULT) -> PaymentOutputs:
     distinct = dedup_durable(payments, recorded)
-    checked = enrich_and_check(distinct, banks, presence, cfg)
+    # fan-out point: presence failures, rule failures, the fold and the unknown
+    # banks all read it, so it is computed once (spills to disk, recomputed
+    # from lineage if an executor is lost)
+    checked = enrich_and_check(distinct, banks, presence, cfg).persist(StorageLevel.MEMORY_AND_DISK)
 
     not_present = checked.filter(~F.col("isDevicePresent")).withColumn(
         "message", F.lit(rules.MSG_NOT_PRESENT))

@@ -8,12 +8,30 @@ plus projections, so Catalyst prunes columns and pushes filters to parquet.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payflux.functions.scalar import epoch_millis
 
 
+_SHARED = []
+
+
+def _shared(fn):
+    """One frame object per (session, dir): every consumer of a fixture in a
+    flow shares the same plan subtree, so Spark reuses its exchanges."""
+    cached = lru_cache(maxsize=None)(fn)
+    _SHARED.append(cached)
+    return cached
+
+
+def clear_shared() -> None:
+    for f in _SHARED:
+        f.cache_clear()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -22,6 +40,7 @@ def _bank_key(col: Column, prefix: str = "Bank_") -> Column:
     return F.concat(F.lit(prefix), col.cast("string"))
 
 
+@_shared
 def banks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Banks table: one account per customer; region from nation -> region."""
     c = read_table(spark, sf_dir, "customer").select(
@@ -65,12 +84,14 @@ def _payment_cols(m: Column) -> list[Column]:
     ]
 
 
+@_shared
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments stream (V2 schema); ``(timestamp, _txnID)`` is a total order."""
     o = read_table(spark, sf_dir, "orders")
     return o.select(*_payment_cols(_target_modulus(spark, sf_dir)))
 
 
+@_shared
 def payee_confirmations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bank B answers: RJCT for finished orders; some amounts/targets disagree."""
     o = read_table(spark, sf_dir, "orders")
@@ -84,6 +105,7 @@ def payee_confirmations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "currency", "timestamp", "status", "_txnID")
 
 
+@_shared
 def payment_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retried payments: each order's line items are re-sends 2 s apart."""
     li = read_table(spark, sf_dir, "lineitem")
@@ -95,17 +117,20 @@ def payment_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_shared
 def payment_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PaymentRequests table: payments already recorded (every tenth txn)."""
     return payments(spark, sf_dir).filter(F.col("_txnID") % 10 == 0).select(
         "source_bank", "target_bank", "amount", "currency", "timestamp", "_txnID")
 
 
+@_shared
 def bank_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BanksCache: ``(_key, region)`` of every bank."""
     return banks(spark, sf_dir).select("_key", "region")
 
 
+@_shared
 def settlement_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Settlement table (V8 layout): payments except every 31st txn."""
     p = payments(spark, sf_dir).filter(F.col("_txnID") % 31 != 0)
@@ -122,6 +147,7 @@ def settlement_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         t.alias("_txnID"))
 
 
+@_shared
 def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live consumers per region; MIDDLE EAST has none (region outage)."""
     r = read_table(spark, sf_dir, "region")
@@ -131,12 +157,14 @@ def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lower(F.regexp_replace("r_name", " ", "-")), F.lit("-sub1")).alias("subscriber"))
 
 
+@_shared
 def count_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CountStream: ``c`` = event id, ``t`` = event time in epoch millis."""
     e = read_table(spark, sf_dir, "events")
     return e.select(F.col("event_id").alias("c"), epoch_millis("ts").alias("t"))
 
 
+@_shared
 def error_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ErrorStream payloads: whole JSON text per event, an error for even counts."""
     e = read_table(spark, sf_dir, "events")
