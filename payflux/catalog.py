@@ -332,6 +332,25 @@ def q_truncate_table(spark, sf):
     return accounts.truncate(fx.settlement_table(spark, sf))
 
 
+def q_atomic_batch(spark, sf):
+    """The payment worker over the whole table as batch 0, committed atomically
+    (banks snapshot + appended requests + commit record) into a fresh store under
+    the shared checkpoint dir, then read back from the committed version."""
+    import uuid
+
+    from payflux.session import table_path
+    from payflux.streaming.store import TableStore
+
+    store = TableStore(spark, table_path(spark, f"atomic-{uuid.uuid4().hex}"))
+    banks = fx.banks(spark, sf)
+    store.seed({"banks": banks})
+    recorded = store.appended("requests", schemas.PAYMENT_REQUESTS).unionByName(fx.payment_requests(spark, sf))
+    out = payment.payment_worker(fx.payments(spark, sf), store.snapshot("banks"), recorded,
+                                 fx.presence(spark, sf), DEFAULT)
+    store.commit(0, snapshots={"banks": out.banks}, appends={"requests": out.requests})
+    return store.snapshot("banks").select(*ACCOUNT_COLS)
+
+
 def q_dedup_ttl(spark, sf):
     kept = dedup_ttl(fx.payment_retries(spark, sf), "_txnID", "timestamp", "attempt", DEFAULT.ttl_ms,
                      DEFAULT.fold_group_rows)

@@ -388,6 +388,7 @@ def oracle_sql() -> dict[str, str]:
                CASE WHEN c % 2 = 0 THEN 'Count is Even.' END AS error FROM count_events""")
 
     q["reserve_funds"] = W(("pw_banks",), _acct("pw_banks"))
+    q["atomic_batch"] = W(("pw_banks",), _acct("pw_banks"))
     q["settle_accounts"] = W(("banks", "cw_valid"), _DELTA_APPLY.format(
         base="banks", deltas=_SETTLE.format(src="(SELECT * FROM cw_valid WHERE status = 'settled')")))
     q["release_funds"] = W(("banks", "cw_valid"), _DELTA_APPLY.format(

@@ -14,8 +14,6 @@ so it works on any Hadoop-compatible shared file system.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -30,11 +28,8 @@ class TableStore:
         return "/".join([self.base, *[str(p) for p in parts]])
 
     def last_commit(self) -> int | None:
-        path = self._path("_commits")
-        if not os.path.exists(path) and "://" not in path:
-            return None
         try:
-            row = self.spark.read.parquet(path).agg(F.max("batch").alias("b")).first()
+            row = self.spark.read.parquet(self._path("_commits")).agg(F.max("batch").alias("b")).first()
         except Exception:  # noqa: BLE001 - nothing committed yet
             return None
         return None if row is None or row["b"] is None else int(row["b"])
