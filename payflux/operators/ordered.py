@@ -154,40 +154,28 @@ def ttl_first_seen(rows: DataFrame, key: str = "_txnID", ts: str = "timestamp",
     order is ``(ts, tie, every other column)``, a total order on distinct rows.
     Returns one row per distinct input row with ``kept`` and ``copies``; only
     the first of the copies of a kept row is kept.
+
+    Keys with at most ``group_rows`` distinct rows are folded in one task; hot
+    keys are solved by pointer doubling (``_ttl_doubling``).
     """
     cols = rows.columns
     rest = [c for c in cols if c not in (key, ts, tie)]
     distinct = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
-    pending = distinct.withColumn("_ord", F.struct(F.col(ts), F.col(tie), *[F.col(c) for c in rest]))
+    ordered = distinct.withColumn("_ord", F.struct(F.col(ts), F.col(tie), *[F.col(c) for c in rest]))
     out_cols = cols + ["copies"]
-    cursor = None  # (key, _last): last kept time of hot keys carried between rounds
-    decided: list[DataFrame] = []
-    while True:
-        tagged = _tag_group_size(pending, key)
-        if cursor is not None:
-            tagged = tagged.join(cursor, key, "left")
-        else:
-            tagged = tagged.withColumn("_last", F.lit(None).cast("bigint"))
-        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
-        small = tagged.filter(F.col("_grp_n") <= group_rows).drop("_grp_n")
-        large = tagged.filter(F.col("_grp_n") > group_rows).drop("_grp_n")
-        decided.append(_fold_ttl(small, key, ts, out_cols, ttl_ms))
-        if large.isEmpty():
-            break
-        done, pending, cursor = _ttl_round(large, key, ts, out_cols, ttl_ms)
-        decided.append(done)
-        pending, cursor = cut_lineage(pending), cut_lineage(cursor)
-    out = decided[0]
-    for d in decided[1:]:
-        out = out.unionByName(d)
+    tagged = _tag_group_size(ordered, key).persist(StorageLevel.MEMORY_AND_DISK)
+    small = tagged.filter(F.col("_grp_n") <= group_rows).drop("_grp_n")
+    large = tagged.filter(F.col("_grp_n") > group_rows).drop("_grp_n")
+    out = _fold_ttl(small, key, ts, out_cols, ttl_ms)
+    if not large.isEmpty():
+        out = out.unionByName(_ttl_doubling(large, key, ts, out_cols, ttl_ms))
     return out
 
 
 def _fold_ttl(rows: DataFrame, key: str, ts: str, cols: list[str], ttl_ms: int) -> DataFrame:
     item = F.struct(F.col("_ord"), F.struct(*[F.col(c) for c in cols]).alias("_row"))
-    g = rows.groupBy(key).agg(F.first("_last").alias("_last"),
-                              F.array_sort(F.collect_list(item)).alias("_items"))
-    init = F.struct(F.col("_last").alias("last"), F.array().cast("array<boolean>").alias("ok"))
+    g = rows.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("_items"))
+    init = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<boolean>").alias("ok"))
 
     def step(acc, x):
         t = x["_ord"][ts]
@@ -200,16 +188,69 @@ def _fold_ttl(rows: DataFrame, key: str, ts: str, cols: list[str], ttl_ms: int)
     return z.select(*[F.col("_z._items._row")[c].alias(c) for c in cols], F.col("_z._ok").alias("kept"))
 
 
-def _ttl_round(large: DataFrame, key: str, ts: str, cols: list[str], ttl_ms: int):
-    """One exact round for hot keys: the next kept row is the first one at or
-    after ``last + ttl`` (a partial-aggregated min); rows before it are copies."""
-    last = F.col("_last")
-    eligible = last.isNull() | (F.col(ts) >= last + F.lit(ttl_ms))
-    nxt = large.filter(eligible).groupBy(key).agg(F.min("_ord").alias("_k"))
-    j = large.join(nxt, key, "left")
-    kk, o = F.col("_k"), F.col("_ord")
-    dup = j.filter(kk.isNull() | (o < kk)).select(*cols, F.lit(False).alias("kept"))
-    kept = j.filter(kk.isNotNull() & (o == kk)).select(*cols, F.lit(True).alias("kept"))
-    pending = j.filter(kk.isNotNull() & (o > kk)).select(*cols, "_ord")
-    cursor = nxt.select(key, kk[ts].alias("_last"))
-    return dup.unionByName(kept), pending, cursor
+def ttl_successors(nodes: DataFrame, key: str, ttl_ms: int) -> DataFrame:
+    """For every row ``(key, _id, _ord, _t)``: ``_nxt`` = id of the first row of
+    the same key (in ``_ord`` order) with ``_t >= own _t + ttl``, or NULL.
+
+    With buckets ``_t div ttl`` the successor is either in the next bucket (an
+    as-of lookup by a running window partitioned by ``(key, bucket)``) or the
+    first row of the next non-empty bucket (a running window over the small
+    per-bucket table). No window is partitioned by the key alone over raw rows.
+    """
+    b = F.floor(F.col("_t") / F.lit(ttl_ms)).cast("bigint")
+    id_t = nodes.schema["_id"].dataType
+    targets = nodes.select(key, b.alias("_b"), F.col("_t").alias("_time"), F.lit(1).alias("_kind"),
+                           F.col("_ord").alias("_o"), F.col("_id").alias("_tgt"),
+                           F.lit(None).cast(id_t).alias("_src"))
+    probes = nodes.select(key, (b + 1).alias("_b"), (F.col("_t") + F.lit(ttl_ms)).alias("_time"),
+                          F.lit(0).alias("_kind"), F.lit(None).alias("_o"),
+                          F.lit(None).cast(id_t).alias("_tgt"), F.col("_id").alias("_src"))
+    probes = probes.withColumn("_o", F.lit(None).cast(nodes.schema["_ord"].dataType))
+    # descending scan: the last target seen is the smallest one at or after the probe
+    w = (Window.partitionBy(key, "_b")
+         .orderBy(F.col("_time").desc(), F.col("_kind").desc(), F.col("_o").desc())
+         .rowsBetween(Window.unboundedPreceding, 0))
+    inb = (targets.unionByName(probes)
+           .withColumn("_in", F.last("_tgt", ignorenulls=True).over(w))
+           .filter(F.col("_kind") == 0)
+           .select(key, F.col("_src").alias("_id"), "_b", "_in"))
+    firsts = (nodes.groupBy(key, b.alias("_b"))
+              .agg(F.min(F.struct(F.col("_ord"), F.col("_id"))).alias("_f"))
+              .select(key, "_b", F.lit(0).alias("_kind"), F.col("_f._id").alias("_first")))
+    asks = inb.select(key, "_b").distinct().select(key, "_b", F.lit(1).alias("_kind"),
+                                                   F.lit(None).cast(id_t).alias("_first"))
+    w2 = (Window.partitionBy(key).orderBy(F.col("_b").desc(), F.col("_kind").desc())
+          .rowsBetween(Window.unboundedPreceding, 0))
+    fallback = (firsts.unionByName(asks)
+                .withColumn("_fb", F.last("_first", ignorenulls=True).over(w2))
+                .filter(F.col("_kind") == 1).select(key, "_b", "_fb"))
+    return (inb.join(fallback, [key, "_b"], "left")
+            .select(key, "_id", F.coalesce("_in", "_fb").alias("_nxt")))
+
+
+def _ttl_doubling(large: DataFrame, key: str, ts: str, cols: list[str], ttl_ms: int) -> DataFrame:
+    """Hot keys: the kept rows are the successor chain from the key's first row.
+
+    The chain is marked by pointer doubling: ``M`` starts as the first rows,
+    ``J`` as the successor links; each round adds ``J(M)`` to ``M`` and squares
+    ``J``, so a chain of length L is marked in about log2(L) rounds. All joins
+    are on row ids (unique), so a hot key is spread evenly over tasks.
+    """
+    nodes = large.select(key, "_ord", F.to_json("_ord").alias("_id"), F.col(ts).alias("_t"))
+    jump = cut_lineage(ttl_successors(nodes, key, ttl_ms))
+    marked = cut_lineage(nodes.groupBy(key).agg(F.min(F.struct(F.col("_ord"), F.col("_id"))).alias("_r"))
+                         .select(key, F.col("_r._id").alias("_id")))
+    while True:
+        step = (marked.join(jump, [key, "_id"])
+                .filter(F.col("_nxt").isNotNull()).select(key, F.col("_nxt").alias("_id")))
+        new = step.join(marked, [key, "_id"], "left_anti")
+        if new.isEmpty():
+            break
+        marked = cut_lineage(marked.unionByName(new))
+        a, b2 = jump.alias("a"), jump.alias("b")
+        jump = cut_lineage(
+            a.join(b2, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a._nxt") == F.col("b._id")), "left")
+             .select(F.col(f"a.{key}").alias(key), F.col("a._id").alias("_id"), F.col("b._nxt").alias("_nxt")))
+    flagged = large.withColumn("_id", F.to_json("_ord")).join(
+        marked.withColumn("_m", F.lit(True)), [key, "_id"], "left")
+    return flagged.select(*cols, F.coalesce(F.col("_m"), F.lit(False)).alias("kept"))

@@ -93,3 +93,16 @@ def test_ttl_dedup_hot_key(spark):
     got = _ttl_got(ttl_first_seen(hot, ttl_ms=5000, group_rows=256))
     want = _ttl_model([r.asDict() for r in hot.collect()], 5000)
     assert got == want
+
+
+def test_ttl_dedup_hot_key_long_span(spark):
+    """A third of all rows share one key over the whole time range: thousands of
+    kept rows, marked by pointer doubling in logarithmically many rounds."""
+    rows = fx.payment_retries(spark, SF_MID).select("_txnID", "attempt", "timestamp")
+    is_hot = F.col("_txnID") % 3 == 0
+    hot = rows.select(F.when(is_hot, F.lit(-1)).otherwise(F.col("_txnID")).alias("_txnID"),
+                      (F.col("_txnID") * 10 + F.col("attempt")).alias("attempt"), "timestamp")
+    got = _ttl_got(ttl_first_seen(hot, ttl_ms=5000, group_rows=256))
+    want = _ttl_model([r.asDict() for r in hot.collect()], 5000)
+    assert sum(v for (k, _, _), v in want.items() if k == -1) > 1000
+    assert got == want
