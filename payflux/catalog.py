@@ -333,22 +333,23 @@ def q_truncate_table(spark, sf):
 
 
 def q_atomic_batch(spark, sf):
-    """The payment worker over the whole table as batch 0, committed atomically
-    (banks snapshot + appended requests + commit record) into a fresh store under
-    the shared checkpoint dir, then read back from the committed version."""
+    """The payment worker over the whole table as batch 0 of job ``pw``: its
+    request rows and reserve deltas are committed atomically (one commit record)
+    into a fresh store under the shared checkpoint dir; Banks is then read back
+    as base + committed deltas."""
     import uuid
 
     from payflux.session import table_path
+    from payflux.streaming.jobs import bank_state
     from payflux.streaming.store import TableStore
 
-    store = TableStore(spark, table_path(spark, f"atomic-{uuid.uuid4().hex}"))
-    banks = fx.banks(spark, sf)
-    store.seed({"banks": banks})
+    store = TableStore(spark, table_path(spark, f"atomic-{uuid.uuid4().hex}"), job="pw")
+    store.seed({"banks": fx.banks(spark, sf)})
     recorded = store.appended("requests", schemas.PAYMENT_REQUESTS).unionByName(fx.payment_requests(spark, sf))
-    out = payment.payment_worker(fx.payments(spark, sf), store.snapshot("banks"), recorded,
+    out = payment.payment_worker(fx.payments(spark, sf), bank_state(store), recorded,
                                  fx.presence(spark, sf), DEFAULT)
-    store.commit(0, snapshots={"banks": out.banks}, appends={"requests": out.requests})
-    return store.snapshot("banks").select(*ACCOUNT_COLS)
+    store.commit(0, {"requests": out.requests, "bank_deltas": out.reserve})
+    return bank_state(store).select(*ACCOUNT_COLS)
 
 
 def q_dedup_ttl(spark, sf):

@@ -39,15 +39,28 @@ def bank_b_accept(transfers_df: DataFrame) -> DataFrame:
                                F.lit("ACCP").alias("status"), "_txnID")
 
 
+def confirmation_rows(payee: DataFrame) -> DataFrame:
+    """SW2 (V2): the Confirmations stream, status mapped from the payee answer."""
+    return payee.select(
+        F.col("_txnID").alias("settlement_id"), "source_bank", "target_bank", "amount", "currency",
+        "timestamp", rules.payee_status(F.col("status")).alias("status"), "_txnID")
+
+
+def status_updates(confirmations: DataFrame) -> DataFrame:
+    """``UPDATE Settlement SET status ON _txnID`` as update rows."""
+    return confirmations.select("_txnID", "status", "timestamp")
+
+
+def apply_status(settlement: DataFrame, updates: DataFrame) -> DataFrame:
+    """Last-write-wins status per transaction."""
+    return accounts.last_write_wins(settlement, updates, "_txnID", "status", "timestamp")
+
+
 def settlement_confirm(payee: DataFrame, settlement: DataFrame) -> tuple[DataFrame, DataFrame]:
     """SW2 (V2): status from the payee answer, last-write-wins status update on
     Settlement, and the Confirmations stream. Returns (confirmations, settlement')."""
-    with_status = payee.select(
-        F.col("_txnID").alias("settlement_id"), "source_bank", "target_bank", "amount", "currency",
-        "timestamp", rules.payee_status(F.col("status")).alias("status"), "_txnID")
-    updated = accounts.last_write_wins(settlement, with_status.select("_txnID", "status", "timestamp"),
-                                       "_txnID", "status", "timestamp")
-    return with_status, updated
+    with_status = confirmation_rows(payee)
+    return with_status, apply_status(settlement, status_updates(with_status))
 
 
 # ----------------------------------------------------------------------------- V8

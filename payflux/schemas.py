@@ -52,3 +52,14 @@ LEDGER = _struct(("settlement_id", L), ("source_bank", S), ("target_bank", S),
                  ("_txnID", L))
 
 COUNT_EVENTS = _struct(("c", L), ("t", L))
+
+# signed account deltas appended by the payment and confirmation workers
+BANK_DELTAS = _struct(("_key", S), ("d_balance", D), ("d_reserved", D))
+
+# status updates appended by SW2 (last write per transaction wins)
+SETTLEMENT_STATUS = _struct(("_txnID", L), ("status", S), ("timestamp", L))
+
+# V2 Settlement rows inserted by SW1
+SETTLEMENT_V2 = _struct(("settlement_id", L), ("source_bank", S), ("target_bank", S),
+                        ("source_region", S), ("amount", D), ("currency", S),
+                        ("timestamp", L), ("status", S), ("_txnID", L))

@@ -38,12 +38,34 @@ def raw_payload(lines: DataFrame, col: str = "value", out: str = "evt") -> DataF
 # --------------------------------------------------------------------------- streaming I/O
 
 def read_json_stream(spark: SparkSession, path: str, schema: StructType,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming JSON source with a declared schema (no inference)."""
+                     max_files_per_trigger: int | None = None,
+                     starting_after_ms: int | None = None) -> DataFrame:
+    """Streaming JSON source with a declared schema (no inference).
+
+    The durable subscription is the query's ``checkpointLocation``. A file
+    source reads every existing file on its first start; the reference's
+    ``subscription.initial.position='Latest'`` is ``starting_after_ms``: files
+    modified before that instant are skipped (the filter reads file metadata,
+    not file contents).
+    """
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.json(path)
+    df = r.json(path)
+    if starting_after_ms is not None:
+        start = F.timestamp_millis(F.lit(starting_after_ms))
+        df = df.filter(F.col("_metadata.file_modification_time") >= start).select(*schema.fieldNames())
+    return df
+
+
+def start_json_sink(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,
+                    fmt: str = "json"):
+    """Stateless leg to a file sink: exactly once through the sink's own
+    metadata log, which a downstream file source also honours."""
+    w = (df.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
+         .option("ignoreNullFields", "false").outputMode("append"))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
+    return w.start()
 
 
 def read_raw_stream(spark: SparkSession, path: str) -> DataFrame:

@@ -1,41 +1,117 @@
 """Streaming clearing jobs: the batch operators run per micro-batch.
 
-The payment worker reads the account snapshot and the recorded requests *at
-batch time* inside ``foreachBatch`` (a stream-static join would read them
-once), computes every output, and commits all tables of the batch atomically.
+Each leg of the reference is one streaming query over a folder of JSON
+files. Legs that mutate tables run in ``foreachBatch``: they read the
+committed state *at batch time* (a stream-static join would read it once),
+compute every output, write their stream sinks under ``batch=<id>`` and then
+append their table rows / account deltas with one commit record
+(``TableStore.commit``). A replayed batch id that is already committed is
+skipped; a batch that failed before its commit is redone from scratch, and
+the downstream legs are idempotent per transaction (SW1 rows are read first
+per key, the confirmation worker posts a transaction once). Stateless legs
+(Bank B, SLA monitor, error handler) are plain file-to-file streams, exactly
+once through the file sink's metadata log.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from typing import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from payflux import schemas
 from payflux.config import DEFAULT, FlowConfig
-from payflux.plans import payment
+from payflux.functions.scalar import current_time_millis
+from payflux.operators import accounts, errors
+from payflux.operators.dedup import dedup_durable, first_per_key
+from payflux.plans import clearing, confirmation, payment, settlement
 from payflux.sources import streams
 from payflux.streaming.store import TableStore
 
+BatchFn = Callable[[DataFrame, int], None]
+
+
+# --------------------------------------------------------------------------- state views
+
+def bank_state(store: TableStore) -> DataFrame:
+    """Banks now: the latest base plus every committed reserve/settle/release delta."""
+    return store.state("banks", "bank_deltas", schemas.BANK_DELTAS, accounts.apply_deltas)
+
+
+def compact_banks(store: TableStore) -> int:
+    """Fold committed account deltas into a new Banks base version."""
+    return store.compact("banks", "bank_deltas", schemas.BANK_DELTAS, accounts.apply_deltas)
+
+
+def settlement_state(store: TableStore) -> DataFrame:
+    """Settlement now: SW1 inserts (first row per transaction) with the last
+    SW2 status update applied."""
+    rows = first_per_key(store.appended("settlement", schemas.SETTLEMENT_V2), "_txnID", ["timestamp"])
+    return settlement.apply_status(rows, store.appended("settlement_status", schemas.SETTLEMENT_STATUS))
 
-def payment_batch(store: TableStore, presence: DataFrame, cfg: FlowConfig, sinks: dict[str, str]):
-    """``foreachBatch`` body of the payment worker."""
+
+def _sink(df: DataFrame, root: str, batch_id: int) -> None:
+    streams.write_json(df, f"{root}/batch={batch_id}", "overwrite")
+
+
+def _once(store: TableStore, body: BatchFn) -> BatchFn:
+    """Skip empty and already committed micro-batches; persist the batch
+    (every output of a leg reads it)."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        if store.is_committed(batch_id) or batch.isEmpty():
             return
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # fan-out: every output reads it
-        banks = store.snapshot("banks")
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            body(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return run
+
+
+def with_dead_letter(body: BatchFn, dead_letter: str) -> BatchFn:
+    """``OnError.action='stream'`` for sinks and tables: a batch whose writes
+    fail is not committed; its events go to the dead-letter folder with the
+    error text instead of stopping the query."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        try:
+            body(batch, batch_id)
+        except Exception as e:  # noqa: BLE001 - routed, not swallowed
+            msg = f"{type(e).__name__}: {e}"[:2000]
+            (batch.select(streams.json_payload(batch.columns).alias("event"), F.lit(msg).alias("error"))
+             .write.mode("overwrite").json(f"{dead_letter}/batch={batch_id}"))
+
+    return run
+
+
+def _start(src: DataFrame, body: BatchFn, checkpoint: str, available_now: bool) -> StreamingQuery:
+    w = src.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
+    return w.start()
+
+
+# --------------------------------------------------------------------------- leg 1: payment worker
+
+def payment_batch(store: TableStore, presence: DataFrame, cfg: FlowConfig,
+                  sinks: dict[str, str]) -> BatchFn:
+    """``foreachBatch`` body of the payment worker."""
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        banks = bank_state(store).persist(StorageLevel.MEMORY_AND_DISK)
         recorded = store.appended("requests", schemas.PAYMENT_REQUESTS)
         out = payment.payment_worker(batch, banks, recorded, presence, cfg)
-        # stream sinks first: keyed by batch id, a replay overwrites the same folder
-        streams.write_json(out.settlements, f"{sinks['settlements']}/batch={batch_id}", "overwrite")
-        streams.write_json(out.rejections, f"{sinks['payer_confirmations']}/batch={batch_id}", "overwrite")
-        store.commit(batch_id, snapshots={"banks": out.banks},
-                     appends={"requests": out.requests})
-        batch.unpersist()
+        _sink(out.settlements, sinks["settlements"], batch_id)
+        _sink(out.rejections, sinks["payer_confirmations"], batch_id)
+        store.commit(batch_id, {"requests": out.requests, "bank_deltas": out.reserve})
+        banks.unpersist()
 
-    return run
+    return _once(store, body)
 
 
 def start_payment_worker(spark: SparkSession, payments_path: str, store: TableStore,
@@ -45,7 +121,139 @@ def start_payment_worker(spark: SparkSession, payments_path: str, store: TableSt
     """Start the leg-1 stream. ``max_files_per_trigger`` bounds each micro-batch,
     which also bounds the per-bank admission groups."""
     src = streams.read_json_stream(spark, payments_path, schemas.PAYMENTS, max_files_per_trigger)
-    w = (src.writeStream.foreachBatch(payment_batch(store, presence, cfg, sinks))
-         .option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
-    return w.start()
+    return _start(src, payment_batch(store.for_job("pw"), presence, cfg, sinks), checkpoint, available_now)
+
+
+# --------------------------------------------------------------------------- leg 2: SW1, Bank B
+
+def settlement_batch(store: TableStore, cfg: FlowConfig, sinks: dict[str, str],
+                     region: str | None = None) -> BatchFn:
+    """SW1: register settlements of the region as active rows, request Bank B."""
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        reg = settlement.settlement_register(batch, cfg, region).persist(StorageLevel.MEMORY_AND_DISK)
+        _sink(settlement.transfers(reg), sinks["transfers"], batch_id)
+        store.commit(batch_id, {"settlement": reg})
+        reg.unpersist()
+
+    return _once(store, body)
+
+
+def start_settlement_worker(spark: SparkSession, settlements_path: str, store: TableStore,
+                            sinks: dict[str, str], checkpoint: str, cfg: FlowConfig = DEFAULT,
+                            region: str | None = None, available_now: bool = True) -> StreamingQuery:
+    src = streams.read_json_stream(spark, settlements_path, schemas.SETTLEMENTS)
+    return _start(src, settlement_batch(store.for_job("sw1"), cfg, sinks, region), checkpoint, available_now)
+
+
+def start_bank_b(spark: SparkSession, transfers_path: str, out_path: str, checkpoint: str,
+                 available_now: bool = True) -> StreamingQuery:
+    """Bank B auto-accepts every transfer (stateless file-to-file stream)."""
+    src = streams.read_json_stream(spark, transfers_path, schemas.TRANSFERS)
+    return streams.start_json_sink(settlement.bank_b_accept(src), out_path, checkpoint, available_now)
+
+
+# --------------------------------------------------------------------------- leg 3: SW2
+
+def settlement_confirm_batch(store: TableStore, sinks: dict[str, str]) -> BatchFn:
+    """SW2: status from the payee answer; status update rows and Confirmations."""
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        conf = settlement.confirmation_rows(batch)
+        _sink(conf, sinks["confirmations"], batch_id)
+        store.commit(batch_id, {"settlement_status": settlement.status_updates(conf)})
+
+    return _once(store, body)
+
+
+def start_settlement_confirm(spark: SparkSession, payee_path: str, store: TableStore,
+                             sinks: dict[str, str], checkpoint: str,
+                             available_now: bool = True) -> StreamingQuery:
+    src = streams.read_json_stream(spark, payee_path, schemas.PAYEE_CONFIRMATIONS)
+    return _start(src, settlement_confirm_batch(store.for_job("sw2"), sinks), checkpoint, available_now)
+
+
+# --------------------------------------------------------------------------- leg 4: CW
+
+def confirmation_batch(store: TableStore, cfg: FlowConfig, sinks: dict[str, str]) -> BatchFn:
+    """Confirmation worker: post accepted, release rejected, write the ledger.
+
+    A transaction already in the ledger is not posted again, so a re-sent or
+    replayed confirmation moves no money twice.
+    """
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        banks = bank_state(store).persist(StorageLevel.MEMORY_AND_DISK)
+        fresh = dedup_durable(batch, store.appended("ledger", schemas.LEDGER))
+        out = confirmation.confirmation_worker(fresh, banks, cfg)
+        _sink(out.payer, sinks["payer_confirmations"], batch_id)
+        store.commit(batch_id, {"ledger": out.ledger, "bank_deltas": out.deltas})
+        banks.unpersist()
+
+    return _once(store, body)
+
+
+def start_confirmation_worker(spark: SparkSession, confirmations_path: str, store: TableStore,
+                              sinks: dict[str, str], checkpoint: str, cfg: FlowConfig = DEFAULT,
+                              available_now: bool = True) -> StreamingQuery:
+    src = streams.read_json_stream(spark, confirmations_path, schemas.CONFIRMATIONS)
+    return _start(src, confirmation_batch(store.for_job("cw"), cfg, sinks), checkpoint, available_now)
+
+
+# --------------------------------------------------------------------------- side jobs
+
+def start_sla_monitor(spark: SparkSession, payer_path: str, out_path: str, checkpoint: str,
+                      available_now: bool = True) -> StreamingQuery:
+    """PayerBankConfirmations -> PayerBankConfirmationsSLA with ``latencyMs``
+    (``currentTimeMillis()`` is fixed per micro-batch)."""
+    src = streams.read_json_stream(spark, payer_path, schemas.PAYER_CONFIRMATIONS)
+    sla = clearing.sla_latency(src.withColumn("confirm_ts", current_time_millis())).drop("confirm_ts")
+    return streams.start_json_sink(sla, out_path, checkpoint, available_now)
+
+
+def start_error_handler(spark: SparkSession, raw_path: str, table_path: str, checkpoint: str,
+                        available_now: bool = True) -> StreamingQuery:
+    """ErrorStream (whole JSON payloads) -> ErrorTable ``(event, error)`` as parquet."""
+    raw = streams.read_raw_stream(spark, raw_path)
+    table = errors.error_events(raw).select("event", "error")
+    return streams.start_json_sink(table, table_path, checkpoint, available_now, fmt="parquet")
+
+
+# --------------------------------------------------------------------------- whole flow
+
+@dataclass
+class ClearingPaths:
+    root: str
+
+    def __getattr__(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+
+def run_clearing_stream(spark: SparkSession, payments_path: str, store: TableStore,
+                        presence: DataFrame, root: str, cfg: FlowConfig = DEFAULT,
+                        max_files_per_trigger: int | None = None,
+                        timeout_s: int = 900) -> ClearingPaths:
+    """Drain every leg once (``availableNow``), in flow order: PW, SW1, Bank B,
+    SW2, CW, SLA. Each leg is an independent query with its own checkpoint, so
+    running the function again processes only new files."""
+    p = ClearingPaths(root.rstrip("/"))
+    legs = [
+        lambda: start_payment_worker(spark, payments_path, store, presence,
+                                     {"settlements": p.settlements,
+                                      "payer_confirmations": f"{p.payer}/job=pw"},
+                                     p.ckpt_pw, cfg, max_files_per_trigger),
+        lambda: start_settlement_worker(spark, p.settlements, store, {"transfers": p.transfers},
+                                        p.ckpt_sw1, cfg),
+        lambda: start_bank_b(spark, p.transfers, p.payee, p.ckpt_bank_b),
+        lambda: start_settlement_confirm(spark, p.payee, store, {"confirmations": p.confirmations},
+                                         p.ckpt_sw2),
+        lambda: start_confirmation_worker(spark, p.confirmations, store,
+                                          {"payer_confirmations": f"{p.payer}/job=cw"}, p.ckpt_cw, cfg),
+        lambda: start_sla_monitor(spark, p.payer, p.payer_sla, p.ckpt_sla),
+    ]
+    for start in legs:
+        q = start()
+        q.awaitTermination(timeout_s)
+        if q.exception() is not None:
+            raise RuntimeError(f"leg {q.name or q.id} failed") from q.exception()
+    return p

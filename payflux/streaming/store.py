@@ -1,72 +1,151 @@
-"""Versioned tables with an atomic multi-table commit per micro-batch.
+"""Append-only tables with an atomic multi-table commit per job micro-batch.
 
-Layout under ``base`` (a shared folder: the checkpoint dir on a cluster):
+Several streaming jobs mutate the same logical tables (the payment worker
+reserves funds on Banks, the confirmation worker settles and releases them;
+SW1 inserts Settlement rows, SW2 updates their status). Instead of rewriting a
+shared table in place, every job only *appends* rows or signed deltas, and the
+current state is a Spark aggregation over what is committed:
 
-* ``<table>/batch=<id>/``   parquet; a *snapshot* table writes its full next
-  version there, an *append* table writes only the rows added by batch ``id``;
-* ``_commits/batch=<id>/``  one-row parquet written last: the commit record.
+* ``<table>/job=<job>/batch=<id>/``   rows appended by batch ``id`` of ``job``;
+* ``_commits/job=<job>/batch=<id>/``  the commit record, written last;
+* ``_bases/<table>/v=<n>/``           a compacted base version of a state
+  table plus the per-job batch it covers (``covered``).
 
 A batch is visible only once its commit record exists, so a failure midway
-leaves the previous state intact; ``foreachBatch`` may replay a batch id and
-the overwrite of the same paths is idempotent. Everything is plain Spark I/O,
-so it works on any Hadoop-compatible shared file system.
+leaves the previous state intact. ``commit`` refuses a batch id that is
+already committed, so a ``foreachBatch`` replay changes nothing. Only the
+(fixed, tiny) commit log -- one row per job -- is broadcast; table rows are
+read and aggregated by Spark. Everything is plain Spark I/O on a shared
+Hadoop-compatible folder (on a cluster: under ``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
 
+from typing import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+LOG_SCHEMA = "committed_at timestamp, job string, batch long"
+COVERED_SCHEMA = "job string, upto long"
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, base: str):
+    def __init__(self, spark: SparkSession, base: str, job: str = "main"):
         self.spark = spark
         self.base = base.rstrip("/")
+        self.job = job
+
+    def for_job(self, job: str) -> "TableStore":
+        """The same store as seen by another job (its own commit namespace)."""
+        return TableStore(self.spark, self.base, job)
 
     def _path(self, *parts) -> str:
         return "/".join([self.base, *[str(p) for p in parts]])
 
-    def last_commit(self) -> int | None:
+    def _read(self, schema: str | StructType, *parts) -> DataFrame | None:
         try:
-            row = self.spark.read.parquet(self._path("_commits")).agg(F.max("batch").alias("b")).first()
-        except Exception:  # noqa: BLE001 - nothing committed yet
+            return self.spark.read.schema(schema).parquet(self._path(*parts))
+        except AnalysisException:  # nothing written yet
             return None
-        return None if row is None or row["b"] is None else int(row["b"])
-
-    def snapshot(self, name: str, schema: StructType | None = None) -> DataFrame:
-        """Latest committed version of a snapshot table."""
-        b = self.last_commit()
-        path = self._path(name, f"batch={b}")
-        if b is None:
-            if schema is None:
-                raise FileNotFoundError(name)
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(path)
 
-    def appended(self, name: str, schema: StructType) -> DataFrame:
-        """All committed rows of an append table (uncommitted batches ignored)."""
-        b = self.last_commit()
-        if b is None:
-            return self.spark.createDataFrame([], schema)
-        try:
-            with_batch = StructType(list(schema.fields) + [StructField("batch", LongType())])
-            df = self.spark.read.schema(with_batch).parquet(self._path(name))
-        except Exception:  # noqa: BLE001 - no rows appended yet
-            return self.spark.createDataFrame([], schema)
-        return df.filter(F.col("batch") <= b).drop("batch")
+    # ------------------------------------------------------------------ commit log
+
+    def commit_log(self) -> DataFrame:
+        """``(job, upto)``: the last committed batch of every job."""
+        log = self._read(LOG_SCHEMA, "_commits")
+        if log is None:
+            return self.spark.createDataFrame([], COVERED_SCHEMA)
+        return log.groupBy("job").agg(F.max("batch").alias("upto"))
+
+    def last_commit(self, job: str | None = None) -> int | None:
+        row = self.commit_log().filter(F.col("job") == (job or self.job)).first()
+        return None if row is None else int(row["upto"])
 
-    def commit(self, batch_id: int, snapshots: dict[str, DataFrame],
-               appends: dict[str, DataFrame]) -> None:
-        """Write every table of the batch, then the commit record (last)."""
-        for name, df in snapshots.items():
-            df.write.mode("overwrite").parquet(self._path(name, f"batch={batch_id}"))
+    def commit(self, batch_id: int, appends: dict[str, DataFrame]) -> bool:
+        """Write every table of the batch, then the commit record (last).
+
+        Returns False without writing when ``batch_id`` is already committed
+        (a replayed micro-batch).
+        """
+        last = self.last_commit()
+        if last is not None and batch_id <= last:
+            return False
         for name, df in appends.items():
-            df.write.mode("overwrite").parquet(self._path(name, f"batch={batch_id}"))
-        rec = self.spark.range(1).select(F.lit(batch_id).cast("long").alias("batch"),
-                                         F.current_timestamp().alias("committed_at"))
-        rec.drop("batch").write.mode("overwrite").parquet(self._path("_commits", f"batch={batch_id}"))
-
-    def seed(self, snapshots: dict[str, DataFrame]) -> None:
-        """Initial state as batch -1 (before the first micro-batch)."""
-        self.commit(-1, snapshots, {})
+            df.write.mode("overwrite").parquet(self._path(name, f"job={self.job}", f"batch={batch_id}"))
+        self.spark.range(1).select(F.current_timestamp().alias("committed_at")).write \
+            .mode("overwrite").parquet(self._path("_commits", f"job={self.job}", f"batch={batch_id}"))
+        return True
+
+    def is_committed(self, batch_id: int) -> bool:
+        last = self.last_commit()
+        return last is not None and batch_id <= last
+
+    # ------------------------------------------------------------------ append tables
+
+    def appended(self, name: str, schema: StructType, after: DataFrame | None = None,
+                 upto: DataFrame | None = None) -> DataFrame:
+        """Committed rows of an append table, all jobs.
+
+        ``after``/``upto`` are ``(job, upto)`` frames bounding the batches read
+        (exclusive / inclusive); ``upto`` defaults to the commit log.
+        """
+        full = StructType(list(schema.fields) + [StructField("job", StringType()),
+                                                 StructField("batch", LongType())])
+        rows = self._read(full, name)
+        if rows is None:
+            return self.spark.createDataFrame([], schema)
+        hi = (upto if upto is not None else self.commit_log()).select("job", F.col("upto").alias("_hi"))
+        # one row per job: a fixed-size table, safe to broadcast
+        rows = rows.join(F.broadcast(hi), "job").filter(F.col("batch") <= F.col("_hi"))
+        if after is not None:
+            lo = after.select("job", F.col("upto").alias("_lo"))
+            rows = (rows.join(F.broadcast(lo), "job", "left")
+                    .filter(F.col("_lo").isNull() | (F.col("batch") > F.col("_lo"))))
+        return rows.select(*schema.fieldNames())
+
+    # ------------------------------------------------------------------ state tables
+
+    def seed(self, tables: dict[str, DataFrame]) -> None:
+        """Base version 0 of state tables, covering no batch of any job."""
+        for name, df in tables.items():
+            self._write_base(name, 0, df, self.spark.createDataFrame([], COVERED_SCHEMA))
+
+    def _write_base(self, name: str, version: int, data: DataFrame, covered: DataFrame) -> None:
+        data.write.mode("overwrite").parquet(self._path("_bases", name, f"v={version}", "data"))
+        covered.write.mode("overwrite").parquet(self._path("_bases", name, f"v={version}", "covered"))
+        self.for_job(f"base-{name}").commit(version, {})
+
+    def _base(self, name: str) -> tuple[int, DataFrame, DataFrame]:
+        v = self.last_commit(f"base-{name}")
+        if v is None:
+            raise FileNotFoundError(f"state table {name} was never seeded")
+        data = self.spark.read.parquet(self._path("_bases", name, f"v={v}", "data"))
+        covered = self.spark.read.schema(COVERED_SCHEMA).parquet(self._path("_bases", name, f"v={v}", "covered"))
+        return v, data, covered
+
+    def state(self, name: str, deltas: str, delta_schema: StructType,
+              fold: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+        """Current state: the latest base folded with every committed delta
+        row it does not cover."""
+        _, data, covered = self._base(name)
+        return fold(data, self.appended(deltas, delta_schema, after=covered))
+
+    def compact(self, name: str, deltas: str, delta_schema: StructType,
+                fold: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
+        """Fold the committed deltas into a new base version, so later reads
+        touch only deltas committed after it. Safe while jobs keep
+        committing: the new base records exactly which batches it covers."""
+        v, data, covered = self._base(name)
+        upto = self.commit_log().filter(~F.col("job").startswith("base-"))
+        # pin the covered batches: written first, then read back, so the fold
+        # and the coverage record agree even if jobs commit meanwhile
+        tmp = self._path("_bases", name, f"v={v + 1}", "covered")
+        upto.write.mode("overwrite").parquet(tmp)
+        pinned = self.spark.read.schema(COVERED_SCHEMA).parquet(tmp)
+        new = fold(data, self.appended(deltas, delta_schema, after=covered, upto=pinned))
+        new.write.mode("overwrite").parquet(self._path("_bases", name, f"v={v + 1}", "data"))
+        self.for_job(f"base-{name}").commit(v + 1, {})
+        return v + 1

@@ -7,7 +7,7 @@ from payflux import schemas
 from payflux.operators.dedup import dedup_ttl
 from payflux.plans import payment
 from payflux.sources import fixtures as fx
-from payflux.streaming.jobs import start_payment_worker
+from payflux.streaming.jobs import bank_state, start_payment_worker
 from payflux.streaming.store import TableStore
 from payflux.streaming.ttl import dedup_ttl_stream
 
@@ -48,12 +48,12 @@ def test_payment_worker_stream_equals_batch(spark, tmp_path):
                              max_files_per_trigger=1)
     q.awaitTermination(600)
     assert q.exception() is None
-    assert store.last_commit() == 2  # three micro-batches committed
+    assert store.last_commit("pw") == 2  # three micro-batches committed
 
     empty = spark.createDataFrame([], schemas.PAYMENT_REQUESTS)
     batch = payment.payment_worker(pay, banks, empty, presence)
     want_banks = {r["_key"]: (r["balance"], r["reserved"]) for r in batch.banks.collect()}
-    got_banks = {r["_key"]: (r["balance"], r["reserved"]) for r in store.snapshot("banks").collect()}
+    got_banks = {r["_key"]: (r["balance"], r["reserved"]) for r in bank_state(store).collect()}
     assert got_banks == want_banks
 
     want = sorted(r["_txnID"] for r in batch.settlements.collect())
@@ -76,3 +76,104 @@ def test_ttl_dedup_stream_equals_batch(spark, tmp_path):
     got = sorted(tuple(r) for r in spark.table("ttl_out").select("_txnID", "attempt", "timestamp").collect())
     want = sorted(tuple(r) for r in dedup_ttl(rows).select("_txnID", "attempt", "timestamp").collect())
     assert got == want
+
+
+def _rows(df, cols):
+    return sorted((tuple(r) for r in df.select(*cols).collect()),
+                  key=lambda t: tuple((v is None, v if v is not None else 0) for v in t))
+
+
+def test_clearing_stream_equals_batch(spark, tmp_path):
+    """Every leg as its own streaming query (PW, SW1, Bank B, SW2, CW, SLA)
+    gives the batch flow's accounts, ledger and payer confirmations."""
+    from payflux.plans import clearing
+    from payflux.plans.confirmation import LEDGER_COLS, PAYER_COLS
+    from payflux.streaming.jobs import run_clearing_stream, settlement_state
+
+    pay = fx.payments(spark, SF_SMALL)
+    banks, presence = fx.banks(spark, SF_SMALL), fx.presence(spark, SF_SMALL)
+    src = _write_chunks(pay, str(tmp_path / "payments"), "timestamp")
+    store = TableStore(spark, str(tmp_path / "store"))
+    store.seed({"banks": banks})
+    p = run_clearing_stream(spark, src, store, presence, str(tmp_path / "flow"), max_files_per_trigger=1)
+
+    empty = spark.createDataFrame([], schemas.PAYMENT_REQUESTS)
+    batch = clearing.clearing_flow(pay, banks, empty, presence)
+    acct = ["_key", "balance", "reserved"]
+    assert _rows(bank_state(store), acct) == _rows(batch.banks, acct)
+    ledger = store.appended("ledger", schemas.LEDGER)
+    assert _rows(ledger, LEDGER_COLS) == _rows(batch.cw.ledger, LEDGER_COLS)
+    payer = spark.read.schema(schemas.PAYER_CONFIRMATIONS).json(p.payer)
+    assert _rows(payer, PAYER_COLS) == _rows(batch.payer_confirmations, PAYER_COLS)
+    assert ledger.count() > 0
+    # SW2's status updates reach the Settlement rows SW1 inserted
+    st = _rows(settlement_state(store), ["_txnID", "status"])
+    assert st == _rows(batch.settlement, ["_txnID", "status"])
+    # SLA monitor stamped every payer confirmation with a latency
+    sla = spark.read.json(p.payer_sla)
+    assert sla.count() == payer.count()
+    assert sla.filter(F.col("latencyMs").isNull()).count() == 0
+
+    # a second drain finds nothing new and changes nothing
+    before = _rows(bank_state(store), acct)
+    run_clearing_stream(spark, src, store, presence, str(tmp_path / "flow"), max_files_per_trigger=1)
+    assert _rows(bank_state(store), acct) == before
+
+
+def test_replayed_batch_is_skipped_and_compaction_keeps_state(spark, tmp_path):
+    from payflux.streaming.jobs import compact_banks, payment_batch
+
+    pay = fx.payments(spark, SF_SMALL)
+    banks, presence = fx.banks(spark, SF_SMALL), fx.presence(spark, SF_SMALL)
+    store = TableStore(spark, str(tmp_path / "store"), job="pw")
+    store.seed({"banks": banks})
+    sinks = {"settlements": str(tmp_path / "s"), "payer_confirmations": str(tmp_path / "p")}
+    run = payment_batch(store, presence, payment.DEFAULT, sinks)
+    first, second = pay.filter(F.col("_txnID") < 3000), pay.filter(F.col("_txnID") >= 3000)
+    run(first, 0)
+    after0 = _rows(bank_state(store), ["_key", "balance", "reserved"])
+    run(first, 0)  # foreachBatch replay of a committed id: no effect
+    assert _rows(bank_state(store), ["_key", "balance", "reserved"]) == after0
+    assert compact_banks(store) == 1
+    assert _rows(bank_state(store), ["_key", "balance", "reserved"]) == after0
+    run(second, 1)
+    got = _rows(bank_state(store), ["_key", "balance", "reserved"])
+    empty = spark.createDataFrame([], schemas.PAYMENT_REQUESTS)
+    want = payment.payment_worker(pay, banks, empty, presence).banks
+    assert got == _rows(want, ["_key", "balance", "reserved"])
+
+
+def test_error_handler_stream_equals_batch(spark, tmp_path):
+    from payflux.operators import errors
+    from payflux.streaming.jobs import start_error_handler
+
+    raw = fx.error_json(spark, SF_SMALL)
+    raw.select("evt").coalesce(2).write.text(str(tmp_path / "raw"))
+    q = start_error_handler(spark, str(tmp_path / "raw"), str(tmp_path / "table"), str(tmp_path / "ck"))
+    q.awaitTermination(600)
+    assert q.exception() is None
+    got = spark.read.parquet(str(tmp_path / "table"))
+    want = errors.error_events(raw).select("event", "error")
+    key = [F.col("event")["c"].cast("bigint").alias("c"), F.to_json("event").alias("e"),
+           F.to_json("error").alias("r")]
+    assert _rows(got.select(*key), ["c", "e", "r"]) == _rows(want.select(*key), ["c", "e", "r"])
+
+
+def test_initial_position_latest_skips_older_files(spark, tmp_path):
+    import os
+    import time
+
+    from payflux.sources import streams
+
+    d = tmp_path / "in"
+    d.mkdir()
+    old, new = d / "old.json", d / "new.json"
+    old.write_text('{"_txnID": 1}\n')
+    os.utime(old, (time.time() - 3600, time.time() - 3600))
+    new.write_text('{"_txnID": 2}\n')
+    start_ms = int((time.time() - 60) * 1000)
+    s = streams.read_json_stream(spark, str(d), schemas.PAYMENTS, starting_after_ms=start_ms)
+    q = (s.writeStream.format("memory").queryName("latest_out").trigger(availableNow=True)
+         .option("checkpointLocation", str(tmp_path / "ck")).start())
+    q.awaitTermination(300)
+    assert [r["_txnID"] for r in spark.table("latest_out").collect()] == [2]
