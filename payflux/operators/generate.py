@@ -42,21 +42,29 @@ def seed_banks(ticks: DataFrame, existing: DataFrame, count_col: str = "c",
 
 
 def running_count(df: DataFrame, ts: str, tie: str, out: str = "c",
-                  bucket_ms: int = 60_000) -> DataFrame:
+                  partitions: int | None = None) -> DataFrame:
     """``count()`` over an unwindowed stream: 1, 2, 3, ... in ``(ts, tie)`` order.
 
-    Distributed: rows are numbered inside ``ts`` buckets (window partitioned by
-    bucket); each bucket's offset comes from a running sum over the small
-    bucket-count table (one row per bucket), so no task sees all rows.
+    Skew-proof numbering without a window over all rows: the rows are range
+    partitioned on ``(ts, tie)`` (sampled bounds split even a single hot
+    instant, since ``tie`` makes the order total), sorted inside each partition
+    and numbered by position (``monotonically_increasing_id`` = partition index
+    in the high bits, position in the low 33 bits). Each partition's offset is
+    a running sum over the per-partition counts: one row per partition, a table
+    bounded by the partition count, so it is broadcast. One shuffle.
     """
-    b = df.withColumn("_bkt", F.floor(F.col(ts) / F.lit(bucket_ms)).cast("bigint"))
-    counts = b.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    w_off = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bkt", F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
-    w_in = Window.partitionBy("_bkt").orderBy(ts, tie)
-    return (b.join(offsets, "_bkt")
-             .withColumn(out, F.col("_off") + F.row_number().over(w_in))
-             .drop("_bkt", "_off"))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = (df.repartitionByRange(n, F.col(ts), F.col(tie))
+              .sortWithinPartitions(ts, tie)
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .withColumn("_part", F.shiftright(F.col("_mid"), 33))
+              .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))))
+    counts = ranked.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    w_off = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
+    return (ranked.join(F.broadcast(offsets), "_part")
+            .withColumn(out, F.col("_off") + F.col("_pos") + 1)
+            .drop("_mid", "_part", "_pos", "_off"))
 
 
 def tick_source(events: DataFrame, t: str = "t", interval_ms: int = 2000) -> DataFrame:
