@@ -20,8 +20,9 @@ class FlowConfig:
     # groups with at most this many rows are folded in one task; larger
     # groups are split and solved by distributed prefix rounds
     fold_group_rows: int = 4096
-    # time bucket used to split hot keys for distributed prefix sums
-    bucket_ms: int = 3_600_000
+    # range segments a hot key is cut into by the distributed rounds
+    # (None: the session's spark.sql.shuffle.partitions)
+    hot_key_segments: int | None = None
     # stream name and subscriber pattern for the presence check
     presence_stream: str = "Transfers"
     presence_subscriber: str = "%-sub1"

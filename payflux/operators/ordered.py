@@ -12,9 +12,11 @@ Both are solved the same way. Keys with at most ``group_rows`` pending rows are
 folded in one task by a JVM higher-order ``aggregate`` over the sorted group
 (bounded memory). Larger (hot) keys are never collected: they are resolved in
 exact rounds built from partial aggregations and windows partitioned by
-``(key, time bucket)``, so a key holding a third of all rows is still spread
-over many tasks. Rounds repeat until every hot key has shrunk below the fold
-bound; lineage is cut with a reliable checkpoint between rounds.
+``(key, range segment)``: the rows are range partitioned on ``(key, order)``,
+whose sampled bounds cut even one hot instant of one key into evenly sized
+segments, so a key holding a third of all rows is spread over many tasks.
+Rounds repeat until every hot key has shrunk below the fold bound; lineage is
+cut with a reliable checkpoint between rounds.
 """
 
 from __future__ import annotations
@@ -47,7 +49,7 @@ def _same(ts: str, tie: str, k: Column) -> Column:
 
 def ordered_admission(candidates: DataFrame, funds: DataFrame, key: str = "source_bank",
                       ts: str = "timestamp", tie: str = "_txnID", amount: str = "amount",
-                      group_rows: int = 4096, bucket_ms: int = 3_600_000) -> DataFrame:
+                      group_rows: int = 4096, segments: int | None = None) -> DataFrame:
     """Admit positive ``amount`` rows per ``key`` in ``(ts, tie)`` order against
     ``funds(key, free)``; returns the candidate columns plus ``admitted``.
 
@@ -67,7 +69,7 @@ def ordered_admission(candidates: DataFrame, funds: DataFrame, key: str = "sourc
         decided.append(_fold_admission(small, free, key, ts, tie, cols))
         if large.isEmpty():
             break
-        done, pending, free = _prefix_round(large, free, key, ts, tie, cols, bucket_ms)
+        done, pending, free = _prefix_round(large, free, key, ts, tie, cols, segments)
         decided.append(done)
         pending, free = cut_lineage(pending), cut_lineage(free)
         round_no += 1
@@ -97,27 +99,44 @@ def _fold_admission(rows: DataFrame, free: DataFrame, key: str, ts: str, tie: st
                     F.col("_z._ok").alias("admitted"))
 
 
-def bucketed_prefix_sum(df: DataFrame, key: str, ts: str, tie: str, val: str,
-                        bucket_ms: int, out: str = "_s") -> DataFrame:
+def _segments(df: DataFrame, n: int | None) -> int:
+    return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def range_segments(df: DataFrame, key: str, order: list, segments: int | None = None) -> DataFrame:
+    """Tag rows with ``_seg``: the range partition of ``(key, *order)``.
+
+    Consecutive rows of one key (in ``order``) share a segment; a hot key
+    spans many segments of balanced size. The tagged rows are checkpointed
+    (reliably, to the shared checkpoint dir) so every consumer sees the same
+    segments, whatever the input order.
+    """
+    n = _segments(df, segments)
+    ranged = df.repartitionByRange(n, F.col(key), *order).withColumn("_seg", F.spark_partition_id())
+    return cut_lineage(ranged)
+
+
+def segmented_prefix_sum(df: DataFrame, key: str, ts: str, tie: str, val: str,
+                         out: str = "_s", segments: int | None = None) -> DataFrame:
     """Inclusive running sum of ``val`` per ``key`` in ``(ts, tie)`` order.
 
-    Two levels so a hot key is split: bucket totals per ``(key, ts bucket)``
-    (a small table, one row per key and bucket) give each bucket's offset;
-    the running sum inside a bucket is a window partitioned by
-    ``(key, bucket)``. The join and that window share one hash partitioning.
+    Two levels so a hot key is split: segment totals per ``(key, segment)``
+    (a small table: one row per key and segment) give each segment's offset;
+    the running sum inside a segment is a window partitioned by
+    ``(key, segment)``, never bigger than one range partition.
     """
-    b = df.withColumn("_bkt", F.floor(F.col(ts) / F.lit(bucket_ms)).cast("bigint"))
-    totals = b.groupBy(key, "_bkt").agg(F.sum(val).alias("_bsum"))
-    w_off = Window.partitionBy(key).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(key, "_bkt", F.coalesce(F.sum("_bsum").over(w_off),
+    seg = range_segments(df, key, [F.col(ts), F.col(tie)], segments)
+    totals = seg.groupBy(key, "_seg").agg(F.sum(val).alias("_bsum"))
+    w_off = Window.partitionBy(key).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(key, "_seg", F.coalesce(F.sum("_bsum").over(w_off),
                                                     F.lit(0).cast(MONEY)).alias("_off"))
-    w_run = Window.partitionBy(key, "_bkt").orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
-    j = b.join(offsets, [key, "_bkt"])
-    return j.withColumn(out, (F.col("_off") + F.sum(val).over(w_run)).cast(MONEY)).drop("_off", "_bkt")
+    w_run = Window.partitionBy(key, "_seg").orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
+    j = seg.join(offsets, [key, "_seg"])
+    return j.withColumn(out, (F.col("_off") + F.sum(val).over(w_run)).cast(MONEY)).drop("_off", "_seg")
 
 
 def _prefix_round(large: DataFrame, free: DataFrame, key: str, ts: str, tie: str,
-                  cols: list[str], bucket_ms: int):
+                  cols: list[str], segments: int | None):
     """One exact round for hot keys.
 
     Rows with amount > free can never be admitted later (free only shrinks).
@@ -128,7 +147,7 @@ def _prefix_round(large: DataFrame, free: DataFrame, key: str, ts: str, tie: str
     c = large.join(free, key)
     never = c.filter(F.col("_amt") > F.col("_free")).select(*cols, F.lit(False).alias("admitted"))
     cand = c.filter(F.col("_amt") <= F.col("_free"))
-    p = bucketed_prefix_sum(cand, key, ts, tie, "_amt", bucket_ms)
+    p = segmented_prefix_sum(cand, key, ts, tie, "_amt", segments=segments)
     k = (p.filter(F.col("_s") > F.col("_free"))
           .groupBy(key).agg(F.min(F.struct(F.col(ts), F.col(tie), F.col("_s"), F.col("_amt"),
                                            F.col("_free"))).alias("_k")))
@@ -188,43 +207,50 @@ def _fold_ttl(rows: DataFrame, key: str, ts: str, cols: list[str], ttl_ms: int)
     return z.select(*[F.col("_z._items._row")[c].alias(c) for c in cols], F.col("_z._ok").alias("kept"))
 
 
-def ttl_successors(nodes: DataFrame, key: str, ttl_ms: int) -> DataFrame:
+def ttl_successors(nodes: DataFrame, key: str, ttl_ms: int, segments: int | None = None) -> DataFrame:
     """For every row ``(key, _id, _ord, _t)``: ``_nxt`` = id of the first row of
     the same key (in ``_ord`` order) with ``_t >= own _t + ttl``, or NULL.
 
-    With buckets ``_t div ttl`` the successor is either in the next bucket (an
-    as-of lookup by a running window partitioned by ``(key, bucket)``) or the
-    first row of the next non-empty bucket (a running window over the small
-    per-bucket table). No window is partitioned by the key alone over raw rows.
+    An as-of lookup: every row is a target at ``_t`` and a probe at
+    ``_t + ttl``; in ``(key, time, probe-before-target, _ord)`` order the answer
+    is the next target after the probe. Targets and probes are range
+    partitioned on that order; inside a segment a window partitioned by
+    ``(key, segment)`` finds the next target, and a probe with none left in
+    its segment takes the first target of the key's next non-empty segment
+    (a running window over the small per-segment table). No window spans a
+    whole key or a whole time bucket.
     """
-    b = F.floor(F.col("_t") / F.lit(ttl_ms)).cast("bigint")
     id_t = nodes.schema["_id"].dataType
-    targets = nodes.select(key, b.alias("_b"), F.col("_t").alias("_time"), F.lit(1).alias("_kind"),
+    ord_t = nodes.schema["_ord"].dataType
+    targets = nodes.select(key, F.col("_t").alias("_time"), F.lit(1).alias("_kind"),
                            F.col("_ord").alias("_o"), F.col("_id").alias("_tgt"),
                            F.lit(None).cast(id_t).alias("_src"))
-    probes = nodes.select(key, (b + 1).alias("_b"), (F.col("_t") + F.lit(ttl_ms)).alias("_time"),
-                          F.lit(0).alias("_kind"), F.lit(None).alias("_o"),
-                          F.lit(None).cast(id_t).alias("_tgt"), F.col("_id").alias("_src"))
-    probes = probes.withColumn("_o", F.lit(None).cast(nodes.schema["_ord"].dataType))
-    # descending scan: the last target seen is the smallest one at or after the probe
-    w = (Window.partitionBy(key, "_b")
-         .orderBy(F.col("_time").desc(), F.col("_kind").desc(), F.col("_o").desc())
-         .rowsBetween(Window.unboundedPreceding, 0))
-    inb = (targets.unionByName(probes)
-           .withColumn("_in", F.last("_tgt", ignorenulls=True).over(w))
-           .filter(F.col("_kind") == 0)
-           .select(key, F.col("_src").alias("_id"), "_b", "_in"))
-    firsts = (nodes.groupBy(key, b.alias("_b"))
-              .agg(F.min(F.struct(F.col("_ord"), F.col("_id"))).alias("_f"))
-              .select(key, "_b", F.lit(0).alias("_kind"), F.col("_f._id").alias("_first")))
-    asks = inb.select(key, "_b").distinct().select(key, "_b", F.lit(1).alias("_kind"),
-                                                   F.lit(None).cast(id_t).alias("_first"))
-    w2 = (Window.partitionBy(key).orderBy(F.col("_b").desc(), F.col("_kind").desc())
-          .rowsBetween(Window.unboundedPreceding, 0))
+    probes = nodes.select(key, (F.col("_t") + F.lit(ttl_ms)).alias("_time"), F.lit(0).alias("_kind"),
+                          F.lit(None).cast(ord_t).alias("_o"), F.lit(None).cast(id_t).alias("_tgt"),
+                          F.col("_id").alias("_src"))
+    order = [F.col("_time"), F.col("_kind"), F.col("_o")]
+    seg = range_segments(targets.unionByName(probes), key, order, segments)
+    # descending running frame (linear): the last target seen before a probe
+    # is the smallest target at or after it
+    w = (Window.partitionBy(key, "_seg").orderBy(*[c.desc() for c in order])
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inseg = (seg.withColumn("_in", F.last("_tgt", ignorenulls=True).over(w))
+             .filter(F.col("_kind") == 0)
+             .select(key, F.col("_src").alias("_id"), "_seg", "_in"))
+    # probes with no target left in their segment take the first target of the
+    # key's next segment that has one: a running window over the small
+    # per-segment table (one row per key and segment)
+    firsts = (seg.filter(F.col("_kind") == 1).groupBy(key, "_seg")
+              .agg(F.min(F.struct(F.col("_time"), F.col("_o"), F.col("_tgt"))).alias("_f"))
+              .select(key, "_seg", F.lit(0).alias("_kind"), F.col("_f._tgt").alias("_v")))
+    asks = (inseg.filter(F.col("_in").isNull()).select(key, "_seg").distinct()
+            .select(key, "_seg", F.lit(1).alias("_kind"), F.lit(None).cast(id_t).alias("_v")))
+    w2 = (Window.partitionBy(key).orderBy(F.col("_seg").desc(), F.col("_kind").desc())
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     fallback = (firsts.unionByName(asks)
-                .withColumn("_fb", F.last("_first", ignorenulls=True).over(w2))
-                .filter(F.col("_kind") == 1).select(key, "_b", "_fb"))
-    return (inb.join(fallback, [key, "_b"], "left")
+                .withColumn("_fb", F.last("_v", ignorenulls=True).over(w2))
+                .filter(F.col("_kind") == 1).select(key, "_seg", "_fb"))
+    return (inseg.join(fallback, [key, "_seg"], "left")
             .select(key, "_id", F.coalesce("_in", "_fb").alias("_nxt")))
 
 

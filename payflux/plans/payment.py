@@ -59,7 +59,7 @@ def admit(checked: DataFrame, banks: DataFrame, cfg: FlowConfig = DEFAULT) -> Da
     funds = banks.select(F.col("_key").alias("source_bank"),
                          (F.col("balance") - F.col("reserved")).alias("free"))
     return ordered_admission(known, funds, "source_bank", "timestamp", "_txnID", "amount",
-                             cfg.fold_group_rows, cfg.bucket_ms)
+                             cfg.fold_group_rows, cfg.hot_key_segments)
 
 
 def payment_worker(payments: DataFrame, banks: DataFrame, recorded: DataFrame,

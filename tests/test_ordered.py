@@ -34,11 +34,11 @@ def _candidates(spark):
     return cand, funds
 
 
-@pytest.mark.parametrize("group_rows,bucket_ms", [(4096, 3_600_000), (3, 86_400_000 * 30)])
-def test_admission_matches_sequential_model(spark, group_rows, bucket_ms):
+@pytest.mark.parametrize("group_rows,segments", [(4096, None), (3, 5)])
+def test_admission_matches_sequential_model(spark, group_rows, segments):
     cand, funds = _candidates(spark)
     got = {r["_txnID"]: r["admitted"] for r in
-           ordered_admission(cand, funds, group_rows=group_rows, bucket_ms=bucket_ms).collect()}
+           ordered_admission(cand, funds, group_rows=group_rows, segments=segments).collect()}
     rows = [r.asDict() for r in cand.collect()]
     want = _admission_model(rows, {r["source_bank"]: r["free"] for r in funds.collect()})
     assert got == want
@@ -52,7 +52,7 @@ def test_admission_hot_key(spark):
     total = hot.agg(F.sum("amount")).first()[0]
     funds = spark.range(1).select(F.lit("HOT").alias("source_bank"), F.lit(total / 3).alias("free"))
     got = {r["_txnID"]: r["admitted"] for r in
-           ordered_admission(hot, funds, group_rows=64, bucket_ms=86_400_000 * 90).collect()}
+           ordered_admission(hot, funds, group_rows=64, segments=7).collect()}
     want = _admission_model([r.asDict() for r in hot.collect()], {"HOT": total / 3})
     assert got == want
 
@@ -106,3 +106,16 @@ def test_ttl_dedup_hot_key_long_span(spark):
     want = _ttl_model([r.asDict() for r in hot.collect()], 5000)
     assert sum(v for (k, _, _), v in want.items() if k == -1) > 1000
     assert got == want
+
+
+def test_admission_hot_key_single_instant(spark):
+    """One account, every candidate at the same instant: the range segments
+    still cut it evenly (the tie column orders inside the instant)."""
+    cand, _ = _candidates(spark)
+    hot = cand.withColumn("source_bank", F.lit("HOT")).withColumn("timestamp", F.lit(0).cast("bigint"))
+    total = hot.agg(F.sum("amount")).first()[0]
+    funds = spark.range(1).select(F.lit("HOT").alias("source_bank"), F.lit(total / 2).alias("free"))
+    got = {r["_txnID"]: r["admitted"] for r in
+           ordered_admission(hot, funds, group_rows=64, segments=6).collect()}
+    want = _admission_model([r.asDict() for r in hot.collect()], {"HOT": total / 2})
+    assert got == want
