@@ -32,9 +32,43 @@ MONEY = DecimalType(38, 6)
 AMOUNT = DecimalType(24, 6)
 
 
-def _tag_group_size(df: DataFrame, key: str) -> DataFrame:
+# hot-key sets up to this many keys are broadcast (checked by a bounded count)
+HOT_KEYS_BROADCAST_ROWS = 1_000_000
+
+
+def split_hot_keys(df: DataFrame, key: str, group_rows: int,
+                   max_broadcast: int = HOT_KEYS_BROADCAST_ROWS,
+                   with_keys: bool = False):
+    """``(small, large)``: rows of keys with at most / more than ``group_rows`` rows.
+
+    Group sizes are a partial aggregate (a hot key costs one row per map task,
+    never a task of its own). The hot-key set has at most ``rows / group_rows``
+    keys; it is broadcast only when a bounded count proves it has at most
+    ``max_broadcast`` keys, else the semi/anti joins shuffle. Rows are never
+    joined to a per-key size, so no task receives a hot key's rows here.
+    ``large`` is None when no key is hot. A NULL key is a key like any other.
+    With ``with_keys`` also returns the hot-key frame (column ``_hot_key``) and
+    whether it is proven small enough to broadcast.
+    """
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_grp_n"))
-    return df.join(sizes, key)
+    hot = (sizes.filter(F.col("_grp_n") > group_rows).select(F.col(key).alias("_hot_key"))
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    n_hot = hot.limit(max_broadcast + 1).count()
+    if n_hot == 0:
+        hot.unpersist()
+        return (df, None, None, False) if with_keys else (df, None)
+    bounded = n_hot <= max_broadcast
+    side = F.broadcast(hot) if bounded else hot
+    cond = F.col(key).eqNullSafe(F.col("_hot_key"))
+    small, large = df.join(side, cond, "left_anti"), df.join(side, cond, "left_semi")
+    return (small, large, hot, bounded) if with_keys else (small, large)
+
+
+def _per_hot_key(df: DataFrame, bounded: bool) -> DataFrame:
+    """A frame with at most one row per hot key: broadcast when the hot-key
+    count was proven small, so joining it to a hot key's rows needs no shuffle
+    of those rows by key."""
+    return F.broadcast(df) if bounded else df
 
 
 def _before(ts: str, tie: str, k: Column) -> Column:
@@ -63,13 +97,13 @@ def ordered_admission(candidates: DataFrame, funds: DataFrame, key: str = "sourc
     decided: list[DataFrame] = []
     round_no = 0
     while True:
-        tagged = _tag_group_size(pending, key).persist(StorageLevel.MEMORY_AND_DISK)
-        small = tagged.filter(F.col("_grp_n") <= group_rows).drop("_grp_n")
-        large = tagged.filter(F.col("_grp_n") > group_rows).drop("_grp_n")
+        small, large, hot, bounded = split_hot_keys(pending, key, group_rows, with_keys=True)
         decided.append(_fold_admission(small, free, key, ts, tie, cols))
-        if large.isEmpty():
+        if large is None:
             break
-        done, pending, free = _prefix_round(large, free, key, ts, tie, cols, segments)
+        # funds of the hot keys only (one row per key): at most as many rows as hot keys
+        hot_free = free.join(hot, F.col(key).eqNullSafe(F.col("_hot_key")), "left_semi")
+        done, pending, free = _prefix_round(large, hot_free, key, ts, tie, cols, segments, bounded)
         decided.append(done)
         pending, free = cut_lineage(pending), cut_lineage(free)
         round_no += 1
@@ -136,7 +170,7 @@ def segmented_prefix_sum(df: DataFrame, key: str, ts: str, tie: str, val: str,
 
 
 def _prefix_round(large: DataFrame, free: DataFrame, key: str, ts: str, tie: str,
-                  cols: list[str], segments: int | None):
+                  cols: list[str], segments: int | None, bounded: bool = False):
     """One exact round for hot keys.
 
     Rows with amount > free can never be admitted later (free only shrinks).
@@ -144,14 +178,16 @@ def _prefix_round(large: DataFrame, free: DataFrame, key: str, ts: str, tie: str
     first row that does not fit (k) is rejected; free becomes free - (s_k - a_k)
     and the rows after k stay pending for the next round.
     """
-    c = large.join(free, key)
-    never = c.filter(F.col("_amt") > F.col("_free")).select(*cols, F.lit(False).alias("admitted"))
-    cand = c.filter(F.col("_amt") <= F.col("_free"))
+    c = large.join(_per_hot_key(free, bounded), key, "left")
+    # no funds row, a NULL amount or more than the free funds: never admitted
+    fits_now = F.coalesce(F.col("_amt") <= F.col("_free"), F.lit(False))
+    never = c.filter(~fits_now).select(*cols, F.lit(False).alias("admitted"))
+    cand = c.filter(fits_now)
     p = segmented_prefix_sum(cand, key, ts, tie, "_amt", segments=segments)
     k = (p.filter(F.col("_s") > F.col("_free"))
           .groupBy(key).agg(F.min(F.struct(F.col(ts), F.col(tie), F.col("_s"), F.col("_amt"),
                                            F.col("_free"))).alias("_k")))
-    pk = p.join(k, key, "left")
+    pk = p.join(_per_hot_key(k, bounded), key, "left")
     kk = F.col("_k")
     admitted = pk.filter(kk.isNull() | _before(ts, tie, kk)).select(*cols, F.lit(True).alias("admitted"))
     rejected = pk.filter(kk.isNotNull() & _same(ts, tie, kk)).select(*cols, F.lit(False).alias("admitted"))
@@ -182,11 +218,9 @@ def ttl_first_seen(rows: DataFrame, key: str = "_txnID", ts: str = "timestamp",
     distinct = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
     ordered = distinct.withColumn("_ord", F.struct(F.col(ts), F.col(tie), *[F.col(c) for c in rest]))
     out_cols = cols + ["copies"]
-    tagged = _tag_group_size(ordered, key).persist(StorageLevel.MEMORY_AND_DISK)
-    small = tagged.filter(F.col("_grp_n") <= group_rows).drop("_grp_n")
-    large = tagged.filter(F.col("_grp_n") > group_rows).drop("_grp_n")
+    small, large = split_hot_keys(ordered, key, group_rows)
     out = _fold_ttl(small, key, ts, out_cols, ttl_ms)
-    if not large.isEmpty():
+    if large is not None:
         out = out.unionByName(_ttl_doubling(large, key, ts, out_cols, ttl_ms))
     return out
 

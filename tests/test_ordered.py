@@ -119,3 +119,12 @@ def test_admission_hot_key_single_instant(spark):
            ordered_admission(hot, funds, group_rows=64, segments=6).collect()}
     want = _admission_model([r.asDict() for r in hot.collect()], {"HOT": total / 2})
     assert got == want
+
+
+def test_admission_hot_key_without_funds_keeps_rows(spark):
+    """A hot account missing from the funds table: every row comes back, none admitted."""
+    cand, funds = _candidates(spark)
+    hot = cand.withColumn("source_bank", F.lit("GHOST"))
+    got = ordered_admission(hot, funds, group_rows=64, segments=4)
+    assert got.count() == hot.count()
+    assert got.filter("admitted").count() == 0
