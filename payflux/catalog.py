@@ -120,6 +120,12 @@ def q_settlement_validate(spark, sf):
     return v.select("_txnID", "source_bank", "target_bank", "amount", "payee_status", "failedMsg")
 
 
+def q_v8_confirmations(spark, sf):
+    v = settlement.v8_validate(_v8_loaded(spark, sf))
+    conf, _ = settlement.v8_confirm(v, fx.settlement_table(spark, sf))
+    return conf
+
+
 def q_region_filter(spark, sf):
     e = enrich.enrich_source_bank(fx.payments(spark, sf), fx.banks(spark, sf))
     return e.filter(F.col("source_region") == DEFAULT.home_region) \

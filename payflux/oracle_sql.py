@@ -267,6 +267,19 @@ def oracle_sql() -> dict[str, str]:
                     WHEN loaded_currency <> currency THEN 'Currency is different for this transaction'
                     ELSE NULL END AS failedMsg
         FROM v8_loaded""")
+    q["v8_confirmations"] = W(("v8_loaded",), """
+        SELECT loaded_source_bank AS source_bank, loaded_target_bank AS target_bank,
+               loaded_source_region AS source_region, loaded_target_region AS target_region,
+               loaded_amount AS amount, loaded_currency AS currency, loaded_timestamp AS timestamp,
+               CASE WHEN payee_status = 'ACCP' THEN 'settled' ELSE 'failed' END AS status, _txnID
+        FROM (SELECT *, CASE WHEN loaded_source_bank IS NULL THEN 'Transaction has not been found'
+                    WHEN loaded_source_bank <> source_bank THEN 'Source bank is different for this transaction'
+                    WHEN loaded_target_bank <> target_bank THEN 'Target bank is different for this transaction'
+                    WHEN loaded_amount <> amount THEN 'Amount is different for this transaction'
+                    WHEN loaded_currency <> currency THEN 'Currency is different for this transaction'
+                    ELSE NULL END AS failedMsg FROM v8_loaded) v
+        WHERE failedMsg IS NULL
+          AND EXISTS (SELECT 1 FROM settlement s WHERE s._key = CAST(v._txnID AS VARCHAR))""")
     q["region_filter"] = W(("payments", "banks"), f"""
         SELECT p._txnID, p.source_bank, b.region AS source_region
         FROM payments p JOIN banks b ON b._key = p.source_bank WHERE b.region = '{HOME}'""")

@@ -87,18 +87,32 @@ def v8_register(settlements: DataFrame, cfg: FlowConfig = DEFAULT,
     return rows, cache
 
 
-def cache_lookup(payee: DataFrame, cache: DataFrame, settlement: DataFrame,
-                 ttl_ms: int = 5000) -> DataFrame:
-    """Cache-else-table: a live cache entry (put within ``ttl_ms`` before the
-    message, value not NULL) is parsed; a miss reads the Settlement table.
-
-    Hit rows take the timestamp of the payee message, misses the stored one.
+def cache_join(payee: DataFrame, cache: DataFrame, ttl_ms: int = 5000,
+               watermark_ms: int | None = None) -> DataFrame:
+    """``memcache:get(txnID)``: payee messages LEFT JOIN the cache entries put
+    within ``ttl_ms`` before the message (``json`` is NULL on a miss).
+
+    The time bound is on event-time columns, so the same join runs on two
+    streams: with ``watermark_ms`` both sides get a watermark and Spark keeps
+    a cache entry in join state only until the watermark passes its TTL.
     """
-    c = cache.select(F.col("_txnID").alias("_c_txn"), "json", "put_ts")
-    j = payee.join(c, (payee._txnID == c._c_txn) & (c.put_ts <= payee.timestamp)
-                   & (payee.timestamp < c.put_ts + F.lit(ttl_ms)), "left")
+    c = cache.select(F.col("_txnID").alias("_c_txn"), "json",
+                     F.timestamp_millis(F.col("put_ts")).alias("_put_time"))
+    p = payee.withColumn("_msg_time", F.timestamp_millis(F.col("timestamp")))
+    if watermark_ms is not None:
+        delay = f"{watermark_ms} milliseconds"
+        c, p = c.withWatermark("_put_time", delay), p.withWatermark("_msg_time", delay)
+    cond = ((p._txnID == c._c_txn) & (c._put_time <= p._msg_time)
+            & (p._msg_time < c._put_time + F.expr(f"INTERVAL {int(ttl_ms)} MILLISECONDS")))
+    return p.join(c, cond, "left").drop("_c_txn", "_put_time", "_msg_time")
+
+
+def resolve_cache(joined: DataFrame, settlement: DataFrame) -> DataFrame:
+    """Cache-else-table: a hit (``json`` not NULL) is parsed; a miss reads the
+    Settlement table by key. Hit rows take the timestamp of the payee message,
+    misses the stored one."""
     hit = F.col("json").isNotNull()
-    looked = enrich.settlement_lookup(j, settlement)
+    looked = enrich.settlement_lookup(joined, settlement)
     pick = lambda hv, mv: F.when(hit, hv).otherwise(mv)
     return looked.select(
         "source_bank", "target_bank", "amount", "currency", "timestamp",
@@ -113,6 +127,12 @@ def cache_lookup(payee: DataFrame, cache: DataFrame, settlement: DataFrame,
         pick(json_get_string("json", "$.s"), F.col("loaded_status")).alias("loaded_status"))
 
 
+def cache_lookup(payee: DataFrame, cache: DataFrame, settlement: DataFrame,
+                 ttl_ms: int = 5000) -> DataFrame:
+    """Cache-else-table lookup of the settlement a payee message answers."""
+    return resolve_cache(cache_join(payee, cache, ttl_ms), settlement)
+
+
 def v8_validate(loaded: DataFrame, check_age: bool = False, check_active: bool = False) -> DataFrame:
     """Settlement validation; output columns come from the loaded settlement
     while the rules compare against the payee message's own columns."""
@@ -126,3 +146,21 @@ def v8_validate(loaded: DataFrame, check_age: bool = False, check_active: bool =
         F.col("loaded_timestamp").alias("timestamp"),
         "payee_status", "_txnID",
         rules.settlement_rules(check_age, check_active).alias("failedMsg"))
+
+
+V8_CONFIRMATION_COLS = ["source_bank", "target_bank", "source_region", "target_region", "amount",
+                        "currency", "timestamp", "status", "_txnID"]
+
+
+def v8_confirm(validated: DataFrame, settlement: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """V8 SW2 tail: a settlement that passed validation gets its status from
+    the payee answer (update-returning on ``_key == txnID``: no stored row, no
+    answer) and the answer goes out as a Confirmation. Failed validations stop
+    here. Returns (confirmations, status updates)."""
+    passed = validated.filter(F.col("failedMsg").isNull()) \
+                      .withColumn("_p_key", F.col("_txnID").cast("string"))
+    stored = settlement.select(F.col("_key").alias("_p_key"))
+    echo = passed.join(stored, "_p_key", "left_semi")
+    conf = echo.select(*[c for c in V8_CONFIRMATION_COLS if c != "status"],
+                       rules.payee_status(F.col("payee_status")).alias("status"))
+    return conf.select(*V8_CONFIRMATION_COLS), status_updates(conf)

@@ -173,6 +173,84 @@ def start_settlement_confirm(spark: SparkSession, payee_path: str, store: TableS
     return _start(src, settlement_confirm_batch(store.for_job("sw2"), sinks), checkpoint, available_now)
 
 
+# --------------------------------------------------------------------------- V8 settlement worker
+
+def settlement_v8_state(store: TableStore) -> DataFrame:
+    """V8 Settlement now: registered rows (first per transaction) with the
+    last status update applied."""
+    rows = first_per_key(store.appended("settlement_v8", schemas.SETTLEMENT), "_txnID", ["timestamp"])
+    return settlement.apply_status(rows, store.appended("settlement_v8_status", schemas.SETTLEMENT_STATUS))
+
+
+def v8_register_batch(store: TableStore, cfg: FlowConfig, sinks: dict[str, str],
+                      region: str | None = None) -> BatchFn:
+    """V8 SW, first half: insert-returning of Settlement rows, then Transfers."""
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        rows, _ = settlement.v8_register(batch, cfg, region)
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        _sink(settlement.transfers(rows), sinks["transfers"], batch_id)
+        store.commit(batch_id, {"settlement_v8": rows})
+        rows.unpersist()
+
+    return _once(store, body)
+
+
+def v8_confirm_batch(store: TableStore, sinks: dict[str, str]) -> BatchFn:
+    """V8 SW, second half, per micro-batch of (payee message, cached JSON):
+    misses read the committed Settlement table, then validate, update the
+    status and confirm."""
+
+    def body(joined: DataFrame, batch_id: int) -> None:
+        table = settlement_v8_state(store).persist(StorageLevel.MEMORY_AND_DISK)
+        checked = settlement.v8_validate(settlement.resolve_cache(joined, table))
+        conf, _ = settlement.v8_confirm(checked, table)
+        conf = conf.persist(StorageLevel.MEMORY_AND_DISK)
+        _sink(conf, sinks["confirmations"], batch_id)
+        store.commit(batch_id, {"settlement_v8_status": settlement.status_updates(conf)})
+        conf.unpersist()
+        table.unpersist()
+
+    return _once(store, body)
+
+
+def start_v8_settlement_worker(spark: SparkSession, settlements_path: str, payee_path: str,
+                               store: TableStore, sinks: dict[str, str], checkpoints: dict[str, str],
+                               cfg: FlowConfig = DEFAULT, region: str | None = None,
+                               starting_after_ms: int | None = None, watermark_ms: int | None = None,
+                               max_files_per_trigger: int | None = None,
+                               available_now: bool = True) -> dict[str, Callable[[], StreamingQuery]]:
+    """The V8 settlement worker as two streaming queries (returned unstarted,
+    as ``{'register': start, 'confirm': start}``):
+
+    * ``register``: Settlements -> Settlement rows + Transfers;
+    * ``confirm``: PayeeBankConfirmations LEFT JOIN the settlement cache. The
+      cache is the Settlements stream itself: a time-bounded stream-stream
+      join keeps each entry in Spark's join state for the TTL (then the
+      watermark evicts it), a miss falls back to the committed table.
+
+    ``starting_after_ms`` is the reference's ``initial.position='Latest'`` on
+    the Settlements source; ``watermark_ms`` bounds late data (default 2 x TTL).
+    """
+    def settlements():
+        return streams.read_json_stream(spark, settlements_path, schemas.SETTLEMENTS,
+                                        max_files_per_trigger, starting_after_ms)
+
+    def start_register() -> StreamingQuery:
+        body = v8_register_batch(store.for_job("sw8"), cfg, sinks, region)
+        return _start(settlements(), body, checkpoints["register"], available_now)
+
+    def start_confirm() -> StreamingQuery:
+        _, cache = settlement.v8_register(settlements(), cfg, region)
+        payee = streams.read_json_stream(spark, payee_path, schemas.PAYEE_CONFIRMATIONS,
+                                         max_files_per_trigger)
+        joined = settlement.cache_join(payee, cache, cfg.ttl_ms, watermark_ms or 2 * cfg.ttl_ms)
+        body = v8_confirm_batch(store.for_job("sw8c"), sinks)
+        return _start(joined, body, checkpoints["confirm"], available_now)
+
+    return {"register": start_register, "confirm": start_confirm}
+
+
 # --------------------------------------------------------------------------- leg 4: CW
 
 def confirmation_batch(store: TableStore, cfg: FlowConfig, sinks: dict[str, str]) -> BatchFn:

@@ -177,3 +177,56 @@ def test_initial_position_latest_skips_older_files(spark, tmp_path):
          .option("checkpointLocation", str(tmp_path / "ck")).start())
     q.awaitTermination(300)
     assert [r["_txnID"] for r in spark.table("latest_out").collect()] == [2]
+
+
+def test_v8_settlement_worker_stream_equals_batch(spark, tmp_path):
+    """V8 SW on streams: the settlement cache is a time-bounded stream-stream
+    join; misses read the committed table. Equals the batch cache-else-table."""
+    import json
+    import os
+
+    from payflux.plans import settlement
+    from payflux.streaming.jobs import settlement_v8_state, start_v8_settlement_worker
+
+    st = fx.settlement_table(spark, SF_SMALL).select(*schemas.SETTLEMENTS.fieldNames())
+    payee = fx.payee_confirmations(spark, SF_SMALL).withColumn(
+        "timestamp", F.col("timestamp") + F.col("_txnID") % 9000)
+    # chunk both streams by the settlement time so a message and its cache put
+    # arrive in the same micro-batch
+    payee_chunked = payee.withColumn("_t0", F.col("timestamp") - F.col("_txnID") % 9000)
+    s_src = _write_chunks(st, str(tmp_path / "settlements"), "timestamp")
+    p_src = _write_chunks(payee_chunked, str(tmp_path / "payee"), "_t0")
+    # end-of-input marker on both streams: moves the watermark past every real
+    # row, so the unmatched (cache miss) rows of the last chunk are emitted
+    far = 10 ** 13
+    for d, row in ((s_src, {"source_bank": "END", "target_bank": "END", "amount": 0.0, "currency": "USD",
+                            "timestamp": far, "source_region": "END", "target_region": "END", "_txnID": -1}),
+                   (p_src, {"source_bank": "END", "target_bank": "END", "amount": 0.0, "currency": "USD",
+                            "timestamp": far, "status": "ACCP", "_txnID": -1})):
+        for i, ts in enumerate((far, far + 10 ** 6)):
+            f = f"{d}/zz_end{i}.json"
+            with open(f, "w") as fh:
+                fh.write(json.dumps(dict(row, timestamp=ts, _txnID=-1 - i)) + "\n")
+            os.utime(f, (os.path.getmtime(f) + 100 + i, os.path.getmtime(f) + 100 + i))
+
+    store = TableStore(spark, str(tmp_path / "store"))
+    sinks = {"transfers": str(tmp_path / "transfers"), "confirmations": str(tmp_path / "conf")}
+    starts = start_v8_settlement_worker(
+        spark, s_src, p_src, store, sinks,
+        {"register": str(tmp_path / "ck_reg"), "confirm": str(tmp_path / "ck_conf")},
+        max_files_per_trigger=1)
+    for name in ("register", "confirm"):
+        q = starts[name]()
+        q.awaitTermination(900)
+        assert q.exception() is None
+
+    rows, cache = settlement.v8_register(st)
+    want_conf, _ = settlement.v8_confirm(
+        settlement.v8_validate(settlement.cache_lookup(payee, cache, rows)), rows)
+    got_conf = spark.read.schema(want_conf.schema).json(sinks["confirmations"]).filter("_txnID >= 0")
+    cols = settlement.V8_CONFIRMATION_COLS
+    assert _rows(got_conf, cols) == _rows(want_conf, cols)
+    assert got_conf.count() > 0
+    got_status = settlement_v8_state(store).filter("_txnID >= 0")
+    want_status = settlement.apply_status(rows, settlement.status_updates(want_conf))
+    assert _rows(got_status, ["_txnID", "status"]) == _rows(want_status, ["_txnID", "status"])
