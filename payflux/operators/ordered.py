@@ -21,7 +21,6 @@ cut with a reliable checkpoint between rounds.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -51,11 +50,10 @@ def split_hot_keys(df: DataFrame, key: str, group_rows: int,
     whether it is proven small enough to broadcast.
     """
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_grp_n"))
-    hot = (sizes.filter(F.col("_grp_n") > group_rows).select(F.col(key).alias("_hot_key"))
-           .persist(StorageLevel.MEMORY_AND_DISK))
+    # materialised once (reliable checkpoint, no cache to leak across micro-batches)
+    hot = cut_lineage(sizes.filter(F.col("_grp_n") > group_rows).select(F.col(key).alias("_hot_key")))
     n_hot = hot.limit(max_broadcast + 1).count()
     if n_hot == 0:
-        hot.unpersist()
         return (df, None, None, False) if with_keys else (df, None)
     bounded = n_hot <= max_broadcast
     side = F.broadcast(hot) if bounded else hot

@@ -109,6 +109,7 @@ def payment_batch(store: TableStore, presence: DataFrame, cfg: FlowConfig,
         _sink(out.settlements, sinks["settlements"], batch_id)
         _sink(out.rejections, sinks["payer_confirmations"], batch_id)
         store.commit(batch_id, {"requests": out.requests, "bank_deltas": out.reserve})
+        out.checked.unpersist()  # the leg's fan-out cache lives for one micro-batch
         banks.unpersist()
 
     return _once(store, body)
