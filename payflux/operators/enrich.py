@@ -24,6 +24,32 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+KeyFilter = "Callable[[DataFrame, str], DataFrame]"
+
+
+def key_filter(keys: DataFrame, max_rows: int = 1_000_000):
+    """A function ``(table, key) -> rows of table whose key occurs in keys``.
+
+    For a micro-batch probing large, growing tables (accounts, recorded
+    requests, the ledger): when a bounded count proves ``keys`` (first column)
+    has at most ``max_rows`` rows, tables are cut by a broadcast semi join -- a
+    scan with no shuffle of the table -- so the joins that follow see a small
+    side (which AQE then broadcasts). Otherwise tables pass unchanged and the
+    joins shuffle as usual. One check serves every table of the batch.
+    """
+    k = keys.select(F.col(keys.columns[0]).alias("_probe_key")).filter(F.col("_probe_key").isNotNull())
+    if k.limit(max_rows + 1).count() > max_rows:
+        return lambda table, key: table
+    kb = F.broadcast(k)
+    return lambda table, key: table.join(kb, F.col(key) == F.col("_probe_key"), "left_semi")
+
+
+def restrict_to_keys(table: DataFrame, keys: DataFrame, table_key: str,
+                     max_rows: int = 1_000_000) -> DataFrame:
+    """``key_filter`` for one table."""
+    return key_filter(keys, max_rows)(table, table_key)
+
+
 def bank_cache(banks: DataFrame) -> DataFrame:
     """BanksCache loaded at start: ``(_key, region)``."""
     return banks.select("_key", "region")

@@ -26,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from payflux import schemas
 from payflux.config import DEFAULT, FlowConfig
 from payflux.functions.scalar import current_time_millis
-from payflux.operators import accounts, errors
+from payflux.operators import accounts, enrich, errors
 from payflux.operators.dedup import dedup_durable, first_per_key
 from payflux.plans import clearing, confirmation, payment, settlement
 from payflux.sources import streams
@@ -37,9 +37,16 @@ BatchFn = Callable[[DataFrame, int], None]
 
 # --------------------------------------------------------------------------- state views
 
-def bank_state(store: TableStore) -> DataFrame:
-    """Banks now: the latest base plus every committed reserve/settle/release delta."""
-    return store.state("banks", "bank_deltas", schemas.BANK_DELTAS, accounts.apply_deltas)
+def bank_state(store: TableStore, only=None) -> DataFrame:
+    """Banks now: the latest base plus every committed reserve/settle/release delta.
+
+    ``only`` (an ``enrich.key_filter``) cuts base and deltas to the accounts a
+    micro-batch touches *before* the fold, so no batch shuffles every account.
+    """
+    if only is None:
+        return store.state("banks", "bank_deltas", schemas.BANK_DELTAS, accounts.apply_deltas)
+    return store.state("banks", "bank_deltas", schemas.BANK_DELTAS,
+                       lambda base, d: accounts.apply_deltas(only(base, "_key"), only(d, "_key")))
 
 
 def compact_banks(store: TableStore) -> int:
@@ -54,6 +61,12 @@ def settlement_state(store: TableStore) -> DataFrame:
     return settlement.apply_status(rows, store.appended("settlement_status", schemas.SETTLEMENT_STATUS))
 
 
+def _bank_keys(batch: DataFrame) -> DataFrame:
+    """Every account a micro-batch reads or moves money on."""
+    return batch.select(F.col("source_bank").alias("_key")).unionByName(
+        batch.select(F.col("target_bank").alias("_key")))
+
+
 def _sink(df: DataFrame, root: str, batch_id: int) -> None:
     streams.write_json(df, f"{root}/batch={batch_id}", "overwrite")
 
@@ -103,8 +116,10 @@ def payment_batch(store: TableStore, presence: DataFrame, cfg: FlowConfig,
     """``foreachBatch`` body of the payment worker."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        banks = bank_state(store).persist(StorageLevel.MEMORY_AND_DISK)
-        recorded = store.appended("requests", schemas.PAYMENT_REQUESTS)
+        # only the accounts and recorded txns this micro-batch touches
+        banks = bank_state(store, enrich.key_filter(_bank_keys(batch))).persist(StorageLevel.MEMORY_AND_DISK)
+        recorded = enrich.restrict_to_keys(store.appended("requests", schemas.PAYMENT_REQUESTS),
+                                           batch.select("_txnID"), "_txnID")
         out = payment.payment_worker(batch, banks, recorded, presence, cfg)
         _sink(out.settlements, sinks["settlements"], batch_id)
         _sink(out.rejections, sinks["payer_confirmations"], batch_id)
@@ -176,11 +191,13 @@ def start_settlement_confirm(spark: SparkSession, payee_path: str, store: TableS
 
 # --------------------------------------------------------------------------- V8 settlement worker
 
-def settlement_v8_state(store: TableStore) -> DataFrame:
+def settlement_v8_state(store: TableStore, only=None) -> DataFrame:
     """V8 Settlement now: registered rows (first per transaction) with the
-    last status update applied."""
-    rows = first_per_key(store.appended("settlement_v8", schemas.SETTLEMENT), "_txnID", ["timestamp"])
-    return settlement.apply_status(rows, store.appended("settlement_v8_status", schemas.SETTLEMENT_STATUS))
+    last status update applied; ``only`` cuts both to a batch's transactions."""
+    cut = (lambda t: t) if only is None else (lambda t: only(t, "_txnID"))
+    rows = first_per_key(cut(store.appended("settlement_v8", schemas.SETTLEMENT)), "_txnID", ["timestamp"])
+    return settlement.apply_status(
+        rows, cut(store.appended("settlement_v8_status", schemas.SETTLEMENT_STATUS)))
 
 
 def v8_register_batch(store: TableStore, cfg: FlowConfig, sinks: dict[str, str],
@@ -203,7 +220,8 @@ def v8_confirm_batch(store: TableStore, sinks: dict[str, str]) -> BatchFn:
     status and confirm."""
 
     def body(joined: DataFrame, batch_id: int) -> None:
-        table = settlement_v8_state(store).persist(StorageLevel.MEMORY_AND_DISK)
+        only = enrich.key_filter(joined.select("_txnID"))
+        table = settlement_v8_state(store, only).persist(StorageLevel.MEMORY_AND_DISK)
         checked = settlement.v8_validate(settlement.resolve_cache(joined, table))
         conf, _ = settlement.v8_confirm(checked, table)
         conf = conf.persist(StorageLevel.MEMORY_AND_DISK)
@@ -262,8 +280,10 @@ def confirmation_batch(store: TableStore, cfg: FlowConfig, sinks: dict[str, str]
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        banks = bank_state(store).persist(StorageLevel.MEMORY_AND_DISK)
-        fresh = dedup_durable(batch, store.appended("ledger", schemas.LEDGER))
+        banks = bank_state(store, enrich.key_filter(_bank_keys(batch))).persist(StorageLevel.MEMORY_AND_DISK)
+        posted = enrich.restrict_to_keys(store.appended("ledger", schemas.LEDGER),
+                                         batch.select("_txnID"), "_txnID")
+        fresh = dedup_durable(batch, posted)
         out = confirmation.confirmation_worker(fresh, banks, cfg)
         _sink(out.payer, sinks["payer_confirmations"], batch_id)
         store.commit(batch_id, {"ledger": out.ledger, "bank_deltas": out.deltas})
