@@ -14,25 +14,8 @@ from payflux.streaming.ttl import dedup_ttl_stream
 
 def _write_chunks(df, path, order_col, n=3):
     """Write ``df`` as ``n`` JSON files in ``order_col`` order (one per micro-batch)."""
-    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
-    step = (hi - lo) // n + 1
-    for i in range(n):
-        part = df.filter((F.col(order_col) >= lo + i * step) & (F.col(order_col) < lo + (i + 1) * step))
-        part.coalesce(1).write.mode("overwrite").json(f"{path}/_stage{i}")
-    # move the staged chunks under one source folder, in order
-    import glob
-    import os
-    import shutil
-    import time
-    os.makedirs(f"{path}/src", exist_ok=True)
-    base = time.time() - 1000
-    for i in range(n):
-        for f in glob.glob(f"{path}/_stage{i}/part-*.json"):
-            dst = f"{path}/src/chunk{i}.json"
-            shutil.copy(f, dst)
-            # the file source takes files in modification-time order
-            os.utime(dst, (base + 10 * i, base + 10 * i))
-    return f"{path}/src"
+    from payflux.sources.streams import stage_chunks
+    return stage_chunks(df, path, order_col, n)
 
 
 def test_payment_worker_stream_equals_batch(spark, tmp_path):
