@@ -15,12 +15,17 @@ from payflux.config import DEFAULT, FlowConfig
 from payflux.functions import scalar as fn
 from payflux.operators import accounts, enrich, errors, generate, rules
 from payflux.operators.dedup import dedup_durable, dedup_ttl
-from payflux.plans import clearing, confirmation, payment, settlement
+from payflux.plans import clearing, confirmation, payment, settlement, simplified
 from payflux.sources import fixtures as fx
 from payflux.sources import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 V1 = FlowConfig(max_amount=10000.0)
+# simplified flows on the derived banks: 'Bank_X' (unknown) names map to the
+# east region, every other name to the west region, which this instance serves
+SIMPLE = FlowConfig(home_region="cleaninghouse-us-west-1",
+                    name_regions=(("Bank_X", "cleaninghouse-us-east-1"),),
+                    name_default_region="cleaninghouse-us-west-1")
 
 PAYMENT_COLS = ["source_bank", "target_bank", "amount", "currency", "_txnID", "timestamp"]
 ACCOUNT_COLS = ["_key", "balance", "reserved"]
@@ -388,6 +393,17 @@ def q_clearing_flow(spark, sf):
     return out.banks.select(*ACCOUNT_COLS)
 
 
+def q_simplified_flow(spark, sf):
+    """V3/V4 flow end to end: Banks after reserve and posting."""
+    out = simplified.simplified_flow(fx.payments(spark, sf), fx.banks(spark, sf), SIMPLE)
+    return out.banks.select(*ACCOUNT_COLS)
+
+
+def q_simplified_ledger(spark, sf):
+    out = simplified.simplified_flow(fx.payments(spark, sf), fx.banks(spark, sf), SIMPLE)
+    return out.ledger
+
+
 def q_validate_summary(spark, sf):
     """Flagship: verdict counts of the V2 rules over every payment."""
     v = q_validate_payment(spark, sf)

@@ -26,6 +26,10 @@ class FlowConfig:
     # stream name and subscriber pattern for the presence check
     presence_stream: str = "Transfers"
     presence_subscriber: str = "%-sub1"
+    # simplified flows (V3/V4): region inferred from the bank name by ordered
+    # substring rules, else the default region
+    name_regions: tuple[tuple[str, str], ...] = (("Chase", "cleaninghouse-us-west-1"),)
+    name_default_region: str = "cleaninghouse-us-east-1"
 
 
 DEFAULT = FlowConfig()

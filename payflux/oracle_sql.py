@@ -409,6 +409,18 @@ def oracle_sql() -> dict[str, str]:
     q["settlement_status"] = W(("settlement", "confirmations"), """
         SELECT s._key, coalesce(c.status, s.status) AS status
         FROM settlement s LEFT JOIN confirmations c ON c._txnID = s._txnID""")
+    simple = """(SELECT *, CASE WHEN contains(source_bank, 'Bank_X') THEN 'cleaninghouse-us-east-1'
+                           ELSE 'cleaninghouse-us-west-1' END AS src_region,
+                      CASE WHEN contains(target_bank, 'Bank_X') THEN 'cleaninghouse-us-east-1'
+                           ELSE 'cleaninghouse-us-west-1' END AS tgt_region FROM payments)"""
+    posted = f"(SELECT * FROM {simple} s WHERE tgt_region = 'cleaninghouse-us-west-1' " \
+             f"AND src_region = 'cleaninghouse-us-west-1')"
+    q["simplified_flow"] = W(("banks", "payments"), _DELTA_APPLY.format(
+        base="banks", deltas="SELECT source_bank AS _key, 0.0 AS d_balance, amount AS d_reserved FROM payments"
+                             "\n    UNION ALL " + _SETTLE.format(src=posted).strip()))
+    q["simplified_ledger"] = W(("payments",), f"""
+        SELECT CAST(_txnID AS VARCHAR) AS _key, source_bank, target_bank, amount, currency, timestamp,
+               'settled' AS status FROM {posted} x""")
     q["reset_balances"] = W(("banks",), """
         SELECT _key, CAST(10000 AS BIGINT) AS balance, CAST(0 AS BIGINT) AS reserved FROM banks""")
     q["truncate_table"] = W(("settlement",), "SELECT * FROM settlement WHERE false")
