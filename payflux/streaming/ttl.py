@@ -1,5 +1,8 @@
-"""TTL dedup on a stream: keyed state per transaction id.
+"""TTL dedup on a stream, two forms.
 
+``start_ttl_dedup`` (default) keeps the state as a committed table: per
+micro-batch the batch operator (JVM only, hot keys split) runs on the rows not
+suppressed by earlier batches. ``dedup_ttl_stream`` is the keyed-state form:
 ``applyInPandasWithState`` keeps, per key, the event time of the last *kept*
 row. Rows of one key inside a micro-batch are folded in (timestamp, attempt)
 order; a copy does not refresh the TTL. The state is dropped by an event-time
@@ -13,9 +16,13 @@ from __future__ import annotations
 from typing import Iterator
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType
+
+from payflux.streaming.store import TableStore
 
 
 def dedup_ttl_stream(rows: DataFrame, key: str = "_txnID", ts: str = "timestamp",
@@ -47,3 +54,79 @@ def dedup_ttl_stream(rows: DataFrame, key: str = "_txnID", ts: str = "timestamp"
     return (timed.groupBy(key)
             .applyInPandasWithState(fold, out_schema, "last long", "append",
                                     GroupStateTimeout.EventTimeTimeout))
+
+
+# --------------------------------------------------------------------------- JVM-only, hot-key safe form
+
+def _state_schema(rows: DataFrame, key: str) -> StructType:
+    return StructType([rows.schema[key], StructField("last", LongType())])
+
+
+def ttl_state(store: TableStore, rows: DataFrame, key: str, only=None) -> DataFrame:
+    """``(key, last)``: the event time of each key's last kept row, from the
+    committed base plus every committed ``ttl_kept`` entry (a partial max)."""
+    schema = _state_schema(rows, key)
+    cut = (lambda t: t) if only is None else (lambda t: only(t, key))
+
+    def fold(base: DataFrame, kept: DataFrame) -> DataFrame:
+        return (cut(base).unionByName(cut(kept)).groupBy(key).agg(F.max("last").alias("last")))
+
+    return store.state("ttl_state", "ttl_kept", schema, fold)
+
+
+def compact_ttl_state(store: TableStore, rows: DataFrame, key: str, horizon_ms: int) -> int:
+    """Fold committed entries into a new base, dropping keys whose last kept
+    row is older than ``horizon_ms`` (their TTL can no longer suppress a row
+    that is not already late)."""
+    schema = _state_schema(rows, key)
+
+    def fold(base: DataFrame, kept: DataFrame) -> DataFrame:
+        return (base.unionByName(kept).groupBy(key).agg(F.max("last").alias("last"))
+                .filter(F.col("last") >= F.lit(horizon_ms)))
+
+    return store.compact("ttl_state", "ttl_kept", schema, fold)
+
+
+def ttl_dedup_batch(store: TableStore, key: str, ts: str, tie: str, ttl_ms: int,
+                    sink: str, group_rows: int = 4096):
+    """``foreachBatch`` body of TTL dedup over keyed state kept as a table.
+
+    A row within ``ttl_ms`` of its key's last kept row (from earlier batches)
+    is suppressed; the rest go through the batch operator (ordered per key,
+    hot keys split by range segments, all JVM), whose kept rows are written to
+    ``sink`` and become the keys' new state in the same commit. Exact for
+    micro-batches arriving in event-time order.
+    """
+    from payflux.operators import enrich
+    from payflux.operators.dedup import dedup_ttl
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if store.is_committed(batch_id) or batch.isEmpty():
+            return
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        only = enrich.key_filter(batch.select(key))
+        last = ttl_state(store, batch, key, only).withColumnRenamed("last", "_last")
+        fresh = (batch.join(last, key, "left")
+                 .filter(F.col("_last").isNull() | (F.col(ts) >= F.col("_last") + F.lit(ttl_ms)))
+                 .drop("_last"))
+        kept = dedup_ttl(fresh, key, ts, tie, ttl_ms, group_rows).persist(StorageLevel.MEMORY_AND_DISK)
+        kept.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        store.commit(batch_id, {"ttl_kept": kept.groupBy(key).agg(F.max(ts).alias("last"))})
+        kept.unpersist()
+        batch.unpersist()
+
+    return run
+
+
+def start_ttl_dedup(spark, rows: DataFrame, store: TableStore, sink: str, checkpoint: str,
+                    key: str = "_txnID", ts: str = "timestamp", tie: str = "attempt",
+                    ttl_ms: int = 5000, available_now: bool = True, group_rows: int = 4096):
+    """Start TTL dedup on a streaming frame; kept rows land in ``sink`` (parquet)."""
+    job = store.for_job("ttl")
+    empty = spark.createDataFrame([], _state_schema(rows, key))
+    if job.last_commit("base-ttl_state") is None:
+        job.seed({"ttl_state": empty})
+    w = (rows.writeStream.foreachBatch(ttl_dedup_batch(job, key, ts, tie, ttl_ms, sink, group_rows))
+         .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
+    return w.start()
