@@ -164,7 +164,8 @@ def q_enrich_target_region(spark, sf):
 
 
 def q_settlement_with_bank(spark, sf):
-    e = enrich.join_target_bank_inner(fx.payments(spark, sf), fx.banks(spark, sf))
+    """V1 SW1: settlement JOIN Banks ON target_bank == Banks.name."""
+    e = enrich.join_target_bank_inner(fx.payments_v1(spark, sf), fx.banks(spark, sf), bank_col="name")
     return e.select("_txnID", "target_bank", "target_region")
 
 
@@ -263,7 +264,8 @@ def q_validate_payment(spark, sf):
 
 
 def q_validate_payment_v1(spark, sf):
-    e = enrich.enrich_source_bank(fx.payments(spark, sf), fx.banks(spark, sf))
+    """V1 PW: payment LEFT JOIN Banks ON Banks.name == source_bank, JS-truthiness rules."""
+    e = enrich.enrich_source_bank(fx.payments_v1(spark, sf), fx.banks(spark, sf), bank_col="name")
     return e.select("_txnID", rules.payment_rules_v1(V1).alias("failedMsg"))
 
 

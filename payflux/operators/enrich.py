@@ -55,9 +55,13 @@ def bank_cache(banks: DataFrame) -> DataFrame:
     return banks.select("_key", "region")
 
 
-def enrich_source_bank(payments: DataFrame, banks: DataFrame) -> DataFrame:
-    """Payment LEFT JOIN Banks ON _key == source_bank (stream side drives)."""
-    b = banks.select(F.col("_key").alias("_sb_key"),
+def enrich_source_bank(payments: DataFrame, banks: DataFrame, bank_col: str = "_key") -> DataFrame:
+    """Payment LEFT JOIN Banks ON <bank_col> == source_bank (stream side drives).
+
+    ``bank_col='name'`` is V1's join on the bank name; a name shared by several
+    banks yields one row per bank, as a join does.
+    """
+    b = banks.select(F.col(bank_col).alias("_sb_key"),
                      F.col("balance").alias("source_balance"),
                      F.col("reserved").alias("source_total_reserved"),
                      F.col("region").alias("source_region"))
@@ -70,9 +74,10 @@ def enrich_target_region(payments: DataFrame, cache: DataFrame) -> DataFrame:
     return payments.join(c, payments.target_bank == c._tb_key, "left").drop("_tb_key")
 
 
-def join_target_bank_inner(settlements: DataFrame, banks: DataFrame) -> DataFrame:
-    """Settlement JOIN Banks (inner): an unknown target bank drops the event."""
-    b = banks.select(F.col("_key").alias("_tb_key"), F.col("region").alias("target_region"))
+def join_target_bank_inner(settlements: DataFrame, banks: DataFrame, bank_col: str = "_key") -> DataFrame:
+    """Settlement JOIN Banks ON <bank_col> == target_bank (inner): an unknown
+    target bank drops the event. V1 joins on ``name``."""
+    b = banks.select(F.col(bank_col).alias("_tb_key"), F.col("region").alias("target_region"))
     s = settlements.drop("target_region") if "target_region" in settlements.columns else settlements
     return s.join(b, s.target_bank == b._tb_key, "inner").drop("_tb_key")
 

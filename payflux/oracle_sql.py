@@ -32,6 +32,19 @@ _FIX: dict[str, tuple[tuple[str, ...], str]] = {
   FROM orders"""),
     "payments": (("orders_pay",), """
   SELECT source_bank, target_bank, amount, currency, _txnID, timestamp FROM orders_pay"""),
+    "payments_v1": ((), """
+  SELECT CASE WHEN o_orderkey % 97 = 0 THEN NULL
+              WHEN o_orderkey % 41 = 0 THEN 'Unknown#' || CAST(o_custkey AS VARCHAR)
+              ELSE 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') END AS source_bank,
+         CASE WHEN o_orderkey % 53 = 0 THEN NULL
+              ELSE 'Customer#' || lpad(CAST((o_custkey * 7 + o_orderkey)
+                                            % (SELECT count(*) * 16 // 15 FROM customer) AS VARCHAR), 9, '0')
+         END AS target_bank,
+         CASE WHEN o_orderkey % 59 = 0 THEN NULL WHEN o_orderkey % 61 = 0 THEN CAST(-1.0 AS DOUBLE)
+              ELSE o_totalprice / 4 END AS amount,
+         CASE WHEN o_orderkey % 17 = 0 THEN 'EUR' ELSE 'USD' END AS currency,
+         o_orderkey AS _txnID, epoch_us(o_orderdate) // 1000 AS timestamp
+  FROM orders"""),
     "payee": (("orders_pay",), """
   SELECT source_bank, CASE WHEN _txnID % 43 = 0 THEN 'Bank_Other' ELSE target_bank END AS target_bank,
          CASE WHEN _txnID % 37 = 0 THEN amount + 1 ELSE amount END AS amount, currency, timestamp,
@@ -296,9 +309,9 @@ def oracle_sql() -> dict[str, str]:
     q["enrich_target_region"] = W(("payments", "banks"), """
         SELECT p._txnID, p.target_bank, b.region AS target_region
         FROM payments p LEFT JOIN banks b ON b._key = p.target_bank""")
-    q["settlement_with_bank"] = W(("payments", "banks"), """
+    q["settlement_with_bank"] = W(("payments_v1", "banks"), """
         SELECT p._txnID, p.target_bank, b.region AS target_region
-        FROM payments p JOIN banks b ON b._key = p.target_bank""")
+        FROM payments_v1 p JOIN banks b ON b.name = p.target_bank""")
     q["payee_active_settlement"] = W(("payee", "settlement"), """
         SELECT s.settlement_id, s.source_bank, s.target_bank, s.source_region, s.amount, s.currency,
                s.timestamp, CASE WHEN c.status = 'ACCP' THEN 'settled' ELSE 'failed' END AS status, c._txnID
@@ -345,7 +358,7 @@ def oracle_sql() -> dict[str, str]:
                CAST(trunc(amount) AS BIGINT) AS amount_long FROM payments""")
     q["validate_payment"] = W(("payments", "banks"), f"""
         SELECT p._txnID, {_rules(True)} AS failedMsg FROM payments p LEFT JOIN banks b ON b._key = p.source_bank""")
-    q["validate_payment_v1"] = W(("payments", "banks"), f"""
+    q["validate_payment_v1"] = W(("payments_v1", "banks"), f"""
         SELECT p._txnID, CASE
           WHEN coalesce(b.region, '') = '' AND coalesce(b.reserved, 0) = 0 AND coalesce(b.balance, 0) = 0 THEN NULL
           WHEN coalesce(p.source_bank, '') = '' THEN 'Source bank parameter is not set'
@@ -358,7 +371,7 @@ def oracle_sql() -> dict[str, str]:
           WHEN coalesce(CAST(b.balance AS DOUBLE), 0.0) - coalesce(CAST(b.reserved AS DOUBLE), 0.0)
                < coalesce(p.amount, 0.0) THEN 'No sufficient funds on source bank'
           ELSE NULL END AS failedMsg
-        FROM payments p LEFT JOIN banks b ON b._key = p.source_bank""")
+        FROM payments_v1 p LEFT JOIN banks b ON b.name = p.source_bank""")
     regions = ["west", "central", "east", "southeast"]
     feeds, incoming = [], {r: 0 for r in regions}
     for src in regions:

@@ -67,14 +67,22 @@ def _target_modulus(spark: SparkSession, sf_dir: str) -> Column:
     return cust.select(F.expr("count(1) * 16 div 15")).scalar()
 
 
-def _payment_cols(m: Column) -> list[Column]:
+def _bank_name(col: Column) -> Column:
+    """The ``name`` of the bank derived from customer ``col`` (its ``c_name``)."""
+    return F.concat(F.lit("Customer#"), F.lpad(col.cast("string"), 9, "0"))
+
+
+def _payment_cols(m: Column, by_name: bool = False) -> list[Column]:
+    """Payment columns; ``by_name`` refers to banks by ``name`` (V1) instead of ``_key``."""
     k, cust = F.col("o_orderkey"), F.col("o_custkey")
+    ref = _bank_name if by_name else _bank_key
+    unknown = F.concat(F.lit("Unknown#"), cust.cast("string")) if by_name else _bank_key(cust, "Bank_X")
     return [
         F.when(k % 97 == 0, F.lit(None).cast("string"))
-         .when(k % 41 == 0, _bank_key(cust, "Bank_X"))
-         .otherwise(_bank_key(cust)).alias("source_bank"),
+         .when(k % 41 == 0, unknown)
+         .otherwise(ref(cust)).alias("source_bank"),
         F.when(k % 53 == 0, F.lit(None).cast("string"))
-         .otherwise(_bank_key((cust * 7 + k) % m)).alias("target_bank"),
+         .otherwise(ref((cust * 7 + k) % m)).alias("target_bank"),
         F.when(k % 59 == 0, F.lit(None).cast("double"))
          .when(k % 61 == 0, F.lit(-1.0))
          .otherwise(F.col("o_totalprice") / 4).alias("amount"),
@@ -91,6 +99,13 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(*_payment_cols(_target_modulus(spark, sf_dir)))
 
 
+@_shared
+def payments_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1 Payments: the same rows, banks referred to by ``name``."""
+    o = read_table(spark, sf_dir, "orders")
+    return o.select(*_payment_cols(_target_modulus(spark, sf_dir), by_name=True))
+
+
 @_shared
 def payee_confirmations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bank B answers: RJCT for finished orders; some amounts/targets disagree."""
