@@ -61,8 +61,15 @@ class TableStore:
         return log.groupBy("job").agg(F.max("batch").alias("upto"))
 
     def last_commit(self, job: str | None = None) -> int | None:
-        row = self.commit_log().filter(F.col("job") == (job or self.job)).first()
-        return None if row is None else int(row["upto"])
+        """Last committed batch of ``job``: lists only that job's commit folder."""
+        path = self._path("_commits", f"job={job or self.job}")
+        try:
+            log = (self.spark.read.schema("committed_at timestamp, batch long")
+                   .option("basePath", path).parquet(path))
+        except AnalysisException:  # the job never committed
+            return None
+        row = log.agg(F.max("batch").alias("b")).first()
+        return None if row is None or row["b"] is None else int(row["b"])
 
     def commit(self, batch_id: int, appends: dict[str, DataFrame]) -> bool:
         """Write every table of the batch, then the commit record (last).
