@@ -21,6 +21,8 @@ from payflux.sources import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 V1 = FlowConfig(max_amount=10000.0)
+# V8 payment worker: TTL dedup, presence stubbed, unknown source banks dropped
+V8 = FlowConfig(dedup="ttl", presence_check=False, unknown_bank="drop")
 # simplified flows on the derived banks: 'Bank_X' (unknown) names map to the
 # east region, every other name to the west region, which this instance serves
 SIMPLE = FlowConfig(home_region="cleaninghouse-us-west-1",
@@ -230,6 +232,17 @@ def q_admit_payments(spark, sf):
     return d.select("_txnID", "source_bank", "amount", "admitted")
 
 
+def q_v8_payment_worker(spark, sf):
+    """V8 PW over re-sent payments: Settlements and RJCT confirmations."""
+    out = payment.payment_worker(fx.payment_resends(spark, sf), fx.banks(spark, sf),
+                                 fx.payment_requests(spark, sf), fx.presence(spark, sf), V8)
+    ok = out.settlements.select("_txnID", "timestamp", "source_bank", "amount",
+                                F.lit("SETTLE").alias("route"), F.lit(None).cast("string").alias("message"))
+    bad = out.rejections.select("_txnID", "timestamp", "source_bank", "amount",
+                                F.col("status").alias("route"), "message")
+    return ok.unionByName(bad)
+
+
 def q_failed_union(spark, sf):
     return _pw(spark, sf).failed
 

@@ -17,6 +17,13 @@ class FlowConfig:
     unknown_bank: str = "pass"
     # TTL of the dedup cache and the settlement cache, milliseconds
     ttl_ms: int = 5000
+    # payment dedup: 'durable' (V2: anti join against recorded requests) or
+    # 'ttl' (V8: a txn seen within ttl_ms of its last kept copy is dropped)
+    dedup: str = "durable"
+    # V8 stubs the presence check to true
+    presence_check: bool = True
+    # V8 load-test artefact: overwrite the amount sent to Settlements (None: off)
+    settlement_amount: float | None = None
     # groups with at most this many rows are folded in one task; larger
     # groups are split and solved by distributed prefix rounds
     fold_group_rows: int = 4096

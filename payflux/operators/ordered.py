@@ -214,7 +214,8 @@ def ttl_first_seen(rows: DataFrame, key: str = "_txnID", ts: str = "timestamp",
     cols = rows.columns
     rest = [c for c in cols if c not in (key, ts, tie)]
     distinct = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
-    ordered = distinct.withColumn("_ord", F.struct(F.col(ts), F.col(tie), *[F.col(c) for c in rest]))
+    order = [ts] + ([tie] if tie != ts else []) + rest
+    ordered = distinct.withColumn("_ord", F.struct(*[F.col(c) for c in order]))
     out_cols = cols + ["copies"]
     small, large = split_hot_keys(ordered, key, group_rows)
     out = _fold_ttl(small, key, ts, out_cols, ttl_ms)

@@ -132,6 +132,50 @@ _FIX: dict[str, tuple[tuple[str, ...], str]] = {
          CAST(CAST(b.reserved AS DECIMAL(38,6)) + coalesce(d.s, 0) AS DOUBLE) AS reserved
   FROM banks b LEFT JOIN (SELECT source_bank, sum(amt) AS s FROM pw_decided WHERE admitted GROUP BY 1) d
     ON d.source_bank = b._key"""),
+    # ---- payment worker (V8): re-sends, TTL dedup, presence stubbed, unknown banks dropped
+    "resends": (("payments",), """
+  SELECT p.source_bank, p.target_bank, p.amount, p.currency, p._txnID,
+         p.timestamp + (l.l_linenumber - 1) * 2000 AS timestamp
+  FROM payments p JOIN lineitem l ON l.l_orderkey = p._txnID"""),
+    "v8_rs": (("resends",), """
+  SELECT *, row_number() OVER (PARTITION BY _txnID ORDER BY timestamp, source_bank, target_bank, amount, currency)
+         AS rn FROM (SELECT DISTINCT * FROM resends) x"""),
+    "v8_ttl": (("v8_rs",), """
+  SELECT _txnID, rn, timestamp AS last, true AS kept FROM v8_rs WHERE rn = 1
+  UNION ALL
+  SELECT r._txnID, r.rn, CASE WHEN r.timestamp >= f.last + 5000 THEN r.timestamp ELSE f.last END,
+         r.timestamp >= f.last + 5000
+  FROM v8_ttl f JOIN v8_rs r ON r._txnID = f._txnID AND r.rn = f.rn + 1"""),
+    "v8_distinct": (("v8_rs", "v8_ttl"), """
+  SELECT r.source_bank, r.target_bank, r.amount, r.currency, r._txnID, r.timestamp
+  FROM v8_rs r JOIN v8_ttl t ON t._txnID = r._txnID AND t.rn = r.rn WHERE t.kept"""),
+    "v8_checked": (("v8_distinct", "banks"), """
+  SELECT p.source_bank, p.target_bank, p.amount, p.currency, p._txnID, p.timestamp,
+         tc.region AS target_region, true AS isDevicePresent,
+         b.balance AS source_balance, b.reserved AS source_total_reserved, b.region AS source_region,
+         {rules_nofunds} AS failedMsg
+  FROM v8_distinct p
+  LEFT JOIN banks tc ON tc._key = p.target_bank
+  LEFT JOIN banks b ON b._key = p.source_bank"""),
+    "v8_cand": (("v8_checked",), """
+  SELECT *, CAST(amount AS DECIMAL(24,6)) AS amt,
+         CAST(source_balance - source_total_reserved AS DECIMAL(38,6)) AS free0,
+         row_number() OVER (PARTITION BY source_bank ORDER BY timestamp, _txnID) AS rn
+  FROM v8_checked
+  WHERE failedMsg IS NULL
+    AND NOT (source_balance IS NULL AND source_total_reserved IS NULL AND source_region IS NULL)"""),
+    "v8_fold": (("v8_cand",), """
+  SELECT source_bank, rn,
+         CAST(CASE WHEN amt <= free0 THEN free0 - amt ELSE free0 END AS DECIMAL(38,6)) AS r,
+         amt <= free0 AS admitted
+  FROM v8_cand WHERE rn = 1
+  UNION ALL
+  SELECT k.source_bank, k.rn,
+         CAST(CASE WHEN k.amt <= f.r THEN f.r - k.amt ELSE f.r END AS DECIMAL(38,6)),
+         k.amt <= f.r
+  FROM v8_fold f JOIN v8_cand k ON k.source_bank = f.source_bank AND k.rn = f.rn + 1"""),
+    "v8_decided": (("v8_cand", "v8_fold"), """
+  SELECT c.*, f.admitted FROM v8_cand c JOIN v8_fold f USING (source_bank, rn)"""),
     # ---- confirmations from the payee answers (V2 SW2 -> CW)
     "confirmations": (("payee",), """
   SELECT _txnID AS settlement_id, source_bank, target_bank, amount, currency, timestamp,
@@ -189,7 +233,7 @@ def _with(names: tuple[str, ...], body: str) -> str:
 
     for n in names:
         visit(n)
-    recursive = "RECURSIVE " if "pw_fold" in order else ""
+    recursive = "RECURSIVE " if ("pw_fold" in order or "v8_ttl" in order) else ""
     ctes = ",\n".join(
         f"{n} AS ({_FIX[n][1].replace('{rules_nofunds}', _rules(False))}\n)" for n in order)
     return f"WITH {recursive}{ctes}\n{body}"
@@ -344,6 +388,14 @@ def oracle_sql() -> dict[str, str]:
         SELECT count(*) AS total_banks, CAST(sum(balance) AS BIGINT) AS total_balance,
                CAST(sum(reserved) AS BIGINT) AS total_reserved FROM banks""")
     q["admit_payments"] = W(("pw_decided",), "SELECT _txnID, source_bank, amount, admitted FROM pw_decided")
+    q["v8_payment_worker"] = W(("v8_checked", "v8_decided"), """
+        SELECT _txnID, timestamp, source_bank, amount, 'SETTLE' AS route, CAST(NULL AS VARCHAR) AS message
+        FROM v8_decided WHERE admitted
+        UNION ALL
+        SELECT _txnID, timestamp, source_bank, amount, 'RJCT', failedMsg FROM v8_checked WHERE failedMsg IS NOT NULL
+        UNION ALL
+        SELECT _txnID, timestamp, source_bank, amount, 'RJCT', 'No sufficient funds on source bank'
+        FROM v8_decided WHERE NOT admitted""")
     q["failed_union"] = W(("pw_failed",), "SELECT * FROM pw_failed")
     q["payer_rejections"] = W(("pw_failed",), """
         SELECT _txnID, source_bank, target_bank, amount, currency, 'RJCT' AS status, timestamp, message

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from payflux.config import DEFAULT, FlowConfig
 from payflux.operators import accounts, enrich, rules
-from payflux.operators.dedup import dedup_durable
+from payflux.operators.dedup import dedup_durable, dedup_ttl
 from payflux.operators.ordered import ordered_admission
 
 FAILED_COLS = ["_txnID", "source_bank", "target_bank", "amount", "currency", "timestamp", "message"]
@@ -41,7 +41,10 @@ def enrich_and_check(payments: DataFrame, banks: DataFrame, presence: DataFrame,
     without the funds rule (funds are applied in event order afterwards)."""
     cache = enrich.bank_cache(banks)
     with_target = enrich.enrich_target_region(payments, cache)
-    with_presence = enrich.presence_flag(with_target, presence, cfg)
+    if cfg.presence_check:
+        with_presence = enrich.presence_flag(with_target, presence, cfg)
+    else:
+        with_presence = with_target.withColumn("isDevicePresent", F.lit(True))
     with_bank = enrich.enrich_source_bank(with_presence, banks)
     return rules.validate_payment(with_bank, cfg, check_funds=False)
 
@@ -64,7 +67,10 @@ def admit(checked: DataFrame, banks: DataFrame, cfg: FlowConfig = DEFAULT) -> Da
 
 def payment_worker(payments: DataFrame, banks: DataFrame, recorded: DataFrame,
                    presence: DataFrame, cfg: FlowConfig = DEFAULT) -> PaymentOutputs:
-    distinct = dedup_durable(payments, recorded)
+    if cfg.dedup == "ttl":
+        distinct = dedup_ttl(payments, "_txnID", "timestamp", "timestamp", cfg.ttl_ms, cfg.fold_group_rows)
+    else:
+        distinct = dedup_durable(payments, recorded)
     # fan-out point: presence failures, rule failures, the fold and the unknown
     # banks all read it, so it is computed once (spills to disk, recomputed
     # from lineage if an executor is lost)
@@ -90,8 +96,11 @@ def payment_worker(payments: DataFrame, banks: DataFrame, recorded: DataFrame,
               .unionByName(funds_failed.select(*FAILED_COLS)))
     rejections = payer_rejections(failed)
     reserve = accounts.reserve_deltas(admitted_known)
+    settlements = passed.select(*SETTLEMENT_COLS)
+    if cfg.settlement_amount is not None:
+        settlements = settlements.withColumn("amount", F.lit(float(cfg.settlement_amount)))
     return PaymentOutputs(
-        settlements=passed.select(*SETTLEMENT_COLS),
+        settlements=settlements,
         requests=passed.select(*REQUEST_COLS),
         failed=failed, rejections=rejections, reserve=reserve,
         banks=accounts.apply_deltas(banks, reserve), checked=checked)

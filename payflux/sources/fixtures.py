@@ -132,6 +132,17 @@ def payment_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_shared
+def payment_resends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V8 Payments with re-sends: each line item of an order re-sends the
+    order's payment, ``(l_linenumber - 1) * 2 s`` after the first."""
+    li = read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("_txnID"), "l_linenumber")
+    p = payments(spark, sf_dir)
+    j = p.join(li, "_txnID")
+    return j.select("source_bank", "target_bank", "amount", "currency", "_txnID",
+                    (F.col("timestamp") + (F.col("l_linenumber") - 1) * 2000).alias("timestamp"))
+
+
 @_shared
 def payment_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PaymentRequests table: payments already recorded (every tenth txn)."""
