@@ -127,12 +127,22 @@ def q_settlement_validate(spark, sf):
     return v.select("_txnID", "source_bank", "target_bank", "amount", "payee_status", "failedMsg")
 
 
-def q_v8_confirmations(spark, sf):
+def _v8_conf(spark, sf) -> DataFrame:
     v = settlement.v8_validate(_v8_loaded(spark, sf))
     conf, _ = settlement.v8_confirm(v, fx.settlement_table(spark, sf))
     return conf
 
 
+def q_v8_confirmations(spark, sf):
+    return _v8_conf(spark, sf)
+
+
+def q_v8_confirm_worker(spark, sf):
+    """V8 CW over the V8 SW's confirmations: Banks after posting."""
+    out = confirmation.confirmation_worker_v8(_v8_conf(spark, sf), fx.banks(spark, sf), DEFAULT)
+    return out.banks.select(*ACCOUNT_COLS)
+
+
 def q_region_filter(spark, sf):
     e = enrich.enrich_source_bank(fx.payments(spark, sf), fx.banks(spark, sf))
     return e.filter(F.col("source_region") == DEFAULT.home_region) \

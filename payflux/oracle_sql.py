@@ -176,6 +176,20 @@ _FIX: dict[str, tuple[tuple[str, ...], str]] = {
   FROM v8_fold f JOIN v8_cand k ON k.source_bank = f.source_bank AND k.rn = f.rn + 1"""),
     "v8_decided": (("v8_cand", "v8_fold"), """
   SELECT c.*, f.admitted FROM v8_cand c JOIN v8_fold f USING (source_bank, rn)"""),
+    # ---- V8 SW2 tail: validated settlements whose status update answered
+    "v8_conf": (("v8_loaded", "settlement"), """
+        SELECT loaded_source_bank AS source_bank, loaded_target_bank AS target_bank,
+               loaded_source_region AS source_region, loaded_target_region AS target_region,
+               loaded_amount AS amount, loaded_currency AS currency, loaded_timestamp AS timestamp,
+               CASE WHEN payee_status = 'ACCP' THEN 'settled' ELSE 'failed' END AS status, _txnID
+        FROM (SELECT *, CASE WHEN loaded_source_bank IS NULL THEN 'Transaction has not been found'
+                    WHEN loaded_source_bank <> source_bank THEN 'Source bank is different for this transaction'
+                    WHEN loaded_target_bank <> target_bank THEN 'Target bank is different for this transaction'
+                    WHEN loaded_amount <> amount THEN 'Amount is different for this transaction'
+                    WHEN loaded_currency <> currency THEN 'Currency is different for this transaction'
+                    ELSE NULL END AS failedMsg FROM v8_loaded) v
+        WHERE failedMsg IS NULL
+          AND EXISTS (SELECT 1 FROM settlement s WHERE s._key = CAST(v._txnID AS VARCHAR))"""),
     # ---- confirmations from the payee answers (V2 SW2 -> CW)
     "confirmations": (("payee",), """
   SELECT _txnID AS settlement_id, source_bank, target_bank, amount, currency, timestamp,
@@ -324,19 +338,12 @@ def oracle_sql() -> dict[str, str]:
                     WHEN loaded_currency <> currency THEN 'Currency is different for this transaction'
                     ELSE NULL END AS failedMsg
         FROM v8_loaded""")
-    q["v8_confirmations"] = W(("v8_loaded",), """
-        SELECT loaded_source_bank AS source_bank, loaded_target_bank AS target_bank,
-               loaded_source_region AS source_region, loaded_target_region AS target_region,
-               loaded_amount AS amount, loaded_currency AS currency, loaded_timestamp AS timestamp,
-               CASE WHEN payee_status = 'ACCP' THEN 'settled' ELSE 'failed' END AS status, _txnID
-        FROM (SELECT *, CASE WHEN loaded_source_bank IS NULL THEN 'Transaction has not been found'
-                    WHEN loaded_source_bank <> source_bank THEN 'Source bank is different for this transaction'
-                    WHEN loaded_target_bank <> target_bank THEN 'Target bank is different for this transaction'
-                    WHEN loaded_amount <> amount THEN 'Amount is different for this transaction'
-                    WHEN loaded_currency <> currency THEN 'Currency is different for this transaction'
-                    ELSE NULL END AS failedMsg FROM v8_loaded) v
-        WHERE failedMsg IS NULL
-          AND EXISTS (SELECT 1 FROM settlement s WHERE s._key = CAST(v._txnID AS VARCHAR))""")
+    q["v8_confirmations"] = W(("v8_conf",), "SELECT * FROM v8_conf")
+    mine = "(SELECT * FROM v8_conf WHERE source_region = '" + HOME + "')"
+    q["v8_confirm_worker"] = W(("banks", "v8_conf"), _DELTA_APPLY.format(
+        base="banks", deltas=f"""SELECT target_bank AS _key, amount AS d_balance, 0.0 AS d_reserved FROM {mine} m
+    UNION ALL SELECT source_bank, -amount, -amount FROM {mine} m
+    WHERE EXISTS (SELECT 1 FROM banks b WHERE b._key = m.target_bank)"""))
     q["region_filter"] = W(("payments", "banks"), f"""
         SELECT p._txnID, p.source_bank, b.region AS source_region
         FROM payments p JOIN banks b ON b._key = p.source_bank WHERE b.region = '{HOME}'""")

@@ -50,3 +50,30 @@ def confirmation_worker(confirmations: DataFrame, banks: DataFrame,
              .unionByName(rejected.withColumn("status", F.lit("RJCT")).select(*PAYER_COLS)))
     return ConfirmOutputs(accepted, rejected, unrouted, ledger, payer, deltas,
                           accounts.apply_deltas(banks, deltas))
+
+
+@dataclass
+class ConfirmOutputsV8:
+    posted: DataFrame       # confirmations whose payee bank answered (OutputPerf)
+    ledger: DataFrame
+    deltas: DataFrame
+    banks: DataFrame
+
+
+def confirmation_worker_v8(confirmations: DataFrame, banks: DataFrame,
+                           cfg: FlowConfig = DEFAULT) -> ConfirmOutputsV8:
+    """V8 CW: every confirmation of the region credits the payee
+    (update-returning on ``_key == target_bank``); only when the payee answers
+    is the payer debited (balance and reserved) and the ledger row written.
+    The status is not consulted."""
+    mine = confirmations.filter(F.col("source_region") == cfg.home_region)
+    credit = mine.select(F.col("target_bank").alias("_key"), F.col("amount").alias("d_balance"),
+                         F.lit(0.0).alias("d_reserved"))
+    _, answered = accounts.update_returning(banks, mine, "target_bank", credit)
+    debit = answered.select(F.col("source_bank").alias("_key"), (-F.col("amount")).alias("d_balance"),
+                            (-F.col("amount")).alias("d_reserved"))
+    deltas = credit.unionByName(debit)
+    ledger = answered.select("source_bank", "target_bank", "amount", "currency", "timestamp",
+                             F.lit("settled").alias("status"), "_txnID")
+    posted = answered.select("source_bank", "target_bank", "_txnID")
+    return ConfirmOutputsV8(posted, ledger, deltas, accounts.apply_deltas(banks, deltas))
