@@ -50,11 +50,12 @@ def split_hot_keys(df: DataFrame, key: str, group_rows: int,
     whether it is proven small enough to broadcast.
     """
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_grp_n"))
-    # materialised once (reliable checkpoint, no cache to leak across micro-batches)
-    hot = cut_lineage(sizes.filter(F.col("_grp_n") > group_rows).select(F.col(key).alias("_hot_key")))
-    n_hot = hot.limit(max_broadcast + 1).count()
-    if n_hot == 0:
+    hot_keys = sizes.filter(F.col("_grp_n") > group_rows).select(F.col(key).alias("_hot_key"))
+    n_hot = hot_keys.limit(max_broadcast + 1).count()
+    if n_hot == 0:  # the usual case: nothing to materialise
         return (df, None, None, False) if with_keys else (df, None)
+    # materialised once (reliable checkpoint, no cache to leak across micro-batches)
+    hot = cut_lineage(hot_keys)
     bounded = n_hot <= max_broadcast
     side = F.broadcast(hot) if bounded else hot
     cond = F.col(key).eqNullSafe(F.col("_hot_key"))
