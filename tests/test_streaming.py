@@ -243,3 +243,24 @@ def test_ttl_dedup_table_state_hot_key(spark, tmp_path):
                        (F.col("_txnID") * 10 + F.col("attempt")).alias("attempt"), "timestamp")
     # a tiny fold bound sends the hot transaction through the split (segment) path
     _ttl_stream_vs_batch(spark, tmp_path, rows, group_rows=64)
+
+
+def test_failed_batch_goes_to_dead_letter_uncommitted(spark, tmp_path):
+    """A batch whose sink write fails is routed to the dead-letter folder with
+    the error text; nothing of it is committed."""
+    from payflux.streaming.jobs import with_dead_letter
+
+    store = TableStore(spark, str(tmp_path / "store"), job="x")
+    events = fx.count_events(spark, SF_SMALL)
+
+    def failing_then_commit(batch, batch_id):
+        # the sink write fails before the commit record
+        batch.write.mode("error").json(str(tmp_path / "exists"))
+        store.commit(batch_id, {"t": batch})
+
+    (events.limit(1)).write.json(str(tmp_path / "exists"))
+    with_dead_letter(failing_then_commit, str(tmp_path / "dead"))(events, 0)
+    assert store.last_commit() is None
+    dead = spark.read.json(str(tmp_path / "dead"))
+    assert dead.count() == events.count()
+    assert dead.filter(F.col("error").contains("AnalysisException")).count() == events.count()
