@@ -86,14 +86,16 @@ def presence_flag(payments: DataFrame, presence: DataFrame, cfg: FlowConfig = DE
     """``consumerExists(stream, '%', region, subscriber)`` as an existence flag.
 
     The presence table is one row per live consumer; it is reduced to the set
-    of regions with a matching consumer (bounded by the number of regions) and
-    left-joined, so a payment row is never duplicated. No hint: Catalyst's size
-    estimate of that set gates the broadcast, and AQE re-checks it at run time.
+    of regions with a matching consumer and left-joined, so a payment row is
+    never duplicated. The join key has a handful of values (regions), so a
+    shuffle join would put every payment in a few tasks: the region set is
+    broadcast once a bounded count proves it small (else AQE decides).
     """
     live = (presence.filter((F.col("stream") == cfg.presence_stream)
                             & F.col("subscriber").like(cfg.presence_subscriber))
             .select(F.col("region").alias("_live_region")).distinct()
             .withColumn("_present", F.lit(True)))
+    live = bounded_broadcast(live, 10_000)
     j = payments.join(live, payments.target_region == live._live_region, "left")
     return j.withColumn("isDevicePresent", F.coalesce(F.col("_present"), F.lit(False))) \
             .drop("_live_region", "_present")
