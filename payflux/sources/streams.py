@@ -90,15 +90,21 @@ def rate_ticks(spark: SparkSession, rows_per_second: int = 1) -> DataFrame:
             .select((F.col("value") + 1).alias("c"), F.unix_millis("timestamp").alias("t")))
 
 
-def stage_chunks(df: DataFrame, path: str, order_col: str, n: int = 3) -> str:
-    """Write ``df`` as ``n`` JSON files, one per ``order_col`` range, with
-    increasing modification times (a file source takes files in that order).
-    Returns the source folder. For tests and the benchmark: it replays a table
-    as a stream of ``n`` arrivals."""
+def stage_chunks(df: DataFrame, path: str, order_col: str, n: int = 3,
+                 bounds: list[int] | None = None) -> str:
+    """Write ``df`` as JSON files, one per ``order_col`` range (``n`` equal
+    ranges, or the ranges between the given ``bounds``), with increasing
+    modification times (a file source takes files in that order). Returns the
+    source folder. For tests and the benchmark: it replays a table as a stream
+    of arrivals."""
     lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
-    step = (hi - lo) // n + 1
+    if bounds is None:
+        step = (hi - lo) // n + 1
+        bounds = [lo + i * step for i in range(1, n)]
+    edges = [lo] + sorted(bounds) + [hi + 1]
+    n = len(edges) - 1
     for i in range(n):
-        part = df.filter((F.col(order_col) >= lo + i * step) & (F.col(order_col) < lo + (i + 1) * step))
+        part = df.filter((F.col(order_col) >= edges[i]) & (F.col(order_col) < edges[i + 1]))
         part.coalesce(1).write.mode("overwrite").json(f"{path}/_stage{i}")
     # the files are placed with local file operations: a file: URI (as a
     # checkpoint dir is reported) becomes its local path

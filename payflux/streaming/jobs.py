@@ -30,6 +30,7 @@ from payflux.operators import accounts, enrich, errors
 from payflux.operators.dedup import dedup_durable, first_per_key
 from payflux.plans import clearing, confirmation, payment, settlement
 from payflux.sources import streams
+from payflux.streaming import ttl
 from payflux.streaming.store import TableStore
 
 BatchFn = Callable[[DataFrame, int], None]
@@ -120,10 +121,17 @@ def payment_batch(store: TableStore, presence: DataFrame, cfg: FlowConfig,
         banks = bank_state(store, enrich.key_filter(_bank_keys(batch))).persist(StorageLevel.MEMORY_AND_DISK)
         recorded = enrich.restrict_to_keys(store.appended("requests", schemas.PAYMENT_REQUESTS),
                                            batch.select("_txnID"), "_txnID")
+        if cfg.dedup == "ttl":
+            # V8: a re-send within the TTL of its txn's last kept copy (earlier
+            # batches) is dropped; within the batch the operator applies the TTL
+            batch = ttl.suppress_within_ttl(store, batch, "_txnID", "timestamp", cfg.ttl_ms)
         out = payment.payment_worker(batch, banks, recorded, presence, cfg)
         _sink(out.settlements, sinks["settlements"], batch_id)
         _sink(out.rejections, sinks["payer_confirmations"], batch_id)
-        store.commit(batch_id, {"requests": out.requests, "bank_deltas": out.reserve})
+        appends = {"requests": out.requests, "bank_deltas": out.reserve}
+        if cfg.dedup == "ttl":
+            appends["ttl_kept"] = ttl.kept_times(out.checked, "_txnID", "timestamp")
+        store.commit(batch_id, appends)
         out.checked.unpersist()  # the leg's fan-out cache lives for one micro-batch
         banks.unpersist()
 
@@ -137,6 +145,8 @@ def start_payment_worker(spark: SparkSession, payments_path: str, store: TableSt
     """Start the leg-1 stream. ``max_files_per_trigger`` bounds each micro-batch,
     which also bounds the per-bank admission groups."""
     src = streams.read_json_stream(spark, payments_path, schemas.PAYMENTS, max_files_per_trigger)
+    if cfg.dedup == "ttl":
+        ttl.ensure_ttl_state(store, src, "_txnID")
     return _start(src, payment_batch(store.for_job("pw"), presence, cfg, sinks), checkpoint, available_now)
 
 

@@ -87,6 +87,29 @@ def compact_ttl_state(store: TableStore, rows: DataFrame, key: str, horizon_ms:
     return store.compact("ttl_state", "ttl_kept", schema, fold)
 
 
+def ensure_ttl_state(store: TableStore, rows: DataFrame, key: str) -> None:
+    """Seed an empty TTL state table once."""
+    if store.last_commit("base-ttl_state") is None:
+        store.seed({"ttl_state": rows.sparkSession.createDataFrame([], _state_schema(rows, key))})
+
+
+def suppress_within_ttl(store: TableStore, batch: DataFrame, key: str, ts: str, ttl_ms: int) -> DataFrame:
+    """Rows of ``batch`` not within ``ttl_ms`` of their key's last kept row
+    from earlier batches (state read only for the batch's keys)."""
+    from payflux.operators import enrich
+
+    only = enrich.key_filter(batch.select(key))
+    last = ttl_state(store, batch, key, only).withColumnRenamed("last", "_last")
+    return (batch.join(last, key, "left")
+            .filter(F.col("_last").isNull() | (F.col(ts) >= F.col("_last") + F.lit(ttl_ms)))
+            .drop("_last"))
+
+
+def kept_times(kept: DataFrame, key: str, ts: str) -> DataFrame:
+    """New state entries: each key's last kept time in this batch."""
+    return kept.groupBy(key).agg(F.max(ts).alias("last"))
+
+
 def ttl_dedup_batch(store: TableStore, key: str, ts: str, tie: str, ttl_ms: int,
                     sink: str, group_rows: int = 4096):
     """``foreachBatch`` body of TTL dedup over keyed state kept as a table.
@@ -97,21 +120,16 @@ def ttl_dedup_batch(store: TableStore, key: str, ts: str, tie: str, ttl_ms: int,
     ``sink`` and become the keys' new state in the same commit. Exact for
     micro-batches arriving in event-time order.
     """
-    from payflux.operators import enrich
     from payflux.operators.dedup import dedup_ttl
 
     def run(batch: DataFrame, batch_id: int) -> None:
         if store.is_committed(batch_id) or batch.isEmpty():
             return
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        only = enrich.key_filter(batch.select(key))
-        last = ttl_state(store, batch, key, only).withColumnRenamed("last", "_last")
-        fresh = (batch.join(last, key, "left")
-                 .filter(F.col("_last").isNull() | (F.col(ts) >= F.col("_last") + F.lit(ttl_ms)))
-                 .drop("_last"))
+        fresh = suppress_within_ttl(store, batch, key, ts, ttl_ms)
         kept = dedup_ttl(fresh, key, ts, tie, ttl_ms, group_rows).persist(StorageLevel.MEMORY_AND_DISK)
         kept.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-        store.commit(batch_id, {"ttl_kept": kept.groupBy(key).agg(F.max(ts).alias("last"))})
+        store.commit(batch_id, {"ttl_kept": kept_times(kept, key, ts)})
         kept.unpersist()
         batch.unpersist()
 
@@ -123,9 +141,7 @@ def start_ttl_dedup(spark, rows: DataFrame, store: TableStore, sink: str, checkp
                     ttl_ms: int = 5000, available_now: bool = True, group_rows: int = 4096):
     """Start TTL dedup on a streaming frame; kept rows land in ``sink`` (parquet)."""
     job = store.for_job("ttl")
-    empty = spark.createDataFrame([], _state_schema(rows, key))
-    if job.last_commit("base-ttl_state") is None:
-        job.seed({"ttl_state": empty})
+    ensure_ttl_state(job, rows, key)
     w = (rows.writeStream.foreachBatch(ttl_dedup_batch(job, key, ts, tie, ttl_ms, sink, group_rows))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
