@@ -7,6 +7,10 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class FlowConfig:
+    # The defaults of max_amount, currency, ttl_ms,
+    # presence_stream, presence_subscriber, name_regions and
+    # name_default_region equal the reference's constants; home_region is
+    # the region of the derived test data.
     # region this job instance serves (the reference's context:getVar('region'))
     home_region: str = "ASIA"
     # upper bound of a valid amount (V2: 100000, V1: 10000)
