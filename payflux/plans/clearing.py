@@ -42,6 +42,14 @@ def clearing_flow(payments: DataFrame, banks: DataFrame, recorded: DataFrame,
     return ClearingOutputs(pw, registered, payee, confirmations, settled, cw, cw.banks, payer)
 
 
+def stamp_entry(payments: DataFrame, now=None) -> DataFrame:
+    """SLA monitor, entry side: PaymentsSLA -> Payments with ``timestamp`` =
+    the time of entry (``currentTimeMillis()``, fixed per micro-batch)."""
+    from payflux.functions.scalar import current_time_millis
+
+    return payments.withColumn("timestamp", now if now is not None else current_time_millis())
+
+
 def sla_latency(confirmed: DataFrame, confirm_ts: str = "confirm_ts") -> DataFrame:
     """SLA monitor: latency of a confirmation against the payment's entry stamp."""
     return confirmed.withColumn("latencyMs", F.col(confirm_ts) - F.col("timestamp"))

@@ -63,3 +63,7 @@ SETTLEMENT_STATUS = _struct(("_txnID", L), ("status", S), ("timestamp", L))
 SETTLEMENT_V2 = _struct(("settlement_id", L), ("source_bank", S), ("target_bank", S),
                         ("source_region", S), ("amount", D), ("currency", S),
                         ("timestamp", L), ("status", S), ("_txnID", L))
+
+# SLA monitor entry stream: a payment before it is stamped with its entry time
+PAYMENTS_SLA = _struct(("source_bank", S), ("target_bank", S), ("amount", D),
+                       ("currency", S), ("_txnID", L))

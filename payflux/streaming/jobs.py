@@ -320,6 +320,14 @@ def start_sla_monitor(spark: SparkSession, payer_path: str, out_path: str, check
     return streams.start_json_sink(sla, out_path, checkpoint, available_now)
 
 
+def start_sla_entry(spark: SparkSession, payments_sla_path: str, payments_path: str, checkpoint: str,
+                    available_now: bool = True) -> StreamingQuery:
+    """PaymentsSLA -> Payments stamped with the entry time (the SLA clock start)."""
+    src = streams.read_json_stream(spark, payments_sla_path, schemas.PAYMENTS_SLA)
+    out = clearing.stamp_entry(src).select(*schemas.PAYMENTS.fieldNames())
+    return streams.start_json_sink(out, payments_path, checkpoint, available_now)
+
+
 def start_error_handler(spark: SparkSession, raw_path: str, table_path: str, checkpoint: str,
                         available_now: bool = True) -> StreamingQuery:
     """ErrorStream (whole JSON payloads) -> ErrorTable ``(event, error)`` as parquet."""

@@ -300,3 +300,26 @@ def test_v8_payment_worker_stream_equals_batch(spark, tmp_path):
     assert _rows(rej, cols + ["message"]) == _rows(batch.rejections, cols + ["message"])
     acct = ["_key", "balance", "reserved"]
     assert _rows(bank_state(store), acct) == _rows(batch.banks, acct)
+
+
+def test_sla_entry_stamp_then_latency(spark, tmp_path):
+    """Entry side stamps arrival time; the latency side measures against it."""
+    import time
+
+    from payflux.streaming.jobs import start_sla_entry, start_sla_monitor
+
+    pay = fx.payments(spark, SF_SMALL).drop("timestamp")
+    pay.coalesce(1).write.json(str(tmp_path / "sla_in"))
+    t0 = int(time.time() * 1000)
+    q = start_sla_entry(spark, str(tmp_path / "sla_in"), str(tmp_path / "payments"), str(tmp_path / "ck1"))
+    q.awaitTermination(600)
+    stamped = spark.read.schema(schemas.PAYMENTS).json(str(tmp_path / "payments"))
+    assert stamped.count() == pay.count()
+    assert stamped.filter(F.col("timestamp") < t0).count() == 0
+    conf = stamped.select("_txnID", "source_bank", "target_bank", "amount", "currency",
+                          F.lit("ACCP").alias("status"), "timestamp", F.lit(None).cast("string").alias("message"))
+    conf.coalesce(1).write.json(str(tmp_path / "payer"))
+    q = start_sla_monitor(spark, str(tmp_path / "payer"), str(tmp_path / "sla"), str(tmp_path / "ck2"))
+    q.awaitTermination(600)
+    sla = spark.read.json(str(tmp_path / "sla"))
+    assert sla.count() == pay.count() and sla.filter("latencyMs < 0 OR latencyMs IS NULL").count() == 0
