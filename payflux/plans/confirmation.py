@@ -61,11 +61,13 @@ class ConfirmOutputsV8:
 
 
 def confirmation_worker_v8(confirmations: DataFrame, banks: DataFrame,
-                           cfg: FlowConfig = DEFAULT) -> ConfirmOutputsV8:
+                           cfg: FlowConfig = DEFAULT, ledger_after: str = "target") -> ConfirmOutputsV8:
     """V8 CW: every confirmation of the region credits the payee
     (update-returning on ``_key == target_bank``); only when the payee answers
-    is the payer debited (balance and reserved) and the ledger row written.
-    The status is not consulted."""
+    is the payer debited (balance and reserved). The ledger row hangs off the
+    payee's answer (``ledger_after='target'``, V8) or off the payer's answer
+    too (``'source'``, the per-leg perf rig: both banks must exist). The
+    status is not consulted."""
     mine = confirmations.filter(F.col("source_region") == cfg.home_region)
     credit = mine.select(F.col("target_bank").alias("_key"), F.col("amount").alias("d_balance"),
                          F.lit(0.0).alias("d_reserved"))
@@ -73,6 +75,8 @@ def confirmation_worker_v8(confirmations: DataFrame, banks: DataFrame,
     debit = answered.select(F.col("source_bank").alias("_key"), (-F.col("amount")).alias("d_balance"),
                             (-F.col("amount")).alias("d_reserved"))
     deltas = credit.unionByName(debit)
+    if ledger_after == "source":
+        answered = answered.join(banks.select(F.col("_key").alias("source_bank")), "source_bank", "left_semi")
     ledger = answered.select("source_bank", "target_bank", "amount", "currency", "timestamp",
                              F.lit("settled").alias("status"), "_txnID")
     posted = answered.select("source_bank", "target_bank", "_txnID")

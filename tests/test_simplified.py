@@ -36,3 +36,23 @@ def test_payment_worker_reserves_without_validation(spark):
     reg = simplified.settlement_register(settlements, CFG)
     # Fargo_9 maps to east and NULL to the default (east): neither is this region's
     assert reg.count() == 0
+
+
+def test_v8_confirmation_worker_chains_on_answers(spark):
+    from payflux.plans.confirmation import confirmation_worker_v8
+
+    cfg = FlowConfig(home_region="west")
+    banks = spark.createDataFrame([("A", 100, 10), ("B", 50, 0)], "_key string, balance long, reserved long")
+    conf = spark.createDataFrame(
+        [("A", "B", 10.0, "USD", 1, "west", "failed", 1),    # both exist: posted although 'failed'
+         ("A", "Z", 5.0, "USD", 2, "west", "settled", 2),    # payee unknown: no answer, nothing moves
+         ("Q", "B", 7.0, "USD", 3, "west", "settled", 3),    # payer unknown: payee credited only
+         ("A", "B", 1.0, "USD", 4, "east", "settled", 4)],   # other region
+        "source_bank string, target_bank string, amount double, currency string, timestamp long, "
+        "source_region string, status string, _txnID long")
+    out = confirmation_worker_v8(conf, banks, cfg)
+    got = {r["_key"]: (r["balance"], r["reserved"]) for r in out.banks.collect()}
+    assert got == {"A": (90.0, 0.0), "B": (67.0, 0.0)}
+    assert sorted(r["_txnID"] for r in out.ledger.collect()) == [1, 3]
+    rig = confirmation_worker_v8(conf, banks, cfg, ledger_after="source")
+    assert [r["_txnID"] for r in rig.ledger.collect()] == [1]
