@@ -33,6 +33,13 @@ class PaymentOutputs:
     reserve: DataFrame            # reserve deltas on Banks
     banks: DataFrame              # next Banks snapshot
     checked: DataFrame            # every candidate with failedMsg (after presence)
+    decided: DataFrame | None = None  # fold candidates with ``admitted`` (persisted fan-out)
+
+    def release(self) -> None:
+        """Drop the leg's fan-out caches (once its outputs are written)."""
+        self.checked.unpersist()
+        if self.decided is not None:
+            self.decided.unpersist()
 
 
 def enrich_and_check(payments: DataFrame, banks: DataFrame, presence: DataFrame,
@@ -80,7 +87,9 @@ def payment_worker(payments: DataFrame, banks: DataFrame, recorded: DataFrame,
         "message", F.lit(rules.MSG_NOT_PRESENT))
     rule_failed = checked.filter(F.col("isDevicePresent") & F.col("failedMsg").isNotNull()) \
                          .withColumn("message", F.col("failedMsg"))
-    decided = admit(checked, banks, cfg)
+    # second fan-out point: settlements, requests, reserve deltas and the
+    # funds failures all read the admission decisions
+    decided = admit(checked, banks, cfg).persist(StorageLevel.MEMORY_AND_DISK)
     funds_failed = decided.filter(~F.col("admitted")).withColumn("message", F.lit(rules.MSG_FUNDS))
     admitted_known = decided.filter("admitted").drop("admitted")
 
@@ -103,7 +112,7 @@ def payment_worker(payments: DataFrame, banks: DataFrame, recorded: DataFrame,
         settlements=settlements,
         requests=passed.select(*REQUEST_COLS),
         failed=failed, rejections=rejections, reserve=reserve,
-        banks=accounts.apply_deltas(banks, reserve), checked=checked)
+        banks=accounts.apply_deltas(banks, reserve), checked=checked, decided=decided)
 
 
 def payer_rejections(failed: DataFrame) -> DataFrame:

@@ -132,7 +132,7 @@ def payment_batch(store: TableStore, presence: DataFrame, cfg: FlowConfig,
         if cfg.dedup == "ttl":
             appends["ttl_kept"] = ttl.kept_times(out.checked, "_txnID", "timestamp")
         store.commit(batch_id, appends)
-        out.checked.unpersist()  # the leg's fan-out cache lives for one micro-batch
+        out.release()  # the leg's fan-out caches live for one micro-batch
         banks.unpersist()
 
     return _once(store, body)
