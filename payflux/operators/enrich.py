@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from payflux.config import DEFAULT, FlowConfig
 
@@ -35,13 +36,28 @@ def key_filter(keys: DataFrame, max_rows: int = 1_000_000):
     has at most ``max_rows`` rows, tables are cut by a broadcast semi join -- a
     scan with no shuffle of the table -- so the joins that follow see a small
     side (which AQE then broadcasts). Otherwise tables pass unchanged and the
-    joins shuffle as usual. One check serves every table of the batch.
+    joins shuffle as usual. One check serves every table of the batch. For a
+    numeric key the batch's key range is also applied as a filter the parquet
+    scan pushes down, so history files outside it are skipped by their stats.
     """
     k = keys.select(F.col(keys.columns[0]).alias("_probe_key")).filter(F.col("_probe_key").isNotNull())
-    if k.limit(max_rows + 1).count() > max_rows:
+    numeric = isinstance(k.schema["_probe_key"].dataType, NumericType)
+    stats = [F.count(F.lit(1)).alias("n")]
+    if numeric:
+        stats += [F.min("_probe_key").alias("lo"), F.max("_probe_key").alias("hi")]
+    row = k.limit(max_rows + 1).agg(*stats).first()
+    if row["n"] > max_rows:
         return lambda table, key: table
     kb = F.broadcast(k)
-    return lambda table, key: table.join(kb, F.col(key) == F.col("_probe_key"), "left_semi")
+
+    def cut(table: DataFrame, key: str) -> DataFrame:
+        if numeric and row["n"] > 0:
+            # a key range the parquet scan can use: with ids that grow over
+            # time, files of earlier batches are skipped by their min/max
+            table = table.filter(F.col(key).between(F.lit(row["lo"]), F.lit(row["hi"])))
+        return table.join(kb, F.col(key) == F.col("_probe_key"), "left_semi")
+
+    return cut
 
 
 def restrict_to_keys(table: DataFrame, keys: DataFrame, table_key: str,
