@@ -19,6 +19,11 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
 
 
+# Spark type -> DuckDB type name of the same values
+DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+             "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
@@ -26,6 +31,12 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(SQL[name])
     ok, msg = compare(rows, df.columns, res.fetchall(), [d[0] for d in res.description])
     assert ok, msg
+    # same column types, so value hashes agree too
+    rel = con.sql(SQL[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in df.schema.fields:
+        spark_t = f.dataType.simpleString()
+        assert DUCK_TYPE.get(spark_t, spark_t) == duck_types[f.name], (f.name, spark_t, duck_types[f.name])
 
 
 def test_entry_smoke(spark):
