@@ -13,6 +13,7 @@ from payflux.config import DEFAULT, FlowConfig
 from payflux.functions.scalar import (convert, json_get_double, json_get_string,
                                       lehmer_id, str_concat)
 from payflux.operators import accounts, enrich, rules
+from payflux.operators.dedup import first_per_key
 
 
 def settlement_register(settlements: DataFrame, cfg: FlowConfig = DEFAULT,
@@ -73,15 +74,27 @@ def settlement_cache_json() -> "F.Column":
                       "','s':'active'}")
 
 
-def v8_register(settlements: DataFrame, cfg: FlowConfig = DEFAULT,
-                region: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """SW (V8) insert-returning: Settlement rows keyed by txn and cache entries."""
+def v8_register(settlements: DataFrame, cfg: FlowConfig = DEFAULT, region: str | None = None,
+                keyed: bool = True, existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """SW (V8) insert-returning: Settlement rows keyed by txn and cache entries.
+
+    The insert sets ``_key = txnID``: a second insert of a key fails and
+    returns nothing, so only the first settlement per transaction (by time)
+    is registered, cached and sent on, and keys already in ``existing`` are
+    not registered again. ``keyed=False`` skips that step (the streaming
+    cache side, which cannot aggregate ahead of a stream-stream join; a
+    later copy's entry never falls in the TTL window of the registered one).
+    """
     cond = F.col("target_region").isNotNull() if region is None else F.col("target_region") == region
     rows = settlements.filter(cond).select(
         F.col("_txnID").cast("string").alias("_key"),
         lehmer_id(F.col("_txnID")).alias("settlement_id"),
         "source_bank", "target_bank", "source_region", "target_region", "amount", "currency",
         "timestamp", F.lit("active").alias("status"), "_txnID")
+    if keyed:
+        rows = first_per_key(rows, "_key", ["timestamp"])
+    if existing is not None:
+        rows = rows.join(existing.select("_key"), "_key", "left_anti")
     cache = rows.select(F.col("_txnID"), settlement_cache_json().alias("json"),
                         F.col("timestamp").alias("put_ts"))
     return rows, cache

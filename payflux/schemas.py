@@ -67,3 +67,10 @@ SETTLEMENT_V2 = _struct(("settlement_id", L), ("source_bank", S), ("target_bank"
 # SLA monitor entry stream: a payment before it is stamped with its entry time
 PAYMENTS_SLA = _struct(("source_bank", S), ("target_bank", S), ("amount", D),
                        ("currency", S), ("_txnID", L))
+
+# V8 Confirmations (SW2 -> CW) and V8 Ledger rows
+CONFIRMATIONS_V8 = _struct(("source_bank", S), ("target_bank", S), ("source_region", S),
+                           ("target_region", S), ("amount", D), ("currency", S),
+                           ("timestamp", L), ("status", S), ("_txnID", L))
+LEDGER_V8 = _struct(("source_bank", S), ("target_bank", S), ("amount", D), ("currency", S),
+                    ("timestamp", L), ("status", S), ("_txnID", L))

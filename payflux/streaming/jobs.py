@@ -215,7 +215,9 @@ def v8_register_batch(store: TableStore, cfg: FlowConfig, sinks: dict[str, str],
     """V8 SW, first half: insert-returning of Settlement rows, then Transfers."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        rows, _ = settlement.v8_register(batch, cfg, region)
+        # keyed insert: transactions registered by earlier batches are not inserted again
+        existing = settlement_v8_state(store, enrich.key_filter(batch.select("_txnID")))
+        rows, _ = settlement.v8_register(batch, cfg, region, existing=existing)
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         _sink(settlement.transfers(rows), sinks["transfers"], batch_id)
         store.commit(batch_id, {"settlement_v8": rows})
@@ -270,7 +272,7 @@ def start_v8_settlement_worker(spark: SparkSession, settlements_path: str, payee
         return _start(settlements(), body, checkpoints["register"], available_now)
 
     def start_confirm() -> StreamingQuery:
-        _, cache = settlement.v8_register(settlements(), cfg, region)
+        _, cache = settlement.v8_register(settlements(), cfg, region, keyed=False)
         payee = streams.read_json_stream(spark, payee_path, schemas.PAYEE_CONFIRMATIONS,
                                          max_files_per_trigger)
         joined = settlement.cache_join(payee, cache, cfg.ttl_ms, watermark_ms or 2 * cfg.ttl_ms)
@@ -309,6 +311,32 @@ def start_confirmation_worker(spark: SparkSession, confirmations_path: str, stor
     return _start(src, confirmation_batch(store.for_job("cw"), cfg, sinks), checkpoint, available_now)
 
 
+def confirmation_v8_batch(store: TableStore, cfg: FlowConfig, sinks: dict[str, str],
+                          ledger_after: str = "target") -> BatchFn:
+    """V8 CW: credit the payee (update-returning), then debit the payer and
+    write the ledger for the answered ones. A transaction already in the
+    ledger is not posted again."""
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        banks = bank_state(store, enrich.key_filter(_bank_keys(batch))).persist(StorageLevel.MEMORY_AND_DISK)
+        posted = enrich.restrict_to_keys(store.appended("ledger_v8", schemas.LEDGER_V8),
+                                         batch.select("_txnID"), "_txnID")
+        out = confirmation.confirmation_worker_v8(dedup_durable(batch, posted), banks, cfg, ledger_after)
+        _sink(out.posted, sinks["output"], batch_id)
+        store.commit(batch_id, {"ledger_v8": out.ledger, "bank_deltas": out.deltas})
+        banks.unpersist()
+
+    return _once(store, body)
+
+
+def start_confirmation_worker_v8(spark: SparkSession, confirmations_path: str, store: TableStore,
+                                 sinks: dict[str, str], checkpoint: str, cfg: FlowConfig = DEFAULT,
+                                 ledger_after: str = "target", available_now: bool = True) -> StreamingQuery:
+    src = streams.read_json_stream(spark, confirmations_path, schemas.CONFIRMATIONS_V8)
+    body = confirmation_v8_batch(store.for_job("cw8"), cfg, sinks, ledger_after)
+    return _start(src, body, checkpoint, available_now)
+
+
 # --------------------------------------------------------------------------- side jobs
 
 def start_sla_monitor(spark: SparkSession, payer_path: str, out_path: str, checkpoint: str,

@@ -323,3 +323,48 @@ def test_sla_entry_stamp_then_latency(spark, tmp_path):
     q.awaitTermination(600)
     sla = spark.read.json(str(tmp_path / "sla"))
     assert sla.count() == pay.count() and sla.filter("latencyMs < 0 OR latencyMs IS NULL").count() == 0
+
+
+def test_v8_flow_stream_equals_batch(spark, tmp_path):
+    """The V8 variant end to end as streams: PW (TTL dedup), SW register, Bank B,
+    SW confirm (stream-stream cache join), CW (payee-gated posting)."""
+    from payflux.catalog import V8
+    from payflux.plans import confirmation, settlement
+    from payflux.streaming.jobs import (start_bank_b, start_confirmation_worker_v8,
+                                        start_v8_settlement_worker)
+
+    pay = fx.payment_resends(spark, SF_SMALL)
+    banks, presence = fx.banks(spark, SF_SMALL), fx.presence(spark, SF_SMALL)
+    src = _write_chunks(pay, str(tmp_path / "payments"), "timestamp", n=3)
+    store = TableStore(spark, str(tmp_path / "store"))
+    store.seed({"banks": banks})
+    d = str(tmp_path)
+    legs = [
+        lambda: start_payment_worker(spark, src, store, presence,
+                                     {"settlements": f"{d}/settlements", "payer_confirmations": f"{d}/payer"},
+                                     f"{d}/ck_pw", V8, max_files_per_trigger=1),
+    ]
+    v8 = start_v8_settlement_worker(spark, f"{d}/settlements", f"{d}/payee", store,
+                                    {"transfers": f"{d}/transfers", "confirmations": f"{d}/conf"},
+                                    {"register": f"{d}/ck_reg", "confirm": f"{d}/ck_conf"}, V8)
+    legs += [v8["register"],
+             lambda: start_bank_b(spark, f"{d}/transfers", f"{d}/payee", f"{d}/ck_b"),
+             v8["confirm"],
+             lambda: start_confirmation_worker_v8(spark, f"{d}/conf", store, {"output": f"{d}/out"},
+                                                  f"{d}/ck_cw", V8)]
+    for start in legs:
+        q = start()
+        q.awaitTermination(900)
+        assert q.exception() is None
+
+    empty = spark.createDataFrame([], schemas.PAYMENT_REQUESTS)
+    pw = payment.payment_worker(pay, banks, empty, presence, V8)
+    rows, cache = settlement.v8_register(pw.settlements, V8)
+    payee = settlement.bank_b_accept(settlement.transfers(rows))
+    conf, _ = settlement.v8_confirm(settlement.v8_validate(settlement.cache_lookup(payee, cache, rows)), rows)
+    cw = confirmation.confirmation_worker_v8(conf, pw.banks, V8)
+    acct = ["_key", "balance", "reserved"]
+    assert _rows(bank_state(store), acct) == _rows(cw.banks, acct)
+    led = store.appended("ledger_v8", schemas.LEDGER_V8)
+    assert _rows(led, schemas.LEDGER_V8.fieldNames()) == _rows(cw.ledger, schemas.LEDGER_V8.fieldNames())
+    assert led.count() > 0
