@@ -253,6 +253,13 @@ def q_v8_payment_worker(spark, sf):
     return ok.unionByName(bad)
 
 
+def q_v8_flow(spark, sf):
+    """V8 variant end to end over re-sent payments: Banks after every leg."""
+    out = clearing.clearing_flow_v8(fx.payment_resends(spark, sf), fx.banks(spark, sf),
+                                    fx.presence(spark, sf), V8)
+    return out.banks.select(*ACCOUNT_COLS)
+
+
 def q_failed_union(spark, sf):
     return _pw(spark, sf).failed
 

@@ -176,6 +176,21 @@ _FIX: dict[str, tuple[tuple[str, ...], str]] = {
   FROM v8_fold f JOIN v8_cand k ON k.source_bank = f.source_bank AND k.rn = f.rn + 1"""),
     "v8_decided": (("v8_cand", "v8_fold"), """
   SELECT c.*, f.admitted FROM v8_cand c JOIN v8_fold f USING (source_bank, rn)"""),
+    # ---- V8 end to end: register (first per txn), Bank B, cache-else-table, validate, CW
+    "v8f_reg": (("v8_decided",), """
+  SELECT * FROM (
+    SELECT source_bank, target_bank, source_region, target_region, amount, currency, timestamp, _txnID,
+           CAST(_txnID AS VARCHAR) AS _key,
+           row_number() OVER (PARTITION BY _txnID ORDER BY timestamp) AS _first
+    FROM v8_decided WHERE admitted AND target_region IS NOT NULL) x
+  WHERE _first = 1"""),
+    # Bank B echoes the registered row at its own time, so a cache hit and a
+    # table miss both load that same row: every rule compares equal values and
+    # only "not found" (a NULL source bank) can fail; ACCP maps to 'settled'
+    "v8f_conf": (("v8f_reg",), """
+  SELECT source_bank, target_bank, source_region, target_region, amount, currency, timestamp,
+         'settled' AS status, _txnID
+  FROM v8f_reg WHERE source_bank IS NOT NULL"""),
     # ---- V8 SW2 tail: validated settlements whose status update answered
     "v8_conf": (("v8_loaded", "settlement"), """
         SELECT loaded_source_bank AS source_bank, loaded_target_bank AS target_bank,
@@ -339,6 +354,13 @@ def oracle_sql() -> dict[str, str]:
                     ELSE NULL END AS failedMsg
         FROM v8_loaded""")
     q["v8_confirmations"] = W(("v8_conf",), "SELECT * FROM v8_conf")
+    v8_mine = "(SELECT * FROM v8f_conf WHERE source_region = '" + HOME + "')"
+    q["v8_flow"] = W(("banks", "v8_decided", "v8f_conf"), _DELTA_APPLY.format(
+        base="banks", deltas=f"""SELECT source_bank AS _key, 0.0 AS d_balance, amt AS d_reserved
+    FROM v8_decided WHERE admitted
+    UNION ALL SELECT target_bank, amount, 0.0 FROM {v8_mine} m
+    UNION ALL SELECT source_bank, -amount, -amount FROM {v8_mine} m
+    WHERE EXISTS (SELECT 1 FROM banks b WHERE b._key = m.target_bank)"""))
     mine = "(SELECT * FROM v8_conf WHERE source_region = '" + HOME + "')"
     q["v8_confirm_worker"] = W(("banks", "v8_conf"), _DELTA_APPLY.format(
         base="banks", deltas=f"""SELECT target_bank AS _key, amount AS d_balance, 0.0 AS d_reserved FROM {mine} m

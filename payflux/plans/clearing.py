@@ -53,3 +53,31 @@ def stamp_entry(payments: DataFrame, now=None) -> DataFrame:
 def sla_latency(confirmed: DataFrame, confirm_ts: str = "confirm_ts") -> DataFrame:
     """SLA monitor: latency of a confirmation against the payment's entry stamp."""
     return confirmed.withColumn("latencyMs", F.col(confirm_ts) - F.col("timestamp"))
+
+
+@dataclass
+class ClearingOutputsV8:
+    pw: payment.PaymentOutputs
+    registered: DataFrame
+    payee: DataFrame
+    confirmations: DataFrame
+    cw: confirmation.ConfirmOutputsV8
+    banks: DataFrame
+
+
+def clearing_flow_v8(payments: DataFrame, banks: DataFrame, presence: DataFrame,
+                     cfg: FlowConfig | None = None) -> ClearingOutputsV8:
+    """The V8 variant end to end: PW (TTL dedup, drop unknown banks), SW
+    register (keyed insert + cache), Bank B, SW confirm (cache-else-table,
+    validation, status update-returning), CW (payee-gated posting)."""
+    from payflux.config import FlowConfig as _FC
+
+    cfg = cfg or _FC(dedup="ttl", presence_check=False, unknown_bank="drop")
+    empty = payments.sparkSession.createDataFrame([], "_txnID long")
+    pw = payment.payment_worker(payments, banks, empty, presence, cfg)
+    registered, cache = settlement.v8_register(pw.settlements, cfg)
+    payee = settlement.bank_b_accept(settlement.transfers(registered))
+    loaded = settlement.cache_lookup(payee, cache, registered, cfg.ttl_ms)
+    confirmations, _ = settlement.v8_confirm(settlement.v8_validate(loaded), registered)
+    cw = confirmation.confirmation_worker_v8(confirmations, pw.banks, cfg)
+    return ClearingOutputsV8(pw, registered, payee, confirmations, cw, cw.banks)

@@ -329,7 +329,6 @@ def test_v8_flow_stream_equals_batch(spark, tmp_path):
     """The V8 variant end to end as streams: PW (TTL dedup), SW register, Bank B,
     SW confirm (stream-stream cache join), CW (payee-gated posting)."""
     from payflux.catalog import V8
-    from payflux.plans import confirmation, settlement
     from payflux.streaming.jobs import (start_bank_b, start_confirmation_worker_v8,
                                         start_v8_settlement_worker)
 
@@ -357,12 +356,8 @@ def test_v8_flow_stream_equals_batch(spark, tmp_path):
         q.awaitTermination(900)
         assert q.exception() is None
 
-    empty = spark.createDataFrame([], schemas.PAYMENT_REQUESTS)
-    pw = payment.payment_worker(pay, banks, empty, presence, V8)
-    rows, cache = settlement.v8_register(pw.settlements, V8)
-    payee = settlement.bank_b_accept(settlement.transfers(rows))
-    conf, _ = settlement.v8_confirm(settlement.v8_validate(settlement.cache_lookup(payee, cache, rows)), rows)
-    cw = confirmation.confirmation_worker_v8(conf, pw.banks, V8)
+    from payflux.plans import clearing
+    cw = clearing.clearing_flow_v8(pay, banks, presence, V8).cw
     acct = ["_key", "balance", "reserved"]
     assert _rows(bank_state(store), acct) == _rows(cw.banks, acct)
     led = store.appended("ledger_v8", schemas.LEDGER_V8)
