@@ -74,3 +74,9 @@ CONFIRMATIONS_V8 = _struct(("source_bank", S), ("target_bank", S), ("source_regi
                            ("timestamp", L), ("status", S), ("_txnID", L))
 LEDGER_V8 = _struct(("source_bank", S), ("target_bank", S), ("amount", D), ("currency", S),
                     ("timestamp", L), ("status", S), ("_txnID", L))
+
+# simplified flow (V3/V4): Settlements carry only the source region
+SETTLEMENTS_SIMPLE = _struct(("source_bank", S), ("target_bank", S), ("source_region", S),
+                             ("amount", D), ("currency", S), ("timestamp", L), ("_txnID", L))
+LEDGER_SIMPLE = _struct(("_key", S), ("source_bank", S), ("target_bank", S), ("amount", D),
+                        ("currency", S), ("timestamp", L), ("status", S))

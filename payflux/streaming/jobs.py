@@ -402,3 +402,62 @@ def run_clearing_stream(spark: SparkSession, payments_path: str, store: TableSto
         if q.exception() is not None:
             raise RuntimeError(f"leg {q.name or q.id} failed") from q.exception()
     return p
+
+
+# --------------------------------------------------------------------------- simplified flow (V3/V4)
+
+def start_simplified_flow(spark: SparkSession, payments_path: str, store: TableStore,
+                          root: str, cfg: FlowConfig = DEFAULT, max_files_per_trigger: int | None = None,
+                          timeout_s: int = 900) -> ClearingPaths:
+    """Drain the simplified variant once, each leg its own query: PW (reserve
+    every payment), SW1 (name-derived target region), Bank B, SW2 (status +
+    name-derived source region), CW (post every in-region confirmation)."""
+    from payflux.plans import simplified
+
+    p = ClearingPaths(root.rstrip("/"))
+
+    def pw(batch: DataFrame, batch_id: int) -> None:
+        banks = bank_state(store, enrich.key_filter(_bank_keys(batch))).persist(StorageLevel.MEMORY_AND_DISK)
+        settlements, requests, reserve, _ = simplified.payment_worker(batch, banks, cfg)
+        _sink(settlements, p.settlements, batch_id)
+        store.for_job("pw_s").commit(batch_id, {"requests_s": requests, "bank_deltas": reserve})
+        banks.unpersist()
+
+    def sw1(batch: DataFrame, batch_id: int) -> None:
+        reg = simplified.settlement_register(batch, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+        _sink(settlement.transfers(reg), p.transfers, batch_id)
+        store.for_job("sw1_s").commit(batch_id, {"settlement_s": reg})
+        reg.unpersist()
+
+    def sw2(batch: DataFrame, batch_id: int) -> None:
+        conf = simplified.settlement_confirm(batch, cfg)
+        _sink(conf, p.confirmations, batch_id)
+        store.for_job("sw2_s").commit(batch_id, {"settlement_s_status": settlement.status_updates(conf)})
+
+    def cw(batch: DataFrame, batch_id: int) -> None:
+        banks = bank_state(store, enrich.key_filter(_bank_keys(batch))).persist(StorageLevel.MEMORY_AND_DISK)
+        posted = enrich.restrict_to_keys(store.appended("ledger_s", schemas.LEDGER_SIMPLE),
+                                         batch.select(F.col("_txnID").cast("string")), "_key")
+        fresh = batch.join(posted.select(F.col("_key").cast("long").alias("_txnID")), "_txnID", "left_anti")
+        ledger, payer, deltas, _ = simplified.confirmation_worker(fresh, banks, cfg)
+        _sink(payer, p.payer, batch_id)
+        store.for_job("cw_s").commit(batch_id, {"ledger_s": ledger, "bank_deltas": deltas})
+        banks.unpersist()
+
+    def foreach(path, schema, body, ckpt, job, files=None):
+        src = streams.read_json_stream(spark, path, schema, files)
+        return _start(src, _once(store.for_job(job), body), ckpt, True)
+
+    legs = [
+        lambda: foreach(payments_path, schemas.PAYMENTS, pw, p.ckpt_pw, "pw_s", max_files_per_trigger),
+        lambda: foreach(p.settlements, schemas.SETTLEMENTS_SIMPLE, sw1, p.ckpt_sw1, "sw1_s"),
+        lambda: start_bank_b(spark, p.transfers, p.payee, p.ckpt_bank_b),
+        lambda: foreach(p.payee, schemas.PAYEE_CONFIRMATIONS, sw2, p.ckpt_sw2, "sw2_s"),
+        lambda: foreach(p.confirmations, schemas.CONFIRMATIONS, cw, p.ckpt_cw, "cw_s"),
+    ]
+    for start in legs:
+        q = start()
+        q.awaitTermination(timeout_s)
+        if q.exception() is not None:
+            raise RuntimeError("simplified leg failed") from q.exception()
+    return p

@@ -363,3 +363,23 @@ def test_v8_flow_stream_equals_batch(spark, tmp_path):
     led = store.appended("ledger_v8", schemas.LEDGER_V8)
     assert _rows(led, schemas.LEDGER_V8.fieldNames()) == _rows(cw.ledger, schemas.LEDGER_V8.fieldNames())
     assert led.count() > 0
+
+
+def test_simplified_flow_stream_equals_batch(spark, tmp_path):
+    from payflux.catalog import SIMPLE
+    from payflux.plans import simplified
+    from payflux.streaming.jobs import start_simplified_flow
+
+    pay = fx.payments(spark, SF_SMALL)
+    banks = fx.banks(spark, SF_SMALL)
+    src = _write_chunks(pay, str(tmp_path / "payments"), "timestamp")
+    store = TableStore(spark, str(tmp_path / "store"))
+    store.seed({"banks": banks})
+    start_simplified_flow(spark, src, store, str(tmp_path / "flow"), SIMPLE, max_files_per_trigger=1)
+
+    want = simplified.simplified_flow(pay, banks, SIMPLE)
+    acct = ["_key", "balance", "reserved"]
+    assert _rows(bank_state(store), acct) == _rows(want.banks, acct)
+    got_ledger = store.appended("ledger_s", schemas.LEDGER_SIMPLE)
+    assert _rows(got_ledger, simplified.LEDGER_COLS) == _rows(want.ledger, simplified.LEDGER_COLS)
+    assert got_ledger.count() > 0
