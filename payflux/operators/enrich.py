@@ -4,6 +4,7 @@ The bank table grows with the data (one row per account), so it is never
 broadcast blindly: ``bounded_broadcast`` hints a broadcast only after proving
 the side has at most ``max_rows`` rows; otherwise Catalyst/AQE choose the join
 (AQE still converts to a broadcast at run time when the shuffled side is small).
+A micro-batch instead cuts the big table to its own keys first (``key_filter``).
 """
 
 from __future__ import annotations
@@ -25,9 +26,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-KeyFilter = "Callable[[DataFrame, str], DataFrame]"
-
-
 def key_filter(keys: DataFrame, max_rows: int = 1_000_000):
     """A function ``(table, key) -> rows of table whose key occurs in keys``.
 
