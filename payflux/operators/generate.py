@@ -16,6 +16,11 @@ SEED_BRANDS = [
     ("Chase_", "Fargo_", "cleaninghouse-us-west-1"),
     ("Fargo_", "Fargo_", "cleaninghouse-us-east-1"),
 ]
+# the simplified (V4) seeding names Chase keys after their own brand
+SEED_BRANDS_V4 = [
+    ("Chase_", "Chase_", "cleaninghouse-us-west-1"),
+    ("Fargo_", "Fargo_", "cleaninghouse-us-east-1"),
+]
 
 # Generator regions, payments per feed, amount and currency.
 FEED_REGIONS = ["west", "central", "east", "southeast"]
@@ -24,7 +29,7 @@ FEED_AMOUNT = 100.0
 
 
 def seed_banks(ticks: DataFrame, existing: DataFrame, count_col: str = "c",
-               modulus: int = SEED_MODULUS) -> DataFrame:
+               modulus: int = SEED_MODULUS, brands: list | None = None) -> DataFrame:
     """Keyed insert of seed banks: keys repeat (``c % modulus``); the first row
     per key wins and keys already in the table are left alone."""
     c = F.col(count_col)
@@ -33,7 +38,7 @@ def seed_banks(ticks: DataFrame, existing: DataFrame, count_col: str = "c",
         str_concat(kp, idx).alias("_key"), idx.alias("uuid"), str_concat(np_, idx).alias("name"),
         F.lit(SEED_BALANCE).cast("bigint").alias("balance"), F.lit(0).cast("bigint").alias("reserved"),
         F.lit("USD").alias("currency"), F.lit(region).alias("region"), c.alias("_c"))
-        for kp, np_, region in SEED_BRANDS]
+        for kp, np_, region in (brands or SEED_BRANDS)]
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
