@@ -65,3 +65,17 @@ def test_ttl_hot_path_matches_model(spark, rows):
     got = {(r["_txnID"], r["timestamp"], r["attempt"]) for r in
            ttl_first_seen(df, ttl_ms=5000, group_rows=2).filter("kept").collect()}
     assert got == _ttl_model(data, 5000)
+
+
+events = st.lists(st.integers(0, 5), min_size=1, max_size=60)
+
+
+@FEW
+@given(events, st.integers(1, 5))
+def test_running_count_matches_model(spark, times, parts):
+    from payflux.operators.generate import running_count
+
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(times)], "t long, c long")
+    got = {r["c"]: r["count"] for r in running_count(df, "t", "c", "count", partitions=parts).collect()}
+    want = {c: n for n, (t, c) in enumerate(sorted((t, i) for i, t in enumerate(times)), start=1)}
+    assert got == want
