@@ -7,7 +7,8 @@ shared table in place, every job only *appends* rows or signed deltas, and the
 current state is a Spark aggregation over what is committed:
 
 * ``<table>/job=<job>/batch=<id>/``   rows appended by batch ``id`` of ``job``;
-* ``_commits/job=<job>/batch=<id>/``  the commit record, written last;
+* ``_commits/job=<job>/range=<r>/batch=<id>/``  the commit record, written
+  last (``r`` = id div ``range_size``); ``_jobs/job=<job>`` registers a job;
 * ``_bases/<table>/v=<n>/``           a compacted base version of a state
   table plus the per-job batch it covers (``covered``).
 
@@ -21,6 +22,7 @@ Hadoop-compatible folder (on a cluster: under ``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
+import re
 from typing import Callable
 
 from pyspark.errors import AnalysisException
@@ -28,19 +30,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-LOG_SCHEMA = "committed_at timestamp, job string, batch long"
 COVERED_SCHEMA = "job string, upto long"
 
 
+# (store base, job) -> latest commit range seen by this process
+_RANGE_HINT: dict[tuple[str, str], int] = {}
+
+
 class TableStore:
-    def __init__(self, spark: SparkSession, base: str, job: str = "main"):
+    def __init__(self, spark: SparkSession, base: str, job: str = "main", range_size: int = 1000):
         self.spark = spark
         self.base = base.rstrip("/")
         self.job = job
+        self.range_size = range_size
 
     def for_job(self, job: str) -> "TableStore":
         """The same store as seen by another job (its own commit namespace)."""
-        return TableStore(self.spark, self.base, job)
+        return TableStore(self.spark, self.base, job, self.range_size)
 
     def _path(self, *parts) -> str:
         return "/".join([self.base, *[str(p) for p in parts]])
@@ -52,24 +58,52 @@ class TableStore:
             return None
 
     # ------------------------------------------------------------------ commit log
+    #
+    # Commit records live under ``_commits/job=<job>/range=<id div range_size>/
+    # batch=<id>`` and every job is registered once under ``_jobs/job=<job>``.
+    # Bookkeeping lists files only (``DataFrame.inputFiles``, no Spark job):
+    # a job's last commit is read from its latest range folder, found from a
+    # per-process hint by probing upwards, so the cost per micro-batch does not
+    # grow with the number of batches ever committed.
+
+    def _files(self, *parts) -> list[str]:
+        try:
+            return self.spark.read.schema("committed_at timestamp").parquet(self._path(*parts)).inputFiles()
+        except AnalysisException:  # no such folder (yet)
+            return []
 
-    def commit_log(self) -> DataFrame:
-        """``(job, upto)``: the last committed batch of every job."""
-        log = self._read(LOG_SCHEMA, "_commits")
-        if log is None:
-            return self.spark.createDataFrame([], COVERED_SCHEMA)
-        return log.groupBy("job").agg(F.max("batch").alias("upto"))
+    @staticmethod
+    def _ids(files: list[str], name: str) -> list[int]:
+        return [int(m.group(1)) for f in files for m in [re.search(rf"/{name}=(-?\d+)/", f)] if m]
+
+    def _jobs(self) -> list[str]:
+        return sorted({m.group(1) for f in self._files("_jobs")
+                       for m in [re.search(r"/job=([^/]+)/", f)] if m})
 
     def last_commit(self, job: str | None = None) -> int | None:
-        """Last committed batch of ``job``: lists only that job's commit folder."""
-        path = self._path("_commits", f"job={job or self.job}")
-        try:
-            log = (self.spark.read.schema("committed_at timestamp, batch long")
-                   .option("basePath", path).parquet(path))
-        except AnalysisException:  # the job never committed
+        """Last committed batch of ``job``."""
+        job = job or self.job
+        key = (self.base, job)
+        r = _RANGE_HINT.get(key)
+        if r is not None:
+            while self._files("_commits", f"job={job}", f"range={r + 1}"):
+                r += 1
+            ids = self._ids(self._files("_commits", f"job={job}", f"range={r}"), "batch")
+            if ids:
+                _RANGE_HINT[key] = r
+                return max(ids)
+        # first look in this process (or a range without records): list the job once
+        ids = self._ids(self._files("_commits", f"job={job}"), "batch")
+        if not ids:
             return None
-        row = log.agg(F.max("batch").alias("b")).first()
-        return None if row is None or row["b"] is None else int(row["b"])
+        _RANGE_HINT[key] = max(ids) // self.range_size
+        return max(ids)
+
+    def commit_log(self) -> DataFrame:
+        """``(job, upto)``: the last committed batch of every job (one row per
+        job, built on the driver from file listings)."""
+        rows = [(j, b) for j in self._jobs() for b in [self.last_commit(j)] if b is not None]
+        return self.spark.createDataFrame(rows, COVERED_SCHEMA)
 
     def commit(self, batch_id: int, appends: dict[str, DataFrame]) -> bool:
         """Write every table of the batch, then the commit record (last).
@@ -82,8 +116,13 @@ class TableStore:
             return False
         for name, df in appends.items():
             df.write.mode("overwrite").parquet(self._path(name, f"job={self.job}", f"batch={batch_id}"))
+        if last is None:  # register the job (idempotent)
+            self.spark.range(1).select(F.lit(self.job).alias("name")).write.mode("overwrite") \
+                .parquet(self._path("_jobs", f"job={self.job}"))
+        r = batch_id // self.range_size
         self.spark.range(1).select(F.current_timestamp().alias("committed_at")).write \
-            .mode("overwrite").parquet(self._path("_commits", f"job={self.job}", f"batch={batch_id}"))
+            .mode("overwrite").parquet(self._path("_commits", f"job={self.job}", f"range={r}", f"batch={batch_id}"))
+        _RANGE_HINT[(self.base, self.job)] = max(r, _RANGE_HINT.get((self.base, self.job), r))
         return True
 
     def is_committed(self, batch_id: int) -> bool:
