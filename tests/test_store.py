@@ -27,3 +27,29 @@ def test_commits_across_ranges_and_jobs(spark, tmp_path):
     store_mod._RANGE_HINT.clear()
     st2 = TableStore(spark, str(tmp_path / "s"), job="a", range_size=3)
     assert st2.last_commit() == 40 and st2.is_committed(39) and not st2.is_committed(41)
+
+
+def test_ttl_state_compaction_keeps_results(spark, tmp_path):
+    """TTL dedup over two micro-batches with a compaction (dropping expired
+    keys) in between gives the batch operator's result."""
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from payflux.operators.dedup import dedup_ttl
+    from payflux.sources import fixtures as fx
+    from payflux.streaming import ttl
+
+    rows = fx.payment_retries(spark, SF_SMALL).select("_txnID", "attempt", "timestamp")
+    mid = rows.agg(F.expr("percentile_approx(timestamp, 0.5)")).first()[0]
+    first, second = rows.filter(F.col("timestamp") < mid), rows.filter(F.col("timestamp") >= mid)
+    st = TableStore(spark, str(tmp_path / "s"), job="ttl")
+    ttl.ensure_ttl_state(st, rows, "_txnID")
+    run = ttl.ttl_dedup_batch(st, "_txnID", "timestamp", "attempt", 5000, str(tmp_path / "kept"))
+    run(first, 0)
+    # keys last kept before mid - ttl can no longer suppress anything of the second batch
+    assert ttl.compact_ttl_state(st, rows, "_txnID", mid - 5000) == 1
+    run(second, 1)
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "kept"))
+                 .select("_txnID", "attempt", "timestamp").collect())
+    want = sorted(tuple(r) for r in dedup_ttl(rows).select("_txnID", "attempt", "timestamp").collect())
+    assert got == want
