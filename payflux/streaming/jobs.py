@@ -461,3 +461,31 @@ def start_simplified_flow(spark: SparkSession, payments_path: str, store: TableS
         if q.exception() is not None:
             raise RuntimeError("simplified leg failed") from q.exception()
     return p
+
+
+def run_clearing_stream_v8(spark: SparkSession, payments_path: str, store: TableStore,
+                           presence: DataFrame, root: str, cfg: FlowConfig,
+                           max_files_per_trigger: int | None = None,
+                           timeout_s: int = 900) -> ClearingPaths:
+    """Drain the V8 flow once, in order: PW (TTL dedup across batches), SW
+    register, Bank B, SW confirm (stream-stream cache join), CW."""
+    p = ClearingPaths(root.rstrip("/"))
+    v8 = start_v8_settlement_worker(spark, p.settlements, p.payee, store,
+                                    {"transfers": p.transfers, "confirmations": p.confirmations},
+                                    {"register": p.ckpt_reg, "confirm": p.ckpt_conf}, cfg)
+    legs = [
+        lambda: start_payment_worker(spark, payments_path, store, presence,
+                                     {"settlements": p.settlements, "payer_confirmations": f"{p.payer}/job=pw"},
+                                     p.ckpt_pw, cfg, max_files_per_trigger),
+        v8["register"],
+        lambda: start_bank_b(spark, p.transfers, p.payee, p.ckpt_bank_b),
+        v8["confirm"],
+        lambda: start_confirmation_worker_v8(spark, p.confirmations, store, {"output": p.output},
+                                             p.ckpt_cw, cfg),
+    ]
+    for start in legs:
+        q = start()
+        q.awaitTermination(timeout_s)
+        if q.exception() is not None:
+            raise RuntimeError("V8 leg failed") from q.exception()
+    return p

@@ -329,32 +329,14 @@ def test_v8_flow_stream_equals_batch(spark, tmp_path):
     """The V8 variant end to end as streams: PW (TTL dedup), SW register, Bank B,
     SW confirm (stream-stream cache join), CW (payee-gated posting)."""
     from payflux.catalog import V8
-    from payflux.streaming.jobs import (start_bank_b, start_confirmation_worker_v8,
-                                        start_v8_settlement_worker)
+    from payflux.streaming.jobs import run_clearing_stream_v8
 
     pay = fx.payment_resends(spark, SF_SMALL)
     banks, presence = fx.banks(spark, SF_SMALL), fx.presence(spark, SF_SMALL)
     src = _write_chunks(pay, str(tmp_path / "payments"), "timestamp", n=3)
     store = TableStore(spark, str(tmp_path / "store"))
     store.seed({"banks": banks})
-    d = str(tmp_path)
-    legs = [
-        lambda: start_payment_worker(spark, src, store, presence,
-                                     {"settlements": f"{d}/settlements", "payer_confirmations": f"{d}/payer"},
-                                     f"{d}/ck_pw", V8, max_files_per_trigger=1),
-    ]
-    v8 = start_v8_settlement_worker(spark, f"{d}/settlements", f"{d}/payee", store,
-                                    {"transfers": f"{d}/transfers", "confirmations": f"{d}/conf"},
-                                    {"register": f"{d}/ck_reg", "confirm": f"{d}/ck_conf"}, V8)
-    legs += [v8["register"],
-             lambda: start_bank_b(spark, f"{d}/transfers", f"{d}/payee", f"{d}/ck_b"),
-             v8["confirm"],
-             lambda: start_confirmation_worker_v8(spark, f"{d}/conf", store, {"output": f"{d}/out"},
-                                                  f"{d}/ck_cw", V8)]
-    for start in legs:
-        q = start()
-        q.awaitTermination(900)
-        assert q.exception() is None
+    run_clearing_stream_v8(spark, src, store, presence, str(tmp_path / "flow"), V8, max_files_per_trigger=1)
 
     from payflux.plans import clearing
     cw = clearing.clearing_flow_v8(pay, banks, presence, V8).cw
