@@ -365,3 +365,53 @@ def test_simplified_flow_stream_equals_batch(spark, tmp_path):
     got_ledger = store.appended("ledger_s", schemas.LEDGER_SIMPLE)
     assert _rows(got_ledger, simplified.LEDGER_COLS) == _rows(want.ledger, simplified.LEDGER_COLS)
     assert got_ledger.count() > 0
+
+
+def test_payment_worker_survives_failure_before_commit(spark, tmp_path):
+    """Batch 1 dies after writing its sinks and table files but before its
+    commit record; the restarted query replays it and the final state equals
+    the batch result (uncommitted files are invisible, then overwritten)."""
+    from payflux.streaming.jobs import payment_batch
+
+    class LosesCommit(TableStore):
+        lost = False
+
+        def commit(self, batch_id, appends):
+            if batch_id == 1 and not LosesCommit.lost:
+                for name, df in appends.items():
+                    df.write.mode("overwrite").parquet(self._path(name, f"job={self.job}", f"batch={batch_id}"))
+                LosesCommit.lost = True
+                raise RuntimeError("driver lost before the commit record")
+            return super().commit(batch_id, appends)
+
+    pay = fx.payments(spark, SF_SMALL)
+    banks, presence = fx.banks(spark, SF_SMALL), fx.presence(spark, SF_SMALL)
+    src = _write_chunks(pay, str(tmp_path / "payments"), "timestamp")
+    base = str(tmp_path / "store")
+    TableStore(spark, base).seed({"banks": banks})
+    sinks = {"settlements": str(tmp_path / "settlements"), "payer_confirmations": str(tmp_path / "payer")}
+
+    def run():
+        stream = spark.readStream.schema(schemas.PAYMENTS).option("maxFilesPerTrigger", "1").json(src)
+        q = (stream.writeStream.foreachBatch(payment_batch(LosesCommit(spark, base, job="pw"), presence,
+                                                           payment.DEFAULT, sinks))
+             .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
+        try:
+            q.awaitTermination(600)
+        except Exception:  # noqa: BLE001 - the injected failure
+            pass
+        return q
+
+    first = run()
+    assert first.exception() is not None and LosesCommit.lost
+    store = TableStore(spark, base)
+    assert store.last_commit("pw") == 0
+    second = run()
+    assert second.exception() is None and store.last_commit("pw") == 2
+
+    empty = spark.createDataFrame([], schemas.PAYMENT_REQUESTS)
+    batch = payment.payment_worker(pay, banks, empty, presence)
+    acct = ["_key", "balance", "reserved"]
+    assert _rows(bank_state(store), acct) == _rows(batch.banks, acct)
+    got = spark.read.schema(schemas.SETTLEMENTS).json(sinks["settlements"])
+    assert _rows(got, ["_txnID"]) == _rows(batch.settlements, ["_txnID"])
