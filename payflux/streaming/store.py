@@ -68,7 +68,9 @@ class TableStore:
 
     def _files(self, *parts) -> list[str]:
         try:
-            return self.spark.read.schema("committed_at timestamp").parquet(self._path(*parts)).inputFiles()
+            # paths only: no partition inference (commit ranges also hold gap markers)
+            return (self.spark.read.schema("committed_at timestamp").option("recursiveFileLookup", "true")
+                    .parquet(self._path(*parts)).inputFiles())
         except AnalysisException:  # no such folder (yet)
             return []
 
@@ -120,6 +122,12 @@ class TableStore:
             self.spark.range(1).select(F.lit(self.job).alias("name")).write.mode("overwrite") \
                 .parquet(self._path("_jobs", f"job={self.job}"))
         r = batch_id // self.range_size
+        # ranges stay contiguous for the upward probe in ``last_commit``: a
+        # skipped range gets a marker folder (no batch in it)
+        first_gap = 0 if last is None else last // self.range_size + 1
+        for k in range(first_gap, r):
+            self.spark.range(1).select(F.current_timestamp().alias("committed_at")).write \
+                .mode("overwrite").parquet(self._path("_commits", f"job={self.job}", f"range={k}", "gap=1"))
         self.spark.range(1).select(F.current_timestamp().alias("committed_at")).write \
             .mode("overwrite").parquet(self._path("_commits", f"job={self.job}", f"range={r}", f"batch={batch_id}"))
         _RANGE_HINT[(self.base, self.job)] = max(r, _RANGE_HINT.get((self.base, self.job), r))

@@ -53,3 +53,14 @@ def test_ttl_state_compaction_keeps_results(spark, tmp_path):
                  .select("_txnID", "attempt", "timestamp").collect())
     want = sorted(tuple(r) for r in dedup_ttl(rows).select("_txnID", "attempt", "timestamp").collect())
     assert got == want
+
+
+def test_stale_range_hint_still_finds_last_commit(spark, tmp_path):
+    """Another process may hold an old range hint; whole ranges without a
+    commit (empty micro-batches) must not hide the latest commit."""
+    st = TableStore(spark, str(tmp_path / "s"), job="a", range_size=3)
+    st.commit(1, {"t": spark.range(1)})
+    st.commit(10, {"t": spark.range(1)})  # ranges 1 and 2 have no commit
+    store_mod._RANGE_HINT[(st.base, "a")] = 0
+    assert st.last_commit() == 10
+    assert not st.commit(10, {"t": spark.range(1)})
