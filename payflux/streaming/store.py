@@ -8,7 +8,8 @@ current state is a Spark aggregation over what is committed:
 
 * ``<table>/job=<job>/batch=<id>/``   rows appended by batch ``id`` of ``job``;
 * ``_commits/job=<job>/range=<r>/batch=<id>/``  the commit record, written
-  last (``r`` = id div ``range_size``); ``_jobs/job=<job>`` registers a job;
+  last (``r`` = id div ``range_size``); ``_jobs/job=<job>/range=<r>``
+  registers the ranges a job has committed in;
 * ``_bases/<table>/v=<n>/``           a compacted base version of a state
   table plus the per-job batch it covers (``covered``).
 
@@ -33,10 +34,6 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 COVERED_SCHEMA = "job string, upto long"
 
 
-# (store base, job) -> latest commit range seen by this process
-_RANGE_HINT: dict[tuple[str, str], int] = {}
-
-
 class TableStore:
     def __init__(self, spark: SparkSession, base: str, job: str = "main", range_size: int = 1000):
         self.spark = spark
@@ -60,15 +57,16 @@ class TableStore:
     # ------------------------------------------------------------------ commit log
     #
     # Commit records live under ``_commits/job=<job>/range=<id div range_size>/
-    # batch=<id>`` and every job is registered once under ``_jobs/job=<job>``.
-    # Bookkeeping lists files only (``DataFrame.inputFiles``, no Spark job):
-    # a job's last commit is read from its latest range folder, found from a
-    # per-process hint by probing upwards, so the cost per micro-batch does not
-    # grow with the number of batches ever committed.
+    # batch=<id>``; when a job enters a new range it first registers it under
+    # ``_jobs/job=<job>/range=<r>``. Bookkeeping lists files only
+    # (``DataFrame.inputFiles``, no Spark job): the registry gives a job's
+    # latest range (one entry per ``range_size`` batches) and that range's
+    # folder its last commit, so the cost per micro-batch does not grow with
+    # the number of batches ever committed.
 
     def _files(self, *parts) -> list[str]:
         try:
-            # paths only: no partition inference (commit ranges also hold gap markers)
+            # paths only, no partition inference
             return (self.spark.read.schema("committed_at timestamp").option("recursiveFileLookup", "true")
                     .parquet(self._path(*parts)).inputFiles())
         except AnalysisException:  # no such folder (yet)
@@ -85,21 +83,13 @@ class TableStore:
     def last_commit(self, job: str | None = None) -> int | None:
         """Last committed batch of ``job``."""
         job = job or self.job
-        key = (self.base, job)
-        r = _RANGE_HINT.get(key)
-        if r is not None:
-            while self._files("_commits", f"job={job}", f"range={r + 1}"):
-                r += 1
+        # latest registered range first; a range registered by a commit that
+        # never wrote its record holds no batch, so fall back to the one below
+        for r in sorted(set(self._ids(self._files("_jobs", f"job={job}"), "range")), reverse=True):
             ids = self._ids(self._files("_commits", f"job={job}", f"range={r}"), "batch")
             if ids:
-                _RANGE_HINT[key] = r
                 return max(ids)
-        # first look in this process (or a range without records): list the job once
-        ids = self._ids(self._files("_commits", f"job={job}"), "batch")
-        if not ids:
-            return None
-        _RANGE_HINT[key] = max(ids) // self.range_size
-        return max(ids)
+        return None
 
     def commit_log(self) -> DataFrame:
         """``(job, upto)``: the last committed batch of every job (one row per
@@ -118,19 +108,12 @@ class TableStore:
             return False
         for name, df in appends.items():
             df.write.mode("overwrite").parquet(self._path(name, f"job={self.job}", f"batch={batch_id}"))
-        if last is None:  # register the job (idempotent)
-            self.spark.range(1).select(F.lit(self.job).alias("name")).write.mode("overwrite") \
-                .parquet(self._path("_jobs", f"job={self.job}"))
         r = batch_id // self.range_size
-        # ranges stay contiguous for the upward probe in ``last_commit``: a
-        # skipped range gets a marker folder (no batch in it)
-        first_gap = 0 if last is None else last // self.range_size + 1
-        for k in range(first_gap, r):
+        if last is None or last // self.range_size != r:  # register the range (idempotent)
             self.spark.range(1).select(F.current_timestamp().alias("committed_at")).write \
-                .mode("overwrite").parquet(self._path("_commits", f"job={self.job}", f"range={k}", "gap=1"))
+                .mode("overwrite").parquet(self._path("_jobs", f"job={self.job}", f"range={r}"))
         self.spark.range(1).select(F.current_timestamp().alias("committed_at")).write \
             .mode("overwrite").parquet(self._path("_commits", f"job={self.job}", f"range={r}", f"batch={batch_id}"))
-        _RANGE_HINT[(self.base, self.job)] = max(r, _RANGE_HINT.get((self.base, self.job), r))
         return True
 
     def is_committed(self, batch_id: int) -> bool:
