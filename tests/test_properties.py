@@ -7,6 +7,8 @@ from decimal import Decimal
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from payflux.operators.ordered import ordered_admission, ttl_first_seen
 
 # a few fixed examples in the suite; PAYFLUX_PROPERTY_EXAMPLES=N runs N random ones
@@ -79,3 +81,21 @@ def test_running_count_matches_model(spark, times, parts):
     got = {r["c"]: r["count"] for r in running_count(df, "t", "c", "count", partitions=parts).collect()}
     want = {c: n for n, (t, c) in enumerate(sorted((t, i) for i, t in enumerate(times)), start=1)}
     assert got == want
+
+
+@FEW
+@given(st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(0, 4), st.integers(1, 9)),
+                min_size=1, max_size=50), st.integers(1, 6))
+def test_segmented_prefix_sum_matches_model(spark, rows, segments):
+    from payflux.operators.ordered import AMOUNT, segmented_prefix_sum
+
+    data = [(k, ts, i, v) for i, (k, ts, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k string, ts long, tie long, v long") \
+              .withColumn("v", F.col("v").cast(AMOUNT))
+    got = {r["tie"]: int(r["_s"]) for r in segmented_prefix_sum(df, "k", "ts", "tie", "v",
+                                                                   segments=segments).collect()}
+    want, run = {}, {}
+    for k, ts, tie, v in sorted(data):
+        run[k] = run.get(k, 0) + v
+        want[tie] = run[k]
+    assert got == want
