@@ -6,7 +6,6 @@ from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-
 from pyspark.sql import functions as F
 
 from payflux.operators.ordered import ordered_admission, ttl_first_seen
