@@ -109,9 +109,14 @@ class TableStore:
         for name, df in appends.items():
             df.write.mode("overwrite").parquet(self._path(name, f"job={self.job}", f"batch={batch_id}"))
         r = batch_id // self.range_size
-        if last is None or last // self.range_size != r:  # register the range (idempotent)
+        registry = self._files("_jobs", f"job={self.job}")
+        marks = [f"range={r}"] if r not in self._ids(registry, "range") else []
+        # the tables this job writes, so bounded reads glob only their writers
+        known = {m.group(1) for f in registry for m in [re.search(r"/table=([^/]+)/", f)] if m}
+        marks += [f"table={name}" for name in appends if name not in known]
+        for mark in marks:  # registered before the commit record (idempotent)
             self.spark.range(1).select(F.current_timestamp().alias("committed_at")).write \
-                .mode("overwrite").parquet(self._path("_jobs", f"job={self.job}", f"range={r}"))
+                .mode("overwrite").parquet(self._path("_jobs", f"job={self.job}", mark))
         self.spark.range(1).select(F.current_timestamp().alias("committed_at")).write \
             .mode("overwrite").parquet(self._path("_commits", f"job={self.job}", f"range={r}", f"batch={batch_id}"))
         return True
@@ -122,15 +127,49 @@ class TableStore:
 
     # ------------------------------------------------------------------ append tables
 
+    def _committed_between(self, job: str, lo: int, hi: int) -> list[int]:
+        """Committed batch ids of ``job`` in ``(lo, hi]`` (listing only their ranges)."""
+        ranges = [r for r in set(self._ids(self._files("_jobs", f"job={job}"), "range"))
+                  if (lo + 1) // self.range_size <= r <= hi // self.range_size]
+        return sorted(b for r in ranges
+                      for b in self._ids(self._files("_commits", f"job={job}", f"range={r}"), "batch")
+                      if lo < b <= hi)
+
+    def _bounded(self, name: str, full: StructType, after: DataFrame, upto: DataFrame) -> DataFrame | None:
+        """Rows of exactly the committed batches in ``(after, upto]``: one glob
+        path per job that writes ``name`` (``batch={a,b,...}``), so the read
+        lists only those folders. None if it cannot be planned that way."""
+        lo = {r["job"]: r["upto"] for r in after.collect()}   # one row per job
+        hi = {r["job"]: r["upto"] for r in upto.collect()}
+        writers = {m.group(1) for f in self._files("_jobs")
+                   for m in [re.search(rf"/job=([^/]+)/table={re.escape(name)}/", f)] if m}
+        paths = []
+        for job in sorted(writers & set(hi)):
+            ids = self._committed_between(job, lo.get(job, -1), hi[job])
+            if ids:
+                paths.append(self._path(name, f"job={job}", "batch={" + ",".join(map(str, ids)) + "}"))
+        if not paths:
+            return self.spark.createDataFrame([], full)
+        try:
+            return self.spark.read.schema(full).option("basePath", self._path(name)).parquet(*paths)
+        except AnalysisException:
+            return None
+
     def appended(self, name: str, schema: StructType, after: DataFrame | None = None,
                  upto: DataFrame | None = None) -> DataFrame:
         """Committed rows of an append table, all jobs.
 
         ``after``/``upto`` are ``(job, upto)`` frames bounding the batches read
-        (exclusive / inclusive); ``upto`` defaults to the commit log.
+        (exclusive / inclusive); ``upto`` defaults to the commit log. With
+        ``after`` (state reads) only the uncovered committed batch folders are
+        read; without it the whole table is listed.
         """
         full = StructType(list(schema.fields) + [StructField("job", StringType()),
                                                  StructField("batch", LongType())])
+        if after is not None:
+            rows = self._bounded(name, full, after, upto if upto is not None else self.commit_log())
+            if rows is not None:
+                return rows.select(*schema.fieldNames())
         rows = self._read(full, name)
         if rows is None:
             return self.spark.createDataFrame([], schema)

@@ -1,6 +1,6 @@
 """Commit bookkeeping of the append-only store across commit ranges."""
 
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from payflux.streaming.store import TableStore
 
@@ -62,3 +62,33 @@ def test_range_registered_without_record_falls_back(spark, tmp_path):
         st._path("_jobs", "job=a", "range=7"))  # registered, record never written
     assert st.last_commit() == 10
     assert not st.commit(10, {"t": spark.range(1)})
+
+
+def test_state_reads_only_uncovered_committed_batches(spark, tmp_path):
+    """State = base + committed deltas, read by globbing exactly the uncovered
+    committed batches of the jobs that write the delta table."""
+    from pyspark.sql import functions as F
+
+    schema = StructType([StructField("k", LongType()), StructField("d", LongType())])
+
+    def fold(base, deltas):
+        return base.unionByName(deltas).groupBy("k").agg(F.sum("d").alias("d"))
+
+    st = TableStore(spark, str(tmp_path / "s"), range_size=2)
+    st.seed({"acc": spark.createDataFrame([(1, 100), (2, 100)], schema)})
+    a, b = st.for_job("a"), st.for_job("b")
+    a.commit(0, {"deltas": spark.createDataFrame([(1, -5)], schema)})
+    b.commit(0, {"other": spark.range(1)})                    # b never writes deltas
+    a.commit(3, {"deltas": spark.createDataFrame([(2, 7)], schema)})
+    b.commit(1, {"other": spark.range(1), "deltas": spark.createDataFrame([(1, 1)], schema)})  # new table mid-range
+    # an uncommitted batch folder is never read
+    spark.createDataFrame([(1, 1000)], schema).write.parquet(st._path("deltas", "job=a", "batch=9"))
+    got = {r["k"]: r["d"] for r in st.state("acc", "deltas", schema, fold).collect()}
+    assert got == {1: 96, 2: 107}
+    full = StructType(schema.fields + [StructField("job", StringType()), StructField("batch", LongType())])
+    assert st._bounded("deltas", full, spark.createDataFrame([], "job string, upto long"),
+                       st.commit_log()) is not None  # planned as a glob read, no fallback
+    assert st.compact("acc", "deltas", schema, fold) == 1
+    a.commit(4, {"deltas": spark.createDataFrame([(2, -7)], schema)})
+    got = {r["k"]: r["d"] for r in st.state("acc", "deltas", schema, fold).collect()}
+    assert got == {1: 96, 2: 100}
