@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 COVERED_SCHEMA = "job string, upto long"
+# above this many uncovered batches of one job, state reads list the whole table
+MAX_GLOB_BATCHES = 5000
 
 
 class TableStore:
@@ -146,6 +148,8 @@ class TableStore:
         paths = []
         for job in sorted(writers & set(hi)):
             ids = self._committed_between(job, lo.get(job, -1), hi[job])
+            if len(ids) > MAX_GLOB_BATCHES:  # compaction overdue: a plain full read is simpler
+                return None
             if ids:
                 paths.append(self._path(name, f"job={job}", "batch={" + ",".join(map(str, ids)) + "}"))
         if not paths:
