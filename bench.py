@@ -1,7 +1,10 @@
 """Benchmark: headline clearing queries on $BENCH_SF_DIR with local[$BENCH_CPUS].
 
-Each query is fully evaluated with the ``noop`` sink (no collect to the driver).
-Prints one JSON line.
+Each query is fully evaluated with the ``noop`` sink (no collect to the driver)
+after an untimed warm-up pass; ``value`` is the sum of their wall times. The
+``streaming`` section drains the V2 flow (payments) and the V8 flow (re-sent
+payments) once as chains of streaming queries, each over the table replayed
+as a few file arrivals, and reports payments per second. Prints one JSON line.
 """
 
 from __future__ import annotations
