@@ -43,6 +43,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return shipped(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Paths of the tables that ``stored`` has written, oldest first, for ``drop_stored``.
+WRITTEN: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back.
 
@@ -52,9 +56,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables of ``stored`` that no frame in use reads any more."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        at.getFileSystem(conf).delete(at, True)
+        if p in WRITTEN:
+            WRITTEN.remove(p)
+
+
 def inverse(x: int) -> int:
     """Inverse of an odd number modulo 2**64."""
     return pow(x, -1, 1 << 64)

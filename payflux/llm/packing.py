@@ -162,10 +162,10 @@ def vector_best_fit(lengths: np.ndarray, tokens: int, documents: int, cost: int,
 
 
 def _pack(table: pa.Table, **how) -> pa.Table:
-    block = table.column("block")[0].as_py()
-    order = table.sort_by([("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
+    block = table.column("_block_")[0].as_py()
+    order = table.sort_by("_row_")
     bins, offsets = vector_best_fit(order.column("length").to_numpy(), **how)
-    out = order.drop_columns(["block"])
+    out = order.drop_columns(["_block_", "_row_"])
     return (out.append_column("sequence_id", pa.array(bins + (block << 32), pa.int64()))
             .append_column("offset", pa.array(offsets, pa.int64())))
 
@@ -178,17 +178,16 @@ def pack(frame: DataFrame, tokens: int = 2048, documents: int = 2048, cost: int
     ``count / block`` blocks by a hash of the row; each block ends with a few
     bins that are not full, about one in some thousand.
     """
-    names = [c for c in frame.columns]
-    frame = stored(frame, "pack-pieces")
-    key = F.xxhash64(*[F.col(c) for c in names])
+    names = frame.columns
+    frame = stored(frame.withColumn("_row_", F.monotonically_increasing_id()), "pack-pieces")
     whole, rest = frame.where(F.col("length") >= tokens), frame.where(F.col("length") < tokens)
     blocks = max(1, -(-rest.count() // block))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema) + ", sequence_id bigint, offset bigint"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema if f.name != "_row_") + ", sequence_id bigint, offset bigint"
     how = {"tokens": tokens, "documents": documents, "cost": cost, "weights": weights, "score": score}
 
     def one(table: pa.Table) -> pa.Table:
         return _pack(table, **how)
 
-    packed = rest.withColumn("block", F.pmod(key, F.lit(blocks))).groupBy("block").applyInArrow(one, schema)
-    alone = whole.select(*names, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    packed = rest.withColumn("_block_", F.pmod(F.xxhash64("_row_"), F.lit(blocks))).groupBy("_block_").applyInArrow(one, schema)
+    alone = whole.select(*names, (-1 - F.col("_row_")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     return packed.unionByName(alone)

@@ -128,7 +128,8 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), learn: s
     return fit["i"].to_numpy(), fit["w"].to_numpy()
 
 
-def _score(batches: Iterator[pa.RecordBatch], at: np.ndarray, w: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], at: np.ndarray, w: np.ndarray, bits: int,
+           keep_text: bool) -> Iterator[pa.RecordBatch]:
     table = np.zeros(1 << bits)
     table[at] = w
     for batch in batches:
@@ -141,23 +142,29 @@ def _score(batches: Iterator[pa.RecordBatch], at: np.ndarray, w: np.ndarray, bit
             total = np.bincount(pair >> 32, weights=table[pair & 0xFFFFFFFF], minlength=part.num_rows) + table[0]
             out[done:done + part.num_rows] = 1.0 / (1.0 + np.exp(-np.clip(total, -35, 35)))
             done += part.num_rows
-        cols = [c for c in batch.schema.names if c != "text"]
+        cols = [c for c in batch.schema.names if keep_text or c != "text"]
         yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in cols], pa.array(out)], names=[*cols, "score"])
 
 
-def score(docs: DataFrame, fit: tuple[np.ndarray, np.ndarray], s: Settings = Settings(), text_col: str = "text",
-          keep: tuple[str, ...] = ("doc_id",), keep_text: bool = False) -> DataFrame:
-    """``keep`` columns and the score of every text; with ``keep_text`` the text too, at its end."""
-    fields = [f for f in docs.schema if f.name in keep]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    cols = [F.col(f.name) for f in fields] + ([F.col(text_col).alias("_text_")] if keep_text else []) + [F.col(text_col).alias("text")]
-    schema += (", `_text_` string" if keep_text else "") + ", score double"
-    out = docs.select(*cols).mapInArrow(partial(_score, at=fit[0], w=fit[1], bits=s.bits), schema)
-    return out.withColumnRenamed("_text_", text_col) if keep_text else out
+def score(docs: DataFrame, fit: tuple[np.ndarray, np.ndarray], s: Settings = Settings(), id_col: str = "doc_id",
+          text_col: str = "text") -> DataFrame:
+    """Id and score of every text."""
+    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).mapInArrow(
+        partial(_score, at=fit[0], w=fit[1], bits=s.bits, keep_text=False), "id bigint, score double").withColumnRenamed("id", id_col)
+
+
+def clean(docs: DataFrame, fit: tuple[np.ndarray, np.ndarray], s: Settings = Settings(), text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose score reaches the threshold; all columns pass as they are."""
+    others = [c for c in docs.columns if c != text_col]
+    inner = docs.select(F.struct(*others).alias("row") if others else F.lit(0).alias("row"), F.col(text_col).alias("text"))
+    kind = inner.schema["row"].dataType.simpleString()
+    out = inner.mapInArrow(partial(_score, at=fit[0], w=fit[1], bits=s.bits, keep_text=True),
+                           f"row {kind}, text string, score double").where(F.col("score") < s.threshold)
+    return out.select(*[F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
-    out = score(docs.select(F.col("doc_id").cast("bigint"), "text"), train(docs, labels, s), s)
+    out = score(docs, train(docs, labels, s), s)
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= s.threshold).cast("int").alias("predicted"))
