@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from payflux.llm import ann, arc, embed_dedup, jaccard, line_dedup, mixing, packing, substring, token_counts, toxicity
 from payflux.llm.common import table
+from payflux.llm.oracles import ORACLE_SQL  # noqa: F401
 from payflux.session import ensure_checkpoint_dir
 
 VOCABULARY = "word_bpe_49k.json"
@@ -75,5 +76,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ftrl_toxicity": op9_ftrl_toxicity,
     "op10_token_counts": op10_token_counts,
 }
-
-ORACLE_SQL: dict[str, str] = {}
