@@ -45,7 +45,7 @@ def bench_stream(spark, sf_dir: str) -> dict:
 
     from payflux.session import table_path
     from payflux.sources import fixtures
-    from payflux.sources.streams import stage_chunks
+    from tools.replay import stage_chunks
     from payflux.streaming.jobs import run_clearing_stream
     from payflux.streaming.store import TableStore
 

@@ -5,6 +5,7 @@ DataFrame whose column names match the DuckDB oracle in ``payflux.oracle_sql``.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from payflux.functions import scalar as fn
 from payflux.operators import accounts, enrich, errors, generate, rules
 from payflux.operators.dedup import dedup_durable, dedup_ttl
 from payflux.plans import clearing, confirmation, payment, settlement, simplified
+from payflux.session import cut_lineage
 from payflux.sources import fixtures as fx
 from payflux.sources import streams
 
@@ -201,7 +203,7 @@ def q_dedup_durable(spark, sf):
 
 
 def q_reserve_returning(spark, sf):
-    p = fx.payments(spark, sf).filter(F.col("amount").isNotNull())
+    p = fx.payments(spark, sf)
     banks = fx.banks(spark, sf)
     _, echo = accounts.update_returning(banks, p, "source_bank", accounts.reserve_deltas(p))
     return echo.select("_txnID", "source_bank", "target_bank", "amount", "currency", "timestamp")
@@ -227,7 +229,8 @@ def q_point_lookup(spark, sf):
 # --------------------------------------------------------------------------- aggregation
 
 def q_running_count(spark, sf):
-    return generate.running_count(fx.count_events(spark, sf), "t", "c", "count").select("c", "count")
+    events = fx.count_events(spark, sf).withColumn("payload", F.md5(F.col("c").cast("string").cast("binary")))
+    return generate.running_count(events, "t", "c", "count").select("c", "count", "payload")
 
 
 def q_cal_total(spark, sf):
@@ -235,10 +238,20 @@ def q_cal_total(spark, sf):
 
 
 def q_admit_payments(spark, sf):
-    pw_checked = payment.enrich_and_check(
+    return _admitted(spark, sf, DEFAULT)
+
+
+def q_admit_payments_rounds(spark, sf):
+    """The same decisions with every busy bank resolved in rounds instead of folds."""
+    return _admitted(spark, sf, replace(DEFAULT, fold_group_rows=8))
+
+
+def _admitted(spark, sf, cfg):
+    # read twice (sizes of the banks' groups, then the rows): computed once
+    pw_checked = cut_lineage(payment.enrich_and_check(
         dedup_durable(fx.payments(spark, sf), fx.payment_requests(spark, sf)),
-        fx.banks(spark, sf), fx.presence(spark, sf))
-    d = payment.admit(pw_checked, fx.banks(spark, sf))
+        fx.banks(spark, sf), fx.presence(spark, sf), cfg))
+    d = payment.admit(pw_checked, fx.banks(spark, sf), cfg)
     return d.select("_txnID", "source_bank", "amount", "admitted")
 
 
@@ -303,6 +316,10 @@ def q_gen_payments(spark, sf):
     return generate.gen_payments(_ticks(spark, sf), "count", "t")
 
 
+def q_trigger_payments(spark, sf):
+    return generate.trigger_payments(_ticks(spark, sf), "count", "t")
+
+
 def q_sla_latency(spark, sf):
     rej = _pw(spark, sf).rejections.withColumn("confirm_ts", F.col("timestamp") + F.col("_txnID") % 9000)
     return clearing.sla_latency(rej).select("_txnID", "status", "timestamp", "latencyMs")
@@ -331,7 +348,6 @@ def q_json_object(spark, sf):
 
 def q_error_events(spark, sf):
     e = errors.error_events(fx.error_json(spark, sf))
-    e = e.filter(F.col("error").isNotNull())
     return e.select(F.col("event")["c"].cast("bigint").alias("c"),
                     F.col("event")["t"].cast("bigint").alias("t"),
                     F.col("event")["type"].alias("type"), F.size("event").alias("n_event_keys"),
@@ -368,11 +384,35 @@ def q_settlement_status(spark, sf):
 
 
 def q_reset_balances(spark, sf):
-    return accounts.reset_balances(fx.banks(spark, sf)).select(*ACCOUNT_COLS)
+    """Reset as a committed operation: reserves are committed, every row is
+    reset into a new base, and Banks is read back from the store."""
+    from payflux.streaming.jobs import bank_state, reset_banks
+
+    store = _store(spark, "reset", "pw")
+    store.seed({"banks": fx.banks(spark, sf)})
+    store.commit(0, {"bank_deltas": accounts.reserve_deltas(fx.payments(spark, sf))})
+    reset_banks(store)
+    return bank_state(store).select(*ACCOUNT_COLS)
 
 
 def q_truncate_table(spark, sf):
-    return accounts.truncate(fx.settlement_table(spark, sf))
+    """Truncate as a committed operation: the table is appended, emptied and
+    appended again; what is read back is the second append alone."""
+    rows = fx.settlement_table(spark, sf)
+    store = _store(spark, "truncate", "sw8")
+    store.commit(0, {"settlement": rows})
+    store.truncate("settlement")
+    store.commit(1, {"settlement": rows})
+    return store.appended("settlement", rows.schema)
+
+
+def _store(spark, name, job):
+    import uuid
+
+    from payflux.session import table_path
+    from payflux.streaming.store import TableStore
+
+    return TableStore(spark, table_path(spark, f"{name}-{uuid.uuid4().hex}"), job=job)
 
 
 def q_atomic_batch(spark, sf):
@@ -380,13 +420,9 @@ def q_atomic_batch(spark, sf):
     request rows and reserve deltas are committed atomically (one commit record)
     into a fresh store under the shared checkpoint dir; Banks is then read back
     as base + committed deltas."""
-    import uuid
-
-    from payflux.session import table_path
     from payflux.streaming.jobs import bank_state
-    from payflux.streaming.store import TableStore
 
-    store = TableStore(spark, table_path(spark, f"atomic-{uuid.uuid4().hex}"), job="pw")
+    store = _store(spark, "atomic", "pw")
     store.seed({"banks": fx.banks(spark, sf)})
     recorded = store.appended("requests", schemas.PAYMENT_REQUESTS).unionByName(fx.payment_requests(spark, sf))
     out = payment.payment_worker(fx.payments(spark, sf), bank_state(store), recorded,
@@ -401,6 +437,12 @@ def q_dedup_ttl(spark, sf):
     return kept.select("_txnID", "attempt", "timestamp")
 
 
+def q_dedup_ttl_rounds(spark, sf):
+    """The same rows with every key that is sent more than once resolved by pointer doubling."""
+    kept = dedup_ttl(fx.payment_retries(spark, sf), "_txnID", "timestamp", "attempt", DEFAULT.ttl_ms, 2)
+    return kept.select("_txnID", "attempt", "timestamp")
+
+
 def q_assign_txn(spark, sf):
     return generate.assign_txn(_ticks(spark, sf), "count", "t").select("c", "txnID")
 

@@ -76,13 +76,25 @@ def map_remove(map_col, key: str) -> Column:
     return F.map_filter(map_col, lambda k, v: k != F.lit(key))
 
 
-def lehmer_id(col, modulus: int = 99999989, multiplier: int = 48271) -> Column:
-    """Deterministic pseudo-random id in [1, modulus] from an integer column.
+# a prime just below the reference's range of settlement ids (rand() * 999999999999999)
+SETTLEMENT_IDS = 999_999_999_999_989
 
-    Replaces the reference's random settlement id with a reproducible one;
-    both factors stay far below 2**63 so ANSI arithmetic cannot overflow.
+
+def settlement_id(col, multiplier: int = 48271) -> Column:
+    """Settlement id in [1, SETTLEMENT_IDS] from an integer column, instead of a random one.
+
+    Multiplication modulo a prime is one to one, so ids below it never collide;
+    the product is a decimal, so it cannot overflow.
     """
-    return F.pmod(F.pmod(_c(col), F.lit(modulus)) * F.lit(multiplier), F.lit(modulus)) + 1
+    p = F.lit(SETTLEMENT_IDS).cast("decimal(20,0)")
+    x = F.pmod(_c(col).cast("decimal(20,0)"), p) * F.lit(multiplier).cast("decimal(10,0)")
+    return (F.pmod(x, p) + 1).cast("bigint")
+
+
+def rand(col, seed: str = "") -> Column:
+    """``math:rand()`` as a reproducible draw in [0, 1): 52 bits of a hash of the seed and a row's key."""
+    h = F.md5(F.concat(F.lit(f"{seed}:"), _c(col).cast("string")).cast("binary"))
+    return F.conv(F.substring(h, 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
 _TOKEN = re.compile(r"\{\{\s*([A-Za-z_][A-Za-z0-9_]*)\s*\}\}")

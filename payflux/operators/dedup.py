@@ -13,11 +13,18 @@ def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
     ``min(struct(...))`` is a partial aggregate: each map task sends one row
     per key, so a key repeated a billion times is combined before the shuffle.
+    Rows without a key (NULL) equal no other row: all of them stay. They are
+    spread by their contents, so any number of them is no hot group.
     """
     rest = [c for c in df.columns if c not in order]
     packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])
-    first = df.groupBy(key).agg(F.min(packed).alias("_first"))
-    return first.select(*[F.col("_first")[c].alias(c) for c in df.columns])
+    # keyless rows group by all their columns and come back as often as they stood
+    cells = F.when(F.col(key).isNull(), F.to_json(packed))
+    first = df.groupBy(F.col(key).alias("_k"), cells.alias("_cells")).agg(
+        F.min(packed).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    copies = F.when(F.col("_k").isNull(), F.col("_n")).otherwise(F.lit(1)).cast("int")
+    return (first.withColumn("_i", F.explode(F.sequence(F.lit(1), copies)))
+            .select(*[F.col("_first")[c].alias(c) for c in df.columns]))
 
 
 def dedup_durable(payments: DataFrame, recorded: DataFrame, key: str = "_txnID",

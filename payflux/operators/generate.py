@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from payflux.functions.scalar import convert, str_concat
+from payflux.functions.scalar import convert, rand, str_concat
 from payflux.operators.dedup import first_per_key
+from payflux.session import cut_lineage
 
 # Seed modulus, seed amounts and the bank brands of the seeding job.
 SEED_MODULUS = 24000
@@ -22,11 +23,30 @@ SEED_BRANDS_V4 = [
     ("Fargo_", "Fargo_", "cleaninghouse-us-east-1"),
 ]
 
-# Generator regions, payments per feed, amount and currency.
-FEED_REGIONS = ["west", "central", "east", "southeast"]
-FEED_SIZE = 833
+# The feeds of the load generator. Source bank = count + 2nd
+# number, target bank = count + 3rd, transaction = count + 4th, for counts up to
+# the last number.
+FEEDS = [
+    ("west", "central", -1, -1, 0, 833),
+    ("west", "east", 832, -1, 833, 833),
+    ("west", "southeast", 1665, -1, 1666, 833),
+    ("central", "west", -1, -1, 2500, 833),
+    ("central", "east", 832, 832, 3333, 833),
+    ("central", "southeast", 1665, 832, 4166, 833),
+    ("east", "central", 0, 833, 5000, 832),
+    ("east", "west", 832, 832, 5833, 833),
+    ("east", "southeast", 1665, 1665, 6666, 833),
+    ("southeast", "central", -1, 1665, 7500, 833),
+    ("southeast", "west", 832, 1665, 8333, 833),
+    ("southeast", "east", 1665, 1665, 9166, 833),
+]
 FEED_AMOUNT = 100.0
 
+# The trigger feed of the performance tests (accounts, amount, threshold of the draw).
+TRIGGER_ACCOUNTS = 12000
+TRIGGER_AMOUNT = 1.0
+TRIGGER_THRESHOLD = 0.5
+
 
 def seed_banks(ticks: DataFrame, existing: DataFrame, count_col: str = "c",
                modulus: int = SEED_MODULUS, brands: list | None = None) -> DataFrame:
@@ -56,14 +76,16 @@ def running_count(df: DataFrame, ts: str, tie: str, out: str = "c",
     and numbered by position (``monotonically_increasing_id`` = partition index
     in the high bits, position in the low 33 bits). Each partition's offset is
     a running sum over the per-partition counts: one row per partition, a table
-    bounded by the partition count, so it is broadcast. One shuffle.
+    bounded by the partition count, so it is broadcast. One shuffle. The
+    numbered rows are cut by a reliable checkpoint: counts and rows must see the
+    same partitions, and a range partitioning of other columns samples other bounds.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranked = (df.repartitionByRange(n, F.col(ts), F.col(tie))
-              .sortWithinPartitions(ts, tie)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_part", F.shiftright(F.col("_mid"), 33))
-              .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))))
+    ranked = cut_lineage(df.repartitionByRange(n, F.col(ts), F.col(tie))
+                         .sortWithinPartitions(ts, tie)
+                         .withColumn("_mid", F.monotonically_increasing_id())
+                         .withColumn("_part", F.shiftright(F.col("_mid"), 33))
+                         .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))))
     counts = ranked.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     w_off = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
@@ -79,45 +101,36 @@ def tick_source(events: DataFrame, t: str = "t", interval_ms: int = 2000) -> Dat
             .withColumn("tick_ts", F.col("tick") * F.lit(interval_ms)))
 
 
-def feed_table() -> list[tuple[int, str, str, int, int]]:
-    """Region-pair feeds by rule: every region sends to every other region.
-
-    Returns (feed index, source region, target region, source slot, target slot):
-    slots number a region's outgoing / incoming feeds so bank ids never collide.
-    """
-    feeds, incoming = [], {r: 0 for r in FEED_REGIONS}
-    for src in FEED_REGIONS:
-        out_slot = 0
-        for tgt in FEED_REGIONS:
-            if tgt == src:
-                continue
-            feeds.append((len(feeds), src, tgt, out_slot, incoming[tgt]))
-            out_slot += 1
-            incoming[tgt] += 1
-    return feeds
-
-
 def gen_payments(ticks: DataFrame, count_col: str = "count", t: str = "t",
-                 region: str | None = None, feed_size: int = FEED_SIZE) -> DataFrame:
-    """Payment generator: each tick emits one payment per feed while
-    ``count <= feed_size``. Feeds are a literal array exploded per tick (no join)."""
-    feeds = [f for f in feed_table() if region is None or f[1] == region]
-    arr = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(s).alias("src"), F.lit(d).alias("tgt"),
-                             F.lit(so).alias("so"), F.lit(ti).alias("ti"))
-                    for i, s, d, so, ti in feeds])
-    c = F.col(count_col)
-    x = ticks.filter(c <= feed_size).select(c.alias("_n"), F.col(t).alias("_t"), F.explode(arr).alias("f"))
+                 region: str | None = None, feeds: list[tuple] | None = None) -> DataFrame:
+    """Payment generator: each tick emits one payment per feed up to the feed's
+    last count. Feeds are a literal array exploded per tick (no join)."""
+    names = ("src", "tgt", "s", "b", "x", "last")
+    arr = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(names, f)])
+                    for f in (feeds or FEEDS) if region is None or f[0] == region])
     n = F.col("_n")
+    x = (ticks.select(F.col(count_col).alias("_n"), F.col(t).alias("_t"))
+         .filter(n <= max(f[-1] for f in (feeds or FEEDS)))
+         .select("_n", "_t", F.explode(arr).alias("f")).filter(n <= F.col("f.last")))
     return x.select(
-        F.concat(F.lit("BankA-"), F.col("f.src"), F.lit("_"),
-                 (F.col("f.so") * feed_size + n - 1).cast("string")).alias("source_bank"),
-        F.concat(F.lit("BankB-"), F.col("f.tgt"), F.lit("_"),
-                 (F.col("f.ti") * feed_size + n - 1).cast("string")).alias("target_bank"),
+        F.concat(F.lit("BankA-"), F.col("f.src"), F.lit("_"), (n + F.col("f.s")).cast("string")).alias("source_bank"),
+        F.concat(F.lit("BankB-"), F.col("f.tgt"), F.lit("_"), (n + F.col("f.b")).cast("string")).alias("target_bank"),
         F.lit(FEED_AMOUNT).alias("amount"), F.lit("USD").alias("currency"),
-        (F.col("f.i") * feed_size + n).cast("bigint").alias("_txnID"),
+        (n + F.col("f.x")).cast("bigint").alias("_txnID"),
         F.col("_t").alias("timestamp"))
 
 
+def trigger_payments(ticks: DataFrame, count_col: str = "count", t: str = "t", accounts: int = TRIGGER_ACCOUNTS,
+                     seed: str = "trigger") -> DataFrame:
+    """The trigger feed: accounts by count, one unit up or down by a draw (``math:rand``), id from time and count."""
+    c = F.col(count_col)
+    amount = F.when(rand(c, seed) > TRIGGER_THRESHOLD, F.lit(TRIGGER_AMOUNT)).otherwise(F.lit(-TRIGGER_AMOUNT))
+    return assign_txn(ticks, count_col, t).select(
+        str_concat("Chase_", convert(c % accounts, "string")).alias("source_bank"),
+        str_concat("Chase_", convert(c % accounts + accounts, "string")).alias("target_bank"),
+        amount.alias("amount"), F.lit("USD").alias("currency"), "txnID")
+
+
 def assign_txn(events: DataFrame, count_col: str = "count", t: str = "t") -> DataFrame:
     """Transaction id from the trigger: ``millis * 10000 + count % 10000`` as text."""
     return events.withColumn(

@@ -83,8 +83,9 @@ def _same(ts: str, tie: str, k: Column) -> Column:
 def ordered_admission(candidates: DataFrame, funds: DataFrame, key: str = "source_bank",
                       ts: str = "timestamp", tie: str = "_txnID", amount: str = "amount",
                       group_rows: int = 4096, segments: int | None = None) -> DataFrame:
-    """Admit positive ``amount`` rows per ``key`` in ``(ts, tie)`` order against
+    """Admit ``amount`` rows per ``key`` in ``(ts, tie)`` order against
     ``funds(key, free)``; returns the candidate columns plus ``admitted``.
+    A negative or NULL amount is never admitted, whatever the size of its key.
 
     Money is exact: amounts and funds are DECIMAL(38,6) inside the fold, so the
     fold and the distributed prefix rounds take identical decisions.
@@ -121,7 +122,7 @@ def _fold_admission(rows: DataFrame, free: DataFrame, key: str, ts: str, tie: st
     init = F.struct(F.col("_free").alias("r"), F.array().cast("array<boolean>").alias("ok"))
 
     def step(acc, x):
-        fits = x["_amt"] <= acc["r"]
+        fits = (x["_amt"] >= 0) & (x["_amt"] <= acc["r"])
         return F.struct(
             F.when(fits, (acc["r"] - x["_amt"]).cast(MONEY)).otherwise(acc["r"]).alias("r"),
             F.array_append(acc["ok"], F.coalesce(fits, F.lit(False))).alias("ok"))
@@ -164,36 +165,46 @@ def segmented_prefix_sum(df: DataFrame, key: str, ts: str, tie: str, val: str,
     offsets = totals.select(key, "_seg", F.coalesce(F.sum("_bsum").over(w_off),
                                                     F.lit(0).cast(MONEY)).alias("_off"))
     w_run = Window.partitionBy(key, "_seg").orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
-    j = seg.join(offsets, [key, "_seg"])
+    offsets = offsets.select(F.col(key).alias("_ok"), F.col("_seg").alias("_oseg"), "_off")
+    j = (seg.join(offsets, F.col(key).eqNullSafe(F.col("_ok")) & (F.col("_seg") == F.col("_oseg")))
+         .drop("_ok", "_oseg"))
     return j.withColumn(out, (F.col("_off") + F.sum(val).over(w_run)).cast(MONEY)).drop("_off", "_seg")
 
 
 def _prefix_round(large: DataFrame, free: DataFrame, key: str, ts: str, tie: str,
                   cols: list[str], segments: int | None, bounded: bool = False):
-    """One exact round for hot keys.
-
-    Rows with amount > free can never be admitted later (free only shrinks).
-    Among the others, all rows whose inclusive prefix sum fits are admitted; the
-    first row that does not fit (k) is rejected; free becomes free - (s_k - a_k)
-    and the rows after k stay pending for the next round.
+    """One exact round for hot keys; it at least halves a key's free funds F.
+
+    Rows over F (or without amount or funds) are never admitted, as F only
+    shrinks. Of the others a row is small (at most F / 2) or big. Only the small
+    rows are summed. The event e is the first row that is small and whose sum
+    exceeds F, or big and fits on top of the small rows before it. Before e all
+    small rows are admitted and all big ones rejected; at e the big row is
+    admitted, the small one rejected. Either way less than F / 2 is left, so a
+    key takes at most log2(F in units of money) rounds whatever its rows; the
+    rows after e stay pending.
     """
-    c = large.join(_per_hot_key(free, bounded), key, "left")
-    # no funds row, a NULL amount or more than the free funds: never admitted
-    fits_now = F.coalesce(F.col("_amt") <= F.col("_free"), F.lit(False))
+    c = large.join(_per_hot_key(free.withColumnRenamed(key, "_fk"), bounded),
+                   F.col(key).eqNullSafe(F.col("_fk")), "left").drop("_fk")
+    fits_now = F.coalesce((F.col("_amt") >= 0) & (F.col("_amt") <= F.col("_free")), F.lit(False))
     never = c.filter(~fits_now).select(*cols, F.lit(False).alias("admitted"))
-    cand = c.filter(fits_now)
-    p = segmented_prefix_sum(cand, key, ts, tie, "_amt", segments=segments)
-    k = (p.filter(F.col("_s") > F.col("_free"))
-          .groupBy(key).agg(F.min(F.struct(F.col(ts), F.col(tie), F.col("_s"), F.col("_amt"),
-                                           F.col("_free"))).alias("_k")))
-    pk = p.join(_per_hot_key(k, bounded), key, "left")
+    small = F.col("_amt") * 2 <= F.col("_free")
+    cand = (c.filter(fits_now).withColumn("_small", small)
+            .withColumn("_val", F.when(small, F.col("_amt")).otherwise(F.lit(0)).cast(MONEY)))
+    p = segmented_prefix_sum(cand, key, ts, tie, "_val", segments=segments)
+    event = F.when(F.col("_small"), F.col("_s") > F.col("_free")).otherwise(F.col("_s") + F.col("_amt") <= F.col("_free"))
+    k = (p.filter(event).groupBy(F.col(key).alias("_ek"))
+          .agg(F.min(F.struct(F.col(ts), F.col(tie), F.col("_s"), F.col("_amt"), F.col("_free"), F.col("_small"))).alias("_k")))
+    pk = p.join(_per_hot_key(k, bounded), F.col(key).eqNullSafe(F.col("_ek")), "left")
     kk = F.col("_k")
-    admitted = pk.filter(kk.isNull() | _before(ts, tie, kk)).select(*cols, F.lit(True).alias("admitted"))
-    rejected = pk.filter(kk.isNotNull() & _same(ts, tie, kk)).select(*cols, F.lit(False).alias("admitted"))
-    pending = (pk.filter(kk.isNotNull() & ~_before(ts, tie, kk) & ~_same(ts, tie, kk))
-                 .select(*cols, "_amt"))
-    new_free = k.select(key, (kk["_free"] - (kk["_s"] - kk["_amt"])).cast(MONEY).alias("_free"))
-    return never.unionByName(admitted).unionByName(rejected), pending, new_free
+    passed = kk.isNull() | _before(ts, tie, kk)
+    at = kk.isNotNull() & _same(ts, tie, kk)
+    done = pk.filter(passed | at).select(
+        *cols, F.when(passed, F.col("_small")).otherwise(~F.col("_small")).alias("admitted"))
+    pending = pk.filter(~passed & ~at).select(*cols, "_amt")
+    spent = F.when(kk["_small"], kk["_s"] - kk["_amt"]).otherwise(kk["_s"] + kk["_amt"])
+    new_free = k.select(F.col("_ek").alias(key), (kk["_free"] - spent).cast(MONEY).alias("_free"))
+    return never.unionByName(done), pending, new_free
 
 
 # --------------------------------------------------------------------------- TTL dedup
@@ -214,14 +225,18 @@ def ttl_first_seen(rows: DataFrame, key: str = "_txnID", ts: str = "timestamp",
     """
     cols = rows.columns
     rest = [c for c in cols if c not in (key, ts, tie)]
-    distinct = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
     order = [ts] + ([tie] if tie != ts else []) + rest
-    ordered = distinct.withColumn("_ord", F.struct(*[F.col(c) for c in order]))
     out_cols = cols + ["copies"]
-    small, large = split_hot_keys(ordered, key, group_rows)
-    out = _fold_ttl(small, key, ts, out_cols, ttl_ms)
+
+    def ordered(part: DataFrame) -> DataFrame:
+        distinct = part.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
+        return distinct.withColumn("_ord", F.struct(*[F.col(c) for c in order]))
+
+    # rows with their copies bound the distinct rows from above: counting them needs the key alone
+    small, large = split_hot_keys(rows, key, group_rows)
+    out = _fold_ttl(ordered(small), key, ts, out_cols, ttl_ms)
     if large is not None:
-        out = out.unionByName(_ttl_doubling(large, key, ts, out_cols, ttl_ms))
+        out = out.unionByName(_ttl_doubling(ordered(large), key, ts, out_cols, ttl_ms))
     return out
 
 
@@ -296,6 +311,9 @@ def _ttl_doubling(large: DataFrame, key: str, ts: str, cols: list[str], ttl_ms:
     ``J``, so a chain of length L is marked in about log2(L) rounds. All joins
     are on row ids (unique), so a hot key is spread evenly over tasks.
     """
+    # a NULL key is a key like any other: joins use its JSON form, which is never NULL
+    cols, key_col, key = list(cols), F.to_json(F.struct(F.col(key).alias("k"))), "_jk"
+    large = large.withColumn(key, key_col)
     nodes = large.select(key, "_ord", F.to_json("_ord").alias("_id"), F.col(ts).alias("_t"))
     jump = cut_lineage(ttl_successors(nodes, key, ttl_ms))
     marked = cut_lineage(nodes.groupBy(key).agg(F.min(F.struct(F.col("_ord"), F.col("_id"))).alias("_r"))

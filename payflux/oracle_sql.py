@@ -397,7 +397,7 @@ def oracle_sql() -> dict[str, str]:
         SELECT source_bank, target_bank, amount, currency, _txnID, timestamp FROM pw_distinct""")
     q["reserve_returning"] = W(("payments", "banks"), """
         SELECT _txnID, source_bank, target_bank, amount, currency, timestamp FROM payments p
-        WHERE amount IS NOT NULL AND EXISTS (SELECT 1 FROM banks b WHERE b._key = p.source_bank)""")
+        WHERE EXISTS (SELECT 1 FROM banks b WHERE b._key = p.source_bank)""")
     q["presence_flag"] = W(("payments", "banks", "presence"), """
         SELECT p._txnID, b.region AS target_region, (pr.region IS NOT NULL) AS isDevicePresent
         FROM payments p LEFT JOIN banks b ON b._key = p.target_bank
@@ -412,7 +412,7 @@ def oracle_sql() -> dict[str, str]:
         WHERE EXISTS (SELECT 1 FROM payments p WHERE p.target_bank = b._key)""")
 
     q["running_count"] = W(("count_events",), """
-        SELECT c, row_number() OVER (ORDER BY t, c) AS count FROM count_events""")
+        SELECT c, row_number() OVER (ORDER BY t, c) AS count, md5(CAST(c AS VARCHAR)) AS payload FROM count_events""")
     q["cal_total"] = W(("banks",), """
         SELECT count(*) AS total_banks, CAST(sum(balance) AS BIGINT) AS total_balance,
                CAST(sum(reserved) AS BIGINT) AS total_reserved FROM banks""")
@@ -453,22 +453,25 @@ def oracle_sql() -> dict[str, str]:
                < coalesce(p.amount, 0.0) THEN 'No sufficient funds on source bank'
           ELSE NULL END AS failedMsg
         FROM payments_v1 p LEFT JOIN banks b ON b.name = p.source_bank""")
-    regions = ["west", "central", "east", "southeast"]
-    feeds, incoming = [], {r: 0 for r in regions}
-    for src in regions:
-        slot = 0
-        for tgt in regions:
-            if tgt != src:
-                feeds.append(f"({len(feeds)}, '{src}', '{tgt}', {slot}, {incoming[tgt]})")
-                slot += 1
-                incoming[tgt] += 1
-    q["gen_payments"] = W(("count_events",), f""",
-        feeds(i, src, tgt, so, ti) AS (VALUES {', '.join(feeds)})
-        SELECT 'BankA-' || f.src || '_' || CAST(f.so * 833 + e.c + 1 - 1 AS VARCHAR) AS source_bank,
-               'BankB-' || f.tgt || '_' || CAST(f.ti * 833 + e.c + 1 - 1 AS VARCHAR) AS target_bank,
-               CAST(100.0 AS DOUBLE) AS amount, 'USD' AS currency,
-               CAST(f.i * 833 + e.c + 1 AS BIGINT) AS _txnID, e.t AS timestamp
-        FROM count_events e, feeds f WHERE e.c + 1 <= 833""").replace("\n,\n", ",\n", 1)
+    # One line per feed of the generator, as its payments look for a count n.
+    q["gen_payments"] = W(("count_events",), """
+        n AS (SELECT c + 1 AS n, t FROM count_events WHERE c + 1 <= 833),
+        rows AS (
+          SELECT 'BankA-west_' || (n - 1) AS source_bank, 'BankB-central_' || (n - 1) AS target_bank, n AS id, t FROM n
+          UNION ALL SELECT 'BankA-west_' || (833 + n - 1), 'BankB-east_' || (n - 1), 833 + n, t FROM n
+          UNION ALL SELECT 'BankA-west_' || (1666 + n - 1), 'BankB-southeast_' || (n - 1), 1666 + n, t FROM n
+          UNION ALL SELECT 'BankA-central_' || (n - 1), 'BankB-west_' || (n - 1), 2500 + n, t FROM n
+          UNION ALL SELECT 'BankA-central_' || (833 + n - 1), 'BankB-east_' || (833 + n - 1), 2500 + 833 + n, t FROM n
+          UNION ALL SELECT 'BankA-central_' || (1666 + n - 1), 'BankB-southeast_' || (833 + n - 1), 2500 + 1666 + n, t FROM n
+          UNION ALL SELECT 'BankA-east_' || n, 'BankB-central_' || (833 + n), 5000 + n, t FROM n WHERE n < 833
+          UNION ALL SELECT 'BankA-east_' || (833 + n - 1), 'BankB-west_' || (833 + n - 1), 5000 + 833 + n, t FROM n
+          UNION ALL SELECT 'BankA-east_' || (1666 + n - 1), 'BankB-southeast_' || (1666 + n - 1), 5000 + 1666 + n, t FROM n
+          UNION ALL SELECT 'BankA-southeast_' || (n - 1), 'BankB-central_' || (1666 + n - 1), 7500 + n, t FROM n
+          UNION ALL SELECT 'BankA-southeast_' || (833 + n - 1), 'BankB-west_' || (1666 + n - 1), 7500 + 833 + n, t FROM n
+          UNION ALL SELECT 'BankA-southeast_' || (1666 + n - 1), 'BankB-east_' || (1666 + n - 1), 7500 + 1666 + n, t FROM n)
+        SELECT source_bank, target_bank, CAST(100.0 AS DOUBLE) AS amount, 'USD' AS currency,
+               CAST(id AS BIGINT) AS _txnID, t AS timestamp
+        FROM rows""").replace("\n,\n", ",\n", 1)
     q["sla_latency"] = W(("pw_failed",), """
         SELECT _txnID, 'RJCT' AS status, timestamp, _txnID % 9000 AS latencyMs FROM pw_failed""")
     q["event_time"] = W(("count_events",), "SELECT c, t AS event_time FROM count_events")
@@ -486,10 +489,11 @@ def oracle_sql() -> dict[str, str]:
         FROM error_json""")
     q["error_events"] = W(("error_json",), """
         SELECT CAST(json_extract_string(evt, '$.c') AS BIGINT) AS c, CAST(json_extract_string(evt, '$.t') AS BIGINT) AS t,
-               json_extract_string(evt, '$.type') AS type, CAST(len(json_keys(evt)) - 1 AS INTEGER) AS n_event_keys,
+               json_extract_string(evt, '$.type') AS type,
+               CAST(len(list_filter(json_keys(evt), lambda k: k <> 'error')) AS INTEGER) AS n_event_keys,
                json_extract_string(json_extract_string(evt, '$.error'), '$.message') AS error_message,
                CAST(json_extract_string(json_extract_string(evt, '$.error'), '$.code') AS INTEGER) AS error_code
-        FROM error_json WHERE json_extract_string(evt, '$.error') IS NOT NULL""")
+        FROM error_json""")
     q["dead_letter"] = W(("count_events",), """
         SELECT c, t, CASE WHEN c % 2 <> 0 THEN 'Count is Odd.' END AS status,
                CASE WHEN c % 2 = 0 THEN 'Count is Even.' END AS error FROM count_events""")
@@ -517,13 +521,22 @@ def oracle_sql() -> dict[str, str]:
                'settled' AS status FROM {posted} x""")
     q["reset_balances"] = W(("banks",), """
         SELECT _key, CAST(10000 AS BIGINT) AS balance, CAST(0 AS BIGINT) AS reserved FROM banks""")
-    q["truncate_table"] = W(("settlement",), "SELECT * FROM settlement WHERE false")
+    q["truncate_table"] = W(("settlement",), "SELECT * FROM settlement")
+    q["admit_payments_rounds"] = q["admit_payments"]
     q["dedup_ttl"] = _TTL_DEDUP.replace("WITH RECURSIVE r AS (",
                                         "WITH RECURSIVE retries AS (" + _FIX["retries"][1] + "),\nr AS (", 1)
+    q["dedup_ttl_rounds"] = q["dedup_ttl"]
+    q["trigger_payments"] = W(("count_events",), """
+        SELECT 'Chase_' || CAST((c + 1) % 12000 AS VARCHAR) AS source_bank,
+               'Chase_' || CAST((c + 1) % 12000 + 12000 AS VARCHAR) AS target_bank,
+               CASE WHEN CAST(CAST('0x' || substr(md5('trigger:' || CAST(c + 1 AS VARCHAR)), 1, 13) AS BIGINT) AS DOUBLE)
+                         / 4503599627370496.0 > 0.5 THEN CAST(1.0 AS DOUBLE) ELSE CAST(-1.0 AS DOUBLE) END AS amount,
+               'USD' AS currency, CAST(t * 10000 + (c + 1) % 10000 AS VARCHAR) AS txnID
+        FROM count_events""")
     q["assign_txn"] = W(("count_events",), """
         SELECT c, CAST(t * 10000 + (c + 1) % 10000 AS VARCHAR) AS txnID FROM count_events""")
     q["settlement_id"] = W(("settlement",), """
-        SELECT _txnID, (_txnID % 99999989) * 48271 % 99999989 + 1 AS settlement_id
+        SELECT _txnID, CAST(CAST(_txnID AS HUGEINT) % 999999999999989 * 48271 % 999999999999989 + 1 AS BIGINT) AS settlement_id
         FROM settlement WHERE target_region IS NOT NULL""")
     q["payee_status"] = W(("payee",), """
         SELECT _txnID, CASE WHEN status = 'ACCP' THEN 'settled' ELSE 'failed' END AS status FROM payee""")

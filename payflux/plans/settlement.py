@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from payflux.config import DEFAULT, FlowConfig
 from payflux.functions.scalar import (convert, json_get_double, json_get_string,
-                                      lehmer_id, str_concat)
+                                      settlement_id, str_concat)
 from payflux.operators import accounts, enrich, rules
 from payflux.operators.dedup import first_per_key
 
@@ -88,7 +88,7 @@ def v8_register(settlements: DataFrame, cfg: FlowConfig = DEFAULT, region: str |
     cond = F.col("target_region").isNotNull() if region is None else F.col("target_region") == region
     rows = settlements.filter(cond).select(
         F.col("_txnID").cast("string").alias("_key"),
-        lehmer_id(F.col("_txnID")).alias("settlement_id"),
+        settlement_id(F.col("_txnID")).alias("settlement_id"),
         "source_bank", "target_bank", "source_region", "target_region", "amount", "currency",
         "timestamp", F.lit("active").alias("status"), "_txnID")
     if keyed:

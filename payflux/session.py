@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,8 +35,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint dir (``spark.checkpoint.dir``).
 
-    On a cluster the setting names a shared folder and is used as is. Only
-    when it is unset (local tests) do we create a scratch folder under /tmp.
+    On a cluster the setting names a shared folder and is used as is; without
+    it nothing that executors must share can be written, so that is an error.
+    Only a local session (tests, bench) gets a scratch folder under /tmp.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -43,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="payflux-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

@@ -3,11 +3,13 @@
 Each leg of the reference is one streaming query over a folder of JSON
 files. Legs that mutate tables run in ``foreachBatch``: they read the
 committed state *at batch time* (a stream-static join would read it once),
-compute every output, write their stream sinks under ``batch=<id>`` and then
-append their table rows / account deltas with one commit record
-(``TableStore.commit``). A replayed batch id that is already committed is
-skipped; a batch that failed before its commit is redone from scratch, and
-the downstream legs are idempotent per transaction (SW1 rows are read first
+compute every output and append table rows, account deltas and the outgoing
+events (an outbox table per sink) with one commit record
+(``TableStore.commit``); only committed events are then published under
+``batch=<id>``. A replayed batch id that is already committed is published
+again and otherwise skipped; a batch that failed before its commit has
+published nothing and is redone from scratch, and the downstream legs are
+idempotent per transaction (SW1 rows are read first
 per key, the confirmation worker posts a transaction once). Stateless legs
 (Bank B, SLA monitor, error handler) are plain file-to-file streams, exactly
 once through the file sink's metadata log.
@@ -62,6 +64,12 @@ def settlement_state(store: TableStore) -> DataFrame:
     return settlement.apply_status(rows, store.appended("settlement_status", schemas.SETTLEMENT_STATUS))
 
 
+def reset_banks(store: TableStore, balance: int = 10000, reserved: int = 0) -> int:
+    """``UPDATE bank WITH {balance, reserved}`` for every account, committed as a new base."""
+    return store.rewrite("banks", "bank_deltas", schemas.BANK_DELTAS, accounts.apply_deltas,
+                         lambda banks: accounts.reset_balances(banks, balance, reserved))
+
+
 def _bank_keys(batch: DataFrame) -> DataFrame:
     """Every account a micro-batch reads or moves money on."""
     return batch.select(F.col("source_bank").alias("_key")).unionByName(
@@ -72,38 +80,72 @@ def _sink(df: DataFrame, root: str, batch_id: int) -> None:
     streams.write_json(df, f"{root}/batch={batch_id}", "overwrite")
 
 
-def _once(store: TableStore, body: BatchFn) -> BatchFn:
-    """Skip empty and already committed micro-batches; persist the batch
-    (every output of a leg reads it)."""
+def _outbox(**outgoing: DataFrame) -> dict[str, DataFrame]:
+    """The outgoing events of a batch as tables of its commit, one per sink."""
+    return {f"outbox_{name}": df for name, df in outgoing.items()}
+
+
+def _publish(store: TableStore, batch_id: int, sinks: dict[str, str]) -> None:
+    """Write the committed outgoing events of a batch to their sinks (idempotent)."""
+    for name, path in sinks.items():
+        rows = store.batch_rows(f"outbox_{name}", batch_id)
+        if rows is not None:
+            _sink(rows, path, batch_id)
+
+
+def _once(store: TableStore, body: BatchFn, sinks: dict[str, str] | None = None,
+          dead_letter: str | None = None) -> BatchFn:
+    """Run ``body`` (which commits) unless the batch is empty or committed
+    already, then publish what the batch has committed. The batch is persisted
+    (every output of a leg reads it). A failure to publish stops the query; the
+    replay publishes again."""
+    if dead_letter:
+        body = with_dead_letter(body, dead_letter, store)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if store.is_committed(batch_id) or batch.isEmpty():
-            return
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            body(batch, batch_id)
-        finally:
-            batch.unpersist()
+        if not store.is_committed(batch_id):
+            if batch.isEmpty():
+                return
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                body(batch, batch_id)
+            finally:
+                batch.unpersist()
+        _publish(store, batch_id, sinks or {})
 
     return run
 
 
-def with_dead_letter(body: BatchFn, dead_letter: str) -> BatchFn:
+def with_dead_letter(body: BatchFn, dead_letter: str, store: TableStore | None = None) -> BatchFn:
     """``OnError.action='stream'`` for sinks and tables: a batch whose writes
-    fail is not committed; its events go to the dead-letter folder with the
-    error text instead of stopping the query."""
+    fail is not committed and publishes nothing; its events go to the
+    dead-letter folder with the error text instead of stopping the query."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         try:
             body(batch, batch_id)
         except Exception as e:  # noqa: BLE001 - routed, not swallowed
-            msg = f"{type(e).__name__}: {e}"[:2000]
-            (batch.select(streams.json_payload(batch.columns).alias("event"), F.lit(msg).alias("error"))
+            if store is not None:
+                store.discard(batch_id)
+            (batch.select(streams.json_payload(batch.columns).alias("event"), F.lit(f"{type(e).__name__}: {e}").alias("error"))
              .write.mode("overwrite").json(f"{dead_letter}/batch={batch_id}"))
 
     return run
 
 
+def _drain(legs: list[Callable[[], StreamingQuery]], timeout_s: float | None = None) -> None:
+    """Run the legs one after another, each until its source is drained. With
+    ``timeout_s`` a leg that is still running then is stopped and reported."""
+    for start in legs:
+        q = start()
+        done = q.awaitTermination(timeout_s) if timeout_s is not None else (q.awaitTermination() or True)
+        if q.exception() is not None:
+            raise RuntimeError(f"leg {q.name or q.id} failed") from q.exception()
+        if not done:
+            q.stop()
+            raise TimeoutError(f"leg {q.name or q.id} was not drained within {timeout_s} s")
+
+
 def _start(src: DataFrame, body: BatchFn, checkpoint: str, available_now: bool) -> StreamingQuery:
     w = src.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
@@ -113,7 +155,7 @@ def _start(src: DataFrame, body: BatchFn, checkpoint: str, available_now: bool)
 # --------------------------------------------------------------------------- leg 1: payment worker
 
 def payment_batch(store: TableStore, presence: DataFrame, cfg: FlowConfig,
-                  sinks: dict[str, str]) -> BatchFn:
+                  sinks: dict[str, str], dead_letter: str | None = None) -> BatchFn:
     """``foreachBatch`` body of the payment worker."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
@@ -126,50 +168,49 @@ def payment_batch(store: TableStore, presence: DataFrame, cfg: FlowConfig,
             # batches) is dropped; within the batch the operator applies the TTL
             batch = ttl.suppress_within_ttl(store, batch, "_txnID", "timestamp", cfg.ttl_ms)
         out = payment.payment_worker(batch, banks, recorded, presence, cfg)
-        _sink(out.settlements, sinks["settlements"], batch_id)
-        _sink(out.rejections, sinks["payer_confirmations"], batch_id)
-        appends = {"requests": out.requests, "bank_deltas": out.reserve}
+        appends = {"requests": out.requests, "bank_deltas": out.reserve,
+                   **_outbox(settlements=out.settlements, payer_confirmations=out.rejections)}
         if cfg.dedup == "ttl":
             appends["ttl_kept"] = ttl.kept_times(out.checked, "_txnID", "timestamp")
         store.commit(batch_id, appends)
         out.release()  # the leg's fan-out caches live for one micro-batch
         banks.unpersist()
 
-    return _once(store, body)
+    return _once(store, body, sinks, dead_letter)
 
 
 def start_payment_worker(spark: SparkSession, payments_path: str, store: TableStore,
                          presence: DataFrame, sinks: dict[str, str], checkpoint: str,
                          cfg: FlowConfig = DEFAULT, max_files_per_trigger: int | None = None,
-                         available_now: bool = True) -> StreamingQuery:
+                         available_now: bool = True, dead_letter: str | None = None) -> StreamingQuery:
     """Start the leg-1 stream. ``max_files_per_trigger`` bounds each micro-batch,
     which also bounds the per-bank admission groups."""
     src = streams.read_json_stream(spark, payments_path, schemas.PAYMENTS, max_files_per_trigger)
     if cfg.dedup == "ttl":
         ttl.ensure_ttl_state(store, src, "_txnID")
-    return _start(src, payment_batch(store.for_job("pw"), presence, cfg, sinks), checkpoint, available_now)
+    return _start(src, payment_batch(store.for_job("pw"), presence, cfg, sinks, dead_letter), checkpoint, available_now)
 
 
 # --------------------------------------------------------------------------- leg 2: SW1, Bank B
 
 def settlement_batch(store: TableStore, cfg: FlowConfig, sinks: dict[str, str],
-                     region: str | None = None) -> BatchFn:
+                     region: str | None = None, dead_letter: str | None = None) -> BatchFn:
     """SW1: register settlements of the region as active rows, request Bank B."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
         reg = settlement.settlement_register(batch, cfg, region).persist(StorageLevel.MEMORY_AND_DISK)
-        _sink(settlement.transfers(reg), sinks["transfers"], batch_id)
-        store.commit(batch_id, {"settlement": reg})
+        store.commit(batch_id, {"settlement": reg, **_outbox(transfers=settlement.transfers(reg))})
         reg.unpersist()
 
-    return _once(store, body)
+    return _once(store, body, sinks, dead_letter)
 
 
 def start_settlement_worker(spark: SparkSession, settlements_path: str, store: TableStore,
                             sinks: dict[str, str], checkpoint: str, cfg: FlowConfig = DEFAULT,
-                            region: str | None = None, available_now: bool = True) -> StreamingQuery:
+                            region: str | None = None, available_now: bool = True,
+                            dead_letter: str | None = None) -> StreamingQuery:
     src = streams.read_json_stream(spark, settlements_path, schemas.SETTLEMENTS)
-    return _start(src, settlement_batch(store.for_job("sw1"), cfg, sinks, region), checkpoint, available_now)
+    return _start(src, settlement_batch(store.for_job("sw1"), cfg, sinks, region, dead_letter), checkpoint, available_now)
 
 
 def start_bank_b(spark: SparkSession, transfers_path: str, out_path: str, checkpoint: str,
@@ -181,22 +222,22 @@ def start_bank_b(spark: SparkSession, transfers_path: str, out_path: str, checkp
 
 # --------------------------------------------------------------------------- leg 3: SW2
 
-def settlement_confirm_batch(store: TableStore, sinks: dict[str, str]) -> BatchFn:
+def settlement_confirm_batch(store: TableStore, sinks: dict[str, str],
+                             dead_letter: str | None = None) -> BatchFn:
     """SW2: status from the payee answer; status update rows and Confirmations."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
         conf = settlement.confirmation_rows(batch)
-        _sink(conf, sinks["confirmations"], batch_id)
-        store.commit(batch_id, {"settlement_status": settlement.status_updates(conf)})
+        store.commit(batch_id, {"settlement_status": settlement.status_updates(conf), **_outbox(confirmations=conf)})
 
-    return _once(store, body)
+    return _once(store, body, sinks, dead_letter)
 
 
 def start_settlement_confirm(spark: SparkSession, payee_path: str, store: TableStore,
                              sinks: dict[str, str], checkpoint: str,
-                             available_now: bool = True) -> StreamingQuery:
+                             available_now: bool = True, dead_letter: str | None = None) -> StreamingQuery:
     src = streams.read_json_stream(spark, payee_path, schemas.PAYEE_CONFIRMATIONS)
-    return _start(src, settlement_confirm_batch(store.for_job("sw2"), sinks), checkpoint, available_now)
+    return _start(src, settlement_confirm_batch(store.for_job("sw2"), sinks, dead_letter), checkpoint, available_now)
 
 
 # --------------------------------------------------------------------------- V8 settlement worker
@@ -211,7 +252,7 @@ def settlement_v8_state(store: TableStore, only=None) -> DataFrame:
 
 
 def v8_register_batch(store: TableStore, cfg: FlowConfig, sinks: dict[str, str],
-                      region: str | None = None) -> BatchFn:
+                      region: str | None = None, dead_letter: str | None = None) -> BatchFn:
     """V8 SW, first half: insert-returning of Settlement rows, then Transfers."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
@@ -219,14 +260,13 @@ def v8_register_batch(store: TableStore, cfg: FlowConfig, sinks: dict[str, str],
         existing = settlement_v8_state(store, enrich.key_filter(batch.select("_txnID")))
         rows, _ = settlement.v8_register(batch, cfg, region, existing=existing)
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        _sink(settlement.transfers(rows), sinks["transfers"], batch_id)
-        store.commit(batch_id, {"settlement_v8": rows})
+        store.commit(batch_id, {"settlement_v8": rows, **_outbox(transfers=settlement.transfers(rows))})
         rows.unpersist()
 
-    return _once(store, body)
+    return _once(store, body, sinks, dead_letter)
 
 
-def v8_confirm_batch(store: TableStore, sinks: dict[str, str]) -> BatchFn:
+def v8_confirm_batch(store: TableStore, sinks: dict[str, str], dead_letter: str | None = None) -> BatchFn:
     """V8 SW, second half, per micro-batch of (payee message, cached JSON):
     misses read the committed Settlement table, then validate, update the
     status and confirm."""
@@ -237,12 +277,11 @@ def v8_confirm_batch(store: TableStore, sinks: dict[str, str]) -> BatchFn:
         checked = settlement.v8_validate(settlement.resolve_cache(joined, table))
         conf, _ = settlement.v8_confirm(checked, table)
         conf = conf.persist(StorageLevel.MEMORY_AND_DISK)
-        _sink(conf, sinks["confirmations"], batch_id)
-        store.commit(batch_id, {"settlement_v8_status": settlement.status_updates(conf)})
+        store.commit(batch_id, {"settlement_v8_status": settlement.status_updates(conf), **_outbox(confirmations=conf)})
         conf.unpersist()
         table.unpersist()
 
-    return _once(store, body)
+    return _once(store, body, sinks, dead_letter)
 
 
 def start_v8_settlement_worker(spark: SparkSession, settlements_path: str, payee_path: str,
@@ -250,7 +289,8 @@ def start_v8_settlement_worker(spark: SparkSession, settlements_path: str, payee
                                cfg: FlowConfig = DEFAULT, region: str | None = None,
                                starting_after_ms: int | None = None, watermark_ms: int | None = None,
                                max_files_per_trigger: int | None = None,
-                               available_now: bool = True) -> dict[str, Callable[[], StreamingQuery]]:
+                               available_now: bool = True,
+                               dead_letter: str | None = None) -> dict[str, Callable[[], StreamingQuery]]:
     """The V8 settlement worker as two streaming queries (returned unstarted,
     as ``{'register': start, 'confirm': start}``):
 
@@ -268,7 +308,8 @@ def start_v8_settlement_worker(spark: SparkSession, settlements_path: str, payee
                                         max_files_per_trigger, starting_after_ms)
 
     def start_register() -> StreamingQuery:
-        body = v8_register_batch(store.for_job("sw8"), cfg, sinks, region)
+        body = v8_register_batch(store.for_job("sw8"), cfg, {"transfers": sinks["transfers"]}, region,
+                                 dead_letter and f"{dead_letter}/job=sw8")
         return _start(settlements(), body, checkpoints["register"], available_now)
 
     def start_confirm() -> StreamingQuery:
@@ -276,7 +317,8 @@ def start_v8_settlement_worker(spark: SparkSession, settlements_path: str, payee
         payee = streams.read_json_stream(spark, payee_path, schemas.PAYEE_CONFIRMATIONS,
                                          max_files_per_trigger)
         joined = settlement.cache_join(payee, cache, cfg.ttl_ms, watermark_ms or 2 * cfg.ttl_ms)
-        body = v8_confirm_batch(store.for_job("sw8c"), sinks)
+        body = v8_confirm_batch(store.for_job("sw8c"), {"confirmations": sinks["confirmations"]},
+                                dead_letter and f"{dead_letter}/job=sw8c")
         return _start(joined, body, checkpoints["confirm"], available_now)
 
     return {"register": start_register, "confirm": start_confirm}
@@ -284,7 +326,8 @@ def start_v8_settlement_worker(spark: SparkSession, settlements_path: str, payee
 
 # --------------------------------------------------------------------------- leg 4: CW
 
-def confirmation_batch(store: TableStore, cfg: FlowConfig, sinks: dict[str, str]) -> BatchFn:
+def confirmation_batch(store: TableStore, cfg: FlowConfig, sinks: dict[str, str],
+                       dead_letter: str | None = None) -> BatchFn:
     """Confirmation worker: post accepted, release rejected, write the ledger.
 
     A transaction already in the ledger is not posted again, so a re-sent or
@@ -297,22 +340,21 @@ def confirmation_batch(store: TableStore, cfg: FlowConfig, sinks: dict[str, str]
                                          batch.select("_txnID"), "_txnID")
         fresh = dedup_durable(batch, posted)
         out = confirmation.confirmation_worker(fresh, banks, cfg)
-        _sink(out.payer, sinks["payer_confirmations"], batch_id)
-        store.commit(batch_id, {"ledger": out.ledger, "bank_deltas": out.deltas})
+        store.commit(batch_id, {"ledger": out.ledger, "bank_deltas": out.deltas, **_outbox(payer_confirmations=out.payer)})
         banks.unpersist()
 
-    return _once(store, body)
+    return _once(store, body, sinks, dead_letter)
 
 
 def start_confirmation_worker(spark: SparkSession, confirmations_path: str, store: TableStore,
                               sinks: dict[str, str], checkpoint: str, cfg: FlowConfig = DEFAULT,
-                              available_now: bool = True) -> StreamingQuery:
+                              available_now: bool = True, dead_letter: str | None = None) -> StreamingQuery:
     src = streams.read_json_stream(spark, confirmations_path, schemas.CONFIRMATIONS)
-    return _start(src, confirmation_batch(store.for_job("cw"), cfg, sinks), checkpoint, available_now)
+    return _start(src, confirmation_batch(store.for_job("cw"), cfg, sinks, dead_letter), checkpoint, available_now)
 
 
 def confirmation_v8_batch(store: TableStore, cfg: FlowConfig, sinks: dict[str, str],
-                          ledger_after: str = "target") -> BatchFn:
+                          ledger_after: str = "target", dead_letter: str | None = None) -> BatchFn:
     """V8 CW: credit the payee (update-returning), then debit the payer and
     write the ledger for the answered ones. A transaction already in the
     ledger is not posted again."""
@@ -322,18 +364,18 @@ def confirmation_v8_batch(store: TableStore, cfg: FlowConfig, sinks: dict[str, s
         posted = enrich.restrict_to_keys(store.appended("ledger_v8", schemas.LEDGER_V8),
                                          batch.select("_txnID"), "_txnID")
         out = confirmation.confirmation_worker_v8(dedup_durable(batch, posted), banks, cfg, ledger_after)
-        _sink(out.posted, sinks["output"], batch_id)
-        store.commit(batch_id, {"ledger_v8": out.ledger, "bank_deltas": out.deltas})
+        store.commit(batch_id, {"ledger_v8": out.ledger, "bank_deltas": out.deltas, **_outbox(output=out.posted)})
         banks.unpersist()
 
-    return _once(store, body)
+    return _once(store, body, sinks, dead_letter)
 
 
 def start_confirmation_worker_v8(spark: SparkSession, confirmations_path: str, store: TableStore,
                                  sinks: dict[str, str], checkpoint: str, cfg: FlowConfig = DEFAULT,
-                                 ledger_after: str = "target", available_now: bool = True) -> StreamingQuery:
+                                 ledger_after: str = "target", available_now: bool = True,
+                                 dead_letter: str | None = None) -> StreamingQuery:
     src = streams.read_json_stream(spark, confirmations_path, schemas.CONFIRMATIONS_V8)
-    body = confirmation_v8_batch(store.for_job("cw8"), cfg, sinks, ledger_after)
+    body = confirmation_v8_batch(store.for_job("cw8"), cfg, sinks, ledger_after, dead_letter)
     return _start(src, body, checkpoint, available_now)
 
 
@@ -377,7 +419,7 @@ class ClearingPaths:
 def run_clearing_stream(spark: SparkSession, payments_path: str, store: TableStore,
                         presence: DataFrame, root: str, cfg: FlowConfig = DEFAULT,
                         max_files_per_trigger: int | None = None,
-                        timeout_s: int = 900) -> ClearingPaths:
+                        timeout_s: float | None = None) -> ClearingPaths:
     """Drain every leg once (``availableNow``), in flow order: PW, SW1, Bank B,
     SW2, CW, SLA. Each leg is an independent query with its own checkpoint, so
     running the function again processes only new files."""
@@ -396,11 +438,7 @@ def run_clearing_stream(spark: SparkSession, payments_path: str, store: TableSto
                                           {"payer_confirmations": f"{p.payer}/job=cw"}, p.ckpt_cw, cfg),
         lambda: start_sla_monitor(spark, p.payer, p.payer_sla, p.ckpt_sla),
     ]
-    for start in legs:
-        q = start()
-        q.awaitTermination(timeout_s)
-        if q.exception() is not None:
-            raise RuntimeError(f"leg {q.name or q.id} failed") from q.exception()
+    _drain(legs, timeout_s)
     return p
 
 
@@ -408,7 +446,7 @@ def run_clearing_stream(spark: SparkSession, payments_path: str, store: TableSto
 
 def start_simplified_flow(spark: SparkSession, payments_path: str, store: TableStore,
                           root: str, cfg: FlowConfig = DEFAULT, max_files_per_trigger: int | None = None,
-                          timeout_s: int = 900) -> ClearingPaths:
+                          timeout_s: float | None = None, dead_letter: str | None = None) -> ClearingPaths:
     """Drain the simplified variant once, each leg its own query: PW (reserve
     every payment), SW1 (name-derived target region), Bank B, SW2 (status +
     name-derived source region), CW (post every in-region confirmation)."""
@@ -419,20 +457,19 @@ def start_simplified_flow(spark: SparkSession, payments_path: str, store: TableS
     def pw(batch: DataFrame, batch_id: int) -> None:
         banks = bank_state(store, enrich.key_filter(_bank_keys(batch))).persist(StorageLevel.MEMORY_AND_DISK)
         settlements, requests, reserve, _ = simplified.payment_worker(batch, banks, cfg)
-        _sink(settlements, p.settlements, batch_id)
-        store.for_job("pw_s").commit(batch_id, {"requests_s": requests, "bank_deltas": reserve})
+        store.for_job("pw_s").commit(batch_id, {"requests_s": requests, "bank_deltas": reserve,
+                                                **_outbox(settlements=settlements)})
         banks.unpersist()
 
     def sw1(batch: DataFrame, batch_id: int) -> None:
         reg = simplified.settlement_register(batch, cfg).persist(StorageLevel.MEMORY_AND_DISK)
-        _sink(settlement.transfers(reg), p.transfers, batch_id)
-        store.for_job("sw1_s").commit(batch_id, {"settlement_s": reg})
+        store.for_job("sw1_s").commit(batch_id, {"settlement_s": reg, **_outbox(transfers=settlement.transfers(reg))})
         reg.unpersist()
 
     def sw2(batch: DataFrame, batch_id: int) -> None:
         conf = simplified.settlement_confirm(batch, cfg)
-        _sink(conf, p.confirmations, batch_id)
-        store.for_job("sw2_s").commit(batch_id, {"settlement_s_status": settlement.status_updates(conf)})
+        store.for_job("sw2_s").commit(batch_id, {"settlement_s_status": settlement.status_updates(conf),
+                                                 **_outbox(confirmations=conf)})
 
     def cw(batch: DataFrame, batch_id: int) -> None:
         banks = bank_state(store, enrich.key_filter(_bank_keys(batch))).persist(StorageLevel.MEMORY_AND_DISK)
@@ -440,33 +477,30 @@ def start_simplified_flow(spark: SparkSession, payments_path: str, store: TableS
                                          batch.select(F.col("_txnID").cast("string")), "_key")
         fresh = batch.join(posted.select(F.col("_key").cast("long").alias("_txnID")), "_txnID", "left_anti")
         ledger, payer, deltas, _ = simplified.confirmation_worker(fresh, banks, cfg)
-        _sink(payer, p.payer, batch_id)
-        store.for_job("cw_s").commit(batch_id, {"ledger_s": ledger, "bank_deltas": deltas})
+        store.for_job("cw_s").commit(batch_id, {"ledger_s": ledger, "bank_deltas": deltas,
+                                                **_outbox(payer_confirmations=payer)})
         banks.unpersist()
 
-    def foreach(path, schema, body, ckpt, job, files=None):
+    def foreach(path, schema, body, ckpt, job, sinks, files=None):
         src = streams.read_json_stream(spark, path, schema, files)
-        return _start(src, _once(store.for_job(job), body), ckpt, True)
+        stray = dead_letter and f"{dead_letter}/job={job}"
+        return _start(src, _once(store.for_job(job), body, sinks, stray), ckpt, True)
 
     legs = [
-        lambda: foreach(payments_path, schemas.PAYMENTS, pw, p.ckpt_pw, "pw_s", max_files_per_trigger),
-        lambda: foreach(p.settlements, schemas.SETTLEMENTS_SIMPLE, sw1, p.ckpt_sw1, "sw1_s"),
+        lambda: foreach(payments_path, schemas.PAYMENTS, pw, p.ckpt_pw, "pw_s", {"settlements": p.settlements}, max_files_per_trigger),
+        lambda: foreach(p.settlements, schemas.SETTLEMENTS_SIMPLE, sw1, p.ckpt_sw1, "sw1_s", {"transfers": p.transfers}),
         lambda: start_bank_b(spark, p.transfers, p.payee, p.ckpt_bank_b),
-        lambda: foreach(p.payee, schemas.PAYEE_CONFIRMATIONS, sw2, p.ckpt_sw2, "sw2_s"),
-        lambda: foreach(p.confirmations, schemas.CONFIRMATIONS, cw, p.ckpt_cw, "cw_s"),
+        lambda: foreach(p.payee, schemas.PAYEE_CONFIRMATIONS, sw2, p.ckpt_sw2, "sw2_s", {"confirmations": p.confirmations}),
+        lambda: foreach(p.confirmations, schemas.CONFIRMATIONS, cw, p.ckpt_cw, "cw_s", {"payer_confirmations": p.payer}),
     ]
-    for start in legs:
-        q = start()
-        q.awaitTermination(timeout_s)
-        if q.exception() is not None:
-            raise RuntimeError("simplified leg failed") from q.exception()
+    _drain(legs, timeout_s)
     return p
 
 
 def run_clearing_stream_v8(spark: SparkSession, payments_path: str, store: TableStore,
                            presence: DataFrame, root: str, cfg: FlowConfig,
                            max_files_per_trigger: int | None = None,
-                           timeout_s: int = 900) -> ClearingPaths:
+                           timeout_s: float | None = None) -> ClearingPaths:
     """Drain the V8 flow once, in order: PW (TTL dedup across batches), SW
     register, Bank B, SW confirm (stream-stream cache join), CW."""
     p = ClearingPaths(root.rstrip("/"))
@@ -483,9 +517,5 @@ def run_clearing_stream_v8(spark: SparkSession, payments_path: str, store: Table
         lambda: start_confirmation_worker_v8(spark, p.confirmations, store, {"output": p.output},
                                              p.ckpt_cw, cfg),
     ]
-    for start in legs:
-        q = start()
-        q.awaitTermination(timeout_s)
-        if q.exception() is not None:
-            raise RuntimeError("V8 leg failed") from q.exception()
+    _drain(legs, timeout_s)
     return p

@@ -127,6 +127,26 @@ class TableStore:
         last = self.last_commit()
         return last is not None and batch_id <= last
 
+    def batch_rows(self, name: str, batch_id: int) -> DataFrame | None:
+        """Rows of ``name`` that exactly this batch of this job committed; None
+        without its own commit record (a later batch's record does not count)."""
+        done = self._files("_commits", f"job={self.job}", f"range={batch_id // self.range_size}")
+        if batch_id not in self._ids(done, "batch"):
+            return None
+        try:
+            return self.spark.read.parquet(self._path(name, f"job={self.job}", f"batch={batch_id}"))
+        except AnalysisException:  # the batch wrote no such table
+            return None
+
+    def discard(self, batch_id: int) -> None:
+        """Delete what a batch wrote before it failed for good, so that a later
+        commit of the job does not make those rows visible."""
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+            self._path("*", f"job={self.job}", f"batch={batch_id}"))
+        fs = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for found in fs.globStatus(at) or []:
+            fs.delete(found.getPath(), True)
+
     # ------------------------------------------------------------------ append tables
 
     def _committed_between(self, job: str, lo: int, hi: int) -> list[int]:
@@ -170,6 +190,8 @@ class TableStore:
         """
         full = StructType(list(schema.fields) + [StructField("job", StringType()),
                                                  StructField("batch", LongType())])
+        if after is None:
+            after = self._emptied(name)  # rows from before the last truncation are gone
         if after is not None:
             rows = self._bounded(name, full, after, upto if upto is not None else self.commit_log())
             if rows is not None:
@@ -213,6 +235,27 @@ class TableStore:
         _, data, covered = self._base(name)
         return fold(data, self.appended(deltas, delta_schema, after=covered))
 
+    def truncate(self, name: str) -> None:
+        """``REMOVE`` of every row of an append table, as one committed operation:
+        rows of the batches committed so far are not read any more."""
+        last = self.last_commit(f"base-empty-{name}")
+        upto = self.commit_log().filter(~F.col("job").startswith("base-"))
+        self._write_base(f"empty-{name}", 0 if last is None else last + 1,
+                         self.spark.createDataFrame([], COVERED_SCHEMA), upto)
+
+    def _emptied(self, name: str) -> DataFrame | None:
+        v = self.last_commit(f"base-empty-{name}")
+        if v is None:
+            return None
+        return self.spark.read.schema(COVERED_SCHEMA).parquet(self._path("_bases", f"empty-{name}", f"v={v}", "covered"))
+
+    def rewrite(self, name: str, deltas: str, delta_schema: StructType,
+                fold: Callable[[DataFrame, DataFrame], DataFrame],
+                change: Callable[[DataFrame], DataFrame]) -> int:
+        """An update of every row (``UPDATE ... WITH`` without a key) as one
+        committed operation: the next base is the changed current state."""
+        return self.compact(name, deltas, delta_schema, lambda data, rows: change(fold(data, rows)))
+
     def compact(self, name: str, deltas: str, delta_schema: StructType,
                 fold: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
         """Fold the committed deltas into a new base version, so later reads

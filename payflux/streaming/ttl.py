@@ -1,63 +1,20 @@
-"""TTL dedup on a stream, two forms.
-
-``start_ttl_dedup`` (default) keeps the state as a committed table: per
-micro-batch the batch operator (JVM only, hot keys split) runs on the rows not
-suppressed by earlier batches. ``dedup_ttl_stream`` is the keyed-state form:
-``applyInPandasWithState`` keeps, per key, the event time of the last *kept*
-row. Rows of one key inside a micro-batch are folded in (timestamp, attempt)
-order; a copy does not refresh the TTL. The state is dropped by an event-time
-timeout once the watermark passes ``last + ttl``, so state stays bounded by
-the keys seen within one TTL. Micro-batch size (``maxFilesPerTrigger``) bounds
-each group.
+"""TTL dedup on a stream.
+
+``start_ttl_dedup`` keeps the state as a committed table: per micro-batch the
+batch operator (JVM only, hot keys split) runs on the rows not suppressed by
+earlier batches, so a hot key is never one group of one task.
 """
 
 from __future__ import annotations
 
-from typing import Iterator
-
-import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType
 
 from payflux.streaming.store import TableStore
 
 
-def dedup_ttl_stream(rows: DataFrame, key: str = "_txnID", ts: str = "timestamp",
-                     tie: str = "attempt", ttl_ms: int = 5000) -> DataFrame:
-    """Streaming twin of ``payflux.operators.dedup.dedup_ttl`` (kept rows only)."""
-    cols = rows.columns
-    out_schema = rows.select(*cols).schema
-    timed = rows.withColumn("_event_time", F.timestamp_millis(F.col(ts))) \
-                .withWatermark("_event_time", f"{ttl_ms} milliseconds")
-
-    def fold(k, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values([ts, tie], kind="stable")
-        last = state.get[0] if state.exists else None
-        keep = []
-        for t in pdf[ts].tolist():  # bounded: one key's rows in one micro-batch
-            ok = last is None or t >= last + ttl_ms
-            if ok:
-                last = t
-            keep.append(ok)
-        state.update((int(last),))
-        state.setTimeoutTimestamp(int(last) + ttl_ms)
-        kept = pdf[keep]
-        if len(kept):
-            yield kept[cols]
-
-    return (timed.groupBy(key)
-            .applyInPandasWithState(fold, out_schema, "last long", "append",
-                                    GroupStateTimeout.EventTimeTimeout))
-
-
-# --------------------------------------------------------------------------- JVM-only, hot-key safe form
-
 def _state_schema(rows: DataFrame, key: str) -> StructType:
     return StructType([rows.schema[key], StructField("last", LongType())])
 
@@ -116,22 +73,25 @@ def ttl_dedup_batch(store: TableStore, key: str, ts: str, tie: str, ttl_ms: int,
 
     A row within ``ttl_ms`` of its key's last kept row (from earlier batches)
     is suppressed; the rest go through the batch operator (ordered per key,
-    hot keys split by range segments, all JVM), whose kept rows are written to
-    ``sink`` and become the keys' new state in the same commit. Exact for
+    hot keys split by range segments, all JVM), whose kept rows and the keys' new
+    state are one commit; committed rows are then written to ``sink``. Exact for
     micro-batches arriving in event-time order.
     """
     from payflux.operators.dedup import dedup_ttl
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if store.is_committed(batch_id) or batch.isEmpty():
-            return
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        fresh = suppress_within_ttl(store, batch, key, ts, ttl_ms)
-        kept = dedup_ttl(fresh, key, ts, tie, ttl_ms, group_rows).persist(StorageLevel.MEMORY_AND_DISK)
-        kept.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-        store.commit(batch_id, {"ttl_kept": kept_times(kept, key, ts)})
-        kept.unpersist()
-        batch.unpersist()
+        if not store.is_committed(batch_id):
+            if batch.isEmpty():
+                return
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+            fresh = suppress_within_ttl(store, batch, key, ts, ttl_ms)
+            kept = dedup_ttl(fresh, key, ts, tie, ttl_ms, group_rows).persist(StorageLevel.MEMORY_AND_DISK)
+            store.commit(batch_id, {"ttl_kept": kept_times(kept, key, ts), "outbox_kept": kept})
+            kept.unpersist()
+            batch.unpersist()
+        rows = store.batch_rows("outbox_kept", batch_id)  # published once committed, again on a replay
+        if rows is not None:
+            rows.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
     return run
 

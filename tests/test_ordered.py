@@ -128,3 +128,59 @@ def test_admission_hot_key_without_funds_keeps_rows(spark):
     got = ordered_admission(hot, funds, group_rows=64, segments=4)
     assert got.count() == hot.count()
     assert got.filter("admitted").count() == 0
+
+
+@pytest.mark.parametrize("group_rows", [2, 4096])
+def test_ttl_dedup_null_and_hot_keys_alike_at_any_bound(spark, group_rows):
+    rows = [(None if i % 3 == 0 else i % 7, i // 3, i * 700 % 20_000) for i in range(90)] * 2
+    df = spark.createDataFrame(rows, "_txnID bigint, attempt bigint, timestamp bigint")
+    got = sorted(((r["_txnID"] is None, r["_txnID"] or 0, r["timestamp"], r["attempt"]) for r in
+                  ttl_first_seen(df, ttl_ms=5000, group_rows=group_rows).filter("kept").collect()))
+    want, last = [], {}
+    for k, a, t in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, r[2], r[1])):
+        if k not in last or t >= last[k] + 5000:
+            last[k] = t
+            want.append((k is None, k or 0, t, a))
+    assert got == sorted(want)
+    assert any(w[0] for w in want)
+
+
+@pytest.mark.parametrize("group_rows", [2, 4096])
+def test_admission_negative_and_null_amounts_alike_at_any_bound(spark, group_rows):
+    rows = [("a", i, i, [3.0, -2.0, 5.0, None, 0.0, 7.0][i % 6]) for i in range(24)] + [(None, i, 100 + i, 1.0) for i in range(6)]
+    cand = spark.createDataFrame(rows, "source_bank string, timestamp bigint, _txnID bigint, amount double")
+    funds = spark.createDataFrame([("a", 21.0)], "source_bank string, free double")
+    got = {r["_txnID"]: r["admitted"] for r in ordered_admission(cand, funds, group_rows=group_rows, segments=3).collect()}
+    free, want = 21.0, {}
+    for k, _, i, a in rows:
+        want[i] = k == "a" and a is not None and 0 <= a <= free
+        free -= a if want[i] else 0
+    assert got == want
+
+
+def test_admission_rounds_stay_few_on_alternating_amounts(spark, monkeypatch):
+    """1, F - 1, 1, F - 1, ...: each round takes at least half of the funds."""
+    from payflux.operators import ordered
+
+    n, funds_of = 400, 1000.0
+    rows = [("a", i, i, 1.0 if i % 2 == 0 else funds_of - 1 - i / 4) for i in range(n)]
+    cand = spark.createDataFrame(rows, "source_bank string, timestamp bigint, _txnID bigint, amount double")
+    funds = spark.createDataFrame([("a", funds_of)], "source_bank string, free double")
+    rounds, real = [], ordered._prefix_round
+    monkeypatch.setattr(ordered, "_prefix_round", lambda *a, **k: rounds.append(1) or real(*a, **k))
+    got = {r["_txnID"]: r["admitted"] for r in ordered_admission(cand, funds, group_rows=2, segments=2).collect()}
+    free, want = funds_of, {}
+    for _, _, i, a in rows:
+        want[i] = a <= free
+        free -= a if want[i] else 0
+    assert got == want and len(rounds) <= 12
+
+
+def test_rows_without_id_all_pass_durable_dedup(spark):
+    from payflux.operators.dedup import dedup_durable
+
+    rows = [(None, 1, "x")] * 3 + [(None, 2, "y"), (5, 2, "b"), (5, 1, "a"), (6, 1, "c")]
+    df = spark.createDataFrame(rows, "_txnID bigint, timestamp bigint, v string")
+    done = spark.createDataFrame([(6,)], "_txnID bigint")
+    got = sorted((r["_txnID"] or 0, r["timestamp"], r["v"]) for r in dedup_durable(df, done).collect())
+    assert got == [(0, 1, "x")] * 3 + [(0, 2, "y"), (5, 1, "a")]

@@ -92,3 +92,25 @@ def test_state_reads_only_uncovered_committed_batches(spark, tmp_path):
     a.commit(4, {"deltas": spark.createDataFrame([(2, -7)], schema)})
     got = {r["k"]: r["d"] for r in st.state("acc", "deltas", schema, fold).collect()}
     assert got == {1: 96, 2: 100}
+
+
+def test_truncate_hides_what_was_committed_before(spark, tmp_path):
+    st = TableStore(spark, str(tmp_path / "s"), job="a", range_size=3)
+    st.truncate("t")  # nothing written yet
+    for b in range(5):
+        st.commit(b, {"t": spark.range(b, b + 1)})
+    st.truncate("t")
+    assert st.appended("t", ROWS).count() == 0
+    st.for_job("b").commit(0, {"t": spark.range(100, 102)})
+    st.commit(5, {"t": spark.range(5, 6)})
+    assert sorted(r["id"] for r in st.appended("t", ROWS).collect()) == [5, 100, 101]
+
+
+def test_rows_of_a_batch_need_its_own_record(spark, tmp_path):
+    st = TableStore(spark, str(tmp_path / "s"), job="a")
+    spark.range(3).write.parquet(f"{st.base}/t/job=a/batch=0")  # failed before its record
+    st.commit(1, {"t": spark.range(10, 11)})
+    assert st.batch_rows("t", 0) is None and st.batch_rows("u", 1) is None
+    assert [r["id"] for r in st.batch_rows("t", 1).collect()] == [10]
+    st.discard(0)
+    assert [r["id"] for r in st.appended("t", ROWS).collect()] == [10]

@@ -4,17 +4,17 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from payflux import schemas
+from payflux.config import DEFAULT
 from payflux.operators.dedup import dedup_ttl
 from payflux.plans import payment
 from payflux.sources import fixtures as fx
 from payflux.streaming.jobs import bank_state, start_payment_worker
 from payflux.streaming.store import TableStore
-from payflux.streaming.ttl import dedup_ttl_stream
 
 
 def _write_chunks(df, path, order_col, n=3, bounds=None):
     """Write ``df`` as JSON files in ``order_col`` order (one per micro-batch)."""
-    from payflux.sources.streams import stage_chunks
+    from tools.replay import stage_chunks
     return stage_chunks(df, path, order_col, n, bounds)
 
 
@@ -47,20 +47,6 @@ def test_payment_worker_stream_equals_batch(spark, tmp_path):
     assert store.appended("requests", schemas.PAYMENT_REQUESTS).count() == len(want)
 
 
-def test_ttl_dedup_stream_equals_batch(spark, tmp_path):
-    rows = fx.payment_retries(spark, SF_SMALL).select("_txnID", "attempt", "timestamp").dropDuplicates()
-    src = _write_chunks(rows, str(tmp_path / "retries"), "timestamp")
-    schema = rows.schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").json(src)
-    q = (dedup_ttl_stream(stream).writeStream.format("memory").queryName("ttl_out")
-         .outputMode("append").trigger(availableNow=True)
-         .option("checkpointLocation", str(tmp_path / "ckpt")).start())
-    q.awaitTermination(600)
-    got = sorted(tuple(r) for r in spark.table("ttl_out").select("_txnID", "attempt", "timestamp").collect())
-    want = sorted(tuple(r) for r in dedup_ttl(rows).select("_txnID", "attempt", "timestamp").collect())
-    assert got == want
-
-
 def _rows(df, cols):
     return sorted((tuple(r) for r in df.select(*cols).collect()),
                   key=lambda t: tuple((v is None, v if v is not None else 0) for v in t))
@@ -415,3 +401,65 @@ def test_payment_worker_survives_failure_before_commit(spark, tmp_path):
     assert _rows(bank_state(store), acct) == _rows(batch.banks, acct)
     got = spark.read.schema(schemas.SETTLEMENTS).json(sinks["settlements"])
     assert _rows(got, ["_txnID"]) == _rows(batch.settlements, ["_txnID"])
+
+
+def test_failed_commit_publishes_nothing_and_a_replay_publishes_once(spark, tmp_path, monkeypatch):
+    """A batch whose commit fails is dead-lettered with nothing published and
+    nothing of it readable; a committed batch that was not published yet is
+    published by its replay, and only once."""
+    from payflux.streaming.jobs import payment_batch
+
+    pay, banks = fx.payments(spark, SF_SMALL), fx.banks(spark, SF_SMALL)
+    store = TableStore(spark, str(tmp_path / "store"), job="pw")
+    store.seed({"banks": banks})
+    sinks = {"settlements": str(tmp_path / "settlements"), "payer_confirmations": str(tmp_path / "payer")}
+    run = payment_batch(store, fx.presence(spark, SF_SMALL), DEFAULT, sinks, str(tmp_path / "dead"))
+    real = store.commit
+
+    def failing(batch_id, appends):
+        appends["requests"].write.parquet(f"{store.base}/requests/job=pw/batch={batch_id}")
+        raise OSError("x" * 5000)
+
+    monkeypatch.setattr(store, "commit", failing)
+    run(pay, 0)
+    assert not (tmp_path / "settlements").exists() and not (tmp_path / "payer").exists()
+    dead = spark.read.json(str(tmp_path / "dead"))
+    assert dead.count() == pay.count()
+    assert dead.first()["error"] == "OSError: " + "x" * 5000  # whole
+    monkeypatch.setattr(store, "commit", real)
+
+    # committed, but the query dies before it publishes
+    published = []
+    import payflux.streaming.jobs as jobs
+    sink = jobs._sink
+    monkeypatch.setattr(jobs, "_sink", lambda *a: (_ for _ in ()).throw(OSError("sink down")))
+    try:
+        run(pay, 1)
+    except OSError:
+        published.append("failed")
+    assert published == ["failed"] and store.is_committed(1)
+    monkeypatch.setattr(jobs, "_sink", sink)
+    for _ in range(2):
+        run(pay, 1)
+    want = payment.payment_worker(pay, banks, spark.createDataFrame([], schemas.PAYMENT_REQUESTS), fx.presence(spark, SF_SMALL))
+    got = spark.read.schema(schemas.SETTLEMENTS).json(sinks["settlements"])
+    assert got.count() == want.settlements.count()
+    # the rows that the failed batch 0 had written are not visible after batch 1 committed
+    assert store.appended("requests", schemas.PAYMENT_REQUESTS).count() == want.requests.count()
+    want.release()
+
+
+def test_drain_reports_a_leg_that_is_not_done(spark, tmp_path):
+    import pytest
+
+    from payflux.streaming.jobs import _drain
+
+    src = spark.readStream.format("rate").option("rowsPerSecond", "1").load()
+    started = []
+
+    def leg():
+        started.append(src.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c")).start())
+        return started[0]
+    with pytest.raises(TimeoutError):
+        _drain([leg], timeout_s=2)
+    assert not started[0].isActive
