@@ -454,7 +454,7 @@ def oracle_sql() -> dict[str, str]:
           ELSE NULL END AS failedMsg
         FROM payments_v1 p LEFT JOIN banks b ON b.name = p.source_bank""")
     # One line per feed of the generator, as its payments look for a count n.
-    q["gen_payments"] = W(("count_events",), """
+    q["gen_payments"] = W(("count_events",), """,
         n AS (SELECT c + 1 AS n, t FROM count_events WHERE c + 1 <= 833),
         rows AS (
           SELECT 'BankA-west_' || (n - 1) AS source_bank, 'BankB-central_' || (n - 1) AS target_bank, n AS id, t FROM n

@@ -37,6 +37,9 @@ from payflux.streaming.store import TableStore
 
 BatchFn = Callable[[DataFrame, int], None]
 
+# micro-batches of the payment worker between two compactions of Banks
+COMPACT_EVERY = 200
+
 
 # --------------------------------------------------------------------------- state views
 
@@ -156,7 +159,9 @@ def _start(src: DataFrame, body: BatchFn, checkpoint: str, available_now: bool)
 
 def payment_batch(store: TableStore, presence: DataFrame, cfg: FlowConfig,
                   sinks: dict[str, str], dead_letter: str | None = None) -> BatchFn:
-    """``foreachBatch`` body of the payment worker."""
+    """``foreachBatch`` body of the payment worker. Every ``COMPACT_EVERY``
+    micro-batches it also folds the committed account deltas into a new base,
+    so that state reads stay short (this job alone does so: one writer)."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
         # only the accounts and recorded txns this micro-batch touches
@@ -175,6 +180,8 @@ def payment_batch(store: TableStore, presence: DataFrame, cfg: FlowConfig,
         store.commit(batch_id, appends)
         out.release()  # the leg's fan-out caches live for one micro-batch
         banks.unpersist()
+        if batch_id and batch_id % COMPACT_EVERY == 0:
+            compact_banks(store)
 
     return _once(store, body, sinks, dead_letter)
 

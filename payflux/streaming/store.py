@@ -141,11 +141,7 @@ class TableStore:
     def discard(self, batch_id: int) -> None:
         """Delete what a batch wrote before it failed for good, so that a later
         commit of the job does not make those rows visible."""
-        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-            self._path("*", f"job={self.job}", f"batch={batch_id}"))
-        fs = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        for found in fs.globStatus(at) or []:
-            fs.delete(found.getPath(), True)
+        self._delete("*", f"job={self.job}", f"batch={batch_id}")
 
     # ------------------------------------------------------------------ append tables
 
@@ -211,8 +207,11 @@ class TableStore:
     # ------------------------------------------------------------------ state tables
 
     def seed(self, tables: dict[str, DataFrame]) -> None:
-        """Base version 0 of state tables, covering no batch of any job."""
+        """Base version 0 of state tables, covering no batch of any job; a table
+        that has a base already is in use and is not replaced."""
         for name, df in tables.items():
+            if self.last_commit(f"base-{name}") is not None:
+                raise FileExistsError(f"state table {name} is seeded already")
             self._write_base(name, 0, df, self.spark.createDataFrame([], COVERED_SCHEMA))
 
     def _write_base(self, name: str, version: int, data: DataFrame, covered: DataFrame) -> None:
@@ -271,4 +270,12 @@ class TableStore:
         new = fold(data, self.appended(deltas, delta_schema, after=covered, upto=pinned))
         new.write.mode("overwrite").parquet(self._path("_bases", name, f"v={v + 1}", "data"))
         self.for_job(f"base-{name}").commit(v + 1, {})
+        if v >= 1:  # readers may still hold the version before; the one before that goes
+            self._delete("_bases", name, f"v={v - 1}")
         return v + 1
+
+    def _delete(self, *parts) -> None:
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._path(*parts))
+        fs = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for found in fs.globStatus(at) or []:
+            fs.delete(found.getPath(), True)
