@@ -43,6 +43,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return shipped(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Paths of the tables that ``stored`` has written, oldest first, for ``drop_stored``.
 WRITTEN: list[str] = []
 
@@ -51,11 +53,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back.
 
     Cuts the lineage without losing rows when an executor dies, in a columnar,
-    compressed form (``checkpoint()`` keeps plain rows).
+    compressed form (``checkpoint()`` keeps plain rows). The shuffle files of the
+    job that wrote it are deleted at its end: nothing reads them any more.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

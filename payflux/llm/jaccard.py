@@ -25,19 +25,20 @@ document, linked through any of its texts; an empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from payflux.llm.common import connected_components, doc_words, mix, slices, stored
 from payflux.llm.substring import run_hashes
 
-#: Buckets of the frequency sketch (4 MB as 32-bit counts, whatever the input).
-SKETCH_BITS = 20
+#: Buckets of the frequency sketch: 16 MB, whatever the input.
+SKETCH_BITS = 24
 #: Largest light set that the boundary search considers.
 LIGHT_MOST = 400
 
@@ -61,37 +62,48 @@ def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 # ---- frequency sketch
 
+_BLOCKS = 16
+
+
 def _sketch(batches: Iterator[pa.RecordBatch], width: int, bits: int) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << bits, dtype=np.int64)
+    """A task's counts by bucket, at most 255 each, as compressed blocks (most buckets of a task are empty)."""
+    total = np.zeros(1 << bits, dtype=np.uint32)
     for whole in batches:
         for b in slices(whole, "text"):
             h, _ = shingle_sets(b.column("text"), width)
-            total += np.bincount((h >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    blocks = np.split(total.astype(np.int32 if total.max(initial=0) < 1 << 31 else np.int64), 16)
-    yield pa.RecordBatch.from_arrays([pa.array(range(16), pa.int32()), pa.array([blocks[0].itemsize] * 16, pa.int32()),
-                                      pa.array([x.tobytes() for x in blocks], pa.binary())], names=["block", "wide", "counts"])
+            np.add.at(total, (h >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
+    blocks = np.split(np.minimum(total, 255).astype(np.uint8), _BLOCKS)
+    yield pa.RecordBatch.from_arrays([pa.array(range(_BLOCKS), pa.int32()), pa.array([zlib.compress(x, 1) for x in blocks], pa.binary())],
+                                     names=["block", "counts"])
 
 
 def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of a block over all tasks, as 16 log2(1 + count)."""
     total: dict[int, np.ndarray] = {}
     for b in batches:
-        for k, w, c in zip(*(b.column(n).to_pylist() for n in ("block", "wide", "counts"))):
-            x = np.frombuffer(c, dtype=f"<i{w}").astype(np.int64)
-            total[k] = total[k] + x if k in total else x
+        for k, c in zip(b.column("block").to_pylist(), b.column("counts")):
+            x = np.frombuffer(zlib.decompress(c.as_buffer()), dtype=np.uint8)
+            total[k] = total[k] + x if k in total else x.astype(np.int64)
     if total:
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([8] * len(total), pa.int32()),
-                                          pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["block", "wide", "counts"])
+        level = [np.minimum(np.rint(16 * np.log2(1.0 + x)), 255).astype(np.uint8) for x in total.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in level], pa.binary())],
+                                         names=["block", "counts"])
 
 
 def frequency_sketch(docs: DataFrame, width: int, bits: int = SKETCH_BITS) -> np.ndarray:
-    """Counts of all documents' shingles by the top bits of their hash; a fixed number of counters, whatever the input."""
-    out = "block int, wide int, counts binary"
+    """How often all documents hold the shingles of a bucket (the top bits of their hash), on a log scale.
+
+    One byte for each of a fixed number of buckets, whatever the input. The order
+    of shingles needs no more: any order gives the same links.
+    """
+    out = "block int, counts binary"
     rows = (docs.select("text").mapInArrow(partial(_sketch, width=width, bits=bits), out)
-            .repartition(16, "block").mapInArrow(_sum_blocks, out).collect())
-    counts = np.zeros(1 << bits, dtype=np.int64)
+            .repartition(_BLOCKS, "block").mapInArrow(_sum_blocks, out).collect())
+    levels = np.zeros(1 << bits, dtype=np.uint8)
+    size = (1 << bits) // _BLOCKS
     for r in rows:
-        counts[r.block << (bits - 4):(r.block + 1) << (bits - 4)] = np.frombuffer(r.counts, dtype="<i8")
-    return np.minimum(counts, (1 << 20) - 1).astype(np.int32)
+        levels[r.block * size:(r.block + 1) * size] = np.frombuffer(r.counts, dtype=np.uint8)
+    return levels
 
 
 # ---- signatures: size, hash of the set, front in the global order
@@ -102,13 +114,13 @@ def front(n: int | np.ndarray, num: int, den: int, extra: int):
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], width: int, num: int, den: int, bits: int, sketch) -> Iterator[pa.RecordBatch]:
-    counts = sketch.value
-    noise = int(np.median(counts))
+    levels = sketch.value
+    noise = float(np.median(levels[:1 << 16]))
     for whole in batches:
         for b in slices(whole, "text"):
             h, cut = shingle_sets(b.column("text"), width)
-            seen = counts[(h >> np.uint64(64 - bits)).astype(np.int64)]
-            key = (seen.astype(np.uint64) << np.uint64(44)) | (h >> np.uint64(20))
+            seen = levels[(h >> np.uint64(64 - bits)).astype(np.int64)]
+            key = (seen.astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8))
             sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h + np.uint64(s)), dtype=np.uint64)]) for s in (11, 13)]
             n = np.diff(cut)
             fronts, extra = [], []
@@ -120,7 +132,8 @@ def _signatures(batches: Iterator[pa.RecordBatch], width: int, num: int, den: in
                     continue
                 part = np.sort(key[cut[i]:cut[i + 1]])[:int(front(m, num, den, 2))]
                 fronts.append(part.tobytes())
-                extra.append(int(np.maximum((part >> np.uint64(44)).astype(np.int64) - noise, 0).sum()))
+                level = (part >> np.uint64(56)).astype(np.float64)
+                extra.append(int(np.maximum(np.exp2(level / 16) - np.exp2(noise / 16), 0).sum()))
             s1, s2 = (s[cut[1:]] - s[cut[:-1]] for s in sums)
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array(n.astype(np.int32)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
@@ -145,16 +158,24 @@ def boundary(histogram: list[tuple[int, int, int]], num: int, den: int) -> int:
 
 # ---- lists
 
-LISTED = "key bigint, kind tinyint, id bigint, n int, pos int"
+LISTED = "key bigint, kind tinyint, ord bigint, id bigint, n int, pos int"
 LIGHT, HEAVY_LIST = 1, 0
 
 
 def _listed(batches: Iterator[pa.RecordBatch], light: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Rows of the lists: (key, kind, id, n, position of the last shingle in the key)."""
+    """Rows of the lists: (key, kind, ord, id, n, position of the last shingle in the key).
+
+    ``ord`` is the size band (sizes within the threshold of each other), then the
+    position, then a hash of the id. A list's first row in a band thus has the
+    fewest rarer shingles, those that a copy's changes brought: of a group of near
+    copies it is the one nearest to all, and the same in most lists.
+    """
     for b in batches:
         keys, kinds, rows, poss = [], [], [], []
         ids, n = b.column("id").to_numpy(), b.column("n").to_numpy().astype(np.int64)
         fronts = b.column("front")
+        band = np.floor(np.log(n) / np.log(den / num)).astype(np.int64)
+        tie = (mix(ids.astype(np.uint64)) >> np.uint64(40)).astype(np.int64)
         for i in range(b.num_rows):
             m = int(n[i])
             f = np.frombuffer(fronts[i].as_buffer(), dtype="<u8")
@@ -170,12 +191,13 @@ def _listed(batches: Iterator[pa.RecordBatch], light: int, num: int, den: int) -
                 kinds.append(np.full(len(a), LIGHT, dtype=np.int8))
                 poss.append(c)
                 rows.append(np.full(len(a), i))
-            if sum(map(len, keys[-2:])) and len(keys) >= 2000 or i == b.num_rows - 1 and keys:
-                r = np.concatenate(rows)
+            if keys and (len(keys) >= 2000 or i == b.num_rows - 1):
+                r, at = np.concatenate(rows), np.concatenate(poss)
+                ords = (band[r] << 48) | (np.minimum(at, (1 << 24) - 1) << 24) | tie[r]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(kinds)), pa.array(ids[r]),
-                     pa.array(n[r].astype(np.int32)), pa.array(np.concatenate(poss).astype(np.int32))],
-                    names=["key", "kind", "id", "n", "pos"])
+                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(kinds)), pa.array(ords),
+                     pa.array(ids[r]), pa.array(n[r].astype(np.int32)), pa.array(at.astype(np.int32))],
+                    names=["key", "kind", "ord", "id", "n", "pos"])
                 keys, kinds, rows, poss = [], [], [], []
 
 
@@ -212,12 +234,11 @@ def _bounded(x: dict, y: dict, num: int, den: int, light: int) -> np.ndarray:
 def _stars(batches: Iterator[pa.RecordBatch], num: int, den: int, light: int) -> Iterator[pa.RecordBatch]:
     """Rows of lists with two members and more, each with a ``mate`` to verify (itself: none).
 
-    The mate is the list's first row, or the row before where the first is out of
-    reach by size. Rows come sorted by list and size; between batches at most two
-    rows are kept: of an open list its only row, or its first and its last.
+    The mate is the first row of the list's size band. Rows come sorted by list and
+    ``ord``; between batches one row is kept, the first of the open list's last band.
     """
-    names = ["key", "kind", "id", "n", "pos"]
-    types = (pa.int64(), pa.int8(), pa.int64(), pa.int32(), pa.int32())
+    names = ["key", "kind", "ord", "id", "n", "pos"]
+    types = (pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
     held, held_sent = {n: np.empty(0, dtype=np.int64) for n in names}, False
     for batch in batches:
         if not batch.num_rows:
@@ -227,17 +248,17 @@ def _stars(batches: Iterator[pa.RecordBatch], num: int, den: int, light: int) ->
         sent = np.zeros(len(x["key"]), dtype=bool)
         sent[:len(held["key"])] = held_sent
         starts, size = _groups(x)
-        first = np.repeat(starts, size)
-        here = np.arange(len(first))
-        far = x["n"][first] * den < x["n"] * num
-        other = np.where(far, np.maximum(here - 1, 0), first)
-        ok = (here != first) & _bounded(x, {n: v[other] for n, v in x.items()}, num, den, light)
+        opens = np.zeros(len(sent), dtype=bool)
+        opens[starts] = True
+        opens[1:] |= (x["ord"][1:] >> 48) != (x["ord"][:-1] >> 48)
+        heads = np.flatnonzero(opens)
+        other = heads[np.cumsum(opens) - 1]
+        ok = (np.arange(len(sent)) != other) & _bounded(x, {n: v[other] for n, v in x.items()}, num, den, light)
         keep = np.repeat(size > 1, size) & ~sent
         yield pa.RecordBatch.from_arrays([*[pa.array(x[n][keep], t) for n, t in zip(names, types)],
                                           pa.array(np.where(ok, x["id"][other], x["id"])[keep])], names=[*names, "mate"])
         held_sent = bool(size[-1] > 1)
-        stay = [starts[-1], len(first) - 1] if held_sent else [starts[-1]]
-        held = {n: v[stay] for n, v in x.items()}
+        held = {n: v[heads[-1:]] for n, v in x.items()}
 
 
 def _cross(batches: Iterator[pa.RecordBatch], num: int, den: int, light: int) -> Iterator[pa.RecordBatch]:
@@ -303,6 +324,12 @@ def links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             .mapInArrow(partial(_verified, num=num, den=den), "a bigint, b bigint"))
 
 
+def _members(named: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """The whole sets of the documents in the pairs."""
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    return stored(named.join(ids, "id", "left_semi").mapInArrow(partial(_set_rows, width=width), "id bigint, members binary"), "jaccard-sets")
+
+
 def clusters(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (80, 100), id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """Per document: id, n_shingles, component_id (the smallest id reachable by links, itself included)."""
@@ -315,18 +342,15 @@ def clusters(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (80,
     classes = sig.where("n > 0 and id is not null").groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
 
     # representatives of classes whose size allows a link to a different set
-    reps = (sig.where("n >= 2").join(classes.select(F.col("rep").alias("id"), "n", "s1", "s2"), ["id", "n", "s1", "s2"])
-            .dropDuplicates(["id", "s1", "s2"]))
+    reps = sig.where("n >= 2").join(classes.select(F.col("rep").alias("id"), "n", "s1", "s2"), ["id", "n", "s1", "s2"])
     light = boundary([tuple(r) for r in reps.where(F.col("n") <= LIGHT_MOST).groupBy("n")
                      .agg(F.count("*"), F.sum("extra")).collect()], num, den)
     listed = reps.select("id", "n", "front").mapInArrow(partial(_listed, light=light, num=num, den=den), LISTED)
-    lists = stored(listed.repartition("key").sortWithinPartitions("key", "kind", "n", "id")
+    lists = stored(listed.repartition("key").sortWithinPartitions("key", "kind", "ord")
                    .mapInArrow(partial(_stars, num=num, den=den, light=light), LISTED + ", mate bigint"), "jaccard-lists")
     star = stored(lists.where("mate <> id").select(F.least("id", "mate").alias("a"), F.greatest("id", "mate").alias("b")).distinct(),
                   "jaccard-stars")
-    sets = stored(named.join(lists.select("id").distinct(), "id", "left_semi").mapInArrow(partial(_set_rows, width=width), "id bigint, members binary"),
-                  "jaccard-sets")
-    linked = stored(links(star, sets, num, den).distinct(), "jaccard-links")
+    linked = stored(links(star, _members(named, star, width), num, den).distinct(), "jaccard-links")
     parts = connected_components(linked)
 
     # lists that components have not joined: all possible pairs across components
@@ -337,7 +361,8 @@ def clusters(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (80,
              .select("key", "kind", "id", "n", "pos", "comp")
              .mapInArrow(partial(_cross, num=num, den=den, light=light), "a bigint, b bigint").distinct()
              .join(star, ["a", "b"], "left_anti"))
-    more = links(cross, sets, num, den)
+    cross = stored(cross, "jaccard-cross")
+    more = stored(links(cross, _members(named, cross, width), num, den), "jaccard-more")
     parts = connected_components(linked.unionByName(more))
 
     out = (sig.select("id", "n", "s1", "s2").join(classes, ["n", "s1", "s2"], "left")
