@@ -6,7 +6,7 @@ anchors are hashed only where the position modulo a period lies in a difference
 cover. For any two positions some shift below the period takes both into the
 cover, so two equal windows share an anchor at the same shift. Anchors that
 repeat mark the windows around them; those are extended to the full window,
-hashed with 128 bits and counted.
+hashed with 96 bits and counted.
 
 Both counts work alike: a task marks what repeats within its own batch by
 itself and sends one row per distinct hash, so a passage that a third of all
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payflux.llm.common import doc_words, inverse, mix, powers, slices, text_bytes, word_bounds
+from payflux.llm.common import doc_words, inverse, mix, powers, slices, stored, text_bytes, word_bounds
 
 # Perfect difference sets by period; every difference modulo the period occurs once.
 COVERS = {
@@ -67,11 +67,14 @@ def run_hashes(words: np.ndarray, first: np.ndarray, width: int, seeds: tuple[in
 
 #: Of a row sent for counting: alone in its batch, one for several in its batch, found to repeat in its batch.
 ALONE, SEVERAL, FOUND = 0, 1, 2
-SENT = "h1 bigint, h2 bigint, id bigint, th bigint, pos int, kind tinyint"
+SENT = "h1 bigint, h2 int, id bigint, th int, pos int, kind tinyint"
 
 
 def _sent(h1: np.ndarray, h2: np.ndarray, ids: np.ndarray, th: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
-    """What a batch sends: a row per distinct hash, and its own positions that repeat within the batch."""
+    """What a batch sends: a row per distinct hash, and its own positions that repeat within the batch.
+
+    Of the second hash the upper half travels; it tells apart what the first one does not.
+    """
     order = np.lexsort((h2, h1))
     h1, h2, ids, th, pos = h1[order], h2[order], ids[order], th[order], pos[order]
     new = np.ones(len(h1), dtype=bool)
@@ -88,8 +91,8 @@ def _sent(h1: np.ndarray, h2: np.ndarray, ids: np.ndarray, th: np.ndarray, pos:
     zero = np.zeros(int(heads.sum()), dtype=np.int64)
     return pa.RecordBatch.from_arrays([
         pa.array(put(h1[lone], h1[heads], spread[several]).view(np.int64)),
-        pa.array(put(h2[lone], h2[heads], h2[several]).view(np.int64)),
-        pa.array(put(ids[lone], zero, ids[several])), pa.array(put(th[lone], zero, th[several])),
+        pa.array((put(h2[lone], h2[heads], h2[several] & np.uint64(0)) >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+        pa.array(put(ids[lone], zero, ids[several])), pa.array(put(th[lone], zero, th[several]).astype(np.int32)),
         pa.array(put(pos[lone], zero, pos[several]).astype(np.int32)),
         pa.array(np.repeat(np.array([ALONE, SEVERAL, FOUND], dtype=np.int8), [int(lone.sum()), int(heads.sum()), int(several.sum())])),
     ], names=["h1", "h2", "id", "th", "pos", "kind"])
@@ -163,13 +166,13 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = (h1[-1], h2[-1], last)
         got = {n: np.concatenate([empty[n], *[o[n] for o in out]]) for n in names}
         if len(got["id"]):
-            yield pa.RecordBatch.from_arrays([pa.array(got["id"].astype(np.int64)), pa.array(got["th"].astype(np.int64)),
+            yield pa.RecordBatch.from_arrays([pa.array(got["id"].astype(np.int64)), pa.array(got["th"].astype(np.int32)),
                                               pa.array(got["pos"].astype(np.int32))], names=names)
 
 
 def _places(sent: DataFrame) -> DataFrame:
     """Per document the positions whose hash repeats anywhere."""
-    return (sent.repartition("h1").sortWithinPartitions("h1", "h2").mapInArrow(_repeated, "id bigint, th bigint, pos int")
+    return (sent.repartition("h1").sortWithinPartitions("h1", "h2").mapInArrow(_repeated, "id bigint, th int, pos int")
             .groupBy("id", "th").agg(F.collect_set("pos").alias("marks")))
 
 
@@ -211,17 +214,18 @@ def _digests(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
 def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
     """Per document: id, n_words, n_removed and ``kept`` (the kept words joined by a space) or its digest ``kept_sha256``.
 
-    A document is known by its id and a hash of its text; the text is shuffled by
-    them once, for both joins of positions (the exchange is the same in the plan).
+    A document is known by its id and a hash of its text (32 bits: they tell rows
+    that repeat an id apart). The positions of each step are stored, so the
+    shuffle of one step is gone before the next.
     """
     period, cover, length = cover_for(window)
     rows = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("id"),
-                       F.xxhash64(text_col, F.col(id_col).isNull()).alias("th"), F.coalesce(text_col, F.lit("")).alias("text"))
+                       F.hash(text_col, F.col(id_col).isNull()).alias("th"), F.coalesce(text_col, F.lit("")).alias("text"))
     sent = rows.mapInArrow(
         partial(_by_batch, of=partial(_anchors, period=period, cover=cover, length=length)), SENT)
-    near = rows.join(_places(sent), ["id", "th"])
+    near = rows.join(stored(_places(sent), "anchors"), ["id", "th"])
     sent = near.mapInArrow(partial(_by_batch, of=partial(_windows, period=period, window=window)), SENT)
-    marked = (rows.join(_places(sent), ["id", "th"], "left")
+    marked = (rows.join(stored(_places(sent), "windows"), ["id", "th"], "left")
               .withColumn("marks", F.coalesce("marks", F.array().cast("array<int>"))))
     if digest:
         out = marked.select("id", "text", "marks").mapInArrow(
