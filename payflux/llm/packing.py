@@ -28,7 +28,8 @@ from payflux.llm.common import stored
 #: Pieces packed together by one task.
 BLOCK = 8192
 #: Distinct words whose ids a worker remembers.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 1_000_000
+_PLAIN = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 
 
 class WordIds:
@@ -53,16 +54,40 @@ class WordIds:
         return cls._held[path]
 
     def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
+        """Remember the ids of new words (in lower case).
+
+        A full stop or comma after an ASCII letter or digit is a token of its own,
+        so such a word's ids are those of the rest and of the mark.
+        """
+        known = self.known
+        new = [w for w in words if w not in known]
         if not new:
             return
-        if len(self.known) + len(new) > WORDS_KEPT:
-            self.known = {w: self.known[w] for w in words if w in self.known}
-        for i in range(0, len(new), 10_000):
-            some = new[i:i + 10_000]
-            for w, e in zip(some, self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in some],
-                                                              add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, dtype="<u4").tobytes()
+        if len(known) + len(new) > WORDS_KEPT:
+            known = self.known = {w: known[w] for w in words if w in known}
+        marked = [w for w in new if w[-1] in b".," and len(w) > 1 and (w[-2] in _PLAIN)]
+        parts = {w[:-1] for w in marked} | {b".", b","} | set(new).difference(marked)
+        texts, odd = [], []
+        for w in parts:
+            if w not in known:
+                t = w.decode("utf-8", "replace")
+                (texts if t.isalnum() else odd).append((w, t))
+        for i in range(0, len(texts), 20_000):
+            self._encode_line(texts[i:i + 20_000])
+        for (w, _), e in zip(odd, self.tokenizer.encode_batch([t for _, t in odd], add_special_tokens=False)):
+            known[w] = np.array(e.ids, dtype="<u4").tobytes()
+        for w in marked:
+            known[w] = known[w[:-1]] + known[w[-1:]]
+
+    def _encode_line(self, words: list[tuple[bytes, str]]) -> None:
+        """Encode words of letters and digits as one text, and cut its ids where the words end."""
+        e = self.tokenizer.encode(" ".join(t for _, t in words), add_special_tokens=False)
+        starts = np.array([o[0] for o in e.offsets], dtype=np.int64)
+        cut = np.searchsorted(starts, np.cumsum([len(t) + 1 for _, t in words])).tolist()
+        ids, at = np.array(e.ids, dtype="<u4").tobytes(), 0
+        for (w, _), to in zip(words, cut):
+            self.known[w] = ids[4 * at:4 * to]
+            at = to
 
     def ids(self, words: list[bytes]) -> bytes:
         """The ids of the words of a text, little-endian, four bytes each."""
@@ -80,7 +105,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, most: int, end_id: int
         doc, piece, start, length, crc = [], [], [], [], []
         docs, texts = batch.column(0).to_pylist(), batch.column(1)
         for i in range(0, len(docs), 256):
-            lines = [(t or "").encode().split() for t in texts.slice(i, 256).to_pylist()]
+            lines = [(t or "").encode().lower().split() for t in texts.slice(i, 256).to_pylist()]
             ids_of.learn(set().union(*lines))
             for d, words in zip(docs[i:i + 256], lines):
                 ids = ids_of.ids(words) + end
