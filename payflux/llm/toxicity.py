@@ -101,7 +101,9 @@ def _train(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.Record
     for idx, _ in kept:
         seen[idx] += 1  # no index twice in a row
     often = seen >= s.seen
-    kept = [(np.concatenate([[0], idx[often[idx]]]), y) for idx, y in kept]
+    bias = np.zeros(1, dtype=np.int32)
+    for k, (idx, y) in enumerate(kept):  # in place: the whole sample is held once
+        kept[k] = (np.concatenate([bias, idx[often[idx]]]), y)
     for _ in range(s.passes):
         ftrl(kept, z, n, s)
     w = weights_of(z, n, s)
