@@ -192,6 +192,15 @@ def test_lines(spark):
     assert sorted(map(str, mine)) == sorted(map(str, want))
 
 
+def test_lines_of_rows_that_share_an_id(spark):
+    same, other = "one common line of words", "a line that stands nowhere else"
+    rows = [(None, same, "a", None), (None, other, "b", None), (1, same, "c", None),  # null ids are rows of their own
+            (5, f"{same}\nfirst of five", "d", None), (5, "wholly unlike it\nsecond text here", "e", None), (5, "wholly unlike it\nand more", "f", None)]
+    got = {r.id: (r.text, r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS).coalesce(1)).collect()}
+    assert got == {"a": ("", 1, 1), "b": (other, 1, 0), "c": (same, 1, 0), "d": ("first of five", 2, 1),
+                   "e": ("wholly unlike it\nsecond text here", 2, 0), "f": ("and more", 2, 1)}
+
+
 def test_lines_empty(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], DOCS)).count() == 0
 
