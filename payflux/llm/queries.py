@@ -27,7 +27,7 @@ def op2_e8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), distance=None)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 

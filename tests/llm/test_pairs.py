@@ -192,6 +192,45 @@ def test_lines(spark):
     assert sorted(map(str, mine)) == sorted(map(str, want))
 
 
+def near_lines():
+    """Lines in steps of edit similarity: one word replaced, or a fifth of the letters changed at most."""
+    rnd = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(rnd.choice(letters) for _ in range(rnd.randint(2, 9)))
+    out = []
+    for n in (4, 5, 6, 8, 12, 16, 24, 40) * 10:
+        words = [word() for _ in range(n)]
+        other = list(words)
+        other[rnd.randrange(n)] = word()
+        out += [" ".join(words), " ".join(other)]
+        typos = list(" ".join(words))
+        for _ in range(max(1, len(typos) // 20)):
+            typos[rnd.randrange(len(typos))] = rnd.choice(letters)
+        out.append("".join(typos))
+    return out
+
+
+def test_lines_by_edit_similarity_alone(spark):
+    names = sorted({normal(x) for x in near_lines()})
+    links = []
+    for a, b in combinations(range(len(names)), 2):
+        x, y = names[a], names[b]
+        most = math.floor(max(len(x), len(y)) * 0.2 + 1e-9)
+        if abs(len(x) - len(y)) <= most and sum((Counter(x) - Counter(y)).values()) <= most and edits(x, y) <= most:
+            links.append((a, b))
+    assert len(links) > 150
+    rows = [(k, n, None, None) for k, n in enumerate(names)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS), distance=None).collect()
+    part = components(range(len(names)), links)
+    gone = {r.doc_id for r in got if r.n_removed}
+    want = {k for k in part if part[k] != k}
+    assert gone <= want  # no line goes that brute force keeps
+    print("recall", len(gone), len(want))
+    assert len(gone) >= 0.85 * len(want)
+    narrow = line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS), distance=3).where("n_removed > 0").count()
+    assert narrow < 0.6 * len(want)  # the SimHash bound leaves most of them
+
+
 def test_lines_of_rows_that_share_an_id(spark):
     same, other = "one common line of words", "a line that stands nowhere else"
     rows = [(None, same, "a", None), (None, other, "b", None), (1, same, "c", None),  # null ids are rows of their own
