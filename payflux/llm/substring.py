@@ -67,7 +67,7 @@ def run_hashes(words: np.ndarray, first: np.ndarray, width: int, seeds: tuple[in
 
 #: Of a row sent for counting: alone in its batch, one for several in its batch, found to repeat in its batch.
 ALONE, SEVERAL, FOUND = 0, 1, 2
-SENT = "h1 bigint, h2 int, id bigint, th int, pos int, kind tinyint"
+SENT = "h1 bigint, h2 int, id bigint, th bigint, pos int, kind tinyint"
 
 
 def _sent(h1: np.ndarray, h2: np.ndarray, ids: np.ndarray, th: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
@@ -92,7 +92,7 @@ def _sent(h1: np.ndarray, h2: np.ndarray, ids: np.ndarray, th: np.ndarray, pos:
     return pa.RecordBatch.from_arrays([
         pa.array(put(h1[lone], h1[heads], spread[several]).view(np.int64)),
         pa.array((put(h2[lone], h2[heads], h2[several] & np.uint64(0)) >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-        pa.array(put(ids[lone], zero, ids[several])), pa.array(put(th[lone], zero, th[several]).astype(np.int32)),
+        pa.array(put(ids[lone], zero, ids[several])), pa.array(put(th[lone], zero, th[several])),
         pa.array(put(pos[lone], zero, pos[several]).astype(np.int32)),
         pa.array(np.repeat(np.array([ALONE, SEVERAL, FOUND], dtype=np.int8), [int(lone.sum()), int(heads.sum()), int(several.sum())])),
     ], names=["h1", "h2", "id", "th", "pos", "kind"])
@@ -166,13 +166,13 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = (h1[-1], h2[-1], last)
         got = {n: np.concatenate([empty[n], *[o[n] for o in out]]) for n in names}
         if len(got["id"]):
-            yield pa.RecordBatch.from_arrays([pa.array(got["id"].astype(np.int64)), pa.array(got["th"].astype(np.int32)),
+            yield pa.RecordBatch.from_arrays([pa.array(got["id"].astype(np.int64)), pa.array(got["th"].astype(np.int64)),
                                               pa.array(got["pos"].astype(np.int32))], names=names)
 
 
 def _places(sent: DataFrame) -> DataFrame:
     """Per document the positions whose hash repeats anywhere."""
-    return (sent.repartition("h1").sortWithinPartitions("h1", "h2").mapInArrow(_repeated, "id bigint, th int, pos int")
+    return (sent.repartition("h1").sortWithinPartitions("h1", "h2").mapInArrow(_repeated, "id bigint, th bigint, pos int")
             .groupBy("id", "th").agg(F.collect_set("pos").alias("marks")))
 
 
@@ -214,13 +214,17 @@ def _digests(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
 def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
     """Per document: id, n_words, n_removed and ``kept`` (the kept words joined by a space) or its digest ``kept_sha256``.
 
-    A document is known by its id and a hash of its text (32 bits: they tell rows
-    that repeat an id apart). The positions of each step are stored, so the
-    shuffle of one step is gone before the next.
+    A document is known by its id; where the id is null or repeats, by a 64-bit hash
+    of its text besides (0 for the others, which compresses away). The positions
+    of each step are stored, so the shuffle of one step is gone before the next.
     """
     period, cover, length = cover_for(window)
-    rows = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("id"),
-                       F.hash(text_col, F.col(id_col).isNull()).alias("th"), F.coalesce(text_col, F.lit("")).alias("text"))
+    key = F.col(id_col).cast("bigint")
+    again = stored(docs.where(key.isNotNull()).groupBy(key.alias("_again_")).agg(F.count("*").alias("n")).where("n > 1").select("_again_"), "repeated-ids")
+    rows = docs.select(id_col, text_col).join(again, key == F.col("_again_"), "left").select(
+        F.coalesce(key, F.lit(-(1 << 63))).alias("id"),
+        F.when(key.isNull() | F.col("_again_").isNotNull(), F.xxhash64(text_col, key.isNull())).otherwise(F.lit(0).cast("bigint")).alias("th"),
+        F.coalesce(text_col, F.lit("")).alias("text"))
     sent = rows.mapInArrow(
         partial(_by_batch, of=partial(_anchors, period=period, cover=cover, length=length)), SENT)
     near = rows.join(stored(_places(sent), "anchors"), ["id", "th"])

@@ -118,6 +118,16 @@ def test_repeated_windows(spark, width):
     assert sorted((r.doc_id is not None, r.doc_id or 0, r.n_words, r.n_removed, r.kept_sha256) for r in got) == want
 
 
+def test_texts_without_id_are_told_apart(spark):
+    common.shipped(spark)
+    passage = " ".join(f"p{k}" for k in range(40))
+    some = spark.range(200_000).selectExpr(f"concat('a', id, ' {passage}') as a", "concat('b', id) as b")
+    met = some.selectExpr("a", "hash(a, true) as h").join(some.selectExpr("b", "hash(b, true) as h"), "h").first()  # equal in 32 bits
+    rows = [(None, met.a, "x", None), (None, met.b, "x", None), (1, passage, "x", None)]
+    got = substring.remove_repeats(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((r.n_words, r.n_removed, r.kept) for r in got) == [(1, 0, met.b), (40, 40, ""), (41, 40, met.a.split(" ")[0])]
+
+
 def test_repeated_windows_empty(spark):
     assert substring.remove_repeats(spark.createDataFrame([], DOCS)).count() == 0
 
