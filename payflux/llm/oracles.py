@@ -116,10 +116,97 @@ SELECT d.doc_id, coalesce(k.n, 0)::BIGINT AS n_words, coalesce(k.r, 0)::BIGINT A
 FROM documents d LEFT JOIN k USING (doc_id)
 """
 
+# CRC-32 bit by bit: every byte is followed by seven zeros, one step each
+CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(octet_length(encode({text}))),
+  lambda i: [('0x' || substr(hex(encode({text})), (2 * i + 1)::INT, 2))::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+  lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))), 4294967295)"""
+
+# a letter of U+00C0 to U+00FF as one byte (33 to 96), for levenshtein(), which counts bytes
+_WIDE = "".join(chr(0xC0 + i) for i in range(64))
+_NARROW = "".join(chr(33 + i) for i in range(64)).replace("'", "''")
+
+SPELLING = f"""
+WITH RECURSIVE r AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{{7,}}')) AS run
+  FROM documents WHERE text IS NOT NULL),
+d AS (SELECT id || ':' || run AS t, run, count(*) AS k FROM r GROUP BY ALL),
+h AS (SELECT run, k, {CRC.format(text='t')} AS h FROM d),
+w AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, k FROM h),
+v AS (SELECT word, sum(k)::BIGINT AS n, translate(word, '{_WIDE}', '{_NARROW}') AS t FROM w WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+x AS (
+  SELECT word, n, t, unnest(list_distinct(list_prepend(t, list_transform(range(1, length(t) + 1), lambda i: substr(t, 1, (i - 1)::INT) || substr(t, (i + 1)::INT))))) AS k
+  FROM v),
+p AS (
+  SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS m FROM x a JOIN x b ON a.k = b.k AND a.word <> b.word
+  WHERE levenshtein(a.t, b.t) = 1),
+q AS (
+  SELECT *, row_number() OVER (PARTITION BY word ORDER BY m DESC, encode(other)) AS rank, count(*) OVER (PARTITION BY word) AS n_near FROM p),
+f AS (
+  SELECT v.word, v.n, coalesce(q.n_near, 0)::BIGINT AS n_near, CASE WHEN q.m >= 10 * v.n THEN q.other END AS form,
+         CASE WHEN q.m >= 10 * v.n THEN q.m END AS form_n
+  FROM v LEFT JOIN q ON q.word = v.word AND q.rank = 1),
+c AS (
+  SELECT word, word AS at FROM f
+  UNION ALL SELECT c.word, f.form FROM c JOIN f ON f.word = c.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
+FROM f JOIN c ON c.word = f.word JOIN f e ON e.word = c.at AND e.form IS NULL
+"""
+
+RUNS = f"""
+WITH o AS (SELECT doc_id, text, {CRC.format(text='doc_id::VARCHAR')} AS h FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL SELECT doc_id, text, 1 FROM documents WHERE doc_id IS NULL),
+l AS (SELECT row_number() OVER () AS id, doc_id, {WORDS.format(text='text')} AS w, h FROM o),
+b AS (SELECT *, len(w) AS n, h // 10 AS g FROM l),
+a AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM b),
+e AS (SELECT *, CASE WHEN a IS NOT NULL THEN 1 + (n - a) // (3 + g % 8) END AS p FROM a),
+t AS (
+  SELECT id, doc_id, n, CASE WHEN p IS NULL THEN w ELSE list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w
+  FROM e),
+x AS (SELECT id, n, unnest(w) AS word, unnest(range(n)) AS i FROM t),
+-- equal words q apart, and stretches of them
+y AS (SELECT x.id, x.i, z.i - x.i AS q FROM x JOIN x z ON z.id = x.id AND z.word = x.word AND z.i > x.i AND 3 * (z.i - x.i) <= x.n),
+s AS (
+  SELECT id, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT id, q, i, i - row_number() OVER (PARTITION BY id, q ORDER BY i) AS island FROM y)
+  GROUP BY id, q, island HAVING count(*) + q >= greatest(24, 3 * q)),
+r AS (SELECT id, start, length, min(q) AS period FROM s GROUP BY id, start, length),
+k AS (
+  SELECT id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS listed FROM r GROUP BY id),
+m AS (
+  SELECT id, start, length, period FROM (
+    SELECT a.*, row_number() OVER (PARTITION BY id ORDER BY length::DOUBLE / period DESC, start, period) AS rank FROM r a) WHERE rank = 1),
+gone AS (SELECT DISTINCT id, unnest(range(start + period, start + length)) AS i FROM r),
+kept AS (
+  SELECT x.id, string_agg(x.word, ' ' ORDER BY x.i) AS words FROM x LEFT JOIN gone g ON g.id = x.id AND g.i = x.i WHERE g.i IS NULL GROUP BY x.id)
+SELECT t.doc_id, coalesce(k.n_runs, 0)::BIGINT AS n_runs, m.start::BIGINT AS start, m.length::BIGINT AS length, m.period::BIGINT AS period,
+       (1000 * m.length // m.period)::BIGINT AS exponent_milli, sha256(coalesce(k.listed, '')) AS runs_sha256, sha256(coalesce(kept.words, '')) AS collapsed_sha256
+FROM t LEFT JOIN k USING (id) LEFT JOIN m USING (id) LEFT JOIN kept USING (id)
+"""
+
+URLS = r"""
+WITH rules(h, p, verdict) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+r AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+a AS (
+  SELECT row_number() OVER () AS id, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM r),
+f AS (
+  SELECT a.id, arg_max(rules.h || rules.p, length(rules.h || rules.p)) AS rule, arg_max(verdict, length(rules.h || rules.p)) AS verdict
+  FROM a JOIN rules ON (a.host = rules.h OR ends_with(a.host, '.' || rules.h)) AND starts_with(a.path, rules.p) GROUP BY a.id)
+SELECT a.page_id, coalesce(a.host, '') AS host, coalesce(a.path, '') AS path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+FROM a LEFT JOIN f USING (id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": MIX,
     "op2_e8_lattice": EMBED,
     "op4_arc_to_warc": ARC,
     "op6_heavy_light_jaccard": JACCARD,
     "op8_difference_cover": SUBSTRING,
+    "op11_spelling_variants": SPELLING,
+    "op12_periodic_runs": RUNS,
+    "op13_url_rules": URLS,
 }

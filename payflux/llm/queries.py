@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payflux.llm import ann, arc, embed_dedup, jaccard, line_dedup, mixing, packing, substring, token_counts, toxicity
+from payflux.llm import (
+    ann,
+    arc,
+    embed_dedup,
+    jaccard,
+    line_dedup,
+    mixing,
+    packing,
+    periodic_runs,
+    spelling,
+    substring,
+    token_counts,
+    toxicity,
+    url_rules,
+)
 from payflux.llm.common import table
 from payflux.llm.oracles import ORACLE_SQL  # noqa: F401
 from payflux.session import ensure_checkpoint_dir
@@ -64,6 +78,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), plant=True)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), plant=True)
+
+
+def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), url_rules.rules_of(spark, url_rules.RULES)).drop("url")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_e8_lattice": op2_e8_lattice,
@@ -75,4 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_difference_cover": op8_difference_cover,
     "op9_ftrl_toxicity": op9_ftrl_toxicity,
     "op10_token_counts": op10_token_counts,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_url_rules": op13_url_rules,
 }
