@@ -9,7 +9,6 @@ from itertools import combinations
 
 import numpy as np
 import pytest
-import xxhash
 
 from payflux.llm import ann, common, embed_dedup, jaccard, line_dedup, substring
 
@@ -138,15 +137,6 @@ def normal(line):
     return re.sub(r"[\s!-/:-@\[-`{-~]+", " ", line.lower()).strip()
 
 
-def simhash(norm):
-    bits = np.zeros(64, dtype=int)
-    words = norm.split(" ")
-    for w in words:
-        h = xxhash.xxh64(w.encode(), seed=42).intdigest()
-        bits += np.array([(h >> i) & 1 for i in range(64)])
-    return sum(1 << i for i in range(64) if 2 * bits[i] > len(words))
-
-
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -160,7 +150,7 @@ def line_rows():
     rnd = random.Random(7)
     base = [" ".join(f"word{rnd.randrange(500)}" for _ in range(n)) for n in (1, 2, 5, 12, 30, 60, 60, 90)]
     rows = []
-    for i in range(60):
+    for i in range(40):
         lines = []
         for _ in range(rnd.randint(0, 6)):
             line = rnd.choice(base).split(" ")
@@ -172,7 +162,23 @@ def line_rows():
                    rows[3], (63, "one very long line " * 400, None, None), (64, "One very long line " * 400 + "end", None, None)]
 
 
-def test_lines(spark):
+def line_links(names):
+    """Pairs of an edit similarity of at least 0.8."""
+    out = []
+    for a, b in combinations(range(len(names)), 2):
+        x, y = names[a], names[b]
+        most = math.floor(max(len(x), len(y)) * 0.2 + 1e-9)
+        if abs(len(x) - len(y)) <= most and sum((Counter(x) - Counter(y)).values()) <= most and edits(x, y) <= most:
+            out.append((a, b))
+    return out
+
+
+@pytest.mark.parametrize("crowd", [64, 3])
+def test_lines(spark, monkeypatch, crowd):
+    """With as many SimHashes as find every link, the result is that of brute force, with large keys and small ones."""
+    monkeypatch.setattr(line_dedup, "CROWD", crowd)
+    monkeypatch.setattr(line_dedup, "FAR", 128)
+    monkeypatch.setattr(line_dedup, "scheme", lambda *a: (4, 8, 1))
     rows = line_rows()
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS))
     assert got.columns == ["doc_id", "text", "id", "pos", "n_lines", "n_removed"]
@@ -183,13 +189,7 @@ def test_lines(spark):
             if n := normal(line):
                 first[n] = min(first.get(n, (last + 1, 0)), (last if i is None else i, k))
     names = sorted(first, key=first.get)
-    sims = {n: simhash(n) for n in names}
-    links = []
-    for a, b in combinations(range(len(names)), 2):
-        x, y = names[a], names[b]
-        most = math.floor(max(len(x), len(y)) * 0.2 + 1e-9)
-        if (sims[x] ^ sims[y]).bit_count() <= 3 and abs(len(x) - len(y)) <= most and edits(x, y) <= most:
-            links.append((a, b))
+    links = line_links(names)
     part = components(range(len(names)), links)
     assert len(links) > 5
     place = {n: first[names[part[k]]] for k, n in enumerate(names)}
@@ -202,43 +202,56 @@ def test_lines(spark):
     assert sorted(map(str, mine)) == sorted(map(str, want))
 
 
-def near_lines():
-    """Lines in steps of edit similarity: one word replaced, or a fifth of the letters changed at most."""
+def test_recall_of_near_lines(spark, monkeypatch):
+    """With the scheme of 2.5 million lines: recall by length and kind of edit, against edit similarity alone."""
     rnd = random.Random(11)
     letters = "abcdefghijklmnopqrstuvwxyz"
     word = lambda: "".join(rnd.choice(letters) for _ in range(rnd.randint(2, 9)))
-    out = []
-    for n in (4, 5, 6, 8, 12, 16, 24, 40) * 10:
-        words = [word() for _ in range(n)]
-        other = list(words)
-        other[rnd.randrange(n)] = word()
-        out += [" ".join(words), " ".join(other)]
-        typos = list(" ".join(words))
-        for _ in range(max(1, len(typos) // 20)):
-            typos[rnd.randrange(len(typos))] = rnd.choice(letters)
-        out.append("".join(typos))
-    return out
-
-
-def test_lines_by_edit_similarity_alone(spark):
-    names = sorted({normal(x) for x in near_lines()})
-    links = []
-    for a, b in combinations(range(len(names)), 2):
-        x, y = names[a], names[b]
-        most = math.floor(max(len(x), len(y)) * 0.2 + 1e-9)
-        if abs(len(x) - len(y)) <= most and sum((Counter(x) - Counter(y)).values()) <= most and edits(x, y) <= most:
-            links.append((a, b))
-    assert len(links) > 150
-    rows = [(k, n, None, None) for k, n in enumerate(names)]
-    got = line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS), distance=None).collect()
-    part = components(range(len(names)), links)
-    gone = {r.doc_id for r in got if r.n_removed}
-    want = {k for k in part if part[k] != k}
-    assert gone <= want  # no line goes that brute force keeps
-    print("recall", len(gone), len(want))
-    assert len(gone) >= 0.85 * len(want)
-    narrow = line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS), distance=3).where("n_removed > 0").count()
-    assert narrow < 0.6 * len(want)  # the SimHash bound leaves most of them
+    rows, pairs = [], {}
+    for size in ((4, 7), (8, 15), (16, 31), (32, 80)):
+        for kind in ("word", "letters"):
+            for _ in range(50):
+                words = [word() for _ in range(rnd.randint(*size))]
+                a = b = " ".join(words)
+                if kind == "word":
+                    words[rnd.randrange(len(words))] = word()
+                    b = " ".join(words)
+                else:
+                    typos = list(a)
+                    for k in rnd.sample([k for k, c in enumerate(a) if c != " "], max(1, len(a) // 40)):
+                        typos[k] = rnd.choice(letters)
+                    b = "".join(typos)
+                if a != b:
+                    if line_links([a, b]):
+                        pairs[len(rows) + 1] = (size, kind)
+                    rows += [(len(rows), a), (len(rows) + 1, b)]
+    scheme = line_dedup.scheme
+    monkeypatch.setattr(line_dedup, "scheme", lambda n, *a: scheme(2_500_000, *a))
+    gone = {r.doc_id for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).where("n_removed > 0").collect()}
+    assert gone <= set(pairs)  # no line goes that brute force keeps
+    found = {c: np.mean([k in gone for k in pairs if pairs[k] == c]) for c in sorted(set(pairs.values()))}
+    print(found)
+    assert found[(16, 31), "word"] >= 0.95 and found[(32, 80), "word"] >= 0.95 and found[(8, 15), "word"] >= 0.8
+    assert min(found.values()) >= 0.5 and np.mean(list(found.values())) >= 0.85
+
+
+def test_scheme_keeps_recall_as_lines_grow():
+    for n in (0, 1, 500, 10**6, 10**8, 10**10):
+        count, blocks, r = line_dedup.scheme(n, 0.867, 0.93)
+        same = 0.867 ** (64 / blocks)
+        miss = sum(math.comb(blocks, i) * same ** i * (1 - same) ** (blocks - i) for i in range(r))
+        assert 1 - miss ** count >= 0.93 and 64 * r / blocks >= min(60, math.log2(n + 1)) - 1
+
+
+def test_lines_with_inner_names_as_columns(spark):
+    names = ["doc_id", "text", "row", "lead", "gone", "rest", "id", "pos", "line", "n_lines", "a.b"]
+    rows = [(1, "one line of words\nanother thing", *("abcdefgh"), 7), (2, "one line of words", *("abcdefgh"), 7)]
+    frame = spark.createDataFrame(rows, names)
+    got = line_dedup.dedup_lines(frame)
+    assert got.columns == [c for c in names if c != "n_lines"] + ["n_lines", "n_removed"]
+    assert sorted((r.doc_id, r.text, r.row, r.gone, r["a.b"], r.n_lines, r.n_removed) for r in got.collect()) == [
+        (1, rows[0][1], "a", "c", 7, 2, 0), (2, "", "a", "c", 7, 1, 1)]
+    assert line_dedup.dedup_lines(frame, counts=False).columns == names
 
 
 def test_lines_of_rows_that_share_an_id(spark):
@@ -254,11 +267,6 @@ def test_lines_empty(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], DOCS)).count() == 0
 
 
-def test_keys_of_any_width_find_the_same():
-    assert line_dedup.blocks_to_match(10, 3) == 2
-    assert line_dedup.blocks_to_match(1 << 30, 3) == 3
-
-
 # ---- vectors
 
 VECTORS = "vec_id bigint, embedding array<float>, label int, id string"
