@@ -177,6 +177,7 @@ def line_links(names):
 def test_lines(spark, monkeypatch, crowd):
     """With as many SimHashes as find every link, the result is that of brute force, with large keys and small ones."""
     monkeypatch.setattr(line_dedup, "CROWD", crowd)
+    monkeypatch.setattr(line_dedup, "_OF", 1)
     monkeypatch.setattr(line_dedup, "FAR", 128)
     monkeypatch.setattr(line_dedup, "scheme", lambda *a: (4, 8, 1))
     rows = line_rows()
