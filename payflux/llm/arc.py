@@ -77,12 +77,12 @@ def _opening(version: int) -> str:
 
 def arc_records(stream: BinaryIO) -> Iterator[dict]:
     """Records of an ARC stream as dicts: url, ip, date, mime, block; the last may hold an error."""
-    version = 1
+    version, first = 1, True
     while line := stream.readline():
         if line in (b"\n", b"\r\n"):
             continue
         parts = line.rstrip(b"\r\n").decode("utf-8", "replace").split(" ")
-        opening = parts[0].startswith("filedesc:")
+        opening, first = first and parts[0].startswith("filedesc:"), False  # a later url may begin so too
         want = 5 if opening and len(parts) == 5 else len(ARC_FIELDS[version].split())
         if len(parts) != want or not parts[-1].isdigit():
             yield {"error": f"version {version} header line of {len(parts)} fields", "url": parts[0][:200]}
@@ -171,13 +171,16 @@ def _uuid(*parts) -> F.Column:
                     F.substring(h, 14, 3), F.lit("-8"), F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12), F.lit(">"))
 
 
-def convert(records: DataFrame, least: int = 0) -> DataFrame:
-    """WARC records (``record`` binary, without the last line feed) of ARC records; errors are left out.
+def convert(records: DataFrame, least: int = 0, skip_errors: bool = False) -> DataFrame:
+    """WARC records (``record`` binary, without the last line feed) of ARC records; the job fails on an error row
+    (a file that can't be read to its end), unless ``skip_errors`` leaves those out.
 
     The response of a payload is chosen by a pre-aggregated maximum per digest, joined back.
     """
     key = F.coalesce(F.col("key").cast("string"), F.lit(""))
-    good = records.where("kind <> 'error'")
+    bad = F.col("kind") == "error"
+    fail = F.raise_error(F.concat(F.lit("unreadable ARC record: "), F.coalesce("error", F.lit("")), F.lit(" at "), F.coalesce("url", F.lit(""))))
+    good = records.where(~bad if skip_errors else F.when(bad, fail.cast("boolean")).otherwise(F.lit(True)))
     best = (good.where("kind = 'response'").where(F.octet_length("payload") >= least)
             .groupBy("payload_digest").agg(F.max("key").alias("best")))
     x = good.join(best, "payload_digest", "left")

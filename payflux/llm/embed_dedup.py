@@ -243,7 +243,9 @@ def _verify(batches: Iterator[pa.RecordBatch], how: Lattice, cosine: float) -> I
 def near_duplicates(vectors: DataFrame, cosine: float = 0.98, how: Lattice = Lattice(), id_col: str = "vec_id",
                     vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """Per row: id, n_links, component_id, kept."""
-    rows = usable(vectors, id_col, vector_col, F.col(label_col).cast("bigint").alias("label")).where("label is not null")
+    numbered = stored(vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).alias("vec"),
+                                     F.col(label_col).cast("bigint").alias("label"), F.monotonically_increasing_id().alias("row")), "e8-rows")
+    rows = usable(numbered, "id", "vec", "label", "row").where("label is not null")
     rows = rows.withColumn("vec", F.col("vec").cast("array<double>"))
     rows = rows.withColumn("h1", F.xxhash64("label", "vec")).withColumn("h2", F.xxhash64(F.lit(2), "vec", "label"))
     classes = rows.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("mult"))
@@ -272,8 +274,6 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98, how: Lattice = Lat
                 .select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"),
                         F.coalesce("component", "rep").alias("component_id")))
     part = rows.select("id", "h1", "h2").join(by_class, ["h1", "h2"]).select("id", "n_links", "component_id")
-    taken = rows.select("id").distinct().withColumn("in", F.lit(True))
-    alone = (vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).alias("label"), vector_col)
-             .join(taken, "id", "left").where("in is null")
+    alone = (numbered.select("id", "row").join(rows.select("row"), "row", "left_anti")
              .select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id")))
     return (part.unionByName(alone).withColumn("kept", F.col("id") == F.col("component_id")).withColumnRenamed("id", id_col))

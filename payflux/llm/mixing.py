@@ -116,10 +116,8 @@ def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source", **h
 
     Rows are numbered in a stored table first, so that repeated ids and rows stay apart.
     """
-    names = docs.columns
-    key = "_row_"
-    numbered = stored(docs.withColumn(key, F.monotonically_increasing_id()), "mix-docs")
-    copies = (mix_decisions(numbered, key, text_col, source_col, **how).where("copies > 0")
-              .select(key, F.col("copies").alias("_copies_")))
-    return (numbered.join(copies, key).withColumn("_copy_", F.explode(F.sequence(F.lit(1), F.col("_copies_").cast("int"))))
-            .select(*names))
+    numbered = stored(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "mix-docs")
+    sized = numbered.select("row", F.col("doc").getField(text_col).alias("text"), F.col("doc").getField(source_col).alias("source"))
+    copies = mix_decisions(sized, "row", **how).where("copies > 0").select("row", "copies")
+    return (numbered.join(copies, "row").select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+            .select("doc.*"))

@@ -6,10 +6,16 @@ are packed by vector best fit in decreasing length: every bin has residual
 capacities of tokens, documents and attention cost (sum of squared lengths), and
 a piece goes to the open bin that holds it under every constraint and scores
 best, by the weighted dot product of its demand and the residual, or by the
-smallest weighted norm of the residual that it leaves.
+smallest weighted norm of the residual that it leaves. By default tokens decide,
+as the fewest sequences are asked for; documents and cost have so small a weight
+that they choose between bins of equal token residuals only.
 
 Defined results: a null text counts as empty (one piece, the end id alone);
-repeated rows are packed as separate documents; an empty table gives no rows.
+repeated rows are packed as separate documents; pieces of equal length are taken
+in the order of the rows; a text of any length is cut into pieces and taken a few
+megabytes at a time with others, or alone; the input's columns of ``pack`` stay,
+whatever their names, but for sequence_id and offset, which are replaced; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,13 +28,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from payflux.llm.common import stored
+from payflux.llm.common import slices, stored
 
 #: Pieces packed together by one task.
 BLOCK = 8192
 #: Distinct words whose ids a worker remembers.
 WORDS_KEPT = 500_000
+#: Bytes of text taken at a time; a longer text stands alone.
+_BYTES = 2 << 20
 _PLAIN = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 
 
@@ -63,8 +72,9 @@ class WordIds:
         new = [w for w in words if w not in known]
         if not new:
             return
-        if len(known) + len(new) > WORDS_KEPT:
-            known = self.known = {w: known[w] for w in words if w in known}
+        if len(known) + len(new) > WORDS_KEPT:  # the older half goes, but for the words of this text
+            half = len(known) // 2
+            known = self.known = {w: i for k, (w, i) in enumerate(known.items()) if k >= half or w in words}
         marked = [w for w in new if w[-1] in b".," and len(w) > 1 and (w[-2] in _PLAIN)]
         parts = {w[:-1] for w in marked} | {b".", b","} | set(new).difference(marked)
         texts, odd = [], []
@@ -103,11 +113,10 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, most: int, end_id: int
     end = np.array([end_id], dtype="<u4").tobytes()
     for batch in batches:
         doc, piece, start, length, crc = [], [], [], [], []
-        docs, texts = batch.column(0).to_pylist(), batch.column(1)
-        for i in range(0, len(docs), 256):
-            lines = [(t or "").encode().lower().split() for t in texts.slice(i, 256).to_pylist()]
+        for part in slices(batch, batch.schema.names[1], _BYTES):
+            lines = [(t or "").encode().lower().split() for t in part.column(1).to_pylist()]
             ids_of.learn(set().union(*lines))
-            for d, words in zip(docs[i:i + 256], lines):
+            for d, words in zip(part.column(0).to_pylist(), lines):
                 ids = ids_of.ids(words) + end
                 for k, at in enumerate(range(0, len(ids), 4 * most)):
                     part = ids[at:at + 4 * most]
@@ -187,32 +196,31 @@ def vector_best_fit(lengths: np.ndarray, tokens: int, documents: int, cost: int,
 
 
 def _pack(table: pa.Table, **how) -> pa.Table:
-    block = table.column("_block_")[0].as_py()
-    order = table.sort_by("_row_")
+    block = table.column("block")[0].as_py()
+    order = table.sort_by("row")
     bins, offsets = vector_best_fit(order.column("length").to_numpy(), **how)
-    out = order.drop_columns(["_block_", "_row_"])
-    return (out.append_column("sequence_id", pa.array(bins + (block << 32), pa.int64()))
-            .append_column("offset", pa.array(offsets, pa.int64())))
+    return pa.table({"piece": order.column("piece"), "sequence_id": pa.array(bins + (block << 32), pa.int64()), "offset": pa.array(offsets, pa.int64())})
 
 
 def pack(frame: DataFrame, tokens: int = 2048, documents: int = 2048, cost: int = 2048 * 2048,
-         weights: tuple[float, float, float] = (1.0, 0.0, 0.0), score: str = "norm", block: int = BLOCK) -> DataFrame:
+         weights: tuple[float, float, float] = (1.0, 1e-8, 1e-8), score: str = "norm", block: int = BLOCK) -> DataFrame:
     """Sequences of the pieces (with a ``length``): adds sequence_id and offset.
 
     A full piece is a sequence of its own and is not dealt. The others go to
     ``count / block`` blocks by a hash of the row; each block ends with a few
     bins that are not full, about one in some thousand.
     """
-    names = frame.columns
-    frame = stored(frame.withColumn("_row_", F.monotonically_increasing_id()), "pack-pieces")
+    names = [c for c in frame.columns if c not in ("sequence_id", "offset")]
+    frame = stored(frame.select(F.struct(*[f"`{c}`" for c in names]).alias("piece"), F.col("length").cast("bigint").alias("length"),
+                                F.monotonically_increasing_id().alias("row")), "pack-pieces")
     whole, rest = frame.where(F.col("length") >= tokens), frame.where(F.col("length") < tokens)
     blocks = max(1, -(-rest.count() // block))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema if f.name != "_row_") + ", sequence_id bigint, offset bigint"
+    schema = T.StructType([frame.schema["piece"], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     how = {"tokens": tokens, "documents": documents, "cost": cost, "weights": weights, "score": score}
 
     def one(table: pa.Table) -> pa.Table:
         return _pack(table, **how)
 
-    packed = rest.withColumn("_block_", F.pmod(F.xxhash64("_row_"), F.lit(blocks))).groupBy("_block_").applyInArrow(one, schema)
-    alone = whole.select(*names, (-1 - F.col("_row_")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
-    return packed.unionByName(alone)
+    packed = rest.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks))).groupBy("block").applyInArrow(one, schema)
+    alone = whole.select("piece", (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    return packed.unionByName(alone).select("piece.*", "sequence_id", "offset")

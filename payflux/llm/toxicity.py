@@ -115,6 +115,8 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), learn: s
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[np.ndarray, np.ndarray]:
     """Non-zero weights (index, weight) learnt from at most ``s.rows`` labelled rows, those of smallest id hash.
 
+    Of an id that stands in several rows one text is learnt from, that of the smallest hash.
+
     The sample's ids are bounded by ``s.rows``, so they are broadcast; the weights
     are bounded by the table of ``2 ** s.bits``.
     """
@@ -123,7 +125,9 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), learn: s
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
               .withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(s.rows))
     rows = (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(marked), "doc_id").select("h", "doc_id", "toxic", "text"))
+            .join(F.broadcast(marked), "doc_id")
+            .groupBy("h", "doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("t"), "text")).alias("one"))
+            .select("h", "doc_id", "toxic", "one.text"))
     fit = (rows.mapInArrow(partial(_training_rows, bits=s.bits), "h bigint, doc_id bigint, toxic int, idx binary")
            .repartition(1).sortWithinPartitions("h", "doc_id", "idx")
            .mapInArrow(partial(_train, s=s), "i int, w double").toPandas())

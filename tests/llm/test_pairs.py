@@ -179,7 +179,7 @@ def test_lines(spark, monkeypatch, crowd):
     monkeypatch.setattr(line_dedup, "CROWD", crowd)
     monkeypatch.setattr(line_dedup, "_OF", 1)
     monkeypatch.setattr(line_dedup, "FAR", 128)
-    monkeypatch.setattr(line_dedup, "scheme", lambda *a: (4, 8, 1))
+    monkeypatch.setattr(line_dedup, "scheme", lambda *a: (2, 8, 1))
     rows = line_rows()
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS))
     assert got.columns == ["doc_id", "text", "id", "pos", "n_lines", "n_removed"]
