@@ -5,7 +5,9 @@ DataFrame whose column names match the DuckDB oracle in ``payflux.oracle_sql``.
 
 from __future__ import annotations
 
+import json
 from dataclasses import replace
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +16,14 @@ from pyspark.sql import functions as F
 from payflux import schemas
 from payflux.config import DEFAULT, FlowConfig
 from payflux.functions import scalar as fn
-from payflux.operators import accounts, enrich, errors, generate, rules
+from payflux.operators import accounts, enrich, errors, generate, ordered, patterns, presence, rules
 from payflux.operators.dedup import dedup_durable, dedup_ttl
 from payflux.plans import clearing, confirmation, payment, settlement, simplified
 from payflux.session import cut_lineage
 from payflux.sources import fixtures as fx
 from payflux.sources import streams
+from payflux.streaming import counters
+from payflux.streaming.keyed import start_keyed_ttl
 
 Query = Callable[[SparkSession, str], DataFrame]
 V1 = FlowConfig(max_amount=10000.0)
@@ -106,7 +110,7 @@ def q_payload_template(spark, sf):
 
 
 def q_tick_source(spark, sf):
-    return generate.tick_source(fx.count_events(spark, sf), "t", 2000)
+    return generate.tick_source(fx.count_events(spark, sf), "t", 60_000)
 
 
 def q_bank_cache(spark, sf):
@@ -485,6 +489,133 @@ def q_validate_summary(spark, sf):
             .agg(F.count(F.lit(1)).alias("n"))
 
 
+# --------------------------------------------------------------------------- streams, faults, presence, patterns
+
+def _scratch(spark, name):
+    import uuid
+
+    from payflux.session import table_path
+
+    return table_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def _as_stream(spark, sf, name):
+    """A table of the given folder as a stream (one micro-batch per file)."""
+    path = f"{sf.rstrip('/')}/{name}.parquet"
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*")
+
+
+def _drained(query):
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def q_dedup_ttl_keyed_state(spark, sf):
+    """TTL dedup of the re-sent payments as a stream, in keyed state."""
+    rows = fx.retries_of(_as_stream(spark, sf, "lineitem")).select("_txnID", "attempt", "timestamp")
+    out = _scratch(spark, "keyed-ttl")
+    _drained(start_keyed_ttl(rows, f"{out}/kept", f"{out}/checkpoint", ttl_ms=DEFAULT.ttl_ms))
+    return spark.read.schema(rows.schema).parquet(f"{out}/kept")
+
+
+def q_running_count_stream(spark, sf):
+    """The events numbered as a stream."""
+    events = fx.count_events_of(_as_stream(spark, sf, "events"))
+    out = _scratch(spark, "counts")
+    _drained(counters.start_running_count(events, "t", "c", f"{out}/rows", f"{out}/checkpoint"))
+    return spark.read.parquet(f"{out}/rows").select("c", "count")
+
+
+def q_totals_stream(spark, sf):
+    """Number, total balance and total reserved of the accounts as a stream."""
+    accounts_ = fx.banks_of(_as_stream(spark, sf, "customer"), spark, sf)
+    out = _scratch(spark, "totals")
+    _drained(counters.start_totals(accounts_, accounts.total_columns(), f"{out}/rows", f"{out}/checkpoint"))
+    return counters.last_totals(spark.read.parquet(f"{out}/rows"))
+
+
+def q_admission_passes(spark, sf):
+    """How admission decides: payments of accounts whose requests fit together, and payments folded in order."""
+    checked = cut_lineage(payment.enrich_and_check(
+        dedup_durable(fx.payments(spark, sf), fx.payment_requests(spark, sf)), fx.banks(spark, sf), fx.presence(spark, sf), DEFAULT))
+    rows, funds = payment.candidates_and_funds(checked, fx.banks(spark, sf))
+    pending = rows.withColumn("_amt", F.col("amount").cast(ordered.AMOUNT))
+    free = funds.select("source_bank", F.col("free").cast(ordered.MONEY).alias("_free"))
+    plain, contended = ordered.split_contended(pending, free, "source_bank")
+    parts = [("plain", plain)] + ([("folded", contended)] if contended is not None else [])
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("decided"), "source_bank") for name, df in parts]) \
+        .groupBy("decided").agg(F.count(F.lit(1)).alias("payments"), F.count_distinct("source_bank").alias("accounts"))
+
+
+def q_tick_counts(spark, sf):
+    return generate.tick_counts(fx.count_events(spark, sf), "t", 60_000)
+
+
+def q_guarded_function(spark, sf):
+    """A user function that raises for some rows: its values and its faults."""
+    events = fx.read_table(spark, sf, "events").select(F.col("event_id").alias("c"), "props")
+    ok, bad = errors.route_errors(events, lambda d: errors.guarded(_share_of, "bigint")("c", "props"), "share")
+    return (ok.select("c", "share", F.lit(None).cast("string").alias("error"))
+            .unionByName(bad.select("c", F.lit(None).cast("bigint").alias("share"), "error")))
+
+
+def _share_of(c, props):
+    k = json.loads(props)["k"]
+    if c % 2 == 0:
+        raise ValueError("Count is Even.")
+    if k % 5 == 0:
+        raise ArithmeticError(f"no share of {k}")
+    return 1000 // (k % 5)
+
+
+def q_malformed_payloads(spark, sf):
+    """Payment lines, some of them broken: events of the good ones, faults of the others."""
+    ok, bad = streams.parse_checked(fx.payment_lines(spark, sf), schemas.PAYMENT_LINES)
+    return (ok.select("_txnID", "source_bank", "cents", F.lit(None).cast("string").alias("event"), F.lit(None).cast("string").alias("error"))
+            .unionByName(bad.select(F.lit(None).cast("bigint").alias("_txnID"), F.lit(None).cast("string").alias("source_bank"),
+                                    F.lit(None).cast("bigint").alias("cents"), "event", "error")))
+
+
+def q_json_variant(spark, sf):
+    """Nested objects, strict JSON only: parts by path, broken texts as NULL."""
+    o = fx.nested_json(spark, sf).select("event_id", fn.json_to_variant("evt").alias("o"))
+    return o.select("event_id", F.col("o").isNotNull().alias("is_json"), fn.object_get("o", "$.error.message").alias("message"),
+                    fn.object_get("o", "$.error.code", "bigint").alias("code"), fn.object_get("o", "$.tags[1]").alias("second_tag"),
+                    fn.object_json("o", "$.error").alias("error"))
+
+
+def q_counted_split(spark, sf):
+    """Accepted, rejected and unrouted confirmations written in one pass: counted on the way and after."""
+    p = fx.payee_confirmations(spark, sf).withColumn("amount_ok", F.col("amount") > 0)
+    out = _scratch(spark, "split")
+    counts = confirmation.write_split(p, (F.col("status") == "ACCP") & F.col("amount_ok"), out)
+    written = spark.read.parquet(out).groupBy("route").agg(F.count(F.lit(1)).alias("written"))
+    seen = F.create_map(*[x for k, v in counts.items() for x in (F.lit(k), F.lit(v).cast("bigint"))])
+    return written.select("route", "written", seen[F.col("route")].alias("counted"), seen["input"].alias("input"))
+
+
+def q_presence_sessions(spark, sf):
+    """Consumers' sessions from their events, twelve hours without one ending a session."""
+    e = fx.read_table(spark, sf, "events").where("user_id is not null")
+    return presence.sessions(e, "user_id", "ts", "12 hours").select(
+        "user_id", fn.epoch_millis("since").alias("since"), fn.epoch_millis("until").alias("until"), "n_events")
+
+
+def q_presence_latest(spark, sf):
+    """Latest state of every consumer at the last event of the table."""
+    e = fx.read_table(spark, sf, "events").where("user_id is not null")
+    at = e.select(F.max("ts")).scalar()
+    s = presence.present(presence.latest(presence.sessions(e, "user_id", "ts", "12 hours"), "user_id"), at)
+    return s.select("user_id", fn.epoch_millis("since").alias("since"), fn.epoch_millis("until").alias("until"), "n_sessions", "n_events", "present")
+
+
+def q_pattern_join(spark, sf):
+    """Accounts whose names match a subscriber's pattern."""
+    return patterns.pattern_join(fx.banks(spark, sf).select("_key", "name"), fx.subscriptions(spark, sf), "name", "pattern") \
+        .select("_key", "subscriber", "pattern")
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: obj for name, obj in sorted(globals().items())
     if name.startswith("q_") and callable(obj)

@@ -71,6 +71,21 @@ def json_to_map(col) -> Column:
     return F.from_json(_c(col), "map<string,string>")
 
 
+def json_to_variant(col) -> Column:
+    """``json:toObject`` of strict JSON with nested values kept (NULL where the text is no strict JSON)."""
+    return F.try_parse_json(_c(col))
+
+
+def object_get(obj, path: str, kind: str = "string") -> Column:
+    """A value of a variant object by path; NULL where it is absent or of another kind."""
+    return F.try_variant_get(_c(obj), path, kind)
+
+
+def object_json(obj, path: str = "$") -> Column:
+    """A part of a variant object as JSON text (its fields in alphabetical order)."""
+    return F.to_json(F.try_variant_get(_c(obj), path, "variant"))
+
+
 def map_remove(map_col, key: str) -> Column:
     """``map:remove(m, k)``."""
     return F.map_filter(map_col, lambda k, v: k != F.lit(key))

@@ -9,7 +9,7 @@ DECIMAL(38,6) (exact, order independent) and stored back as double.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payflux.operators.ordered import MONEY
@@ -78,10 +78,10 @@ def last_write_wins(table: DataFrame, updates: DataFrame, key: str, value: str,
     return j.withColumn(value, F.coalesce(F.col("_new"), F.col(value))).drop("_new")
 
 
-def reset_balances(banks: DataFrame, balance: int = 10000, reserved: int = 0) -> DataFrame:
-    """``UPDATE bank WITH {balance: 10000, reserved: 0}`` for every row."""
-    return banks.withColumn("balance", F.lit(balance).cast("bigint")) \
-                .withColumn("reserved", F.lit(reserved).cast("bigint"))
+def reset_balances(banks: DataFrame, balance: float = 10000, reserved: float = 0) -> DataFrame:
+    """``UPDATE bank WITH {balance: 10000, reserved: 0}`` for every row, in the type of ``apply_deltas``."""
+    return banks.withColumn("balance", F.lit(balance).cast("double")) \
+                .withColumn("reserved", F.lit(reserved).cast("double"))
 
 
 def truncate(table: DataFrame) -> DataFrame:
@@ -91,6 +91,9 @@ def truncate(table: DataFrame) -> DataFrame:
 
 def totals(banks: DataFrame) -> DataFrame:
     """Invariant query: number of banks, total balance, total reserved."""
-    return banks.agg(F.count(F.lit(1)).alias("total_banks"),
-                     F.sum("balance").alias("total_balance"),
-                     F.sum("reserved").alias("total_reserved"))
+    return banks.agg(*total_columns())
+
+
+def total_columns() -> list[Column]:
+    return [F.count(F.lit(1)).alias("total_banks"), F.sum("balance").alias("total_balance"),
+            F.sum("reserved").alias("total_reserved")]

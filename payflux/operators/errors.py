@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,52 @@ def route_errors(df: DataFrame, fn: Checked, out: str) -> tuple[DataFrame, DataF
     return ok, bad
 
 
+def guarded(fn: Callable, returns: str) -> Callable[..., Column]:
+    """A user function of one row's values that may raise, as an expression of ``struct(value, error)``.
+
+    Rows travel in Arrow batches; a row that raises gets the error's type and text
+    and spoils no other row of its batch. The result goes to ``route_errors``.
+    """
+
+    @F.pandas_udf(f"value {returns}, error string")
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        values, faults = [], []
+        for row in zip(*[rows[c].tolist() for c in rows.columns]):
+            try:
+                values.append(fn(*row))
+                faults.append(None)
+            except Exception as e:  # noqa: BLE001 - routed, not swallowed
+                values.append(None)
+                faults.append(f"{type(e).__name__}: {e}")
+        return pd.DataFrame({"value": pd.Series(values, dtype=object), "error": pd.Series(faults, dtype=object)})
+
+    return lambda *cols: run(F.struct(*cols))
+
+
+def guarded_batch(fn: Callable[[pd.DataFrame], pd.Series], returns: str) -> Callable[..., Column]:
+    """As ``guarded`` for a function of a whole batch: a batch that raises is halved until the
+    failing rows stand alone, so k of them cost about k * log2(rows) more calls."""
+
+    @F.pandas_udf(f"value {returns}, error string")
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        values, faults = [None] * len(rows), [None] * len(rows)
+        parts = [(0, len(rows))]
+        while parts:
+            a, b = parts.pop()
+            if a == b:
+                continue
+            try:
+                values[a:b] = fn(rows.iloc[a:b].reset_index(drop=True)).tolist()
+            except Exception as e:  # noqa: BLE001 - routed, not swallowed
+                if b - a == 1:
+                    faults[a] = f"{type(e).__name__}: {e}"
+                else:
+                    parts += [(a, (a + b) // 2), ((a + b) // 2, b)]
+        return pd.DataFrame({"value": pd.Series(values, dtype=object), "error": pd.Series(faults, dtype=object)})
+
+    return lambda *cols: run(F.struct(*cols))
+
+
 def parity_validator(c: Column) -> Column:
     """The reference's sample validator: odd counts pass, even counts throw."""
     return checked(F.lit("Count is Odd."), F.when(c % 2 == 0, F.lit("Count is Even.")))

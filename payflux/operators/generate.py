@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from payflux.functions.scalar import convert, rand, str_concat
@@ -94,11 +94,28 @@ def running_count(df: DataFrame, ts: str, tie: str, out: str = "c",
             .drop("_mid", "_part", "_pos", "_off"))
 
 
+def tick_series(spark: SparkSession, first_ms: int, last_ms: int, interval_ms: int) -> DataFrame:
+    """The ticks of a periodic trigger between two instants, idle ones included: ``(tick, tick_ts)``.
+
+    The series is dealt over tasks by ``range``; nothing is read and nothing shuffled.
+    """
+    return (spark.range(first_ms // interval_ms, last_ms // interval_ms + 1).select(
+        F.col("id").alias("tick"), (F.col("id") * interval_ms).alias("tick_ts")))
+
+
 def tick_source(events: DataFrame, t: str = "t", interval_ms: int = 2000) -> DataFrame:
-    """Periodic trigger in batch: the ticks (``interval_ms`` apart) that saw events."""
-    tick = F.floor(F.col(t) / F.lit(interval_ms)).cast("bigint")
-    return (events.select(tick.alias("tick")).distinct()
-            .withColumn("tick_ts", F.col("tick") * F.lit(interval_ms)))
+    """Periodic trigger over a table of events: every tick from the first event's to the last one's,
+    whether something happened or not. Two scalars reach the driver. Without events there are no ticks."""
+    r = events.agg(F.min(t).alias("a"), F.max(t).alias("b")).first()
+    if r["a"] is None:
+        return tick_series(events.sparkSession, 0, -1, interval_ms).limit(0)
+    return tick_series(events.sparkSession, r["a"], r["b"], interval_ms)
+
+
+def tick_counts(events: DataFrame, t: str = "t", interval_ms: int = 2000) -> DataFrame:
+    """``(tick, tick_ts, n)``: events per tick, 0 in idle ones."""
+    seen = events.where(F.col(t).isNotNull()).groupBy(F.floor(F.col(t) / F.lit(interval_ms)).cast("bigint").alias("tick")).agg(F.count(F.lit(1)).alias("n"))
+    return tick_source(events, t, interval_ms).join(seen, "tick", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def gen_payments(ticks: DataFrame, count_col: str = "count", t: str = "t",

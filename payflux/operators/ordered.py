@@ -90,11 +90,18 @@ def ordered_admission(candidates: DataFrame, funds: DataFrame, key: str = "sourc
     Money is exact: amounts and funds are DECIMAL(38,6) inside the fold, so the
     fold and the distributed prefix rounds take identical decisions.
     Candidates whose key has no funds row are not admitted.
+
+    Two passes: a key whose requests together fit its funds admits all of them
+    whatever their order (``split_contended``); only the rows of the other keys
+    are folded.
     """
     cols = candidates.columns
     pending = candidates.withColumn("_amt", F.col(amount).cast(AMOUNT))
     free = funds.select(F.col(key), F.col("free").cast(MONEY).alias("_free"))
-    decided: list[DataFrame] = []
+    plain, pending = split_contended(pending, free, key)
+    decided: list[DataFrame] = [plain.select(*cols, F.coalesce(F.col("_amt") >= 0, F.lit(False)).alias("admitted"))]
+    if pending is None:
+        return decided[0]
     round_no = 0
     while True:
         small, large, hot, bounded = split_hot_keys(pending, key, group_rows, with_keys=True)
@@ -113,6 +120,29 @@ def ordered_admission(candidates: DataFrame, funds: DataFrame, key: str = "sourc
     return out
 
 
+def split_contended(pending: DataFrame, free: DataFrame, key: str,
+                    max_broadcast: int = HOT_KEYS_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """``(plain, contended)``: rows of keys whose requested amounts (negative and NULL
+    ones ask for nothing) add up to at most the key's free funds, and the other rows.
+
+    The sums are a partial aggregate, one row per key, joined to the funds. The
+    contended keys are materialised once and broadcast only where a bounded count
+    proves them few. A key without funds is contended; ``contended`` is None
+    when no key is.
+    """
+    asked = pending.groupBy(F.col(key).alias("_ck")).agg(
+        F.coalesce(F.sum(F.when(F.col("_amt") >= 0, F.col("_amt"))), F.lit(0)).cast(MONEY).alias("_asked"))
+    keys = (asked.join(free, F.col("_ck") == F.col(key), "left")
+            .filter(F.col("_free").isNull() | (F.col("_asked") > F.col("_free"))).select("_ck"))
+    keys = cut_lineage(keys)
+    n = keys.limit(max_broadcast + 1).count()
+    if n == 0:
+        return pending, None
+    side = F.broadcast(keys) if n <= max_broadcast else keys
+    cond = F.col(key).eqNullSafe(F.col("_ck"))
+    return pending.join(side, cond, "left_anti"), pending.join(side, cond, "left_semi")
+
+
 def _fold_admission(rows: DataFrame, free: DataFrame, key: str, ts: str, tie: str,
                     cols: list[str]) -> DataFrame:
     item = F.struct(F.col(ts).alias("_o1"), F.col(tie).alias("_o2"), F.col("_amt"),

@@ -334,7 +334,11 @@ def oracle_sql() -> dict[str, str]:
         SELECT c AS count, '{"status":"Processed","count":' || CAST(c AS VARCHAR) || '}' AS payload
         FROM count_events""")
     q["tick_source"] = W(("count_events",), """
-        SELECT DISTINCT t // 2000 AS tick, (t // 2000) * 2000 AS tick_ts FROM count_events""")
+        SELECT x AS tick, x * 60000 AS tick_ts
+        FROM generate_series((SELECT min(t) // 60000 FROM count_events), (SELECT max(t) // 60000 FROM count_events)) g(x)""")
+    q["tick_counts"] = W(("count_events",), """
+        SELECT x AS tick, x * 60000 AS tick_ts, (SELECT count(*) FROM count_events WHERE t // 60000 = x) AS n
+        FROM generate_series((SELECT min(t) // 60000 FROM count_events), (SELECT max(t) // 60000 FROM count_events)) g(x)""")
     q["bank_cache"] = W(("banks",), "SELECT _key, region FROM banks")
 
     q["project_settlement"] = W(("settlement",), f"""
@@ -520,12 +524,71 @@ def oracle_sql() -> dict[str, str]:
         SELECT CAST(_txnID AS VARCHAR) AS _key, source_bank, target_bank, amount, currency, timestamp,
                'settled' AS status FROM {posted} x""")
     q["reset_balances"] = W(("banks",), """
-        SELECT _key, CAST(10000 AS BIGINT) AS balance, CAST(0 AS BIGINT) AS reserved FROM banks""")
+        SELECT _key, CAST(10000 AS DOUBLE) AS balance, CAST(0 AS DOUBLE) AS reserved FROM banks""")
     q["truncate_table"] = W(("settlement",), "SELECT * FROM settlement")
     q["admit_payments_rounds"] = q["admit_payments"]
     q["dedup_ttl"] = _TTL_DEDUP.replace("WITH RECURSIVE r AS (",
                                         "WITH RECURSIVE retries AS (" + _FIX["retries"][1] + "),\nr AS (", 1)
     q["dedup_ttl_rounds"] = q["dedup_ttl"]
+    q["dedup_ttl_keyed_state"] = q["dedup_ttl"]
+    q["running_count_stream"] = W(("count_events",), """
+        SELECT c, row_number() OVER (ORDER BY t, c) AS count FROM count_events""")
+    q["totals_stream"] = q["cal_total"]
+    q["admission_passes"] = W(("pw_cand",), """
+        SELECT CASE WHEN fits THEN 'plain' ELSE 'folded' END AS decided, sum(n)::BIGINT AS payments, count(*) AS accounts
+        FROM (SELECT source_bank, count(*) AS n, coalesce(sum(CASE WHEN amt >= 0 THEN amt END), 0) <= any_value(free0) AS fits
+              FROM pw_cand GROUP BY source_bank) GROUP BY 1""")
+    q["guarded_function"] = """
+        SELECT c, CASE WHEN c % 2 = 1 AND k % 5 <> 0 THEN 1000 // (k % 5) END AS share,
+               CASE WHEN c % 2 = 0 THEN 'ValueError: Count is Even.' WHEN k % 5 = 0 THEN 'ArithmeticError: no share of ' || k END AS error
+        FROM (SELECT event_id AS c, json_extract(props, '$.k')::BIGINT AS k FROM events)"""
+    q["malformed_payloads"] = """
+        WITH l AS (
+          SELECT o_orderkey AS k, '{"_txnID":' || o_orderkey || ',"source_bank":'
+                 || CASE WHEN o_orderkey % 13 = 0 THEN 'null' ELSE '"Bank_' || o_custkey || '"' END
+                 || ',"cents":' || CASE WHEN o_orderkey % 29 = 0 THEN '"many"' ELSE CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) END || '}' AS line
+          FROM orders),
+        v AS (SELECT CASE WHEN k % 19 = 0 THEN line[:-6] WHEN k % 23 = 0 THEN 'lost ' || k ELSE line END AS value FROM l),
+        j AS (SELECT value, CASE WHEN json_valid(value) THEN json_type(value, '$.cents') IN ('UBIGINT', 'BIGINT') ELSE false END AS ok FROM v)
+        SELECT CASE WHEN ok THEN json_extract(value, '$._txnID')::BIGINT END AS _txnID,
+               CASE WHEN ok THEN json_extract_string(value, '$.source_bank') END AS source_bank,
+               CASE WHEN ok THEN json_extract(value, '$.cents')::BIGINT END AS cents,
+               CASE WHEN NOT ok THEN value END AS event, CASE WHEN NOT ok THEN 'malformed payload' END AS error
+        FROM j"""
+    q["json_variant"] = """
+        WITH x AS (
+          SELECT event_id, '{"c":' || event_id || ',"tags":["' || coalesce(event_type, '') || '","t' || event_id % 5 || '"]'
+                 || CASE WHEN event_id % 2 = 0 THEN ',"error":{"code":' || event_id % 7 || ',"message":"Count is Even."}' ELSE '' END || '}' AS evt
+          FROM events),
+        y AS (SELECT event_id, CASE WHEN event_id % 11 = 0 THEN evt[:-2] WHEN event_id % 17 = 0 THEN replace(evt, '"', chr(39)) ELSE evt END AS evt FROM x),
+        z AS (SELECT event_id, json_valid(evt) AS is_json, CASE WHEN json_valid(evt) THEN evt::JSON END AS o FROM y)
+        SELECT event_id, is_json, json_extract_string(o, '$.error.message') AS message, json_extract(o, '$.error.code')::BIGINT AS code,
+               json_extract_string(o, '$.tags[1]') AS second_tag, json_extract(o, '$.error')::VARCHAR AS error
+        FROM z"""
+    q["counted_split"] = W(("payee",), """
+        SELECT route, count(*) AS written, count(*) AS counted, (SELECT count(*) FROM payee) AS input
+        FROM (SELECT CASE WHEN status = 'ACCP' AND amount > 0 THEN 'accepted' WHEN NOT (status = 'ACCP' AND amount > 0) THEN 'rejected'
+                          ELSE 'unrouted' END AS route FROM payee) GROUP BY route""")
+    sessions = """
+        WITH g AS (
+          SELECT user_id, ts, CASE WHEN ts <= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 12 HOURS THEN 0 ELSE 1 END AS new
+          FROM events WHERE user_id IS NOT NULL),
+        s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g),
+        t AS (SELECT user_id, min(ts) AS since, max(ts) + INTERVAL 12 HOURS AS until, count(*) AS n_events FROM s GROUP BY user_id, k)"""
+    q["presence_sessions"] = sessions + """
+        SELECT user_id, epoch_us(since) // 1000 AS since, epoch_us(until) // 1000 AS until, n_events FROM t"""
+    q["presence_latest"] = sessions + """
+        SELECT user_id, epoch_us(max(since)) // 1000 AS since, epoch_us(max(until)) // 1000 AS until, count(*) AS n_sessions,
+               sum(n_events)::BIGINT AS n_events, max(until) >= (SELECT max(ts) FROM events WHERE user_id IS NOT NULL) AS present
+        FROM t GROUP BY user_id"""
+    q["pattern_join"] = W(("banks",), """
+        SELECT b._key, s.subscriber, s.pattern FROM banks b JOIN (
+          SELECT 'sub' || s_suppkey AS subscriber, CASE s_suppkey % 4
+            WHEN 0 THEN 'Customer#0000' || lpad((s_suppkey % 10000)::VARCHAR, 4, '0') || '%'
+            WHEN 1 THEN '%' || lpad((s_suppkey % 1000)::VARCHAR, 3, '0')
+            WHEN 2 THEN '%#000' || lpad((s_suppkey % 1000)::VARCHAR, 3, '0') || '__%'
+            ELSE '_%0' || lpad((s_suppkey % 1000)::VARCHAR, 3, '0') || '_' END AS pattern
+          FROM supplier) s ON b.name LIKE s.pattern""")
     q["trigger_payments"] = W(("count_events",), """
         SELECT 'Chase_' || CAST((c + 1) % 12000 AS VARCHAR) AS source_bank,
                'Chase_' || CAST((c + 1) % 12000 + 12000 AS VARCHAR) AS target_bank,

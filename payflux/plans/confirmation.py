@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from payflux.config import DEFAULT, FlowConfig
@@ -32,6 +32,22 @@ def split(df: DataFrame, pred) -> tuple[DataFrame, DataFrame, DataFrame]:
     return df.filter(pred), df.filter(~pred), df.filter(pred.isNull())
 
 
+def write_split(df: DataFrame, pred, path: str) -> dict[str, int]:
+    """Write a complementary split in one pass, one folder ``route=`` per output, and return what was counted
+    on the way: ``input``, ``accepted``, ``rejected`` and ``unrouted`` (a NULL predicate). The input is read once:
+    the counts are metrics that ``observe`` collects while the rows are written."""
+    route = F.when(pred, F.lit("accepted")).when(~pred, F.lit("rejected")).otherwise(F.lit("unrouted"))
+    seen = Observation()
+    names = ("accepted", "rejected", "unrouted")
+    (df.withColumn("route", route)
+     .observe(seen, F.count(F.lit(1)).alias("input"), *[F.count_if(F.col("route") == n).alias(n) for n in names])
+     .write.mode("overwrite").partitionBy("route").parquet(path))
+    counts = seen.get
+    if counts["input"] != sum(counts[n] for n in names):
+        raise RuntimeError(f"split lost rows: {counts}")
+    return counts
+
+
 def in_region(confirmations: DataFrame, banks: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
     """Source region from the bank cache, then keep the region's confirmations."""
     c = confirmations.drop("source_region") if "source_region" in confirmations.columns else confirmations

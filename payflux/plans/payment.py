@@ -63,13 +63,19 @@ def admit(checked: DataFrame, banks: DataFrame, cfg: FlowConfig = DEFAULT) -> Da
     unknown source banks bypass it (rule one passes them). Returns the
     candidates with ``admitted``.
     """
+    known, funds = candidates_and_funds(checked, banks)
+    return ordered_admission(known, funds, "source_bank", "timestamp", "_txnID", "amount",
+                             cfg.fold_group_rows, cfg.hot_key_segments)
+
+
+def candidates_and_funds(checked: DataFrame, banks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Payments that ask for funds, and the free funds per account."""
     ok = checked.filter(F.col("isDevicePresent") & F.col("failedMsg").isNull())
     known = ok.filter(F.col("source_balance").isNotNull() | F.col("source_total_reserved").isNotNull()
                       | F.col("source_region").isNotNull())
     funds = banks.select(F.col("_key").alias("source_bank"),
                          (F.col("balance") - F.col("reserved")).alias("free"))
-    return ordered_admission(known, funds, "source_bank", "timestamp", "_txnID", "amount",
-                             cfg.fold_group_rows, cfg.hot_key_segments)
+    return known, funds
 
 
 def payment_worker(payments: DataFrame, banks: DataFrame, recorded: DataFrame,

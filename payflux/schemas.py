@@ -80,3 +80,6 @@ SETTLEMENTS_SIMPLE = _struct(("source_bank", S), ("target_bank", S), ("source_re
                              ("amount", D), ("currency", S), ("timestamp", L), ("_txnID", L))
 LEDGER_SIMPLE = _struct(("_key", S), ("source_bank", S), ("target_bank", S), ("amount", D),
                         ("currency", S), ("timestamp", L), ("status", S))
+
+# payment payloads of the malformed-line query
+PAYMENT_LINES = _struct(("_txnID", L), ("source_bank", S), ("cents", L))

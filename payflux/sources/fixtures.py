@@ -43,8 +43,12 @@ def _bank_key(col: Column, prefix: str = "Bank_") -> Column:
 @_shared
 def banks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Banks table: one account per customer; region from nation -> region."""
-    c = read_table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", "c_acctbal", "c_nationkey")
+    return banks_of(read_table(spark, sf_dir, "customer"), spark, sf_dir)
+
+
+def banks_of(customers: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The accounts of a batch or streaming frame of customers."""
+    c = customers.select("c_custkey", "c_name", "c_acctbal", "c_nationkey")
     # nation (25 rows) and region (5 rows) are fixed-size dimensions at every scale
     n = F.broadcast(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
     r = F.broadcast(read_table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
@@ -123,7 +127,11 @@ def payee_confirmations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_shared
 def payment_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retried payments: each order's line items are re-sends 2 s apart."""
-    li = read_table(spark, sf_dir, "lineitem")
+    return retries_of(read_table(spark, sf_dir, "lineitem"))
+
+
+def retries_of(li: DataFrame) -> DataFrame:
+    """The retried payments of a batch or streaming frame of line items."""
     return li.select(
         F.col("l_orderkey").alias("_txnID"),
         F.col("l_linenumber").cast("bigint").alias("attempt"),
@@ -186,7 +194,11 @@ def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_shared
 def count_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CountStream: ``c`` = event id, ``t`` = event time in epoch millis."""
-    e = read_table(spark, sf_dir, "events")
+    return count_events_of(read_table(spark, sf_dir, "events"))
+
+
+def count_events_of(e: DataFrame) -> DataFrame:
+    """The counted events of a batch or streaming frame of events."""
     return e.select(F.col("event_id").alias("c"), epoch_millis("ts").alias("t"))
 
 
@@ -202,3 +214,41 @@ def error_json(spark: SparkSession, sf_dir: str) -> DataFrame:
                    epoch_millis("ts").cast("string"), F.lit(',"type":"'),
                    F.coalesce(F.col("event_type"), F.lit("")), F.lit('"'), err, F.lit("}"))
     return e.select(c.alias("event_id"), evt.alias("evt"))
+
+
+@_shared
+def payment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payment payloads as lines of JSON, some cut off, some no JSON, some with a value of another type."""
+    o = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    line = F.concat(F.lit('{"_txnID":'), k.cast("string"), F.lit(',"source_bank":'),
+                    F.when(k % 13 == 0, F.lit("null")).otherwise(F.concat(F.lit('"Bank_'), F.col("o_custkey").cast("string"), F.lit('"'))),
+                    F.lit(',"cents":'), F.when(k % 29 == 0, F.lit('"many"')).otherwise(F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string")),
+                    F.lit("}"))
+    return o.select(F.when(k % 19 == 0, F.substr(line, F.lit(1), F.length(line) - 5)).when(k % 23 == 0, F.concat(F.lit("lost "), k.cast("string")))
+                    .otherwise(line).alias("value"))
+
+
+@_shared
+def nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as nested JSON; some cut off, some in single quotes."""
+    e = read_table(spark, sf_dir, "events")
+    c = F.col("event_id")
+    error = F.when(c % 2 == 0, F.concat(F.lit(',"error":{"code":'), (c % 7).cast("string"), F.lit(',"message":"Count is Even."}'))).otherwise(F.lit(""))
+    evt = F.concat(F.lit('{"c":'), c.cast("string"), F.lit(',"tags":["'), F.coalesce("event_type", F.lit("")), F.lit('","t'), (c % 5).cast("string"),
+                   F.lit('"]'), error, F.lit("}"))
+    broken = F.when(c % 11 == 0, F.substr(evt, F.lit(1), F.length(evt) - 1)).when(c % 17 == 0, F.translate(evt, '"', "'")).otherwise(evt)
+    return e.select(c.alias("event_id"), broken.alias("evt"))
+
+
+@_shared
+def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subscribers and the pattern of the account names they follow: by start, end, middle and length."""
+    s = read_table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    digits = lambda n: F.lpad((k % (10 ** n)).cast("string"), n, "0")
+    pattern = (F.when(k % 4 == 0, F.concat(F.lit("Customer#0000"), digits(4), F.lit("%")))
+               .when(k % 4 == 1, F.concat(F.lit("%"), digits(3)))
+               .when(k % 4 == 2, F.concat(F.lit("%#"), F.lit("000"), digits(3), F.lit("__%")))
+               .otherwise(F.concat(F.lit("_%0"), digits(3), F.lit("_"))))
+    return s.select(F.concat(F.lit("sub"), k.cast("string")).alias("subscriber"), pattern.alias("pattern"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 JSON_OPTS = {"ignoreNullFields": "false"}
 
@@ -30,6 +30,30 @@ def parse_json_lines(lines: DataFrame, schema: StructType, col: str = "value") -
     return lines.select(F.from_json(F.col(col), schema).alias("_r")).select("_r.*")
 
 
+def parse_checked(lines: DataFrame, schema: StructType, col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """``(events, faults)`` of JSON lines, on batch and streaming frames alike: a line that is no JSON object, is cut
+    off or holds a value of another type is a fault ``(event, error)`` with its whole text instead of a row of NULLs.
+
+    A NULL line is a fault too; an empty object is an event of NULLs. No line is lost.
+    """
+    bad = "_corrupt"
+    kept = StructType([*schema.fields, StructField(bad, StringType())])
+    r = F.from_json(F.col(col), kept, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
+    parsed = lines.select(F.col(col).alias("event"), r.alias("r"))
+    fault = F.col("r").isNull() | F.col(f"r.{bad}").isNotNull() | F.trim("event").eqNullSafe("")
+    events = parsed.where(~fault).select(*[F.col("r").getField(f.name).alias(f.name) for f in schema.fields])
+    return events, parsed.where(fault).select("event", F.lit("malformed payload").alias("error"))
+
+
+def read_checked_stream(spark: SparkSession, path: str, schema: StructType,
+                        max_files_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """A JSON stream of a declared schema and its fault stream."""
+    r = spark.readStream
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return parse_checked(r.text(path), schema)
+
+
 def raw_payload(lines: DataFrame, col: str = "value", out: str = "evt") -> DataFrame:
     """``map.attributes.evt = "$"``: the whole payload as one string."""
     return lines.withColumnRenamed(col, out)

@@ -97,11 +97,12 @@ def _publish(store: TableStore, batch_id: int, sinks: dict[str, str]) -> None:
 
 
 def _once(store: TableStore, body: BatchFn, sinks: dict[str, str] | None = None,
-          dead_letter: str | None = None) -> BatchFn:
+          dead_letter: str | None = None, after: Callable[[int], None] | None = None) -> BatchFn:
     """Run ``body`` (which commits) unless the batch is empty or committed
     already, then publish what the batch has committed. The batch is persisted
     (every output of a leg reads it). A failure to publish stops the query; the
-    replay publishes again."""
+    replay publishes again. ``after`` is upkeep of the tables once a batch is
+    published, outside of what a dead letter guards."""
     if dead_letter:
         body = with_dead_letter(body, dead_letter, store)
 
@@ -115,6 +116,8 @@ def _once(store: TableStore, body: BatchFn, sinks: dict[str, str] | None = None,
             finally:
                 batch.unpersist()
         _publish(store, batch_id, sinks or {})
+        if after is not None:
+            after(batch_id)
 
     return run
 
@@ -129,6 +132,8 @@ def with_dead_letter(body: BatchFn, dead_letter: str, store: TableStore | None =
             body(batch, batch_id)
         except Exception as e:  # noqa: BLE001 - routed, not swallowed
             if store is not None:
+                if store.is_committed(batch_id):
+                    raise  # its rows stand in the tables: neither taken back nor dead-lettered
                 store.discard(batch_id)
             (batch.select(streams.json_payload(batch.columns).alias("event"), F.lit(f"{type(e).__name__}: {e}").alias("error"))
              .write.mode("overwrite").json(f"{dead_letter}/batch={batch_id}"))
@@ -180,10 +185,12 @@ def payment_batch(store: TableStore, presence: DataFrame, cfg: FlowConfig,
         store.commit(batch_id, appends)
         out.release()  # the leg's fan-out caches live for one micro-batch
         banks.unpersist()
+
+    def compact(batch_id: int) -> None:
         if batch_id and batch_id % COMPACT_EVERY == 0:
             compact_banks(store)
 
-    return _once(store, body, sinks, dead_letter)
+    return _once(store, body, sinks, dead_letter, compact)
 
 
 def start_payment_worker(spark: SparkSession, payments_path: str, store: TableStore,
