@@ -58,8 +58,11 @@ class KeepFirst(StatefulProcessor):
 
 
 def keyed_ttl(rows: DataFrame, key: str = "_txnID", ts: str = "timestamp", tie: str = "attempt",
-              ttl_ms: int = 5000, late_ms: int = 0) -> DataFrame:
-    """The kept rows of a streaming frame (``ts`` in epoch millis); rows later than ``late_ms`` behind the watermark are left out."""
+              ttl_ms: int = 5000, late_ms: int = 60_000) -> DataFrame:
+    """The kept rows of a streaming frame (``ts`` in epoch millis above 0). Rows ``late_ms`` or more behind the latest
+    event of earlier micro-batches are left out, so ``late_ms`` must be above 0 for equal times to be taken."""
+    if late_ms <= 0:
+        raise ValueError("late_ms must be above 0")
     schema = rows.schema
     timed = rows.withColumn("_at", F.timestamp_millis(F.col(ts))).withWatermark("_at", f"{late_ms} milliseconds")
     kept = timed.groupBy(key).transformWithState(
