@@ -20,7 +20,9 @@ table gives no rows.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import partial
 
@@ -38,6 +40,8 @@ BLOCK = 8192
 WORDS_KEPT = 500_000
 #: Bytes of text taken at a time; a longer text stands alone.
 _BYTES = 2 << 20
+#: The tokenizer's own parts of a printable ASCII word (fixed values of its split pattern).
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _PLAIN = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 
 
@@ -54,6 +58,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
 
     @classmethod
@@ -65,30 +70,53 @@ class WordIds:
     def learn(self, words: set[bytes]) -> None:
         """Remember the ids of new words (in lower case).
 
+        A printable ASCII word is cut into the tokenizer's own parts, which its model
+        encodes; other words are encoded by the whole tokenizer.
         A full stop or comma after an ASCII letter or digit is a token of its own,
         so such a word's ids are those of the rest and of the mark.
         """
         known = self.known
-        new = [w for w in words if w not in known]
+        new = words.difference(known)
         if not new:
             return
         if len(known) + len(new) > WORDS_KEPT:  # the older half goes, but for the words of this text
             half = len(known) // 2
             known = self.known = {w: i for k, (w, i) in enumerate(known.items()) if k >= half or w in words}
-        marked = [w for w in new if w[-1] in b".," and len(w) > 1 and (w[-2] in _PLAIN)]
-        parts = {w[:-1] for w in marked} | {b".", b","} | set(new).difference(marked)
+        rest = set()
+        for w in new:
+            t = w.decode("utf-8", "replace")
+            if not t.isascii() or not t.isprintable() or "<|" in t:
+                rest.add(w)
+            elif t.isalpha():
+                known[w] = self._model_ids(t)
+            else:
+                known[w] = b"".join(map(self._piece, _PARTS.findall(t)))
+        new = rest
+        marked = [w for w in new if w.endswith((b".", b",")) and len(w) > 1 and w[-2] in _PLAIN]
+        parts = new.difference(marked)
+        parts.update([w[:-1] for w in marked], (b".", b","))
         texts, odd = [], []
-        for w in parts:
-            if w not in known:
-                t = w.decode("utf-8", "replace")
-                (texts if t.isalnum() else odd).append((w, t))
+        for w in parts.difference(known):
+            t = w.decode("utf-8", "replace")
+            (texts if t.isalnum() else odd).append((w, t))
         for i in range(0, len(texts), 20_000):
             self._encode_line(texts[i:i + 20_000])
         for (w, _), e in zip(odd, self.tokenizer.encode_batch([t for _, t in odd], add_special_tokens=False)):
-            known[w] = np.array(e.ids, dtype="<u4").tobytes()
+            known[w] = array("I", e.ids).tobytes()
         for w in marked:
             known[w] = known[w[:-1]] + known[w[-1:]]
 
+    def _model_ids(self, piece: str) -> bytes:
+        return array("I", [x.id for x in self.model.tokenize(piece)]).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        """The ids of a part of a word that the tokenizer never merges with its neighbours."""
+        w = piece.encode()
+        ids = self.known.get(w)
+        if ids is None:
+            ids = self.known[w] = self._model_ids(piece)
+        return ids
+
     def _encode_line(self, words: list[tuple[bytes, str]]) -> None:
         """Encode words of letters and digits as one text, and cut its ids where the words end."""
         e = self.tokenizer.encode(" ".join(t for _, t in words), add_special_tokens=False)
