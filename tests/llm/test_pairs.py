@@ -173,10 +173,11 @@ def line_links(names):
     return out
 
 
-@pytest.mark.parametrize("crowd", [64, 3])
-def test_lines(spark, monkeypatch, crowd):
+@pytest.mark.parametrize("crowd, many", [(64, 64), (3, 64), (3, 3)])
+def test_lines(spark, monkeypatch, crowd, many):
     """With as many SimHashes as find every link, the result is that of brute force, with large keys and small ones."""
     monkeypatch.setattr(line_dedup, "CROWD", crowd)
+    monkeypatch.setattr(line_dedup, "MANY", many)
     monkeypatch.setattr(line_dedup, "_OF", 1)
     monkeypatch.setattr(line_dedup, "FAR", 128)
     monkeypatch.setattr(line_dedup, "scheme", lambda *a: (2, 8, 1))
