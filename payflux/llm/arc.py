@@ -13,7 +13,10 @@ Defined results: a null payload is empty; a null or empty address is
 ``about:blank``, white space in it is percent-encoded; a null key is below all
 others; records that repeat the largest key are all responses; an empty table
 gives no file and no rows; a record cut off by its file's end, or a header line
-that does not fit its version, ends the file with a row that holds the error.
+that does not fit its version, ends the file with a row that holds the error, and
+``convert`` fails on such a row. Only the first record of a file may be its version
+block; a later url that begins with ``filedesc:`` is a page. Payloads are read whole,
+one record at a time. Extra columns of the pages are not written, whatever their names.
 """
 
 from __future__ import annotations

@@ -13,8 +13,10 @@ counts in the first one only, which both vectors' cells tell.
 
 Defined results: unusable vectors (null, zero, null or non-finite components, a
 length unlike the others') and null labels link with nothing; a null id gives a
-row that links with nothing, with null component and kept null; repeated rows are
-vectors of their own; an empty table gives no rows.
+row that links with nothing, with null component and kept null; repeated rows and rows
+that share an id are vectors of their own, each with a row of the result; a component's
+name is its smallest id, so ties don't arise; vectors have no texts; extra columns are
+not read, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -20,7 +20,9 @@ copies thus costs its size, and no link between components is lost.
 
 Defined results: a null or empty text has the empty set and links with nothing;
 a null id gives a row with null component; rows that repeat an id are one
-document, linked through any of its texts; an empty table gives no rows.
+document, linked through any of its texts; members of a list that are equal in size
+and leading shingles go by position, then id; texts of any length are taken whole;
+extra columns are not read, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

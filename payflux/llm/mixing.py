@@ -9,7 +9,10 @@ than the size of its largest document.
 
 Defined results: a null text has size 0; a null source is a source of its own,
 after all others; rows that repeat are mixed as separate documents; an empty
-table gives an empty result; a source without words has target 0.
+table gives an empty result; a source without words has target 0; rows of equal
+size stand in the order of a hash of the id, then of the id; texts of any length are
+counted whole. ``mix`` keeps the input's columns, whatever their names;
+``mix_decisions`` reads the id, text and source alone.
 """
 
 from __future__ import annotations

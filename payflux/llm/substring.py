@@ -14,7 +14,10 @@ documents hold costs a row per batch, not one per occurrence.
 
 Defined results: a null text has no words; texts shorter than a window lose
 nothing; repeated rows are occurrences of their own, so their windows repeat;
-rows are returned as often as they stand in the input; an empty table gives no rows.
+rows are returned as often as they stand in the input; all occurrences of a window
+count alike, so there are no ties; texts of any length are taken whole, a longer one in
+a batch of its own; extra columns are not read, whatever their names; an empty table
+gives no rows.
 """
 
 from __future__ import annotations

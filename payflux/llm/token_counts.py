@@ -6,7 +6,8 @@ matching would pop, and the number of popped pieces is stored with the link. A
 word is read once, byte by byte, and only the counts are added: no piece is built.
 
 Defined results: a null or empty text, or one of white space only, has no words
-and no tokens; repeated rows count each; an empty table gives no rows.
+and no tokens; repeated rows count each; long texts are counted word by word; extra
+columns are not read, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

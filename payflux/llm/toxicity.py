@@ -9,6 +9,10 @@ per-coordinate rates and the L1 bound leave few weights, which every task gets.
 Defined results: a null or empty text has the bias alone as its feature, so its
 score is that of an unknown text; repeated rows score alike; labels that are
 null are not learnt from; without any label every score is 0.5 or less (no weight).
+Of ids with equal hashes the smaller is sampled first; an id with several labels counts
+as toxic if one of them says so, and is learnt from once. Long texts are read whole, a
+few megabytes at a time with others, or alone. ``clean`` keeps the input's columns,
+whatever their names; training and scoring read the id and text alone.
 """
 
 from __future__ import annotations
