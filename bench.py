@@ -37,6 +37,15 @@ HEADLINE = [
 STREAM_CHUNKS = 4
 
 
+def calibration(spark) -> dict:
+    """Seconds of fixed work that no query touches, to compare machines: one Python loop, one Spark job."""
+    t0 = time.perf_counter()
+    sum(i * i for i in range(5_000_000))
+    t1 = time.perf_counter()
+    spark.range(300_000_000).selectExpr("bit_xor(xxhash64(id))").collect()
+    return {"python_s": round(t1 - t0, 3), "spark_s": round(time.perf_counter() - t1, 3)}
+
+
 def bench_stream(spark, sf_dir: str) -> dict:
     """Every leg as its own streaming query (PW, SW1, Bank B, SW2, CW, SLA),
     drained once over the payments table replayed as file arrivals. Staging
@@ -106,6 +115,7 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
         reset()
     stream = bench_stream(spark, sf_dir)
+    machine = calibration(spark)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_queries_total_wall",
@@ -115,6 +125,7 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": int(cpus),
         "streaming": stream,
+        "calibration": machine,
     }))
     spark.stop()
 
