@@ -31,9 +31,9 @@ V1 = FlowConfig(max_amount=10000.0)
 V8 = FlowConfig(dedup="ttl", presence_check=False, unknown_bank="drop")
 # simplified flows on the derived banks: 'Bank_X' (unknown) names map to the
 # east region, every other name to the west region, which this instance serves
-SIMPLE = FlowConfig(home_region="cleaninghouse-us-west-1",
-                    name_regions=(("Bank_X", "cleaninghouse-us-east-1"),),
-                    name_default_region="cleaninghouse-us-west-1")
+SIMPLE = FlowConfig(home_region="WEST",
+                    name_regions=(("Bank_X", "EAST"),),
+                    name_default_region="WEST")
 
 PAYMENT_COLS = ["source_bank", "target_bank", "amount", "currency", "_txnID", "timestamp"]
 ACCOUNT_COLS = ["_key", "balance", "reserved"]
@@ -293,8 +293,8 @@ def q_str_concat(spark, sf):
 
 def q_region_by_name(spark, sf):
     p = fx.payments(spark, sf)
-    region = rules.region_by_name(F.col("source_bank"), [("Bank_X", "cleaninghouse-us-east-1")],
-                                  "cleaninghouse-us-west-1")
+    region = rules.region_by_name(F.col("source_bank"), [("Bank_X", "EAST")],
+                                  "WEST")
     return p.select("_txnID", "source_bank", region.alias("source_region"))
 
 

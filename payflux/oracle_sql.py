@@ -436,8 +436,8 @@ def oracle_sql() -> dict[str, str]:
 
     q["str_concat"] = W(("settlement",), f"SELECT _txnID, {_cache_json()} AS json FROM settlement")
     q["region_by_name"] = W(("payments",), """
-        SELECT _txnID, source_bank, CASE WHEN contains(source_bank, 'Bank_X') THEN 'cleaninghouse-us-east-1'
-               ELSE 'cleaninghouse-us-west-1' END AS source_region FROM payments""")
+        SELECT _txnID, source_bank, CASE WHEN contains(source_bank, 'Bank_X') THEN 'EAST'
+               ELSE 'WEST' END AS source_region FROM payments""")
     q["convert_types"] = W(("payments",), """
         SELECT _txnID, CAST(_txnID AS VARCHAR) AS txn_str, CAST(amount AS VARCHAR) AS amount_str,
                CAST(trunc(amount) AS BIGINT) AS amount_long FROM payments""")
@@ -511,12 +511,12 @@ def oracle_sql() -> dict[str, str]:
     q["settlement_status"] = W(("settlement", "confirmations"), """
         SELECT s._key, coalesce(c.status, s.status) AS status
         FROM settlement s LEFT JOIN confirmations c ON c._txnID = s._txnID""")
-    simple = """(SELECT *, CASE WHEN contains(source_bank, 'Bank_X') THEN 'cleaninghouse-us-east-1'
-                           ELSE 'cleaninghouse-us-west-1' END AS src_region,
-                      CASE WHEN contains(target_bank, 'Bank_X') THEN 'cleaninghouse-us-east-1'
-                           ELSE 'cleaninghouse-us-west-1' END AS tgt_region FROM payments)"""
-    posted = f"(SELECT * FROM {simple} s WHERE tgt_region = 'cleaninghouse-us-west-1' " \
-             f"AND src_region = 'cleaninghouse-us-west-1')"
+    simple = """(SELECT *, CASE WHEN contains(source_bank, 'Bank_X') THEN 'EAST'
+                           ELSE 'WEST' END AS src_region,
+                      CASE WHEN contains(target_bank, 'Bank_X') THEN 'EAST'
+                           ELSE 'WEST' END AS tgt_region FROM payments)"""
+    posted = f"(SELECT * FROM {simple} s WHERE tgt_region = 'WEST' " \
+             f"AND src_region = 'WEST')"
     q["simplified_flow"] = W(("banks", "payments"), _DELTA_APPLY.format(
         base="banks", deltas="SELECT source_bank AS _key, 0.0 AS d_balance, amount AS d_reserved FROM payments"
                              "\n    UNION ALL " + _SETTLE.format(src=posted).strip()))
