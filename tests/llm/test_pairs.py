@@ -180,6 +180,7 @@ def test_lines(spark, monkeypatch, crowd, many):
     monkeypatch.setattr(line_dedup, "MANY", many)
     monkeypatch.setattr(line_dedup, "_OF", 1)
     monkeypatch.setattr(line_dedup, "FAR", 128)
+    monkeypatch.setattr(line_dedup, "_KEYS_AT_ONCE", 8)
     monkeypatch.setattr(line_dedup, "scheme", lambda *a: (2, 8, 1))
     rows = line_rows()
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS))
@@ -228,6 +229,7 @@ def test_recall_of_near_lines(spark, monkeypatch):
                         pairs[len(rows) + 1] = (size, kind)
                     rows += [(len(rows), a), (len(rows) + 1, b)]
     scheme = line_dedup.scheme
+    monkeypatch.setattr(line_dedup, "_KEYS_AT_ONCE", 32)
     monkeypatch.setattr(line_dedup, "scheme", lambda n, *a: scheme(2_500_000, *a))
     gone = {r.doc_id for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).where("n_removed > 0").collect()}
     assert gone <= set(pairs)  # no line goes that brute force keeps
