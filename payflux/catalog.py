@@ -477,6 +477,16 @@ def q_simplified_flow(spark, sf):
     return out.banks.select(*ACCOUNT_COLS)
 
 
+def q_simplified_event_time(spark, sf):
+    """Simplified legs at the event's arrival instead of the payload's time: settlements, requests, confirmations."""
+    p = fx.payments(spark, sf).withColumn("arrived", F.col("timestamp") + F.col("_txnID") % 5000)
+    sent, requests, _, _ = simplified.payment_worker(p, fx.banks(spark, sf), SIMPLE, "arrived")
+    payee = fx.payee_confirmations(spark, sf).withColumn("arrived", F.col("timestamp") + F.col("_txnID") % 7000)
+    legs = [("settlement", sent), ("request", requests.withColumn("_txnID", F.col("_key").cast("bigint"))),
+            ("confirmation", simplified.settlement_confirm(payee, SIMPLE, "arrived"))]
+    return reduce(DataFrame.unionByName, [df.select(F.lit(leg).alias("leg"), "_txnID", "timestamp") for leg, df in legs])
+
+
 def q_simplified_ledger(spark, sf):
     out = simplified.simplified_flow(fx.payments(spark, sf), fx.banks(spark, sf), SIMPLE)
     return out.ledger

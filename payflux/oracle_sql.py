@@ -525,6 +525,9 @@ def oracle_sql() -> dict[str, str]:
                'settled' AS status FROM {posted} x""")
     q["reset_balances"] = W(("banks",), """
         SELECT _key, CAST(10000 AS DOUBLE) AS balance, CAST(0 AS DOUBLE) AS reserved FROM banks""")
+    q["simplified_event_time"] = W(("payments", "payee"), """
+        SELECT leg, _txnID, timestamp + _txnID % 5000 AS timestamp FROM payments, (VALUES ('settlement'), ('request')) l(leg)
+        UNION ALL SELECT 'confirmation', _txnID, timestamp + _txnID % 7000 FROM payee""")
     q["truncate_table"] = W(("settlement",), "SELECT * FROM settlement")
     q["admit_payments_rounds"] = q["admit_payments"]
     q["dedup_ttl"] = _TTL_DEDUP.replace("WITH RECURSIVE r AS (",

@@ -40,14 +40,16 @@ def name_region(bank: str, cfg: FlowConfig = DEFAULT):
     return rules.region_by_name(F.col(bank), list(cfg.name_regions), cfg.name_default_region)
 
 
-def payment_worker(payments: DataFrame, banks: DataFrame, cfg: FlowConfig = DEFAULT):
+def payment_worker(payments: DataFrame, banks: DataFrame, cfg: FlowConfig = DEFAULT, event_time: str = "timestamp"):
     """Reserve every payment on its source bank; forward it with the source
     region from the bank name. Returns (settlements, requests, reserve deltas,
-    next Banks)."""
+    next Banks). ``event_time`` names the column that ``eventTimestamp()`` stands
+    for: the payload's own time, or the arrival that ``read_json_stream`` carries."""
+    at = F.col(event_time).alias("timestamp")
     settlements = payments.select("source_bank", "target_bank", name_region("source_bank", cfg).alias("source_region"),
-                                  "amount", "currency", "timestamp", "_txnID")
+                                  "amount", "currency", at, "_txnID")
     requests = payments.select(F.col("_txnID").cast("string").alias("_key"), "source_bank", "target_bank",
-                               "amount", "currency", "timestamp")
+                               "amount", "currency", at)
     reserve = accounts.reserve_deltas(payments)
     return settlements, requests, reserve, accounts.apply_deltas(banks, reserve)
 
@@ -64,10 +66,10 @@ def settlement_register(settlements: DataFrame, cfg: FlowConfig = DEFAULT,
                     "_txnID"))
 
 
-def settlement_confirm(payee: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
-    """SW2: payee answer to a status, source region re-derived from the name."""
+def settlement_confirm(payee: DataFrame, cfg: FlowConfig = DEFAULT, event_time: str = "timestamp") -> DataFrame:
+    """SW2: payee answer to a status, source region re-derived from the name, at the event's time."""
     return payee.select("source_bank", "target_bank", name_region("source_bank", cfg).alias("source_region"),
-                        "amount", "currency", "timestamp",
+                        "amount", "currency", F.col(event_time).alias("timestamp"),
                         rules.payee_status(F.col("status")).alias("status"), "_txnID")
 
 

@@ -63,22 +63,26 @@ def raw_payload(lines: DataFrame, col: str = "value", out: str = "evt") -> DataF
 
 def read_json_stream(spark: SparkSession, path: str, schema: StructType,
                      max_files_per_trigger: int | None = None,
-                     starting_after_ms: int | None = None) -> DataFrame:
+                     starting_after_ms: int | None = None, arrival: str | None = None) -> DataFrame:
     """Streaming JSON source with a declared schema (no inference).
 
     The durable subscription is the query's ``checkpointLocation``. A file
     source reads every existing file on its first start; the reference's
     ``subscription.initial.position='Latest'`` is ``starting_after_ms``: files
     modified before that instant are skipped (the filter reads file metadata,
-    not file contents).
+    not file contents). ``arrival`` names a column for the instant (epoch millis) at
+    which an event's file arrived, the same on a replay: ``eventTimestamp()``.
     """
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = r.json(path)
+    arrived = F.col("_metadata.file_modification_time")
     if starting_after_ms is not None:
-        start = F.timestamp_millis(F.lit(starting_after_ms))
-        df = df.filter(F.col("_metadata.file_modification_time") >= start).select(*schema.fieldNames())
+        df = df.filter(arrived >= F.timestamp_millis(F.lit(starting_after_ms)))
+    if starting_after_ms is not None or arrival:
+        more = [F.unix_millis(arrived).alias(arrival)] if arrival else []
+        df = df.select(*schema.fieldNames(), *more)
     return df
 
 

@@ -258,3 +258,15 @@ def test_variant_keeps_nested_values(spark):
     got = o.select(fn.object_get("o", "$.error.more[1].x"), fn.object_get("o", "$.error.code", "int"), fn.object_json("o", "$.error")).collect()
     assert tuple(got[0]) == ("y", 3, json.dumps({"code": 3, "more": [1, {"x": "y"}]}, separators=(",", ":")))
     assert all(tuple(r) == (None, None, None) for r in got[1:])
+
+
+def test_arrival_is_the_files_time(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for k in range(2):
+        f = tmp_path / "in" / f"{k}.json"
+        f.write_text(json.dumps({"_txnID": k, "cents": 1}))
+        os.utime(f, (1_700_000_000 + k,) * 2)
+    src = streams.read_json_stream(spark, f"{tmp_path}/in", schemas.PAYMENT_LINES, arrival="arrived")
+    drained(src.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/c")
+            .trigger(availableNow=True).start())
+    assert sorted((r["_txnID"], r.arrived) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [(0, 1_700_000_000_000), (1, 1_700_000_001_000)]
