@@ -180,8 +180,8 @@ def test_lines(spark, monkeypatch, crowd, many):
     monkeypatch.setattr(line_dedup, "MANY", many)
     monkeypatch.setattr(line_dedup, "_OF", 1)
     monkeypatch.setattr(line_dedup, "FAR", 128)
-    monkeypatch.setattr(line_dedup, "_KEYS_AT_ONCE", 8)
-    monkeypatch.setattr(line_dedup, "scheme", lambda *a: (2, 8, 1))
+    monkeypatch.setattr(line_dedup, "_KEYS_AT_ONCE", 96)
+    monkeypatch.setattr(line_dedup, "scheme", lambda *a: (6, 16, 1))
     rows = line_rows()
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS))
     assert got.columns == ["doc_id", "text", "id", "pos", "n_lines", "n_removed"]
