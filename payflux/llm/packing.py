@@ -28,6 +28,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,19 +38,25 @@ from payflux.llm.common import slices, stored
 #: Pieces packed together by one task.
 BLOCK = 8192
 #: Distinct words whose ids a worker remembers.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 700_000
 #: Bytes of text taken at a time; a longer text stands alone.
 _BYTES = 2 << 20
-#: The tokenizer's own parts of a printable ASCII word (fixed values of its split pattern).
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-_PLAIN = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
+#: Words of printable ASCII and of the Latin-1 letters beyond it, and the tokenizer's own parts of such a word in
+#: lower case (fixed values of its split pattern).
+_SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+#: The letter that stands for a byte in the tokenizer's model: its own where that prints, else the next one from 256 on.
+_UNPRINTED = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+_LETTER = {b: 256 + k for k, b in enumerate(_UNPRINTED)}
 
 
 class WordIds:
     """Ids of white-space separated words, remembered per worker.
 
     The tokenizer lower-cases, drops white space and never merges across it, so
-    a text's ids are those of its words in a line.
+    a text's ids are those of its words in a line. Words are remembered in two
+    generations: the younger takes every word met, and when it is full it becomes the
+    older one, whose words not met since are forgotten.
     """
 
     _held: dict[str, "WordIds"] = {}
@@ -59,7 +66,8 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.known: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> "WordIds":
@@ -67,69 +75,53 @@ class WordIds:
             cls._held[path] = cls(path)
         return cls._held[path]
 
-    def learn(self, words: set[bytes]) -> None:
-        """Remember the ids of new words (in lower case).
-
-        A printable ASCII word is cut into the tokenizer's own parts, which its model
-        encodes; other words are encoded by the whole tokenizer.
-        A full stop or comma after an ASCII letter or digit is a token of its own,
-        so such a word's ids are those of the rest and of the mark.
-        """
-        known = self.known
-        new = words.difference(known)
-        if not new:
-            return
-        if len(known) + len(new) > WORDS_KEPT:  # the older half goes, but for the words of this text
-            half = len(known) // 2
-            known = self.known = {w: i for k, (w, i) in enumerate(known.items()) if k >= half or w in words}
-        rest = set()
-        for w in new:
-            t = w.decode("utf-8", "replace")
-            if not t.isascii() or not t.isprintable() or "<|" in t:
-                rest.add(w)
-            elif t.isalpha():
-                known[w] = self._model_ids(t)
-            else:
-                known[w] = b"".join(map(self._piece, _PARTS.findall(t)))
-        new = rest
-        marked = [w for w in new if w.endswith((b".", b",")) and len(w) > 1 and w[-2] in _PLAIN]
-        parts = new.difference(marked)
-        parts.update([w[:-1] for w in marked], (b".", b","))
-        texts, odd = [], []
-        for w in parts.difference(known):
-            t = w.decode("utf-8", "replace")
-            (texts if t.isalnum() else odd).append((w, t))
-        for i in range(0, len(texts), 20_000):
-            self._encode_line(texts[i:i + 20_000])
-        for (w, _), e in zip(odd, self.tokenizer.encode_batch([t for _, t in odd], add_special_tokens=False)):
-            known[w] = array("I", e.ids).tobytes()
-        for w in marked:
-            known[w] = known[w[:-1]] + known[w[-1:]]
-
-    def _model_ids(self, piece: str) -> bytes:
-        return array("I", [x.id for x in self.model.tokenize(piece)]).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
+    def words(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words (ASCII letters in lower case), little-endian, four bytes each."""
+        if len(self.young) + len(words) > WORDS_KEPT // 2:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        out = list(map(young.get, words))
+        for i, ids in enumerate(out):
+            if ids is None:
+                w = words[i]
+                ids = old.get(w)
+                if ids is None:
+                    ids = self._model_ids(w.decode()) if w.isalpha() else self._encoded(w)  # bytes: ASCII letters only
+                young[w] = out[i] = ids
+        return out
+
+    def _encoded(self, word: bytes) -> bytes:
+        """A word of ASCII and Latin-1 letters is cut into the tokenizer's own parts, which its
+        model encodes; other words are encoded by the whole tokenizer."""
+        t = word.decode("utf-8", "replace")
+        if _SIMPLE.fullmatch(t) and "<|" not in t:
+            return b"".join(map(self._part, _PARTS.findall(t.lower())))
+        return array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes()
+
+    def _model_ids(self, part: str) -> bytes:
+        return array("I", [x.id for x in self.model.tokenize(part)]).tobytes()
+
+    def _part(self, part: str) -> bytes:
         """The ids of a part of a word that the tokenizer never merges with its neighbours."""
-        w = piece.encode()
-        ids = self.known.get(w)
+        w = part.encode()
+        ids = self.young.get(w) or self.old.get(w)
         if ids is None:
-            ids = self.known[w] = self._model_ids(piece)
+            ids = self.young[w] = self._model_ids(part if part.isascii() else w.decode("latin-1").translate(_LETTER))
         return ids
 
-    def _encode_line(self, words: list[tuple[bytes, str]]) -> None:
-        """Encode words of letters and digits as one text, and cut its ids where the words end."""
-        e = self.tokenizer.encode(" ".join(t for _, t in words), add_special_tokens=False)
-        starts = np.array([o[0] for o in e.offsets], dtype=np.int64)
-        cut = np.searchsorted(starts, np.cumsum([len(t) + 1 for _, t in words])).tolist()
-        ids, at = np.array(e.ids, dtype="<u4").tobytes(), 0
-        for (w, _), to in zip(words, cut):
-            self.known[w] = ids[4 * at:4 * to]
-            at = to
-
-    def ids(self, words: list[bytes]) -> bytes:
-        """The ids of the words of a text, little-endian, four bytes each."""
-        return b"".join(map(self.known.__getitem__, words))
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a line, and where each text begins in them (with the end)."""
+        words = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string()).fill_null("")))
+        coded = words.flatten().dictionary_encode()
+        ids = self.words(coded.dictionary.cast(pa.binary()).to_pylist())
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")
+        length = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        which = coded.indices.to_numpy()
+        n = length[which]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        shift = (np.cumsum(length) - length)[which] - ends[:-1]  # from a word's place in the line to that in ``flat``
+        line = flat[np.arange(ends[-1]) + np.repeat(shift, n)]
+        return line, ends[words.offsets.to_numpy() - words.offsets[0].as_py()]
 
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -142,17 +134,16 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, most: int, end_id: int
     for batch in batches:
         doc, piece, start, length, crc = [], [], [], [], []
         for part in slices(batch, batch.schema.names[1], _BYTES):
-            lines = [(t or "").encode().lower().split() for t in part.column(1).to_pylist()]
-            ids_of.learn(set().union(*lines))
-            for d, words in zip(part.column(0).to_pylist(), lines):
-                ids = ids_of.ids(words) + end
-                for k, at in enumerate(range(0, len(ids), 4 * most)):
-                    part = ids[at:at + 4 * most]
+            line, at = ids_of.texts(part.column(1))
+            for k, d in enumerate(part.column(0).to_pylist()):
+                ids = line[at[k]:at[k + 1]].tobytes() + end
+                for j, first in enumerate(range(0, len(ids), 4 * most)):
+                    cut = ids[first:first + 4 * most]
                     doc.append(d)
-                    piece.append(k)
-                    start.append(at // 4)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
+                    piece.append(j)
+                    start.append(first // 4)
+                    length.append(len(cut) // 4)
+                    crc.append(zlib.crc32(cut))
         yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip((doc, piece, start, length, crc), PIECES)],
                                          schema=PIECES)
 
