@@ -1,11 +1,14 @@
 """Joins on ``%`` patterns that are data: literal keys cut the candidates before ``like``.
 
-Every pattern has one key, taken from its longest usable literal: the text before the first
-wildcard, else the text after the last one, else up to three letters of its longest inner
-literal, else nothing (a pattern of wildcards alone, which a text of the right length matches
-anyway). A text has the keys of the shapes (kind and length) that some pattern has, so it makes
-at most (kinds * length of the longest pattern) keys whatever the number of patterns, and
-text and pattern meet in an equi-join. ``like`` then decides.
+Every distinct pattern has some keys that a text it matches must have: the text before its first
+wildcard, the text after the last one, and every stretch of up to four characters of the
+literals between them; a pattern of wildcards alone has the empty key, which a text of the right
+length matches anyway. The pattern is looked up by the one of them that the fewest texts have,
+counted over all texts, so a literal that every text has (a common prefix) never pairs every
+text with every pattern. A text has the keys of the shapes (kind and length) that some pattern
+has, so it makes at most (kinds * length of the longest pattern) keys for the ends and four per
+character, whatever the number of patterns, and text and pattern meet in an equi-join. ``like``
+then decides, once per distinct pattern; the rows of a pattern are joined to the pairs found.
 
 Up to ``broadcast_patterns`` patterns are broadcast (proved by a bounded count); more are dealt
 ``salts`` times and a text meets the copy of its own salt, so a key that very many texts have
@@ -20,19 +23,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_GRAM = 3
+from payflux.session import cut_lineage
 
+_GRAM = 4
 
-def _keyed(patterns: DataFrame) -> DataFrame:
-    """The patterns with their key: ``kind`` (p, s, g or a), ``len`` and ``key``."""
+
+def _candidate_keys(patterns: DataFrame) -> DataFrame:
+    """The distinct patterns with each key (``kind``: p, s, g or a, ``len`` and ``key``) that can find them."""
     parts = F.split("pattern", "[%_]+")
     head, tail = F.element_at(parts, 1), F.element_at(parts, -1)
-    inner = F.aggregate(parts, F.lit(""), lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best))
-    kind = (F.when(F.length(head) > 0, F.lit("p")).when(F.length(tail) > 0, F.lit("s"))
-            .when(F.length(inner) > 0, F.lit("g")).otherwise(F.lit("a")))
-    key = F.when(kind == "p", head).when(kind == "s", tail).when(kind == "g", F.left(inner, F.lit(_GRAM))).otherwise(F.lit(""))
-    return (patterns.where("pattern is not null").withColumn("kind", kind).withColumn("key", key)
-            .withColumn("len", F.length("key")))
+    one = lambda kind, key: F.struct(F.lit(kind).alias("kind"), F.length(key).alias("len"), key.alias("key"))
+    n_inner = F.greatest(F.size(parts) - 2, F.lit(0))
+    inner = F.filter(F.slice(parts, F.lit(2), n_inner), lambda x: F.length(x) > 0)
+    grams = F.flatten(F.transform(inner, lambda x: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length(x) - _GRAM + 1, F.lit(1))), lambda i: one("g", F.substr(x, i, F.lit(_GRAM))))))
+    ends = F.filter(F.array(one("p", head), one("s", tail)), lambda k: k["len"] > 0)
+    keys = F.array_distinct(F.concat(ends, grams))
+    return (patterns.select("pattern").where("pattern is not null").distinct()
+            .select("pattern", F.explode(F.when(F.size(keys) > 0, keys).otherwise(F.array(one("a", F.lit(""))))).alias("k"))
+            .select("pattern", "k.*"))
 
 
 def _keys_of(text: Column, kind: str, n: int) -> Column:
@@ -51,17 +60,28 @@ def pattern_join(texts: DataFrame, patterns: DataFrame, text: str, pattern: str,
                  broadcast_patterns: int = 100_000, salts: int = 32) -> DataFrame:
     """Every pair of a row of ``texts`` and a row of ``patterns`` with ``text LIKE pattern``: the columns of both."""
     left = texts.select(F.struct("*").alias("t"), F.col(text).alias("text")).where("text is not null")
-    known = _keyed(patterns.select(F.struct("*").alias("p"), F.col(pattern).alias("pattern")))
-    shapes = sorted((r["kind"], r["len"]) for r in known.select("kind", "len").distinct().collect())
+    rows = patterns.select(F.struct("*").alias("p"), F.col(pattern).alias("pattern")).where("pattern is not null")
+    few = rows.limit(broadcast_patterns + 1).count() <= broadcast_patterns
+    can = _candidate_keys(rows)
+    shapes = sorted((r["kind"], r["len"]) for r in can.select("kind", "len").distinct().collect())
     tagged = lambda kind, n: lambda k: F.struct(F.lit(kind).alias("kind"), F.lit(n).alias("len"), k.alias("key"))
     keys = F.concat(*[F.transform(_keys_of(F.col("text"), kind, n), tagged(kind, n)) for kind, n in shapes or [("a", 0)]])
-    probes = left.select("t", "text", F.explode(keys).alias("probe")).select("t", "text", "probe.*")
     on = ["kind", "len", "key"]
-    if known.limit(broadcast_patterns + 1).count() <= broadcast_patterns:
-        met = probes.join(F.broadcast(known), on)
-    else:
-        met = (probes.withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(salts)).cast("int"))
-               .join(known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), [*on, "salt"]))
+    # how many texts have a key: of those, the pattern takes the key that the fewest have
+    probed = left.select(F.explode(keys).alias("probe")).select("probe.*")
+    if can.limit(10 * broadcast_patterns + 1).count() <= 10 * broadcast_patterns:
+        probed = probed.join(F.broadcast(can.select(*on).distinct()), on, "left_semi")
+    seen = probed.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
+    known = cut_lineage(can.join(seen, on, "left").groupBy("pattern")
+                        .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), *on)).alias("k"))
+                        .where("k.n > 0").select("pattern", *[F.col(f"k.{c}").alias(c) for c in on]))
+    probes = left.select("t", "text", F.explode(keys).alias("probe")).select("t", "text", "probe.*")
     # no escape character: a backslash of the pattern stands for itself
     like = F.expr(r"text like replace(pattern, r'\', r'\\')")
-    return met.where(like).select("t.*", "p.*")
+    if few:
+        met = probes.join(F.broadcast(known), on).where(like).join(F.broadcast(rows), "pattern")
+    else:
+        dealt = lambda df: df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        met = (probes.withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(salts)).cast("int"))
+               .join(dealt(known), [*on, "salt"]).where(like).join(dealt(rows), ["pattern", "salt"]))
+    return met.select("t.*", "p.*")

@@ -200,6 +200,20 @@ def test_pattern_join(spark, bound):
     assert patterns.pattern_join(left, right.limit(0), "name", "pattern").count() == 0
 
 
+def test_pattern_join_of_common_literals(spark):
+    # every text has the start and "#000": a pattern must be found by a key that few texts have
+    texts = spark.range(400).select(F.col("id").alias("i"), F.format_string("Customer#%09d", "id").alias("name"))
+    pats = (spark.range(300).select(F.col("id").alias("j"), F.format_string("Customer#%%000%03d", "id").alias("pattern"))
+            .unionByName(spark.range(300).select((F.col("id") + 300).alias("j"), F.format_string("%%#000%03d___%%", F.col("id") % 3).alias("pattern"))))
+    for bound in (1000, 0):
+        met = patterns.pattern_join(texts, pats, "name", "pattern", broadcast_patterns=bound)
+        got = sorted((r.i, r.j) for r in met.select("i", "j").collect())
+        assert got == sorted((i, j) for i in range(400) for j in range(600)
+                             if like(f"Customer#{i:09d}", f"Customer#%000{j:03d}" if j < 300 else f"%#000{(j - 300) % 3:03d}___%"))
+    known = patterns._candidate_keys(pats.where("j < 300"))
+    assert known.where("kind = 's'").select("key").distinct().count() == 300  # the end, which few texts have, is a key too
+
+
 # ---- keyed state, counts, totals on streams
 
 def in_files(df, order, parts, path, spark):
