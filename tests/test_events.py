@@ -241,6 +241,20 @@ def test_keyed_ttl_equals_batch_and_forgets(spark, tmp_path):
     assert sorted(map(tuple, spark.read.schema(df.schema).parquet(f"{tmp_path}/out").collect())) == got
 
 
+def test_keyed_ttl_of_buckets(spark, tmp_path):
+    rnd = random.Random(9)
+    rows = [(rnd.choice([None, *range(30)]), a, 1000 * rnd.randrange(1, 60)) for a in range(200)]
+    rows += [(7, 200 + a, None) for a in range(3)] + [(50, 203, None), (50, 204, 9000), (51, None, 8000), (52, 1, 8000)]
+    df = spark.createDataFrame(rows, "_txnID bigint, attempt bigint, timestamp bigint")
+    src = in_files(df, ["timestamp", "attempt"], 3, f"{tmp_path}/in", spark)
+    q = drained(start_keyed_ttl(src, f"{tmp_path}/out", f"{tmp_path}/c", ttl_ms=5000, buckets=3))
+    got = spark.read.schema(df.schema).parquet(f"{tmp_path}/out").collect()
+    order = lambda r: [(x is not None, x) for x in r]
+    want = dedup_ttl(df, "_txnID", "timestamp", "attempt", 5000).select(*df.columns).collect()
+    assert sorted(map(tuple, got), key=order) == sorted(map(tuple, want), key=order)
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 3 * 3  # a value and a timer per bucket, not per key
+
+
 def test_running_count_stream_has_no_gap(spark, tmp_path):
     df = spark.createDataFrame([(i, 1000 * (i // 3)) for i in range(50)], "c bigint, t bigint")
     src = in_files(df, ["t", "c"], 4, f"{tmp_path}/in", spark)
