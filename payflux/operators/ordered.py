@@ -264,7 +264,10 @@ def ttl_first_seen(rows: DataFrame, key: str = "_txnID", ts: str = "timestamp",
 
     # rows with their copies bound the distinct rows from above: counting them needs the key alone
     small, large = split_hot_keys(rows, key, group_rows)
-    out = _fold_ttl(ordered(small), key, ts, out_cols, ttl_ms)
+    # dealt by key before copies are collapsed: a map task builds no table of all the rows it reads. A number of
+    # partitions of its own is neither merged with a join's below nor joined into fewer, larger ones
+    dealt = small.repartition(_segments(small, None) + 1, F.col(key))
+    out = _fold_ttl(ordered(dealt), key, ts, out_cols, ttl_ms)
     if large is not None:
         out = out.unionByName(_ttl_doubling(ordered(large), key, ts, out_cols, ttl_ms))
     return out

@@ -184,3 +184,16 @@ def test_rows_without_id_all_pass_durable_dedup(spark):
     done = spark.createDataFrame([(6,)], "_txnID bigint")
     got = sorted((r["_txnID"] or 0, r["timestamp"], r["v"]) for r in dedup_durable(df, done).collect())
     assert got == [(0, 1, "x")] * 3 + [(0, 2, "y"), (5, 1, "a")]
+
+
+def test_ttl_fold_deals_rows_by_key_first(spark):
+    """Copies are collapsed after the rows are dealt by key: one exchange, no table of rows on the map side."""
+    from payflux.operators.dedup import dedup_ttl
+
+    rows = [(k % 5 or None, a % 7, 1000 * (a % 7), 1.0) for k in range(10) for a in range(14)]
+    df = spark.createDataFrame(rows, "_txnID bigint, attempt bigint, timestamp bigint, amount double")
+    got = dedup_ttl(df, ttl_ms=3000, with_flag=True)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    want = {(k, a): a % 3 == 0 for k in (None, 1, 2, 3, 4) for a in range(7)}
+    assert {(r._txnID, r.attempt): r.kept for r in got.collect()} == want
+    assert {r.copies for r in got.collect()} == {4} and got.count() == len(want)
