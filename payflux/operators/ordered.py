@@ -290,11 +290,11 @@ def _fold_ttl(rows: DataFrame, key: str, ts: str, cols: list[str], ttl_ms: int)
 
 
 def ttl_successors(nodes: DataFrame, key: str, ttl_ms: int, segments: int | None = None) -> DataFrame:
-    """For every row ``(key, _id, _ord, _t)``: ``_nxt`` = id of the first row of
-    the same key (in ``_ord`` order) with ``_t >= own _t + ttl``, or NULL.
+    """For every row ``(key, _id, _t)``, ``_id`` a number in the key's order: ``_nxt`` = id of the
+    first row of the same key with ``_t >= own _t + ttl``, or NULL.
 
     An as-of lookup: every row is a target at ``_t`` and a probe at
-    ``_t + ttl``; in ``(key, time, probe-before-target, _ord)`` order the answer
+    ``_t + ttl``; in ``(key, time, probe-before-target, _id)`` order the answer
     is the next target after the probe. Targets and probes are range
     partitioned on that order; inside a segment a window partitioned by
     ``(key, segment)`` finds the next target, and a probe with none left in
@@ -302,66 +302,86 @@ def ttl_successors(nodes: DataFrame, key: str, ttl_ms: int, segments: int | None
     (a running window over the small per-segment table). No window spans a
     whole key or a whole time bucket.
     """
-    id_t = nodes.schema["_id"].dataType
-    ord_t = nodes.schema["_ord"].dataType
-    targets = nodes.select(key, F.col("_t").alias("_time"), F.lit(1).alias("_kind"),
-                           F.col("_ord").alias("_o"), F.col("_id").alias("_tgt"),
-                           F.lit(None).cast(id_t).alias("_src"))
-    probes = nodes.select(key, (F.col("_t") + F.lit(ttl_ms)).alias("_time"), F.lit(0).alias("_kind"),
-                          F.lit(None).cast(ord_t).alias("_o"), F.lit(None).cast(id_t).alias("_tgt"),
-                          F.col("_id").alias("_src"))
-    order = [F.col("_time"), F.col("_kind"), F.col("_o")]
-    seg = range_segments(targets.unionByName(probes), key, order, segments)
+    order = [F.col("_time"), F.col("_kind"), F.col("_id")]
+    seg = range_segments(_targets_and_probes(nodes, key, ttl_ms), key, order, segments)
     # descending running frame (linear): the last target seen before a probe
     # is the smallest target at or after it
     w = (Window.partitionBy(key, "_seg").orderBy(*[c.desc() for c in order])
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inseg = (seg.withColumn("_in", F.last("_tgt", ignorenulls=True).over(w))
+    inseg = (seg.withColumn("_in", F.last(_target(), ignorenulls=True).over(w))
              .filter(F.col("_kind") == 0)
-             .select(key, F.col("_src").alias("_id"), "_seg", "_in"))
+             .select(key, "_id", "_seg", "_in"))
     # probes with no target left in their segment take the first target of the
     # key's next segment that has one: a running window over the small
     # per-segment table (one row per key and segment)
     firsts = (seg.filter(F.col("_kind") == 1).groupBy(key, "_seg")
-              .agg(F.min(F.struct(F.col("_time"), F.col("_o"), F.col("_tgt"))).alias("_f"))
-              .select(key, "_seg", F.lit(0).alias("_kind"), F.col("_f._tgt").alias("_v")))
+              .agg(F.min(F.struct(F.col("_time"), F.col("_id"))).alias("_f"))
+              .select(key, "_seg", F.lit(0).alias("_kind"), F.col("_f._id").alias("_v")))
     asks = (inseg.filter(F.col("_in").isNull()).select(key, "_seg").distinct()
-            .select(key, "_seg", F.lit(1).alias("_kind"), F.lit(None).cast(id_t).alias("_v")))
+            .select(key, "_seg", F.lit(1).alias("_kind"), F.lit(None).cast("bigint").alias("_v")))
     w2 = (Window.partitionBy(key).orderBy(F.col("_seg").desc(), F.col("_kind").desc())
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     fallback = (firsts.unionByName(asks)
                 .withColumn("_fb", F.last("_v", ignorenulls=True).over(w2))
                 .filter(F.col("_kind") == 1).select(key, "_seg", "_fb"))
-    return (inseg.join(fallback, [key, "_seg"], "left")
-            .select(key, "_id", F.coalesce("_in", "_fb").alias("_nxt")))
+    fallback = fallback.select(F.col(key).alias("_fk"), F.col("_seg").alias("_fseg"), "_fb")
+    return (inseg.join(fallback, F.col(key).eqNullSafe(F.col("_fk")) & (F.col("_seg") == F.col("_fseg")), "left")
+            .select("_id", F.coalesce("_in", "_fb").alias("_nxt")))
+
+
+def _targets_and_probes(nodes: DataFrame, key: str, ttl_ms: int) -> DataFrame:
+    """Every row twice: as a target (``_kind`` 1) at its time and as a probe (0) at the end of its TTL."""
+    two = F.array(F.struct(F.col("_t").alias("_time"), F.lit(1).cast("tinyint").alias("_kind")),
+                  F.struct((F.col("_t") + F.lit(ttl_ms)).alias("_time"), F.lit(0).cast("tinyint").alias("_kind")))
+    return nodes.select(key, "_id", F.explode(two).alias("_x")).select(key, "_x._time", "_x._kind", "_id")
+
+
+def _target() -> Column:
+    return F.when(F.col("_kind") == 1, F.col("_id"))
+
+
+def _spanning_keys(rows: DataFrame, key: str) -> DataFrame:
+    """The keys (``_sk``) whose rows lie in more than one segment: at most one per border of two segments."""
+    edges = rows.groupBy("_seg").agg(F.min_by(F.struct(key), "_id").alias("_first"), F.max_by(F.struct(key), "_id").alias("_last"))
+    w = Window.orderBy("_seg")  # one row per segment
+    return (edges.withColumn("_prev", F.lag("_last").over(w)).filter(F.col("_prev").isNotNull() & F.col("_prev").eqNullSafe(F.col("_first")))
+            .select(F.col("_first")[key].alias("_sk")).distinct())
 
 
 def _ttl_doubling(large: DataFrame, key: str, ts: str, cols: list[str], ttl_ms: int) -> DataFrame:
     """Hot keys: the kept rows are the successor chain from the key's first row.
 
-    The chain is marked by pointer doubling: ``M`` starts as the first rows,
-    ``J`` as the successor links; each round adds ``J(M)`` to ``M`` and squares
-    ``J``, so a chain of length L is marked in about log2(L) rounds. All joins
-    are on row ids (unique), so a hot key is spread evenly over tasks.
+    The rows are sorted by ``(key, _ord)`` over range segments once and numbered in that
+    order; every later step moves numbers only. The chain is marked by pointer doubling:
+    ``M`` starts as the first rows, ``J`` as the successor links; each round adds ``J(M)`` to
+    ``M`` and squares ``J`` (a row without successor leaves it), so a chain of length L is
+    marked in about log2(L) rounds. All joins are on row numbers (unique), so a hot key is
+    spread evenly over tasks. Successors of keys that lie in one segment are found in a
+    window per key, those of the few other keys in range segments (``ttl_successors``).
     """
-    # a NULL key is a key like any other: joins use its JSON form, which is never NULL
-    cols, key_col, key = list(cols), F.to_json(F.struct(F.col(key).alias("k"))), "_jk"
-    large = large.withColumn(key, key_col)
-    nodes = large.select(key, "_ord", F.to_json("_ord").alias("_id"), F.col(ts).alias("_t"))
-    jump = cut_lineage(ttl_successors(nodes, key, ttl_ms))
-    marked = cut_lineage(nodes.groupBy(key).agg(F.min(F.struct(F.col("_ord"), F.col("_id"))).alias("_r"))
-                         .select(key, F.col("_r._id").alias("_id")))
+    n = _segments(large, None)
+    rows = cut_lineage(large.repartitionByRange(n, F.col(key), F.col("_ord")).sortWithinPartitions(key, "_ord")
+                       .select(*cols, F.spark_partition_id().alias("_seg"), F.monotonically_increasing_id().alias("_id")))
+    spanning = cut_lineage(_spanning_keys(rows, key))
+    cond = F.col(key).eqNullSafe(F.col("_sk"))
+    nodes = rows.select(key, "_id", F.col(ts).alias("_t"))
+    within, across = (nodes.join(F.broadcast(spanning), cond, how) for how in ("left_anti", "left_semi"))
+    w = (Window.partitionBy(key).orderBy(F.desc("_time"), F.desc("_kind"), F.desc("_id"))
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    jump = (_targets_and_probes(within, key, ttl_ms).withColumn("_nxt", F.last(_target(), ignorenulls=True).over(w))
+            .filter(F.col("_kind") == 0).select("_id", "_nxt"))
+    if not spanning.isEmpty():
+        jump = jump.unionByName(ttl_successors(across, key, ttl_ms))
+    jump = cut_lineage(jump.filter(F.col("_nxt").isNotNull()))
+    marked = cut_lineage(rows.groupBy(key).agg(F.min("_id").alias("_id")).select("_id"))
     while True:
-        step = (marked.join(jump, [key, "_id"])
-                .filter(F.col("_nxt").isNotNull()).select(key, F.col("_nxt").alias("_id")))
-        new = step.join(marked, [key, "_id"], "left_anti")
+        step = marked.join(jump, "_id").select(F.col("_nxt").alias("_id"))
+        new = cut_lineage(step.join(marked, "_id", "left_anti"))
         if new.isEmpty():
             break
-        marked = cut_lineage(marked.unionByName(new))
+        marked = marked.unionByName(new)
         a, b2 = jump.alias("a"), jump.alias("b")
-        jump = cut_lineage(
-            a.join(b2, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a._nxt") == F.col("b._id")), "left")
-             .select(F.col(f"a.{key}").alias(key), F.col("a._id").alias("_id"), F.col("b._nxt").alias("_nxt")))
-    flagged = large.withColumn("_id", F.to_json("_ord")).join(
-        marked.withColumn("_m", F.lit(True)), [key, "_id"], "left")
+        jump = cut_lineage(a.join(b2, F.col("a._nxt") == F.col("b._id"))
+                           .select(F.col("a._id").alias("_id"), F.col("b._nxt").alias("_nxt")))
+    flagged = rows.join(marked.withColumn("_m", F.lit(True)), "_id", "left")
     return flagged.select(*cols, F.coalesce(F.col("_m"), F.lit(False)).alias("kept"))

@@ -197,3 +197,19 @@ def test_ttl_fold_deals_rows_by_key_first(spark):
     want = {(k, a): a % 3 == 0 for k in (None, 1, 2, 3, 4) for a in range(7)}
     assert {(r._txnID, r.attempt): r.kept for r in got.collect()} == want
     assert {r.copies for r in got.collect()} == {4} and got.count() == len(want)
+
+
+def test_ttl_successors_take_numbers(spark):
+    """Successors need a key, a number in its order and a time; NULL is a key like any other."""
+    from payflux.operators.ordered import _spanning_keys, range_segments, ttl_successors
+
+    rows = [(None if i % 3 == 0 else i % 3, i, 1000 * (i // 3)) for i in range(90)]
+    nodes = spark.createDataFrame(rows, "k bigint, _id bigint, _t bigint")
+    want = {i: (i + 15 if i + 15 < 90 else None) for i in range(90)}
+    for n in (1, 4, 40):
+        assert {r._id: r._nxt for r in ttl_successors(nodes, "k", 5000, n).collect()} == want
+    ordered = spark.createDataFrame([(r[0], j, r[2]) for j, r in enumerate(sorted(rows, key=lambda r: (r[0] or 0, r[1])))], nodes.schema)
+    assert _spanning_keys(range_segments(ordered, "k", ["_id"], 1), "k").isEmpty()
+    segs = range_segments(ordered, "k", ["_id"], 7)
+    want_keys = {r.k for r in segs.groupBy("k").agg({"_seg": "max"}).collect() if segs.where(segs.k.eqNullSafe(r.k)).select("_seg").distinct().count() > 1}
+    assert {r._sk for r in _spanning_keys(segs, "k").collect()} == want_keys and None in want_keys
