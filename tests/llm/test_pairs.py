@@ -267,6 +267,22 @@ def test_lines_of_rows_that_share_an_id(spark):
                    "e": ("wholly unlike it\nsecond text here", 2, 0), "f": ("and more", 2, 1)}
 
 
+@pytest.mark.parametrize("crowd", [16, 1000])
+def test_lines_of_a_family_cost_its_size(spark, monkeypatch, crowd):
+    """A line is verified with few of its family, whether its keys are crowded or not; all the family is one group."""
+    verified, seen = line_dedup._verified, []
+    monkeypatch.setattr(line_dedup, "_verified", lambda pairs, *a: (seen.append(pairs.count()), verified(pairs, *a))[1])
+    monkeypatch.setattr(line_dedup, "CROWD", crowd)
+    monkeypatch.setattr(line_dedup, "_OF", 1)
+    monkeypatch.setattr(line_dedup, "_KEYS_AT_ONCE", 16)
+    monkeypatch.setattr(line_dedup, "scheme", lambda *a: (2, 16, 1))
+    words = [f"w{i * 7919 % 10007}x" for i in range(60)]
+    rows = [(i, " ".join([*words[:i % 60], f"other{i}", *words[i % 60 + 1:]])) for i in range(90)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert [r.doc_id for r in got if not r.n_removed] == [0]
+    assert sum(seen) <= 4 * len(rows)  # all pairs are 4005
+
+
 def test_lines_empty(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], DOCS)).count() == 0
 
