@@ -15,8 +15,13 @@ rows and list lengths above it. Candidates pass size and position bounds and are
 then verified on whole sets, so the links are exact and the sketch affects cost only.
 
 Inside a list the members are compared with one leader first; only members that
-components do not join yet are compared among each other afterwards. A group of
-copies thus costs its size, and no link between components is lost.
+components do not join yet are compared among each other afterwards, and only rows of
+lists that some other pair may need are kept for that. A group of copies thus costs its
+size, and no link between components is lost.
+
+Pairs are first judged by bitmaps of both sets: a bit that only one of them has stands for
+a member that only this one has, which bounds what they share. Only the documents of the
+pairs left are read again; they are found by a bitmap of their ids, so no text is shuffled.
 
 Defined results: a null or empty text has the empty set and links with nothing;
 a null id gives a row with null component; rows that repeat an id are one
@@ -33,7 +38,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payflux.llm.common import connected_components, doc_words, mix, slices, stored
@@ -43,6 +48,12 @@ from payflux.llm.substring import run_hashes
 SKETCH_BITS = 24
 #: Largest light set that the boundary search considers.
 LIGHT_MOST = 400
+#: Bits of a set's bitmap.
+MARKS = 1024
+#: Bits of the bitmap of ids (as a power of two): 8 MB, whatever the input.
+ID_BITS = 26
+#: Lists up to this length are judged pair by pair before their rows are kept.
+SHORT = 16
 
 
 def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,9 +148,13 @@ def _signatures(batches: Iterator[pa.RecordBatch], width: int, num: int, den: in
                 level = (part >> np.uint64(56)).astype(np.float64)
                 extra.append(int(np.maximum(np.exp2(level / 16) - np.exp2(noise / 16), 0).sum()))
             s1, s2 = (s[cut[1:]] - s[cut[:-1]] for s in sums)
+            marks = np.zeros((b.num_rows, MARKS), dtype=bool)
+            marks[np.repeat(np.arange(b.num_rows), n), (h % np.uint64(MARKS)).astype(np.int64)] = True
+            marks = np.packbits(marks, axis=1)
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array(n.astype(np.int32)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
-                 pa.array(extra, pa.int64()), pa.array(fronts, pa.binary())], names=["id", "n", "s1", "s2", "extra", "front"])
+                 pa.array(extra, pa.int64()), pa.array(fronts, pa.binary()), pa.array([m.tobytes() for m in marks], pa.binary())],
+                names=["id", "n", "s1", "s2", "extra", "front", "marks"])
 
 
 def boundary(histogram: list[tuple[int, int, int]], num: int, den: int) -> int:
@@ -233,11 +248,28 @@ def _bounded(x: dict, y: dict, num: int, den: int, light: int) -> np.ndarray:
     return possible(x, y, num, den) & ~both_light
 
 
+def _wanted(x: dict, other: np.ndarray, starts: np.ndarray, size: np.ndarray, num: int, den: int, light: int) -> np.ndarray:
+    """Rows of whole lists that may link with another row than that at ``other``, the first of their band."""
+    group = np.repeat(np.arange(len(starts)), size)
+    out = np.zeros(len(group), dtype=bool)
+    i, gap = np.flatnonzero(np.repeat((size > 1) & (size <= SHORT), size)), 0
+    while len(i):
+        gap += 1
+        i = i[i >= gap]
+        i = i[group[i] == group[i - gap]]
+        j = i - gap
+        ok = (other[i] != j) & _bounded({n: v[i] for n, v in x.items()}, {n: v[j] for n, v in x.items()}, num, den, light)
+        out[i[ok]] = out[j[ok]] = True
+    return out
+
+
 def _stars(batches: Iterator[pa.RecordBatch], num: int, den: int, light: int) -> Iterator[pa.RecordBatch]:
-    """Rows of lists with two members and more, each with a ``mate`` to verify (itself: none).
+    """Rows of lists with a ``mate`` to verify (itself: none), and whether they may link with other rows (``more``).
 
     The mate is the first row of the list's size band. Rows come sorted by list and
     ``ord``; between batches one row is kept, the first of the open list's last band.
+    Short lists inside a batch are judged pair by pair, and rows without use left out;
+    all rows of other lists with two members and more are kept.
     """
     names = ["key", "kind", "ord", "id", "n", "pos"]
     types = (pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
@@ -256,9 +288,15 @@ def _stars(batches: Iterator[pa.RecordBatch], num: int, den: int, light: int) ->
         heads = np.flatnonzero(opens)
         other = heads[np.cumsum(opens) - 1]
         ok = (np.arange(len(sent)) != other) & _bounded(x, {n: v[other] for n, v in x.items()}, num, den, light)
-        keep = np.repeat(size > 1, size) & ~sent
+        whole = size <= SHORT
+        whole[-1] = False
+        if len(held["key"]):
+            whole[0] = False
+        more = np.repeat(~whole, size) | _wanted(x, other, starts, size, num, den, light)
+        keep = np.repeat(size > 1, size) & ~sent & (ok | more)
         yield pa.RecordBatch.from_arrays([*[pa.array(x[n][keep], t) for n, t in zip(names, types)],
-                                          pa.array(np.where(ok, x["id"][other], x["id"])[keep])], names=[*names, "mate"])
+                                          pa.array(np.where(ok, x["id"][other], x["id"])[keep]), pa.array(more[keep])],
+                                         names=[*names, "mate", "more"])
         held_sent = bool(size[-1] > 1)
         held = {n: v[heads[-1:]] for n, v in x.items()}
 
@@ -298,14 +336,29 @@ def _cross(batches: Iterator[pa.RecordBatch], num: int, den: int, light: int) ->
 
 # ---- verification
 
-def _set_rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _set_rows(batches: Iterator[pa.RecordBatch], width: int, wanted) -> Iterator[pa.RecordBatch]:
+    """The sets of the rows whose bit is set among the wanted ids."""
     for whole in batches:
+        at = whole.column("at").to_numpy()
+        whole = whole.filter(pa.array((wanted.value[at >> 6] >> (at & 63)) & 1 == 1))
         for b in slices(whole, "text"):
             h, cut = shingle_sets(b.column("text"), width)
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([h[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])], pa.binary())],
                                              names=["id", "members"])
 
 
+def _hopeful(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """The pairs whose sets may share enough: a bit that one set alone has stands for a member that it alone has."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        p, q = (np.frombuffer(b"".join(b.column(c).to_pylist()), dtype=np.uint64).reshape(b.num_rows, -1) for c in ("x", "y"))
+        n, m = (b.column(c).to_numpy().astype(np.int64) for c in ("n", "m"))
+        most = np.minimum(n - np.bitwise_count(p & ~q).sum(axis=1, dtype=np.int64), m - np.bitwise_count(q & ~p).sum(axis=1, dtype=np.int64))
+        keep = pa.array(most >= _need(n, m, num, den))
+        yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
+
+
 def _verified(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ok = []
@@ -326,10 +379,37 @@ def links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             .mapInArrow(partial(_verified, num=num, den=den), "a bigint, b bigint"))
 
 
+def _place(bits: int) -> Column:
+    """The bit of an id in a bitmap."""
+    return F.shiftrightunsigned(F.xxhash64("id"), 64 - bits)
+
+
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+
+
+def bitmap(ids: DataFrame, bits: int = ID_BITS) -> np.ndarray:
+    """The bits of all ids, as longs: of a fixed size, whatever the input; others may share a bit."""
+    words = (ids.select(_place(bits).alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).toArrow())
+    out = np.zeros(1 << (bits - 6), dtype=np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out
+
+
+def hopeful(pairs: DataFrame, sig: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that the bitmaps of their sets leave."""
+    marks = sig.where("n >= 2").select("id", "n", "marks")
+    return stored(pairs.join(marks.select(F.col("id").alias("a"), "n", F.col("marks").alias("x")), "a")
+                  .join(marks.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("marks").alias("y")), "b")
+                  .mapInArrow(partial(_hopeful, num=num, den=den), "a bigint, b bigint").distinct(), "jaccard-pairs")
+
+
 def _members(named: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """The whole sets of the documents in the pairs."""
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    return stored(named.join(ids, "id", "left_semi").mapInArrow(partial(_set_rows, width=width), "id bigint, members binary"), "jaccard-sets")
+    """The whole sets of the documents in the pairs (and of some others, whose ids share a bit)."""
+    wanted = named.sparkSession.sparkContext.broadcast(bitmap(_ids(pairs)))
+    rows = named.where("id is not null").select("id", "text", _place(ID_BITS).alias("at"))
+    return stored(rows.mapInArrow(partial(_set_rows, width=width, wanted=wanted), "id bigint, members binary"), "jaccard-sets")
 
 
 def clusters(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (80, 100), id_col: str = "doc_id",
@@ -340,7 +420,7 @@ def clusters(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (80,
     named = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     sketch = spark.sparkContext.broadcast(frequency_sketch(named, width))
     sig = stored(named.mapInArrow(partial(_signatures, width=width, num=num, den=den, bits=SKETCH_BITS, sketch=sketch),
-                                  "id bigint, n int, s1 bigint, s2 bigint, extra bigint, front binary"), "jaccard-signatures")
+                                  "id bigint, n int, s1 bigint, s2 bigint, extra bigint, front binary, marks binary"), "jaccard-signatures")
     classes = sig.where("n > 0 and id is not null").groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
 
     # representatives of classes whose size allows a link to a different set
@@ -349,21 +429,22 @@ def clusters(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (80,
                      .agg(F.count("*"), F.sum("extra")).collect()], num, den)
     listed = reps.select("id", "n", "front").mapInArrow(partial(_listed, light=light, num=num, den=den), LISTED)
     lists = stored(listed.repartition("key").sortWithinPartitions("key", "kind", "ord")
-                   .mapInArrow(partial(_stars, num=num, den=den, light=light), LISTED + ", mate bigint"), "jaccard-lists")
+                   .mapInArrow(partial(_stars, num=num, den=den, light=light), LISTED + ", mate bigint, more boolean"), "jaccard-lists")
     star = stored(lists.where("mate <> id").select(F.least("id", "mate").alias("a"), F.greatest("id", "mate").alias("b")).distinct(),
                   "jaccard-stars")
-    linked = stored(links(star, _members(named, star, width), num, den).distinct(), "jaccard-links")
+    near = hopeful(star, sig, num, den)
+    linked = stored(links(near, _members(named, near, width), num, den).distinct(), "jaccard-links")
     parts = connected_components(linked)
 
     # lists that components have not joined: all possible pairs across components
-    rest = (lists.select("key", "kind", "id", "n", "pos").join(parts, "id", "left")
+    rest = (lists.where("more").select("key", "kind", "id", "n", "pos").join(parts, "id", "left")
             .withColumn("comp", F.coalesce("component", "id")).drop("component"))
     mixed = rest.groupBy("key", "kind").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key", "kind")
     cross = (rest.join(mixed, ["key", "kind"]).repartition("key").sortWithinPartitions("key", "kind", "n", "id")
              .select("key", "kind", "id", "n", "pos", "comp")
              .mapInArrow(partial(_cross, num=num, den=den, light=light), "a bigint, b bigint").distinct()
              .join(star, ["a", "b"], "left_anti"))
-    cross = stored(cross, "jaccard-cross")
+    cross = hopeful(stored(cross, "jaccard-cross"), sig, num, den)
     more = stored(links(cross, _members(named, cross, width), num, den), "jaccard-more")
     parts = connected_components(linked.unionByName(more))
 

@@ -8,6 +8,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from payflux.llm import ann, common, embed_dedup, jaccard, line_dedup, substring
@@ -81,6 +82,72 @@ def test_jaccard_empty(spark):
     assert jaccard.clusters(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_jaccard_lists_keep_what_may_link():
+    """A list of two in one size band is left to its star pair; every other possible pair keeps both its rows."""
+    rnd = np.random.default_rng(5)
+    num, den, light = 80, 100, 0
+    rows, i = [], 0
+    for key in range(400):
+        for _ in range(rnd.integers(1, 30) if key % 40 == 0 else rnd.integers(1, 5)):
+            rows.append((key, 0, i, int(rnd.integers(40, 70)), int(rnd.integers(0, 12))))
+            i += 1
+    key, kind, ids, n, pos = (np.array(c) for c in zip(*rows))
+    ords = (np.floor(np.log(n) / np.log(den / num)).astype(np.int64) << 48) | (pos << 24) | ids
+    order = np.lexsort((ords, kind, key))
+    whole = pa.RecordBatch.from_arrays(
+        [pa.array(key[order]), pa.array(kind[order], pa.int8()), pa.array(ords[order]), pa.array(ids[order]), pa.array(n[order], pa.int32()),
+         pa.array(pos[order], pa.int32())], names=["key", "kind", "ord", "id", "n", "pos"])
+    got = [r for b in jaccard._stars((whole.slice(k, 64) for k in range(0, len(key), 64)), num, den, light) for r in b.to_pylist()]
+    star = {(r["key"], *sorted((r["id"], r["mate"]))) for r in got if r["mate"] != r["id"]}
+    more = {(r["key"], r["id"]) for r in got if r["more"]}
+    lists = {}
+    for r in whole.to_pylist():
+        lists.setdefault(r["key"], []).append(r)
+    possible = 0
+    for k, members in lists.items():
+        for a, b in combinations(members, 2):
+            x, y = ({c: np.array([r[c]]) for c in ("kind", "n", "pos", "id")} for r in (a, b))
+            if jaccard._bounded(x, y, num, den, light)[0]:
+                possible += 1
+                assert (k, *sorted((a["id"], b["id"]))) in star or {(k, a["id"]), (k, b["id"])} <= more
+    assert possible > 200 and len(more) < 0.75 * len(key)
+
+
+def test_jaccard_bitmaps_lose_no_link():
+    """The bound from bitmaps holds for every pair, and leaves out pairs that share little."""
+    rnd = np.random.default_rng(6)
+    pairs = []
+    for n in (2, 5, 40, 300, 3000):
+        for share in (0.1, 0.5, 0.85, 0.95, 1.0):
+            both = rnd.integers(0, 1 << 62, max(1, int(n * share)))
+            pairs.append([np.unique(np.concatenate([both, rnd.integers(0, 1 << 62, n - len(both))])) for _ in range(2)])
+
+    def marks(h):
+        bits = np.zeros(jaccard.MARKS, dtype=bool)
+        bits[h % jaccard.MARKS] = True
+        return np.packbits(bits).tobytes()
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(pairs)), pa.int64()), pa.array(range(len(pairs)), pa.int64()),
+                                        pa.array([len(x) for x, _ in pairs], pa.int32()), pa.array([len(y) for _, y in pairs], pa.int32()),
+                                        pa.array([marks(x) for x, _ in pairs]), pa.array([marks(y) for _, y in pairs])], names=["a", "b", "n", "m", "x", "y"])
+    left = set(next(jaccard._hopeful(iter([batch]), 80, 100)).column("a").to_pylist())
+    linked = {k for k, (x, y) in enumerate(pairs) if 100 * len(np.intersect1d(x, y)) >= 80 * len(np.union1d(x, y))}
+    assert linked and linked <= left and len(left) < len(pairs)
+
+
+def test_jaccard_reads_candidates_without_a_shuffle(spark):
+    """The texts of candidate pairs are found by a bitmap of ids of a fixed size."""
+    ids = spark.range(0, 4000, 7).select("id")
+    bits = jaccard.bitmap(ids)
+    assert bits.nbytes == 1 << (jaccard.ID_BITS - 3)
+    at = np.array([r.at for r in ids.select(jaccard._place(jaccard.ID_BITS).alias("at")).collect()])
+    assert ((bits[at >> 6] >> (at & 63)) & 1).all() and sum(int(x).bit_count() for x in np.unique(bits[at >> 6])) <= 64 * len(at)
+    named = spark.createDataFrame([(i, f"text of the document number {i}") for i in range(60)] + [(None, "none")], "id bigint, text string")
+    pairs = spark.createDataFrame([(0, 7), (7, 14)], "a bigint, b bigint")
+    got = {r.id for r in jaccard._members(named, pairs, 5).collect()}
+    assert {0, 7, 14} <= got and len(got) < 10
+
+
 def test_boundary_follows_cost():
     sets = [(n, 100, 0) for n in range(4, 60)]
     assert jaccard.boundary(sets, 80, 100) < 20  # lists that meet nothing are cheaper than subsets
