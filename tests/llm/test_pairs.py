@@ -148,6 +148,16 @@ def test_jaccard_reads_candidates_without_a_shuffle(spark):
     assert {0, 7, 14} <= got and len(got) < 10
 
 
+def test_components_leave_one_table(spark):
+    """Every round's table goes when the next one stands; chains, stars and rings have their smallest id."""
+    before = len(common.WRITTEN)
+    links = [(i, i + 1) for i in range(10, 60)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 202), (202, 200), (7, 7)] + [(300, 301)] * 3
+    got = {r.id: r.component for r in common.connected_components(spark.createDataFrame(links + [(None, 1)], "a bigint, b bigint")).collect()}
+    want = {i: 10 for i in range(10, 61)} | {i: 100 for i in range(100, 140)} | {i: 200 for i in (200, 201, 202)} | {300: 300, 301: 300}
+    assert got == want
+    assert len(common.WRITTEN) == before + 1
+
+
 def test_boundary_follows_cost():
     sets = [(n, 100, 0) for n in range(4, 60)]
     assert jaccard.boundary(sets, 80, 100) < 20  # lists that meet nothing are cheaper than subsets
