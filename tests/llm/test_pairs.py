@@ -360,6 +360,46 @@ def test_lines_of_a_family_cost_its_size(spark, monkeypatch, crowd):
     assert sum(seen) <= 4 * len(rows)  # all pairs are 4005
 
 
+def test_simhashes_of_many_features(spark):
+    """Bits that more than half of the features have, counted in groups of SimHashes and narrow or wide counters alike."""
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(3)
+    texts = [" ".join(f"{rnd.randrange(10**6):06d}" for _ in range(n)) for n in (1, 2, 3, 4, 7, 8, 40, 200)]
+    lines = spark.createDataFrame([(i, i, 0, t) for i, t in enumerate(texts)], "id bigint, row bigint, pos int, line string").coalesce(1)
+    named = lines.select("row", line_dedup.words_of("line").alias("words")).select("row", F.explode(line_dedup.features("words")).alias("f"))
+    hashes = named.select("row", *[F.xxhash64("f", F.lit(s)).alias(f"s{s + 1}") for s in range(5)]).collect()
+    want = {}
+    for row in range(len(texts)):
+        for s in range(1, 6):
+            mine = [r[f"s{s}"] for r in hashes if r.row == row]
+            bits = sum(1 << b for b in range(64) if sum(h >> b & 1 for h in mine) > len(mine) // 2)
+            want[row, s] = bits - (1 << 64) if bits >> 63 else bits
+    for count, lane in ((5, 16), (2, 32)):
+        got = {(r.row, s): r[f"s{s}"] for r in line_dedup._simhashes(lines, count, lane).collect() for s in range(1, count + 1)}
+        assert got == {k: v for k, v in want.items() if k[1] <= count}
+
+
+def test_simhash_counters_are_dealt_to_more_tasks_as_lines_grow(spark, monkeypatch):
+    rows = spark.createDataFrame([(0, 0, "some line of words")], "row bigint, id bigint, text string")
+    monkeypatch.setattr(line_dedup, "_COUNTERS", 10)
+    plan = line_dedup.simhashes(rows, 2, lines=10_000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [row" in plan and ", 2000" in plan
+
+
+def test_first_pairs_of_lines_are_made_in_parts(spark, monkeypatch):
+    """Leaders and the first keys are jobs of their own, so their shuffle files don't stand together."""
+    made, tables = [], []
+    first_met, parts = line_dedup._first_met, line_dedup.stored_parts
+    monkeypatch.setattr(line_dedup, "_first_met", lambda forms, keys, *a: (made.append(len(keys)), first_met(forms, keys, *a))[1])
+    monkeypatch.setattr(line_dedup, "stored_parts", lambda frames, name: (tables.append(len(frames)), parts(frames, name))[1])
+    monkeypatch.setattr(line_dedup, "scheme", lambda *a: (2, 4, 1))
+    rows = [(0, "a line of some words here\nwhat nobody else says"), (1, "a line of some words here\nthird")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert made == [2, 2] and tables == [3, 2]
+    assert sorted((r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()) == [(0, rows[0][1], 2, 0), (1, "third", 2, 1)]
+
+
 def test_lines_empty(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], DOCS)).count() == 0
 
