@@ -388,7 +388,7 @@ def test_simhash_counters_are_dealt_to_more_tasks_as_lines_grow(spark, monkeypat
 
 
 def test_first_pairs_of_lines_are_made_in_parts(spark, monkeypatch):
-    """Leaders and the first keys are jobs of their own, so their shuffle files don't stand together."""
+    """Leaders and the first keys are jobs of their own, so their shuffle files don't stand together; texts are cut once a row."""
     made, tables = [], []
     first_met, parts = line_dedup._first_met, line_dedup.stored_parts
     monkeypatch.setattr(line_dedup, "_first_met", lambda forms, keys, *a: (made.append(len(keys)), first_met(forms, keys, *a))[1])
@@ -397,6 +397,7 @@ def test_first_pairs_of_lines_are_made_in_parts(spark, monkeypatch):
     rows = [(0, "a line of some words here\nwhat nobody else says"), (1, "a line of some words here\nthird")]
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert made == [2, 2] and tables == [3, 2]
+    assert "lambdafunction(split(" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert sorted((r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()) == [(0, rows[0][1], 2, 0), (1, "third", 2, 1)]
 
 
